@@ -16,6 +16,7 @@ from innlake.plans.validate import merge
 from innlake.sources.changes import ARRIVAL, change_batch
 from innlake.sources.feeds import FEEDS
 from innlake.sources.provided import table
+from innlake.sources.tables import settle
 
 AS_OF = datetime(2024, 2, 1)
 CHANGED_AT = datetime(2024, 2, 2)
@@ -40,11 +41,13 @@ def merged(lk: Lake, domain: str) -> DataFrame:
 
 
 def _scd2_guest(lk: Lake) -> DataFrame:
-    return dims.scd2_dim_guest(lk.dim_guest, merged(lk, "guests"), CHANGED_AT)
+    before, after = settle(lk.dim_guest, "dim_guest"), settle(merged(lk, "guests"), "guests")
+    return dims.scd2_dim_guest(before, after, CHANGED_AT)
 
 
 def _scd2_room(lk: Lake) -> DataFrame:
-    return dims.scd2_dim_room(lk.dim_room, merged(lk, "rooms"), CHANGED_AT)
+    before, after = settle(lk.dim_room, "dim_room"), settle(merged(lk, "rooms"), "rooms")
+    return dims.scd2_dim_room(before, after, CHANGED_AT)
 
 
 def _refresh_curated(lk: Lake) -> DataFrame:
@@ -52,6 +55,17 @@ def _refresh_curated(lk: Lake) -> DataFrame:
     return facts.fact_reservation(merged(lk, "reservations"), _scd2_guest(lk), _scd2_room(lk))
 
 
+# ---- logs -------------------------------------------------------------------
+
+def _dq_exceptions(lk: Lake) -> DataFrame:
+    found = quality.all_exceptions(lk.raw, lk.valid)
+    return quality.exception_log(settle(found, "exceptions"), AS_OF)
+
+
+def _anomaly_log(lk: Lake) -> DataFrame:
+    return anomalies.anomaly_log(settle(lk.findings, "findings"), AS_OF)
+
+
 # ---- governance -------------------------------------------------------------
 
 def _row_access(lk: Lake) -> DataFrame:
@@ -139,9 +153,7 @@ def all_queries() -> dict[str, Query]:
         "dq_housekeeping_room_fk": over(
             lambda lk: quality.housekeeping_room_fk(lk.valid["housekeeping"], lk.valid["rooms"])
         ),
-        "dq_exceptions": over(
-            lambda lk: quality.exception_log(quality.all_exceptions(lk.raw, lk.valid), AS_OF)
-        ),
+        "dq_exceptions": over(_dq_exceptions),
         "load_log": over(lambda lk: quality.load_log(lk.raw, lk.valid, AS_OF)),
         "dim_hotel": over(lambda lk: lk.dim_hotel),
         "dim_guest": over(lambda lk: lk.dim_guest),
@@ -164,7 +176,7 @@ def all_queries() -> dict[str, Query]:
         "anomaly_suspicious_cancellation": over(
             lambda lk: anomalies.suspicious_cancellation(lk.stays_by_guest)
         ),
-        "anomaly_log": over(lambda lk: anomalies.anomaly_log(lk.findings, AS_OF)),
+        "anomaly_log": over(_anomaly_log),
         "anomaly_cancellation_sliding": over(
             lambda lk: anomalies.cancellation_sliding(lk.stays_by_guest)
         ),
@@ -204,9 +216,7 @@ def all_queries() -> dict[str, Query]:
         "rpt_revpar_line": over(lambda lk: reports.revpar_line(_revpar(lk))),
         "rpt_payment_mode": over(lambda lk: reports.payment_mode(lk.bills_keyless)),
         "rpt_billing_accuracy": over(lambda lk: kpis.kpi_billing_accuracy(lk.bills_keyless)),
-        "rpt_anomaly_summary": over(
-            lambda lk: reports.anomaly_summary(anomalies.anomaly_log(lk.findings, AS_OF))
-        ),
+        "rpt_anomaly_summary": over(lambda lk: reports.anomaly_summary(lk.findings)),
         "fn_parse": over(_fn_parse),
         "fn_init_cap": _fn_init_cap,
         "fn_time_between": _fn_time_between,

@@ -23,6 +23,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **confs: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_CONFS, **confs}.items():
         builder = builder.config(key, value)
