@@ -14,7 +14,7 @@ from innlake.operators.surrogate import next_key
 from innlake.plans import anomalies, dims, facts, governance, kpis, quality
 from innlake.plans.domains import DOMAINS
 from innlake.sources.schemas import RAW_COLUMNS
-from innlake.sources.tables import LakeStore, settle
+from innlake.sources.tables import LakeStore, settle, settle_all
 from innlake.streaming import merge
 
 AUDIT, CURATED = "audit", "curated"
@@ -35,7 +35,7 @@ def _valid(store: LakeStore) -> dict[str, DataFrame]:
 
 def audit(store: LakeStore, raw, valid, as_of: datetime) -> None:
     """Load log and rejected rows of one run."""
-    found = settle(quality.all_exceptions(raw, valid), "exceptions")
+    found = settle_all(quality.all_exceptions(raw, valid), "exceptions")
     first = _next_id(store, AUDIT, "dq_exceptions", "exception_id", as_of)
     store.log_run(quality.exception_log(found, as_of, first), AUDIT, "dq_exceptions", as_of)
     first = _next_id(store, AUDIT, "load_log", "log_id", as_of)
@@ -102,7 +102,7 @@ def run_anomalies(store: LakeStore, as_of: datetime) -> None:
         curated(store, "fact_billing"), curated(store, "dim_room"), as_of,
     )
     first = _next_id(store, CURATED, "anomaly_log", "anomaly_id", as_of)
-    log = anomalies.anomaly_log(settle(found, "findings"), as_of, first)
+    log = anomalies.anomaly_log(settle_all(found, "findings"), as_of, first)
     store.log_run(log, CURATED, "anomaly_log", as_of)
 
 

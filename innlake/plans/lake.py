@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from innlake.constants import DATE_DIM_DAYS
-from innlake.plans import anomalies, dims, facts
+from innlake.plans import dims, facts
 from innlake.plans.domains import DOMAINS
 from innlake.plans.validate import validate
 
@@ -101,20 +101,6 @@ class Lake:
     def bills_keyless(self) -> DataFrame:
         return facts.fact_billing(self.valid["billing"])
 
-    @cached_property
-    def findings(self) -> DataFrame:
-        rules = (
-            anomalies.double_booking(self.stays_by_room),
-            anomalies.hk_sla_breach(self.tasks_keyless),
-            anomalies.maintenance_overdue(self.tasks_keyless, self.as_of),
-            anomalies.billing_mismatch(self.bills_keyless, self.stays_by_room, self.dim_room),
-            anomalies.suspicious_cancellation(self.stays_by_guest),
-        )
-        result = rules[0]
-        for rule in rules[1:]:
-            result = result.unionByName(rule)
-        return result
-
     def layers(self) -> dict[str, DataFrame]:
         """Tables of the row-count check, under their labels."""
         labelled = {f"RAW {d.upper()}": self.raw[d] for d in DOMAINS}

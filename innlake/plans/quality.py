@@ -42,17 +42,16 @@ def housekeeping_room_fk(housekeeping: DataFrame, rooms: DataFrame) -> DataFrame
     return _orphans("housekeeping", housekeeping, rooms, "room_id", k.ROOM_MISSING)
 
 
-def reference_exceptions(valid: Frames) -> DataFrame:
+def reference_exceptions(valid: Frames) -> list[DataFrame]:
     """All five foreign keys."""
     guests, rooms, stays = valid["guests"], valid["rooms"], valid["reservations"]
-    checks = (
+    return [
         reservation_guest_fk(stays, guests),
         _orphans("reservations", stays, rooms, "room_id", k.ROOM_MISSING),
         housekeeping_room_fk(valid["housekeeping"], rooms),
         _orphans("billing", valid["billing"], stays, "reservation_id", k.RESERVATION_MISSING),
         _orphans("billing", valid["billing"], guests, "guest_id", k.GUEST_MISSING),
-    )
-    return reduce(DataFrame.unionByName, checks)
+    ]
 
 
 def duplicate_exceptions(domain: str, raw: DataFrame) -> DataFrame:
@@ -119,15 +118,16 @@ def keyless_exceptions(domain: str, raw: DataFrame) -> DataFrame:
     )
 
 
-def all_exceptions(raw: Frames, valid: Frames) -> DataFrame:
-    parts = [reference_exceptions(valid)]
+def all_exceptions(raw: Frames, valid: Frames) -> list[DataFrame]:
+    """Every check as a frame of its own."""
+    checks = reference_exceptions(valid)
     for domain in DOMAINS:
-        parts += [
+        checks += [
             keyless_exceptions(domain, raw[domain]),
             duplicate_exceptions(domain, raw[domain]),
             rule_exceptions(domain, raw[domain]),
         ]
-    return reduce(DataFrame.unionByName, parts)
+    return checks
 
 
 def exception_log(exceptions: DataFrame, as_of: datetime, after: Column | int = 0) -> DataFrame:

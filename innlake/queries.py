@@ -16,7 +16,8 @@ from innlake.plans.validate import merge
 from innlake.sources.changes import ARRIVAL, change_batch
 from innlake.sources.feeds import FEEDS
 from innlake.sources.provided import table
-from innlake.sources.tables import settle
+from innlake.sources.tables import settle, settle_all
+from innlake.streamed import incremental, ingested
 
 AS_OF = datetime(2024, 2, 1)
 CHANGED_AT = datetime(2024, 2, 2)
@@ -58,12 +59,18 @@ def _refresh_curated(lk: Lake) -> DataFrame:
 # ---- logs -------------------------------------------------------------------
 
 def _dq_exceptions(lk: Lake) -> DataFrame:
-    found = quality.all_exceptions(lk.raw, lk.valid)
-    return quality.exception_log(settle(found, "exceptions"), AS_OF)
+    valid = {domain: settle(lk.valid[domain], domain) for domain in DOMAINS}
+    found = settle_all(quality.all_exceptions(lk.raw, valid), "exceptions")
+    return quality.exception_log(found, AS_OF)
 
 
-def _anomaly_log(lk: Lake) -> DataFrame:
-    return anomalies.anomaly_log(settle(lk.findings, "findings"), AS_OF)
+def _findings(lk: Lake) -> DataFrame:
+    """All anomalies, from fact tables written once as the daily run finds them."""
+    room = settle(lk.dim_room, "dim_room")
+    valid = lk.valid
+    stays = settle(facts.fact_reservation(valid["reservations"], lk.dim_guest, room), "stays")
+    tasks, bills = settle(lk.tasks_keyless, "tasks"), settle(lk.bills_keyless, "bills")
+    return settle_all(anomalies.all_findings(stays, tasks, bills, room, AS_OF), "findings")
 
 
 # ---- governance -------------------------------------------------------------
@@ -141,12 +148,21 @@ def _per_domain(prefix: str, build: Callable[[Lake, str], DataFrame]) -> dict[st
     }
 
 
+def _streamed(prefix: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
+    return {
+        f"{prefix}_{domain}": lambda spark, sf_dir, domain=domain: build(spark, sf_dir, domain, AS_OF)
+        for domain in DOMAINS
+    }
+
+
 def all_queries() -> dict[str, Query]:
     over = _over_lake
     return {
         **_per_domain("raw", lambda lk, domain: lk.raw[domain]),
         **_per_domain("validate", lambda lk, domain: lk.valid[domain]),
         **_per_domain("merge", merged),
+        **_streamed("ingest", ingested),
+        **_streamed("incremental", incremental),
         "dq_reservation_guest_fk": over(
             lambda lk: quality.reservation_guest_fk(lk.valid["reservations"], lk.valid["guests"])
         ),
@@ -176,7 +192,7 @@ def all_queries() -> dict[str, Query]:
         "anomaly_suspicious_cancellation": over(
             lambda lk: anomalies.suspicious_cancellation(lk.stays_by_guest)
         ),
-        "anomaly_log": over(_anomaly_log),
+        "anomaly_log": over(lambda lk: anomalies.anomaly_log(_findings(lk), AS_OF)),
         "anomaly_cancellation_sliding": over(
             lambda lk: anomalies.cancellation_sliding(lk.stays_by_guest)
         ),
@@ -216,7 +232,7 @@ def all_queries() -> dict[str, Query]:
         "rpt_revpar_line": over(lambda lk: reports.revpar_line(_revpar(lk))),
         "rpt_payment_mode": over(lambda lk: reports.payment_mode(lk.bills_keyless)),
         "rpt_billing_accuracy": over(lambda lk: kpis.kpi_billing_accuracy(lk.bills_keyless)),
-        "rpt_anomaly_summary": over(lambda lk: reports.anomaly_summary(lk.findings)),
+        "rpt_anomaly_summary": over(lambda lk: reports.anomaly_summary(_findings(lk))),
         "fn_parse": over(_fn_parse),
         "fn_init_cap": _fn_init_cap,
         "fn_time_between": _fn_time_between,

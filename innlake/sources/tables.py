@@ -8,6 +8,7 @@ it is being read, and a run that died half way is simply not seen. Logs keep one
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -33,6 +34,20 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_all(frames: Sequence[DataFrame], purpose: str) -> DataFrame:
+    """Write frames of one schema one after the other and read them as one.
+
+    Short separate plans instead of one wide union that is re-planned after
+    every stage.
+    """
+    spark, schema = frames[0].sparkSession, frames[0].schema
+    root = working_folder(spark, purpose)
+    paths = [f"{root}/{i}" for i in range(len(frames))]
+    for frame, path in zip(frames, paths):
+        frame.write.parquet(path)
+    return spark.read.schema(schema).parquet(*paths)
+
+
 def stamp(moment: datetime) -> str:
     return moment.strftime("%Y%m%dT%H%M%S")
 

@@ -9,6 +9,8 @@ folds them into a new base.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from innlake.operators.upsert import fold, upsert_small
@@ -17,6 +19,7 @@ from innlake.plans.validate import merge_source, validate
 from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore
 
+# must start with the RAW batch, which orders the sources of different runs
 ARRIVAL = ("batch_id", "_file_time", "_file")
 
 
@@ -46,17 +49,20 @@ def _base(store: LakeStore, domain: str) -> tuple[DataFrame | None, int]:
     return store.spark.read.parquet(path), int(bases[-1])
 
 
-def run_merge(store: LakeStore, domain: str, strict: bool = False) -> None:
+def run_merge(
+    store: LakeStore, domain: str, strict: bool = False, arrival: Sequence[str] = ARRIVAL
+) -> None:
     """Take every RAW row that arrived since the last run, then return.
 
     The checkpoint is the position in the change stream. Rows the full load has
-    already covered are passed over.
+    already covered are passed over. ``arrival`` says which of two rows with
+    one key came later; rows it leaves equal are told apart by their content.
     """
     _, loaded_upto = _base(store, domain)
 
     def append_source(batch: DataFrame, epoch: int) -> None:
         fresh = batch.filter(F.col("batch_id") > loaded_upto)
-        source = merge_source(domain, fresh, ARRIVAL, strict)
+        source = merge_source(domain, fresh, arrival, strict)
         source.drop("_file_time", "_file").write.mode("overwrite").parquet(
             store.path("merged", domain, f"epoch={epoch}")
         )

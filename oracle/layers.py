@@ -166,7 +166,14 @@ def _delivery(domain: str, arrival: int, values: dict[str, str]) -> str:
     return f"select {picked}, {arrival} as arrival from raw_{domain}"
 
 
-def _merged(domain: str) -> str:
+def _source(domain: str, changes: str) -> str:
+    return (
+        f"select * from (select {_typed(domain)}, arrival from {changes} where {KEYS[domain]} is not null)"
+        f" where {MERGE_RULES[domain]} {_pick_one(domain, 'arrival desc, ')}"
+    )
+
+
+def _merged(domain: str, target: str, source: str) -> str:
     key = KEYS[domain]
 
     def cell(c: str) -> str:
@@ -177,27 +184,45 @@ def _merged(domain: str) -> str:
         return f"if(t.{key} is null, s.{c}, t.{c}) as {c}"
 
     cells = ", ".join(cell(c) for c in COLUMNS[domain])
-    return f"select {cells} from val_{domain} t full join src_{domain} s on t.{key} = s.{key}"
+    return f"select {cells} from {target} t full join {source} s on t.{key} = s.{key}"
+
+
+def _landed(domain: str, rows: str, more: str = "") -> str:
+    """Blanks cut and null tokens removed, as a CSV loader leaves a field."""
+    cells = ", ".join(
+        f"if(trim({c}) in ('NULL', 'null', ''), null, trim({c})) as {c}" for c in COLUMNS[domain]
+    )
+    return f"select {cells}{more} from {rows}"
+
+
+def _deduped(domain: str, rows: str) -> str:
+    key = KEYS[domain]
+    return f"select {_typed(domain)} from (select * from {rows} where trim({key}) <> '' {_pick_one(domain)})"
 
 
 BLOCKS: dict[str, str] = {}
 for _d, _feed in FEEDS.items():
-    _key = KEYS[_d]
-    BLOCKS[f"raw_{_d}"] = _feed
-    BLOCKS[f"one_{_d}"] = (
-        f"select {_typed(_d)} from (select * from raw_{_d} where trim({_key}) <> '' {_pick_one(_d)})"
-    )
-    BLOCKS[f"val_{_d}"] = f"select * from one_{_d} where {BATCH_RULES[_d]}"
-    BLOCKS[f"chg_{_d}"] = " union all ".join([
-        _delivery(_d, 1, REDELIVERED[_d][0]),
-        _delivery(_d, 2, REDELIVERED[_d][1]),
-        _delivery(_d, 2, {_key: f"{_key}||'-N'"}),
-    ])
-    BLOCKS[f"src_{_d}"] = (
-        f"select * from (select {_typed(_d)}, arrival from chg_{_d} where {_key} is not null)"
-        f" where {MERGE_RULES[_d]} {_pick_one(_d, 'arrival desc, ')}"
-    )
-    BLOCKS[f"mrg_{_d}"] = _merged(_d)
+    BLOCKS |= {
+        f"raw_{_d}": _feed,
+        f"one_{_d}": _deduped(_d, f"raw_{_d}"),
+        f"val_{_d}": f"select * from one_{_d} where {BATCH_RULES[_d]}",
+        f"chg_{_d}": " union all ".join([
+            _delivery(_d, 1, REDELIVERED[_d][0]),
+            _delivery(_d, 2, REDELIVERED[_d][1]),
+            _delivery(_d, 2, {KEYS[_d]: f"{KEYS[_d]}||'-N'"}),
+        ]),
+        f"src_{_d}": _source(_d, f"chg_{_d}"),
+        f"mrg_{_d}": _merged(_d, f"val_{_d}", f"src_{_d}"),
+        # through CSV files, in three deliveries
+        f"landed_{_d}": _landed(_d, f"raw_{_d}"),
+        f"landed_one_{_d}": _deduped(_d, f"landed_{_d}"),
+        f"landed_val_{_d}": f"select * from landed_one_{_d} where {BATCH_RULES[_d]}",
+        f"landed_chg_{_d}": _landed(_d, f"chg_{_d}", ", arrival"),
+        f"second_{_d}": _source(_d, f"(from landed_chg_{_d} where arrival = 1)"),
+        f"third_{_d}": _source(_d, f"(from landed_chg_{_d} where arrival = 2)"),
+        f"after_second_{_d}": _merged(_d, f"landed_val_{_d}", f"second_{_d}"),
+        f"after_third_{_d}": _merged(_d, f"after_second_{_d}", f"third_{_d}"),
+    }
 
 BLOCKS |= {
     "dim_hotel": "select hotel_id, 'Unknown' as hotel_name, 'Unknown' as region from val_rooms group by hotel_id",

@@ -39,6 +39,8 @@ BODIES = {
     **{f"raw_{d}": f"select * from raw_{d}" for d in KEYS},
     **{f"validate_{d}": f"select * from val_{d}" for d in KEYS},
     **{f"merge_{d}": f"select {', '.join(COLUMNS[d])} from mrg_{d}" for d in KEYS},
+    **{f"ingest_{d}": f"select * from landed_{d}" for d in KEYS},
+    **{f"incremental_{d}": f"select * from after_third_{d}" for d in KEYS},
     "dq_reservation_guest_fk": "select * from fk_reservation_guest",
     "dq_housekeeping_room_fk": "select * from fk_housekeeping_room",
     "dq_exceptions": f"""
