@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,7 +27,9 @@ CLERK = "FRONT_DESK"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@lru_cache(maxsize=8)
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Layers over one folder; only declarations are shared between results."""
     return Lake(spark, lambda domain: FEEDS[domain](spark, sf_dir), AS_OF)
 
 

@@ -91,7 +91,8 @@ select 'BL'||o_orderkey::varchar as bill_id, 'RS'||o_orderkey::varchar as reserv
   case when o_orderkey%19=0 then null
        else ((o_orderdate::date + interval '10400' day)::date)::varchar||' 18:45:30' end as payment_time,
   case when o_orderkey%13=0 then 'y ' else 'N' end as is_flagged
-from orders join part on p_partkey=(o_orderkey*7+o_custkey)%(select count(*) from part)
+from (select *, (o_orderkey*7+o_custkey)%(select count(*) from part) as room from orders)
+  join part on p_partkey=room
 """
 
 FEEDS = {
