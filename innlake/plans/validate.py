@@ -28,17 +28,23 @@ def validate(domain: str, raw: DataFrame) -> DataFrame:
 
 
 def merge_source(
-    domain: str, changes: DataFrame, arrival: Sequence[str] = (), strict: bool = False
+    domain: str,
+    changes: DataFrame,
+    arrival: Sequence[str] = (),
+    strict: bool = False,
+    batch: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of a change batch that may be merged, the last arrival per key.
 
     ``strict=True`` asks for the batch rules instead of the looser merge rules.
+    Where ``changes`` holds several batches, ``batch`` names the columns that
+    tell them apart, and each batch keeps a row per key.
     """
     spec = DOMAINS[domain]
     usable = has_key(spec.key) if strict else F.col(spec.key).isNotNull()
     rule = spec.batch_rule if strict else spec.merge_rule
-    typed = changes.filter(usable).select(*spec.columns(), *arrival).filter(rule())
-    return latest_per_key(typed, spec.key, arrival)
+    typed = changes.filter(usable).select(*spec.columns(), *arrival, *batch).filter(rule())
+    return latest_per_key(typed, [spec.key, *batch], arrival)
 
 
 def merge(

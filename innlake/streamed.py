@@ -57,5 +57,5 @@ def incremental(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime)
         deliver(changes.filter(F.col(ARRIVAL) == arrival).drop(ARRIVAL), landing, domain)
         take(domain)
         # which file a duplicate ends up in is chance here, so it must not decide
-        merge.run_merge(store, domain, arrival=("batch_id",))
+        merge.run_merge(store, domain, arrival=())
     return merge.validated(store, domain)

@@ -19,8 +19,7 @@ from innlake.plans.validate import merge_source, validate
 from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore
 
-# must start with the RAW batch, which orders the sources of different runs
-ARRIVAL = ("batch_id", "_file_time", "_file")
+ARRIVAL = ("_file_time", "_file")
 
 
 def last_raw_batch(store: LakeStore, domain: str) -> int:
@@ -55,15 +54,17 @@ def run_merge(
     """Take every RAW row that arrived since the last run, then return.
 
     The checkpoint is the position in the change stream. Rows the full load has
-    already covered are passed over. ``arrival`` says which of two rows with
-    one key came later; rows it leaves equal are told apart by their content.
+    already covered are passed over. Every RAW batch is a merge of its own, so
+    the outcome does not depend on how many of them one run finds. ``arrival``
+    says which of two rows with one key came later inside a batch; rows it leaves
+    equal are told apart by their content.
     """
     _, loaded_upto = _base(store, domain)
 
     def append_source(batch: DataFrame, epoch: int) -> None:
         fresh = batch.filter(F.col("batch_id") > loaded_upto)
-        source = merge_source(domain, fresh, arrival, strict)
-        source.drop("_file_time", "_file").write.mode("overwrite").parquet(
+        source = merge_source(domain, fresh, arrival, strict, batch=["batch_id"])
+        source.drop(*arrival).write.mode("overwrite").parquet(
             store.path("merged", domain, f"epoch={epoch}")
         )
 
@@ -79,9 +80,11 @@ def run_merge(
 
 
 def _later_sources(store: LakeStore, domain: str, upto: int) -> DataFrame | None:
-    if not store.values("epoch", "merged", domain):
+    root = store.path("merged", domain)
+    committed = [f"{root}/epoch={e}" for e in store.values("epoch", "merged", domain)]
+    if not committed:
         return None
-    sources = store.spark.read.parquet(store.path("merged", domain))
+    sources = store.spark.read.option("basePath", root).parquet(*committed)
     return sources.filter(F.col("batch_id") > upto)
 
 

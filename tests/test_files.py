@@ -153,6 +153,22 @@ def test_lost_checkpoint_changes_nothing(place, tmp_path):
     assert current(store) == before
 
 
+def test_outcome_does_not_depend_on_when_merges_run(place, tmp_path):
+    store, landing, take = place
+    put(landing, "rooms", "a.csv", HEADER, room("r1"))
+    take(), merging.load_base(store, "rooms")
+    for n, status in enumerate(("new", "busy", "closed")):
+        put(landing, "rooms", f"b{n}.csv", HEADER, room("r1", status), room("r2", status, capacity=str(n + 1)))
+        take(), merging.run_merge(store, "rooms")
+    read = lambda: sorted(map(repr, merging.validated(store, "rooms").collect()))
+    stepwise = read()
+    assert merging.validated(store, "rooms").filter("room_id = 'r2' and capacity = 1 and status = 'Closed'").count() == 1
+    os.rename(tmp_path / "lake/checkpoints/merge", tmp_path / "lake/lost checkpoint")
+    os.rename(tmp_path / "lake/merged", tmp_path / "lake/lost sources")
+    merging.run_merge(store, "rooms")
+    assert read() == stepwise
+
+
 def test_streamed_merge_equals_batch_merge(place, spark, sf_dir):
     store, landing, take = place
     feed = FEEDS["rooms"](spark, sf_dir)
