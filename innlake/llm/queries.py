@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from innlake.llm.decontaminate import contaminated
 from innlake.llm.jaccard_join import jaccard_components
+from innlake.llm.suffix_dedup import without_repeats
 
 COLUMNS = {
     "documents": "doc_id bigint, text string",
@@ -27,6 +28,16 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = F.zip_with("removed_from", "removed_to", lambda a, b: b - a)
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda s, x: s + x).alias("n_removed"),
+        F.size("removed_from").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -40,6 +51,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_jaccard_join": op6_jaccard_join,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
 
