@@ -28,17 +28,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 _BASE = 0xD1342543DE82EF95
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept for the next chunk."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES // 4), base, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
+class _Powers:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept for the next chunk; a copy starts empty."""
+
+    def __init__(self):
+        self.kept: dict[int, np.ndarray] = {}
+
+    def __reduce__(self):
+        return _Powers, ()
+
+    def __call__(self, base: int, n: int) -> np.ndarray:
+        have = self.kept.get(base)
+        if have is None or len(have) < n:
+            steps = np.full(max(n, CHUNK_BYTES // 4), base, np.uint64)
+            steps[0] = 1
+            have = self.kept[base] = np.multiply.accumulate(steps)
+        return have[:n]
+
+
+powers = _Powers()
 
 
 def prefix_codes(data: np.ndarray) -> np.ndarray:
@@ -101,12 +111,13 @@ NOT_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 
 @dataclass
 class Words:
-    """The words of some texts: byte spans, 64-bit codes, and each text's range of words."""
+    """The words of some texts: byte spans, 64-bit codes, each text's range of words, and the running sums of the bytes."""
 
     starts: np.ndarray
     ends: np.ndarray
     codes: np.ndarray
     bounds: np.ndarray
+    sums: np.ndarray
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
@@ -125,8 +136,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> W
     last = offsets[1:][np.diff(offsets) > 0] - 1
     ends[last] = inside[last]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    codes = span_codes(prefix_codes(lower), starts, ends)
-    return Words(starts, ends, codes, np.searchsorted(starts, offsets))
+    sums = prefix_codes(lower)
+    return Words(starts, ends, span_codes(sums, starts, ends), np.searchsorted(starts, offsets), sums)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

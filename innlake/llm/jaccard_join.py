@@ -143,29 +143,27 @@ def _node():
 
 def _shared(signatures: DataFrame) -> DataFrame:
     """(token, node, at, head): prefix rows of the tokens that more than one node has, with the token's first row."""
-    rows = signatures.select(_node(), "rare", F.posexplode("prefix").alias("at", "token"))
-    whole, row = Window.partitionBy("token"), F.struct("node", "at")
+    rows = signatures.select(
+        "code", F.posexplode("prefix").alias("at", "token"), "rare", "n").select("token", "code", F.expr("at * 4294967296L + n").alias("place"), (F.col("at") < F.col("rare")).alias("seldom"))
+    whole = Window.partitionBy("token")
     rare = (
-        rows.where("at < rare").select("token", "node", "at")
-        .withColumn("head", F.min(row).over(whole)).withColumn("last", F.max("node").over(whole))
-        .where("head.node != last").drop("last")
+        rows.where("seldom").drop("seldom")
+        .withColumn("low", F.min("code").over(whole)).withColumn("high", F.max("code").over(whole)).where("low != high")
     )
-    usual = rows.where("at >= rare").groupBy("token", "node").agg(F.min("at").alias("at"))
-    heads = usual.groupBy("token").agg(F.min(row).alias("head"), F.max("node").alias("last")).where("head.node != last")
-    return rare.unionByName(usual.join(heads.drop("last"), "token").select(*rare.columns))
+    usual = rows.where("not seldom").groupBy("token", "code", "place").agg(F.lit(1).alias("one")).drop("one")
+    heads = usual.groupBy("token").agg(F.min("code").alias("low"), F.max("code").alias("high")).where("low != high")
+    both = saved(rare.select("token", "code", "place").unionByName(usual.join(heads.select("token"), "token")).distinct())
+    both = both.select("token", F.expr("struct(cast(place & 4294967295L as int) as n, code)").alias("node"), F.expr("cast(place >> 32 as int)").alias("at"))
+    return both.join(both.groupBy("token").agg(F.min(F.struct("node", "at")).alias("head")), "token")
 
 
-def _linked(pairs: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) whose sets are similar enough."""
+def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass the suffix filter: token counts by code range differ too little to rule a link out."""
     need = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent)).cast("int")
     apart = F.aggregate(F.zip_with("a_counts", "b_counts", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
     left = info.select(F.col("node").alias("a"), F.col("counts").alias("a_counts"))
     right = info.select(F.col("node").alias("b"), F.col("counts").alias("b_counts"))
-    near = pairs.join(left, "a").join(right, "b").where(apart <= F.col("a.n") + F.col("b.n") - 2 * need).select("a", "b")
-    full = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_set")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_set")), "b")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return full.where(100 * both >= percent * (F.col("a.n") + F.col("b.n") - both)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(apart <= F.col("a.n") + F.col("b.n") - 2 * need).select("a", "b")
 
 
 def _possible(rows: DataFrame, percent: int) -> DataFrame:
@@ -177,14 +175,18 @@ def _possible(rows: DataFrame, percent: int) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _sets(docs: DataFrame, signatures: DataFrame, involved: DataFrame, words: int) -> DataFrame:
-    """(node, tokens) of the involved nodes, from one text each where the node has an id."""
-    holders = signatures.where("doc_id is not null").groupBy(_node()).agg(F.min("doc_id").alias("doc_id"))
-    holders = saved(holders.join(involved, "node", "left_semi").select("doc_id"))
+def _verified(near: DataFrame, docs: DataFrame, signatures: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets, built anew from one text each, are similar enough."""
+    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    holders = signatures.where("doc_id is not null").groupBy("n", "code").agg(F.min("doc_id").alias("doc_id"))
+    holders = saved(holders.select("doc_id", _node()).join(ends, "node", "left_semi").select("doc_id"))
     few = holders.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(holders) if few else holders, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
-    return texts.select("text").mapInArrow(_setter(words), "code long, n int, tokens array<long>").select(_node(), "tokens").join(
-        involved, "node", "left_semi").dropDuplicates(["node"])
+    sets = texts.select("text").mapInArrow(_setter(words), "code long, n int, tokens array<long>").select(_node(), "tokens")
+    full = near.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_set")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_set")), "a")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    return full.where(100 * both >= percent * (F.col("a.n") + F.col("b.n") - both)).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -194,13 +196,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signatures = saved(docs.mapInArrow(_signer(words, percent, slots, classes), SIGNATURE))
     shared = saved(_shared(signatures.where("n > 0")))
 
-    involved = saved(shared.select("node").distinct())
+    involved = shared.select("node").distinct()
     info = saved(signatures.select(_node(), "counts").join(involved, "node", "left_semi").dropDuplicates(["node"]))
-    sets = saved(_sets(docs, signatures, involved, words))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        near = saved(_near(_possible(rows, percent), info, percent))
+        return saved(_verified(near, docs, signatures, words, percent))
 
     star = shared.where("node != head.node").select(
         F.col("head.node").alias("a"), F.col("head.at").alias("a_at"), F.col("node").alias("b"), F.col("at").alias("b_at"))
-    links = saved(_linked(_possible(star, percent), info, sets, percent))
+    links = linked(star)
 
     named = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = saved(shared.join(named, "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component")))
@@ -210,7 +215,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "token", F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("component").alias("b_component"), "main")
     strays = sides.where("b_component != main").select("token", *(F.col(c).alias("a" + c[1:]) for c in ("b", "b_at", "b_component")))
     across = strays.join(sides, "token").where((F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))))
-    more = saved(_linked(_possible(across, percent), info, sets, percent))
+    more = linked(across)
 
     links = links.unionByName(more)
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
