@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from innlake.llm.decontaminate import contaminated
 from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.suffix_dedup import without_repeats
+from innlake.llm.toxicity import fit_on_labels, score
 
 COLUMNS = {
     "documents": "doc_id bigint, text string",
@@ -24,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", "severity", "grade", "p_toxic", "toxic")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -50,6 +57,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op6_jaccard_join": op6_jaccard_join,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
