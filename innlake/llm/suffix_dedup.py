@@ -5,8 +5,8 @@ those inside these bytes, so equal suffixes have the same token wherever they st
 suffixes mostly share one: a run of them is one row. Only runs whose token occurs at two places go on.
 Splitters sampled from the tokens cut them into ranges; each bucket sorts its suffixes by a multikey quicksort (first
 eight bytes, then two codes of the rest, each key only among suffixes still tied) and compares neighbours.
-A token so frequent that splitters repeat spreads over several buckets, and its suffixes are compared
-across these boundaries by an aggregation with map-side combine. Copies of a whole text are one text from the start.
+A token so frequent that splitters repeat spreads over several buckets; each of them sends on what is left to compare,
+suffixes repeated inside it only once, and these meet by code across the boundaries. Copies of a whole text are one text from the start.
 
 Nothing is capped: every suffix whose token repeats is sorted, whole texts, any number of copies.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innlake.llm.arrowtext import list_array, prefix_codes, ranges, row_chunks, span_codes, text_buffers, with_columns
+from innlake.llm.arrowtext import list_array, mixed, prefix_codes, ranges, row_chunks, span_codes, text_buffers, with_columns
 from innlake.llm.workspace import saved
 
 LENGTH = 200
@@ -144,8 +144,21 @@ def _suffix_keys(data: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarr
     return [head[at], span_codes(sums, at + 8, at + middle), span_codes(sums, at + middle, at + length)]
 
 
-def _found(rows: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated suffixes of whole token groups; of a token spread over buckets, also what to compare elsewhere."""
+_EXCHANGED = np.dtype([("code", np.uint64), ("code2", np.uint64), ("h1", np.int64), ("h2", np.int64), ("start", np.int64), ("alone", np.bool_)])
+_FOUND = "h1 long, h2 long, start long, stop long, part int, packed binary"
+
+
+def _spans(h1, h2, start, stop) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(h1), pa.array(h2), pa.array(start), pa.array(stop), pa.nulls(len(h1), pa.int32()), pa.nulls(len(h1), pa.binary()),
+    ], names=["h1", "h2", "start", "stop", "part", "packed"])
+
+
+def _found(rows: pa.RecordBatch, length: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Spans of repeated suffixes of whole token groups; of a token spread over buckets, also what to compare elsewhere.
+
+    What is repeated here goes on once, what is alone here goes on to meet the other buckets, dealt by its code.
+    """
     data, offsets = text_buffers(rows.column("slice"))
     count = np.diff(offsets) - length + 1
     at = ranges(offsets[:-1], count)
@@ -155,26 +168,43 @@ def _found(rows: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
     first, h1, h2 = (rows.column(c).to_numpy() for c in ("first", "h1", "h2"))
     place = at - offsets[row] + first[row]
 
-    def batch(row, start, stop, codes):
-        return pa.RecordBatch.from_arrays([
-            pa.array(h1[row]), pa.array(h2[row]), pa.array(start), pa.array(stop),
-            *(pa.array(c, pa.int64()) if c is not None else pa.nulls(len(row), pa.int64()) for c in codes),
-        ], names=["h1", "h2", "start", "stop", "code", "code2"])
-
     index = np.flatnonzero(hit)
     if len(index):
         new = np.ones(len(index), bool)
         new[1:] = (np.diff(index) != 1) | (row[index[1:]] != row[index[:-1]])
         begin = index[new]
         end = index[np.append(np.flatnonzero(new)[1:] - 1, len(index) - 1)]
-        yield batch(row[begin], place[begin], place[end] + length, (None, None))
-    spread = np.flatnonzero(rows.column("wide").to_numpy(zero_copy_only=False)[row])
-    if len(spread):
-        whole = (keys[1] ^ (keys[0] * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
-        yield batch(row[spread], place[spread], place[spread] + length, (whole[spread], keys[2].view(np.int64)[spread]))
+        yield _spans(h1[row[begin]], h2[row[begin]], place[begin], place[end] + length)
+    spread = rows.column("wide").to_numpy(zero_copy_only=False)[row]
+    if spread.any():
+        code = mixed(keys[0] + mixed(keys[1]))
+        _, once = np.unique(code[spread & hit], return_index=True)
+        go = np.concatenate([np.flatnonzero(spread & hit)[once], np.flatnonzero(spread & ~hit)])
+        packed = np.empty(len(go), _EXCHANGED)
+        packed["code"], packed["code2"], packed["start"], packed["alone"] = code[go], keys[2][go], place[go], ~hit[go]
+        packed["h1"], packed["h2"] = h1[row[go]], h2[row[go]]
+        part = (packed["code"] % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        some = np.flatnonzero(np.diff(edges))
+        none = pa.nulls(len(some), pa.int64())
+        yield pa.RecordBatch.from_arrays([
+            none, none, none, none, pa.array(some, pa.int32()),
+            pa.array([packed[order[edges[k] : edges[k + 1]]].tobytes() for k in some.tolist()], pa.binary()),
+        ], names=["h1", "h2", "start", "stop", "part", "packed"])
+
+
+def _meeting(length: int):
+    def run(group: pa.Table) -> pa.Table:
+        rows = np.concatenate([np.frombuffer(p, _EXCHANGED) for p in group.column("packed").to_pylist()])
+        rows = rows[repeated([rows["code"], rows["code2"]])]
+        rows = rows[rows["alone"]]
+        return pa.Table.from_batches([_spans(rows["h1"], rows["h2"], rows["start"], rows["start"] + length)]).select(["h1", "h2", "start", "stop"])
+
+    return run
 
 
-def _sorter(length: int, limit: int):
+def _sorter(length: int, limit: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -183,12 +213,12 @@ def _sorter(length: int, limit: int):
             edges = np.concatenate(([0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]))
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 if held and size > limit and token[a] != held[-1].column("token")[-1].as_py():
-                    yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], length)
+                    yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], length, parts)
                     held, size = [], 0
                 held.append(batch.slice(a, b - a))
                 size += int(sizes[a:b].sum())
         if size:
-            yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], length)
+            yield from _found(pa.Table.from_batches(held).combine_chunks().to_batches()[0], length, parts)
 
     return run
 
@@ -204,6 +234,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     runs = keyed.select("h1", "h2", "text").mapInArrow(_lister(length, TOKEN_BYTES), "token long, h1 long, h2 long, run long")
     place = F.xxhash64("h1", "h2", "run")
     twice = runs.groupBy("token").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("token")
+    twice = saved(twice)  # a table of its own, so that the join is one whose hot tokens can be split
     open_runs = saved(runs.join(twice, "token"))
 
     total = open_runs.agg(F.count("*").alias("rows"), F.sum(F.col("run").bitwiseAND(0xFFFFFFFF) + length - 1).alias("bytes")).first()
@@ -217,13 +248,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     slices = texts.join(per_text, ["h1", "h2"]).mapInArrow(
         _slicer(length, splitters), "bucket long, wide boolean, token long, h1 long, h2 long, first long, slice binary")
     in_buckets = slices.repartition("bucket").sortWithinPartitions("token")
-    found = saved(in_buckets.mapInArrow(_sorter(length, BUCKET_BYTES), "h1 long, h2 long, start long, stop long, code long, code2 long"))
+    found = saved(in_buckets.mapInArrow(_sorter(length, BUCKET_BYTES, buckets), _FOUND))
 
-    across = found.where("code is not null")
-    tag = F.xxhash64("h1", "h2", "start")
-    same = across.groupBy("code", "code2").agg(F.min(tag).alias("a"), F.max(tag).alias("b")).where("a != b").select("code", "code2")
-    spans = found.where("code is null").select("h1", "h2", "start", "stop").unionByName(
-        across.join(same, ["code", "code2"]).select("h1", "h2", "start", "stop"))
+    across = found.where("part is not null").groupBy("part").applyInArrow(_meeting(length), "h1 long, h2 long, start long, stop long")
+    spans = found.where("part is null").select("h1", "h2", "start", "stop").unionByName(across)
     spans = spans.groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     copies = keyed.groupBy("h1", "h2").agg(F.count("*").alias("copies")).where("copies > 1")
     return spans.join(copies, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
