@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, sequence_codes, text_buffers, words_of
 from innlake.llm.components import components
-from innlake.llm.workspace import saved
+from innlake.llm.workspace import removed, saved
 
 WORDS = 5
 PERCENT = 75
 SLOT_BITS = 24
 COMMON_SLOTS = 1 << 20
 RANGES = 16
+LISTED = 32
 BROADCAST_ROWS = 500_000
 
 SIGNATURE = "doc_id long, code long, n int, counts array<int>, rare int, prefix array<long>"
@@ -142,17 +143,28 @@ def _node():
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """(token, node, at, head): prefix rows of the tokens that more than one node has, with the token's first row."""
+    """(token, node, at, head): prefix rows of the tokens that more than one node has, with the token's first row.
+
+    Near copies share dozens of tokens with the same holders; one token of each such set of holders is kept.
+    """
     rows = signatures.select(
         "code", F.posexplode("prefix").alias("at", "token"), "rare", "n").select("token", "code", F.expr("at * 4294967296L + n").alias("place"), (F.col("at") < F.col("rare")).alias("seldom"))
     whole = Window.partitionBy("token")
     rare = (
         rows.where("seldom").drop("seldom")
-        .withColumn("low", F.min("code").over(whole)).withColumn("high", F.max("code").over(whole)).where("low != high")
+        .withColumn("low", F.min("code").over(whole)).withColumn("high", F.max("code").over(whole)).withColumn("rows", F.count("*").over(whole))
+        .where("low != high").groupBy("token", "code").agg(F.min("place").alias("place"), F.first("rows").alias("rows"))
     )
-    usual = rows.where("not seldom").groupBy("token", "code", "place").agg(F.lit(1).alias("one")).drop("one")
-    heads = usual.groupBy("token").agg(F.min("code").alias("low"), F.max("code").alias("high")).where("low != high")
-    both = saved(rare.select("token", "code", "place").unionByName(usual.join(heads.select("token"), "token")).distinct())
+    rare = saved(rare.where(f"rows <= {LISTED}").groupBy("token").agg(F.sort_array(F.collect_list(F.struct("code", "place"))).alias("members"))
+                 .unionByName(rare.where(f"rows > {LISTED}").select("token", F.array(F.struct("code", "place")).alias("members"))))
+    codes = F.transform("members", lambda m: m["code"])
+    listed = rare.where("size(members) > 1").groupBy(F.xxhash64(codes).alias("token"), F.xxhash64(F.lit(1), codes).alias("again")).agg(F.first("members").alias("members"))
+    listed = listed.select("token", F.inline("members"))
+    usual = rows.where("not seldom").groupBy("token", "code").agg(F.min("place").alias("place"))
+    many = saved(usual.unionByName(rare.where("size(members) = 1").select("token", F.inline("members"))))
+    holders = many.groupBy("token").agg(F.bit_xor(F.xxhash64("code")).alias("all"), F.count("*").alias("rows"), F.min("code").alias("low"), F.max("code").alias("high"))
+    once = holders.where("low != high").groupBy("all", "rows", "low", "high").agg(F.min("token").alias("token")).select("token")
+    both = saved(listed.unionByName(many.join(once, "token")))
     both = both.select("token", F.expr("struct(cast(place & 4294967295L as int) as n, code)").alias("node"), F.expr("cast(place >> 32 as int)").alias("at"))
     return both.join(both.groupBy("token").agg(F.min(F.struct("node", "at")).alias("head")), "token")
 
@@ -195,6 +207,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     slots, classes = common_slots(docs.select("text"), words)
     signatures = saved(docs.mapInArrow(_signer(words, percent, slots, classes), SIGNATURE))
     shared = saved(_shared(signatures.where("n > 0")))
+    slim = saved(signatures.drop("rare", "prefix"))
+    removed(signatures)
+    signatures = slim
 
     involved = shared.select("node").distinct()
     info = saved(signatures.select(_node(), "counts").join(involved, "node", "left_semi").dropDuplicates(["node"]))
