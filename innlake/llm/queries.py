@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from innlake.llm.chat import format_chats, formatted_texts, learnt_text, read_chats
 from innlake.llm.decontaminate import contaminated
 from innlake.llm.fingerprints import compared_with_edits
+from innlake.llm.html_text import main_texts
 from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.toxicity import fit_on_labels, score
@@ -52,6 +53,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_format": op1_chat_format,
         "op3_toxicity": op3_toxicity,
         "op4_fingerprints": op4_fingerprints,
+        "op5_html_text": op5_html_text,
         "op6_jaccard_join": op6_jaccard_join,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
