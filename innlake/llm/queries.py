@@ -12,6 +12,7 @@ from innlake.llm.decontaminate import contaminated
 from innlake.llm.fingerprints import compared_with_edits
 from innlake.llm.html_text import main_texts
 from innlake.llm.jaccard_join import jaccard_components
+from innlake.llm.ngram_lm import score_held_out
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.toxicity import fit_on_labels, score
 
@@ -43,6 +44,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_held_out(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
@@ -84,6 +89,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_ngram_lm": op2_ngram_lm,
         "op3_toxicity": op3_toxicity,
         "op4_fingerprints": op4_fingerprints,
         "op5_html_text": op5_html_text,
