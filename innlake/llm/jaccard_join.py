@@ -38,9 +38,11 @@ SLOT_BITS = 24
 COMMON_SLOTS = 1 << 20
 RANGES = 16
 LISTED = 32
+MEMBERS = 256
+NO_ID = -(2**63)
 BROADCAST_ROWS = 500_000
 
-SIGNATURE = "doc_id long, code long, n int, counts array<int>, rare int, prefix array<long>"
+SIGNATURE = "doc_id long, text_code long, code long, n int, counts array<int>, rare int, prefix array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int) -> list[np.ndarray]:
@@ -95,7 +97,7 @@ def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):
         common = np.zeros(1 << SLOT_BITS, np.uint8)
         common[slots] = classes
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
+            data, offsets = text_buffers(batch.column(2))
             code, size, counts, rare, prefix = [], [], [], [], []
             for low, high in row_chunks(offsets):
                 for tokens in shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length):
@@ -115,25 +117,32 @@ def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):
             bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int64)
             tokens = np.concatenate(prefix) if prefix else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(np.array(code, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
+                batch.column(0), batch.column(1), pa.array(np.array(code, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
                 list_array(pa.array(np.concatenate(counts) if counts else [], pa.int32()), np.arange(len(size) + 1) * RANGES),
                 pa.array(rare, pa.int32()), list_array(pa.array(tokens.view(np.int64)), bounds),
-            ], names=["doc_id", "code", "n", "counts", "rare", "prefix"])
+            ], names=["doc_id", "text_code", "code", "n", "counts", "rare", "prefix"])
 
     return run
 
 
-def _setter(length: int):
+def _comparer(length: int, percent: int):
+    """Pairs of a centre and a member that are similar enough; a centre's text comes before its members'."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = np.empty(0, np.uint64)
         for batch in batches:
-            data, offsets = text_buffers(batch.column(0))
+            data, offsets = text_buffers(batch.column("text"))
+            leads, keep = batch.column("leads").to_pylist(), []
             for low, high in row_chunks(offsets):
                 sets = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length)
-                code = np.array([mixed(t).sum(dtype=np.uint64) for t in sets], np.uint64).view(np.int64)
-                bounds = np.concatenate(([0], np.cumsum([len(t) for t in sets]))).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(code), pa.array(np.diff(bounds), pa.int32()), list_array(pa.array(np.concatenate(sets).view(np.int64)), bounds),
-                ], names=["code", "n", "tokens"])
+                for row, tokens in zip(range(low, high), sets):
+                    if leads[row]:
+                        centre = tokens
+                        continue
+                    both = len(np.intersect1d(centre, tokens, assume_unique=True))
+                    if 100 * both >= percent * (len(centre) + len(tokens) - both):
+                        keep.append(row)
+            yield batch.take(pa.array(keep, pa.int64())).select(["a", "b"])
 
     return run
 
@@ -155,13 +164,13 @@ def _shared(signatures: DataFrame) -> DataFrame:
         .withColumn("low", F.min("code").over(whole)).withColumn("high", F.max("code").over(whole)).withColumn("rows", F.count("*").over(whole))
         .where("low != high").groupBy("token", "code").agg(F.min("place").alias("place"), F.first("rows").alias("rows"))
     )
-    rare = saved(rare.where(f"rows <= {LISTED}").groupBy("token").agg(F.sort_array(F.collect_list(F.struct("code", "place"))).alias("members"))
-                 .unionByName(rare.where(f"rows > {LISTED}").select("token", F.array(F.struct("code", "place")).alias("members"))))
+    rare = saved(rare.groupBy("token", F.when(F.col("rows") > LISTED, F.col("code")).alias("alone")).agg(
+        F.sort_array(F.collect_list(F.struct("code", "place"))).alias("members")))
     codes = F.transform("members", lambda m: m["code"])
-    listed = rare.where("size(members) > 1").groupBy(F.xxhash64(codes).alias("token"), F.xxhash64(F.lit(1), codes).alias("again")).agg(F.first("members").alias("members"))
+    listed = rare.where("alone is null").groupBy(F.xxhash64(codes).alias("token"), F.xxhash64(F.lit(1), codes).alias("again")).agg(F.first("members").alias("members"))
     listed = listed.select("token", F.inline("members"))
     usual = rows.where("not seldom").groupBy("token", "code").agg(F.min("place").alias("place"))
-    many = saved(usual.unionByName(rare.where("size(members) = 1").select("token", F.inline("members"))))
+    many = saved(usual.unionByName(rare.where("alone is not null").select("token", F.inline("members"))))
     holders = many.groupBy("token").agg(F.bit_xor(F.xxhash64("code")).alias("all"), F.count("*").alias("rows"), F.min("code").alias("low"), F.max("code").alias("high"))
     once = holders.where("low != high").groupBy("all", "rows", "low", "high").agg(F.min("token").alias("token")).select("token")
     both = saved(listed.unionByName(many.join(once, "token")))
@@ -188,22 +197,28 @@ def _possible(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(near: DataFrame, docs: DataFrame, signatures: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets, built anew from one text each, are similar enough."""
-    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    holders = signatures.where("doc_id is not null").groupBy("n", "code").agg(F.min("doc_id").alias("doc_id"))
-    holders = saved(holders.select("doc_id", _node()).join(ends, "node", "left_semi").select("doc_id"))
-    few = holders.count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(holders) if few else holders, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
-    sets = texts.select("text").mapInArrow(_setter(words), "code long, n int, tokens array<long>").select(_node(), "tokens")
-    full = near.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_set")), "b").join(
-        sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_set")), "a")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return full.where(100 * both >= percent * (F.col("a.n") + F.col("b.n") - both)).select("a", "b")
+    """The pairs (a, b) whose sets are similar enough.
+
+    One text of each node travels to the pairs' first nodes, its centres, and is compared there; a centre with very many
+    members has several places, each with its own copy of the centre's text.
+    """
+    places = near.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("places"))
+    members = near.join(places, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("places")).alias("place"))
+    routes = members.withColumn("leads", F.lit(False)).unionByName(
+        members.select("a", F.col("a").alias("b"), "place", F.lit(True).alias("leads")).distinct())
+    holders = signatures.groupBy("n", "code").agg(F.min(F.struct("text_code", "doc_id")).alias("holder")).select(_node().alias("b"), "holder.*")
+    routes = saved(routes.join(holders, "b"))
+    few = routes.count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(routes) if few else routes, ["doc_id", "text_code"]).select("a", "b", "place", "leads", "text")
+    sent = texts.repartition("a", "place").sortWithinPartitions("a", "place", F.desc("leads"))
+    pair = "struct<n:int,code:long>"
+    return sent.mapInArrow(_comparer(words, percent), f"a {pair}, b {pair}")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("text_code"), text.alias("text"))
     slots, classes = common_slots(docs.select("text"), words)
     signatures = saved(docs.mapInArrow(_signer(words, percent, slots, classes), SIGNATURE))
     shared = saved(_shared(signatures.where("n > 0")))
@@ -234,7 +249,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     links = links.unionByName(more)
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rows = signatures.select("doc_id", "n", _node()).join(classes_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
+    rows = signatures.select(known.alias("doc_id"), "n", _node()).join(classes_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = rows.groupBy("component").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "component")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
