@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innlake.llm import bpe
 from innlake.llm.chat import format_chats, formatted_texts, learnt_text, read_chats
 from innlake.llm.decontaminate import contaminated
 from innlake.llm.fingerprints import compared_with_edits
@@ -66,6 +67,23 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> tuple[dict[bytes, int], str]:
+    """Ranks and splitting pattern of a public tokenizer file."""
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = byte_bpe()
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = F.zip_with("removed_from", "removed_to", lambda a, b: b - a)
     return without_repeats(table(spark, sf_dir, "documents")).select(
@@ -94,6 +112,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_fingerprints": op4_fingerprints,
         "op5_html_text": op5_html_text,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
