@@ -16,6 +16,7 @@ from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.ngram_lm import score_held_out
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.toxicity import fit_on_labels, score
+from innlake.llm.wavelet import ids_with_sums
 
 COLUMNS = {
     "documents": "doc_id bigint, text string",
@@ -94,6 +95,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return ids_with_sums(table(spark, sf_dir, "documents"), file.read(), public_tokenizers.PATTERN)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -114,6 +122,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_jaccard_join": op6_jaccard_join,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_suffix_dedup": op8_suffix_dedup,
+        "op9_wavelet_ids": op9_wavelet_ids,
         "op10_decontaminate": op10_decontaminate,
     }
 
