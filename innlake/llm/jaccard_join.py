@@ -230,8 +230,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     info = saved(signatures.select(_node(), "counts").join(involved, "node", "left_semi").dropDuplicates(["node"]))
 
     def linked(rows: DataFrame) -> DataFrame:
+        """Links that join what the possible pairs can join: each node's first pair is compared, then what these leave apart."""
         near = saved(_near(_possible(rows, percent), info, percent))
-        return saved(_verified(near, docs, signatures, words, percent))
+        one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        links = saved(_verified(one, docs, signatures, words, percent))
+        joined = saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        named = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+        apart = F.coalesce("a_in", "a") != F.coalesce("b_in", "b")
+        rest = near.join(one, ["a", "b"], "left_anti").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
+        return links.unionByName(saved(_verified(saved(rest), docs, signatures, words, percent)))
 
     star = shared.where("node != head.node").select(
         F.col("head.node").alias("a"), F.col("head.at").alias("a_at"), F.col("node").alias("b"), F.col("at").alias("b_at"))
