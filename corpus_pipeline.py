@@ -1,16 +1,81 @@
-"""Cleaning a corpus in stages; each keeps the documents the next one works on."""
+"""Cleaning a corpus in stages; each keeps the documents the next one works on.
+
+1. toxicity: documents that the severity model calls toxic go. The model is fitted on the labels of the tables' folder.
+2. near_duplicates: of each group of documents linked by word shingles one stays, the one with the smallest id; documents
+   without a word link with nothing and stay.
+3. repeated_substrings: what stands at two places or more goes from the text, character by character, and
+   documents of which nothing is left go with it. Texts that were empty before stay.
+4. decontaminate: documents with a benchmark passage go.
+5. byte_bpe: what is left is encoded; ids, their number and the decoded text's equality with the text are returned.
+
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents. Rows of one id and text are
+one group in stage 2, of which one row stays; null texts stay null until the last stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-STAGES = []
+from innlake.llm import bpe
+from innlake.llm.decontaminate import contaminated
+from innlake.llm.jaccard_join import jaccard_components
+from innlake.llm.queries import byte_bpe, table
+from innlake.llm.suffix_dedup import without_repeats
+from innlake.llm.toxicity import fit_on_labels, score
+from innlake.llm.workspace import saved
+
+#: SQL has no ordinal regression and no byte-pair merges; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).where("not toxic").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard_components(docs).where("n_shingles > 0").select("doc_id", "component_id")
+    leaders = groups.where("component_id is null or doc_id = component_id").select("doc_id").distinct()
+    text = F.coalesce("text", F.lit(""))
+    words = docs.where(text.rlike(r"[^\x20\x09-\x0D]"))
+    kept = words.join(leaders, words["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    kept = kept.withColumn("_nth", once).where("_nth = 1 or doc_id is null").select(*docs.columns)
+    return kept.unionByName(docs.where(~text.rlike(r"[^\x20\x09-\x0D]")))
+
+
+def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = without_repeats(docs, whole_characters=True)
+    left = F.when(F.size("removed_from") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("text"))
+    kept = cut.where("octet_length(kept) > 0 or size(removed_from) = 0").withColumn("text", left)
+    kept = kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+    return kept.select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return contaminated(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*docs.columns)
+
+
+def byte_bpe_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ranks, pattern = byte_bpe()
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, pattern), ranks)
+    same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("repeated_substrings", repeated_substrings),
+    ("decontaminate", decontaminate),
+    ("byte_bpe", byte_bpe_ids),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table, each written to the shared folder before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
