@@ -13,6 +13,8 @@ from pyspark.sql import Column, functions as F
 from innlake.constants import WORD_BREAKS
 
 _REST = 2_147_483_647
+# microseconds from 1970 to the end of the year 9999
+LAST_MICROS = 253_402_300_800_000_000
 
 
 def has_key(column: str) -> Column:
@@ -23,23 +25,18 @@ def has_key(column: str) -> Column:
 def try_date(column: str) -> Column:
     """Strict ``YYYY-MM-DD``; anything else is NULL.
 
-    The shape test keeps the lax date cast from taking ``2024`` or a timestamp,
-    and is cheaper than a pattern-driven parse of every row.
+    The shape test keeps the lax date cast from taking ``2024``, a timestamp, or a date with something after it.
     """
     text = F.col(column)
-    shaped = (
-        (F.length(text) == 10)
-        & (F.substring(text, 5, 1) == "-")
-        & (F.substring(text, 8, 1) == "-")
-    )
-    return F.when(shaped, text.try_cast("date"))
+    return F.when(text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
 
 
 def try_timestamp(column: str, epoch: bool = False) -> Column:
     """ISO date or timestamp to a zone-less timestamp, else NULL.
 
     ``epoch=True`` also reads all-digit text as time since 1970, in the unit
-    its magnitude implies (seconds, milli-, micro- or nanoseconds).
+    its magnitude implies (seconds, milli-, micro- or nanoseconds). A time after
+    the year 9999 is NULL.
     """
     text = F.trim(column)
     shaped = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
@@ -55,9 +52,10 @@ def try_timestamp(column: str, epoch: bool = False) -> Column:
         .otherwise(F.floor(number / 1_000))
         .try_cast("bigint")
     )
+    within = F.when(micros < LAST_MICROS, micros)
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     since = origin + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+        F.lit(0), F.lit(0), F.lit(0), (within.cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
     )
     return F.when(text.rlike(r"^\d+$"), since).otherwise(parsed)
 
@@ -138,9 +136,12 @@ def _capital(word: Column) -> Column:
 
 
 def safe_ratio(numerator: Column, denominator: Column, digits: int = 6) -> Column:
-    """Decimal quotient rounded to ``digits``; NULL for a zero denominator."""
-    top = numerator.cast("decimal(20,2)")
-    bottom = F.nullif(denominator, F.lit(0).cast("bigint")).cast("decimal(10,0)")
+    """Decimal quotient rounded to ``digits``; NULL for a zero denominator.
+
+    Holds amounts of 26 whole digits and any bigint count; the quotient has twelve decimals before it is rounded.
+    """
+    top = numerator.cast("decimal(28,2)")
+    bottom = F.nullif(denominator, F.lit(0).cast("bigint")).cast("decimal(20,0)")
     return F.round(top / bottom, digits)
 
 

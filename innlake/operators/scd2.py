@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from innlake.operators.surrogate import next_key, with_surrogate_key
+from innlake.sources.tables import settle
 
 VALIDITY = ("effective_from", "effective_to", "is_current")
 
@@ -45,7 +46,7 @@ def apply_snapshot(
     fresh = snapshot.select(
         F.col(key), *[F.col(c).alias(f"_new_{c}") for c in values], F.lit(True).alias("_seen")
     )
-    paired = current.join(fresh, key, "full_outer")
+    paired = settle(current.join(fresh, key, "full_outer"), "paired")  # read three times below
 
     known, seen = F.col("_known").isNotNull(), F.col("_seen").isNotNull()
     changed = F.lit(False)

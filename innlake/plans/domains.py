@@ -52,7 +52,7 @@ def _reservation_columns() -> list[Column]:
 def _room_columns() -> list[Column]:
     return [
         F.col("room_id"), F.col("hotel_id"), F.col("room_type"),
-        *[_as(d.try_integer(c), c) for c in ("floor", "capacity")],
+        *[_as(d.try_number(c), c) for c in ("floor", "capacity")],
         F.col("amenities"),
         _as(d.init_cap(F.trim("status")), "status"),
         _as(d.try_decimal("base_price", 10, 2), "base_price"),

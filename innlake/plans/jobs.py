@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from innlake.constants import DATE_DIM_DAYS, DATE_DIM_START
 from innlake.operators.surrogate import next_key
 from innlake.plans import anomalies, dims, facts, governance, kpis, quality
 from innlake.plans.domains import DOMAINS
@@ -42,21 +43,22 @@ def audit(store: LakeStore, raw, valid, as_of: datetime) -> None:
     store.log_run(quality.load_log(raw, valid, as_of, first), AUDIT, "load_log", as_of)
 
 
-def full_load(store: LakeStore, as_of: datetime) -> None:
-    """RAW to CURATED from scratch."""
+def full_load(
+    store: LakeStore, as_of: datetime, first_day: str = DATE_DIM_START, n_days: int = DATE_DIM_DAYS
+) -> None:
+    """RAW to CURATED from scratch; the calendar must reach the last check-in."""
     valid = {domain: merge.load_base(store, domain) for domain in DOMAINS}
     audit(store, _raw(store), valid, as_of)
     guest = store.replace(dims.dim_guest(valid["guests"], as_of), CURATED, "dim_guest", as_of)
     room = store.replace(dims.dim_room(valid["rooms"], as_of), CURATED, "dim_room", as_of)
-    store.replace(dims.dim_date(store.spark), CURATED, "dim_date", as_of)
+    store.replace(dims.dim_date(store.spark, first_day, n_days), CURATED, "dim_date", as_of)
     _write_facts(store, valid, guest, room, as_of)
 
 
 def hourly_increment(store: LakeStore, as_of: datetime, strict: bool = False) -> None:
-    """Merge what arrived, then bring dimensions and facts up to date."""
-    for domain in DOMAINS:
-        merge.run_merge(store, domain, strict)
-    refresh_curated(store, as_of)
+    """Merge what arrived, then bring dimensions and facts up to date; an hour without data writes no table."""
+    if any([merge.run_merge(store, domain, strict) for domain in DOMAINS]):
+        refresh_curated(store, as_of)
 
 
 def refresh_curated(store: LakeStore, as_of: datetime) -> None:
@@ -106,6 +108,13 @@ def run_anomalies(store: LakeStore, as_of: datetime) -> None:
     store.log_run(log, CURATED, "anomaly_log", as_of)
 
 
+def daily(store: LakeStore, as_of: datetime) -> None:
+    """The anomaly rules, then the day's merge sources folded into new bases."""
+    run_anomalies(store, as_of)
+    for domain in DOMAINS:
+        merge.compact(store, domain)
+
+
 def register_views(store: LakeStore, role: str) -> None:
     """KPI views and the masked guest dimension as temporary views for SQL users."""
     stays, room = curated(store, "fact_reservation"), curated(store, "dim_room")

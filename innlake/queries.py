@@ -95,14 +95,25 @@ def _date_lookup(lk: Lake) -> DataFrame:
 # ---- scalar functions over provided tables ----------------------------------
 
 def _fn_parse(lk: Lake) -> DataFrame:
-    return lk.raw["billing"].select(
+    day = F.substring("payment_time", 1, 10)
+    rows = lk.raw["billing"].withColumns({
+        "_day": day, "_padded": F.concat(day, F.lit(" ")), "_cut": F.concat(day, F.lit("T")),
+        "_epoch": F.replace("total_amount", F.lit("."), F.lit("")),
+        "_far": F.concat(F.lit("9"), F.lpad(F.replace("total_amount", F.lit("."), F.lit("")), 21, "0")),
+    })
+    return rows.select(
         "bill_id",
         d.try_decimal("total_amount", 12, 2).alias("amount"),
         d.try_decimal("total_amount", 5, 1).alias("narrow_amount"),
-        d.try_integer("total_amount").alias("whole_amount"),
+        d.try_number("total_amount").alias("whole_amount"),
         d.try_date("payment_time").alias("not_a_date"),
         d.try_timestamp("payment_time").alias("paid_at"),
         d.flag("is_flagged").alias("flagged"),
+        d.try_date("_day").alias("paid_on"),
+        d.try_date("_padded").alias("padded_day"),
+        d.try_date("_cut").alias("cut_time"),
+        d.try_timestamp("_epoch", epoch=True).alias("epoch_at"),
+        d.try_timestamp("_far", epoch=True).alias("far_epoch"),
     )
 
 

@@ -35,14 +35,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **confs: str) -
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the checkpoint directory the cluster names.
 
-    Only a local master falls back to a temporary folder; a real cluster must
-    set ``spark.checkpoint.dir`` to storage every executor can reach.
+    Only a ``local[..]`` master, where driver and executors are one process, falls back to a temporary folder; a
+    cluster must set ``spark.checkpoint.dir`` to storage every executor can reach. The session's settings stay as they are.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="innlake-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

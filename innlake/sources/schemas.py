@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# fixed values: the columns of the landing files
 RAW_COLUMNS = {
     "guests": (
         "guest_id", "name", "dob", "gender", "email", "phone", "address", "city",

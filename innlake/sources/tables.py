@@ -67,11 +67,14 @@ class LakeStore:
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        done = lambda child: files.exists(jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS"))
-        return sorted(s.getPath().getName() for s in files.listStatus(folder)
-                      if s.isDirectory() and done(s.getPath()))
+        # one listing whatever the number of folders
+        marks = files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "*/_SUCCESS"))
+        return sorted(m.getPath().getParent().getName() for m in marks or ())
+
+    def delete(self, path: str) -> None:
+        """Remove a folder that nothing reads any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def values(self, label: str, *parts: str) -> list[str]:
         prefix = f"{label}="

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from innlake.operators.scd2 import instant
@@ -13,6 +12,9 @@ from innlake.sources import landing as lf
 from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore
 
+# files of one batch; a backfill of more takes several batches in the same run
+FILES_PER_BATCH = 1000
+
 Clock = Callable[[], datetime]
 
 
@@ -26,37 +28,37 @@ def ingest(
     domain: str,
     clock: Clock = utc_now,
     multiline: bool = True,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Load every landing file not loaded before, then return.
 
     The first run is the backfill; later runs pick up new files only, and do
-    nothing when there are none. A batch replaces its own RAW folder, so one
+    nothing when there are none. A run takes everything in batches of
+    ``max_files_per_batch`` files. A batch replaces its own RAW folder, so one
     repeated after a failure does not double its rows.
     """
     spark = store.spark
     reader = spark.readStream.schema(lf.csv_schema(domain)).options(**lf.csv_options(multiline))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     files = lf.with_file(reader.csv(lf.folder(landing, domain)))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        # read from the cache twice: a scan for malformed records, then the write
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            refused = lf.refused_files(batch)
-            n_refused = refused.count()
-            loaded_at = instant(clock()).alias("_loaded_at")
-            if n_refused:
-                refused.select("*", loaded_at).write.mode("overwrite").parquet(
-                    store.path("audit", "refused_files", domain, f"batch_id={batch_id}")
-                )
-            good = lf.clean(lf.accepted_rows(batch, refused, n_refused), domain)
-            good.select(*RAW_COLUMNS[domain], "_file", "_file_time", loaded_at).write.mode(
-                "overwrite"
-            ).parquet(store.path("raw", domain, f"batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
+        # parsed once into the lake: then a scan for malformed records, and the write
+        staged = store.path("staging", domain, f"batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(staged)
+        batch = spark.read.schema(batch.schema).parquet(staged)
+        refused = lf.refused_files(batch)
+        n_refused = refused.count()
+        loaded_at = instant(clock()).alias("_loaded_at")
+        if n_refused:
+            refused.select("*", loaded_at).write.mode("overwrite").parquet(
+                store.path("audit", "refused_files", domain, f"batch_id={batch_id}")
+            )
+        good = lf.clean(lf.accepted_rows(batch, refused, n_refused), domain)
+        good.select(*RAW_COLUMNS[domain], "_file", "_file_time", loaded_at).write.mode(
+            "overwrite"
+        ).parquet(store.path("raw", domain, f"batch_id={batch_id}"))
+        store.delete(staged)
 
     query = (
         files.writeStream.foreachBatch(land)
@@ -70,7 +72,8 @@ def ingest(
 def load_history(store: LakeStore, domain: str, as_of: datetime, hours: int = 24) -> DataFrame:
     """Files loaded or refused in the last hours: file, status, rows, load time."""
     recent = F.col("loaded_at") >= instant(as_of) - F.expr(f"INTERVAL '{hours}' HOUR")
-    history = store.raw(domain).groupBy(F.col("_file").alias("file")).agg(
+    loaded = store.raw(domain).filter(F.col("_loaded_at") >= instant(as_of) - F.expr(f"INTERVAL '{hours}' HOUR"))
+    history = loaded.groupBy(F.col("_file").alias("file")).agg(
         F.lit("LOADED").alias("status"),
         F.count(F.lit(1)).alias("row_count"),
         F.max("_loaded_at").alias("loaded_at"),

@@ -50,8 +50,8 @@ def _base(store: LakeStore, domain: str) -> tuple[DataFrame | None, int]:
 
 def run_merge(
     store: LakeStore, domain: str, strict: bool = False, arrival: Sequence[str] = ARRIVAL
-) -> None:
-    """Take every RAW row that arrived since the last run, then return.
+) -> bool:
+    """Take every RAW row that arrived since the last run, then say whether there was any source.
 
     The checkpoint is the position in the change stream. Rows the full load has
     already covered are passed over. Every RAW batch is a merge of its own, so
@@ -60,6 +60,7 @@ def run_merge(
     equal are told apart by their content.
     """
     _, loaded_upto = _base(store, domain)
+    before = set(store.values("epoch", "merged", domain))
 
     def append_source(batch: DataFrame, epoch: int) -> None:
         fresh = batch.filter(F.col("batch_id") > loaded_upto)
@@ -71,12 +72,14 @@ def run_merge(
     query = (
         store.spark.readStream.schema(store.raw_schema(domain))
         .parquet(store.path("raw", domain))
+        .filter(F.col("batch_id") > loaded_upto)  # here it prunes folders, so a first merge does not read what the base holds
         .writeStream.foreachBatch(append_source)
         .option("checkpointLocation", store.path("checkpoints", "merge", domain))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return set(store.values("epoch", "merged", domain)) != before
 
 
 def _later_sources(store: LakeStore, domain: str, upto: int) -> DataFrame | None:

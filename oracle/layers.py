@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from innlake.sources.schemas import RAW_COLUMNS
 from oracle.feeds import FEEDS
 
 AS_OF = "timestamp '2024-02-01 00:00:00'"
@@ -15,13 +16,7 @@ KEYS = {
     "housekeeping": "task_id",
     "billing": "bill_id",
 }
-COLUMNS = {
-    "guests": "guest_id name dob gender email phone address city country loyalty_tier registration_date".split(),
-    "reservations": "reservation_id guest_id room_id check_in_date check_out_date booking_channel booking_time cancellation_time status".split(),
-    "rooms": "room_id hotel_id room_type floor capacity amenities status base_price".split(),
-    "housekeeping": "task_id room_id task_type assigned_staff scheduled_time start_time end_time issue_detected_flag status".split(),
-    "billing": "bill_id reservation_id guest_id total_amount taxes discounts payment_mode payment_time is_flagged".split(),
-}
+COLUMNS = {domain: list(columns) for domain, columns in RAW_COLUMNS.items()}
 UPDATES = {
     "guests": ("loyalty_tier", "email"),
     "reservations": ("status", "cancellation_time"),
@@ -42,7 +37,7 @@ def moment(c: str) -> str:
 
 
 def whole(c: str) -> str:
-    return f"try_cast(try_cast({c} as decimal(38,0)) as integer)"
+    return f"try_cast({c} as decimal(38,0))"
 
 
 def money(c: str, p: int, s: int = 2) -> str:
@@ -119,8 +114,7 @@ BATCH_RULES = {
     "reservations": "check_out_date > check_in_date",
     "rooms": "capacity > 0 and base_price >= 0",
     "housekeeping": "end_time is null or end_time >= start_time",
-    "billing": "least(total_amount, taxes, discounts) >= 0 and total_amount is not null"
-               " and taxes is not null and discounts is not null",
+    "billing": "total_amount >= 0 and taxes >= 0 and discounts >= 0",
 }
 MERGE_RULES = {
     "guests": "email like '%@%.%'",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from innlake.constants import EMAIL_MASK_PATTERN, EMAIL_MASK_REPLACEMENT, PHONE_MASK_PREFIX
 from oracle.layers import (
     AS_OF, BLOCKS, COLUMNS, KEYS, cap, day, mean, moment, money, number, pct, per, whole, yes, ymd,
 )
@@ -33,6 +34,7 @@ _COUNTS = " union all ".join(
         + [("FACT RESERVATION", "stays"), ("FACT HOUSEKEEPING", "tasks"), ("FACT BILLING", "bills")]
     )
 )
+_MASKED = EMAIL_MASK_REPLACEMENT.replace("$", "\\")
 _MONTHS = "stays join dim_date on date_sk = check_in_date_sk"
 
 BODIES = {
@@ -77,10 +79,10 @@ BODIES = {
     "kpi_hk_sla": "select * from kpi_hk_sla",
     "kpi_revpar": "select * from kpi_revpar",
     "kpi_billing_accuracy": "select * from kpi_billing_accuracy",
-    "masked_dim_guest": r"""
+    "masked_dim_guest": f"""
         select * replace (
-          regexp_replace(email, '(.{2}).+(@.+)', '\1***\2') as email,
-          'XXXXXX'||right(phone, 4) as phone)
+          regexp_replace(email, '{EMAIL_MASK_PATTERN}', '{_MASKED}') as email,
+          '{PHONE_MASK_PREFIX}'||right(phone, 4) as phone)
         from dim_guest""",
     "row_access_view": "select * from dim_room where hotel_id like 'H1%'",
     "row_counts": _COUNTS,
@@ -123,7 +125,12 @@ BODIES = {
     "fn_parse": f"""
         select bill_id, {money('total_amount', 12)} as amount, {money('total_amount', 5, 1)} as narrow_amount,
           {whole('total_amount')} as whole_amount, {day('payment_time')} as not_a_date,
-          {moment('payment_time')} as paid_at, {yes('is_flagged')} as flagged
+          {moment('payment_time')} as paid_at, {yes('is_flagged')} as flagged,
+          {day("left(payment_time, 10)")} as paid_on,
+          {day("left(payment_time, 10) || ' '")} as padded_day, {day("left(payment_time, 10) || 'T'")} as cut_time,
+          case when regexp_full_match(replace(total_amount, '.', ''), '[0-9]+')
+            then timestamp '1970-01-01' + to_seconds(try_cast(replace(total_amount, '.', '') as bigint)) end as epoch_at,
+          cast(null as timestamp) as far_epoch
         from raw_billing""",
     "fn_init_cap": f"select doc_id, {cap('text')} as spelled from documents",
     "fn_time_between": f"""

@@ -156,3 +156,15 @@ def test_no_session_zone_dependence(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert row.m == 61
+
+
+def test_ratio_of_very_large_counts(rows):
+    got = rows([(5_000_000_000, 10_000_000_000), (1, 10**13), (9 * 10**17, 10**18)], "a bigint, b bigint").select(
+        d.percent(F.col("a"), F.col("b")).alias("p")).collect()
+    assert [r.p for r in got] == [50.0, 0.0, 90.0]
+
+
+def test_numbers_dates_and_epochs_beyond_their_types(rows):
+    got = rows([("3000000000", "2024-01-1 ", "9000000000000000000000")], "n string, day string, t string").select(
+        d.try_number("n").alias("n"), d.try_date("day").alias("day"), d.try_timestamp("t", epoch=True).alias("t")).first()
+    assert (int(got.n), got.day, got.t) == (3_000_000_000, None, None)

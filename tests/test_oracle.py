@@ -4,12 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from innlake.queries import all_queries
+from oracle.texts import all_texts
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, TEXTS = contract.queries(), contract.oracle_sql()
+QUERIES, TEXTS = all_queries(), all_texts()
 TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
     "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
@@ -26,6 +28,7 @@ def duck(sf_dir):
 
 def test_every_query_has_a_text():
     assert set(QUERIES) == set(TEXTS)
+    assert set(QUERIES) <= set(contract.queries()) and set(TEXTS) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
