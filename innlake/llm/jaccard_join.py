@@ -10,8 +10,8 @@ Sets that are equal are one node from the start. Prefix rows of rare tokens meet
 of common tokens by an aggregation and a join, which adaptive execution splits. A node is
 first compared with the smallest node of its token groups (a star, not all pairs); only pairs that are not yet in one
 component afterwards are compared one by one. Pairs pass the length filter, the positional filter and a
-suffix filter (difference of the token counts by code range) before the sets themselves are
-compared, once per pair.
+suffix filter (parities of the token counts by code range, which bound how many tokens the sets do not share) before
+the sets themselves are compared, once per pair.
 
 Defined results: null and empty texts, and texts without a word, have no shingle and link with nothing;
 fewer words than the shingle length make one shingle of all; repeated rows are linked unless empty; rows with
@@ -36,13 +36,13 @@ WORDS = 5
 PERCENT = 75
 SLOT_BITS = 24
 COMMON_SLOTS = 1 << 20
-RANGES = 16
+RANGE_BITS = 11
 LISTED = 32
 MEMBERS = 256
 NO_ID = -(2**63)
 BROADCAST_ROWS = 500_000
 
-SIGNATURE = "doc_id long, text_code long, code long, n int, counts array<int>, rare int, prefix array<long>"
+SIGNATURE = "doc_id long, text_code long, code long, n int, parity array<long>, rare int, prefix array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int) -> list[np.ndarray]:
@@ -98,7 +98,7 @@ def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):
         common[slots] = classes
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
-            code, size, counts, rare, prefix = [], [], [], [], []
+            code, size, parity, rare, prefix = [], [], [], [], []
             for low, high in row_chunks(offsets):
                 for tokens in shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length):
                     n = len(tokens)
@@ -113,14 +113,15 @@ def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):
                     rare.append(min(kept, n - usual))
                     code.append(mixed(tokens).sum(dtype=np.uint64))
                     size.append(n)
-                    counts.append(np.bincount((tokens >> np.uint64(60)).astype(np.int64), minlength=RANGES))
+                    bits = np.bincount((tokens >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS) & 1
+                    parity.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
             bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int64)
             tokens = np.concatenate(prefix) if prefix else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(np.array(code, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
-                list_array(pa.array(np.concatenate(counts) if counts else [], pa.int32()), np.arange(len(size) + 1) * RANGES),
+                list_array(pa.array(np.concatenate(parity) if parity else [], pa.int64()), np.arange(len(size) + 1) * ((1 << RANGE_BITS) // 64)),
                 pa.array(rare, pa.int32()), list_array(pa.array(tokens.view(np.int64)), bounds),
-            ], names=["doc_id", "text_code", "code", "n", "counts", "rare", "prefix"])
+            ], names=["doc_id", "text_code", "code", "n", "parity", "rare", "prefix"])
 
     return run
 
@@ -179,11 +180,14 @@ def _shared(signatures: DataFrame) -> DataFrame:
 
 
 def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
-    """The pairs that pass the suffix filter: token counts by code range differ too little to rule a link out."""
+    """The pairs that pass the suffix filter: token counts by code range differ in parity too seldom to rule a link out.
+
+    Each range whose counts differ in parity holds a token that one set has and the other lacks.
+    """
     need = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent)).cast("int")
-    apart = F.aggregate(F.zip_with("a_counts", "b_counts", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    left = info.select(F.col("node").alias("a"), F.col("counts").alias("a_counts"))
-    right = info.select(F.col("node").alias("b"), F.col("counts").alias("b_counts"))
+    apart = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    left = info.select(F.col("node").alias("a"), F.col("parity").alias("a_parity"))
+    right = info.select(F.col("node").alias("b"), F.col("parity").alias("b_parity"))
     return pairs.join(left, "a").join(right, "b").where(apart <= F.col("a.n") + F.col("b.n") - 2 * need).select("a", "b")
 
 
@@ -227,7 +231,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signatures = slim
 
     involved = shared.select("node").distinct()
-    info = saved(signatures.select(_node(), "counts").join(involved, "node", "left_semi").dropDuplicates(["node"]))
+    info = saved(signatures.select(_node(), "parity").join(involved, "node", "left_semi").dropDuplicates(["node"]))
 
     def linked(rows: DataFrame) -> DataFrame:
         """Links that join what the possible pairs can join: each node's first pair is compared, then what these leave apart."""
