@@ -15,6 +15,7 @@ from innlake.llm.html_text import main_texts
 from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.ngram_lm import score_held_out
 from innlake.llm.suffix_dedup import without_repeats
+from innlake.llm.texts import TEXTS
 from innlake.llm.toxicity import fit_on_labels, score
 from innlake.llm.wavelet import ids_with_sums
 
@@ -129,4 +130,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_texts() -> dict[str, str]:
     """DuckDB texts of the queries that SQL can express."""
-    return {}
+    return dict(TEXTS)
