@@ -18,7 +18,7 @@ from innlake.sources.changes import ARRIVAL, change_batch
 from innlake.sources.feeds import FEEDS
 from innlake.sources.provided import table
 from innlake.sources.tables import settle, settle_all
-from innlake.streamed import incremental, ingested
+from innlake.streamed import beside_refused, history, incremental, ingested
 
 AS_OF = datetime(2024, 2, 1)
 CHANGED_AT = datetime(2024, 2, 2)
@@ -169,7 +169,24 @@ def _streamed(prefix: str, build: Callable[..., DataFrame]) -> dict[str, Query]:
     }
 
 
+VIEWS = ("kpi_occupancy", "kpi_conversion", "kpi_hk_sla", "kpi_revpar", "kpi_billing_accuracy")
+
+
+def _view(name: str, query: Query) -> Query:
+    """The result as SQL users read it: a registered view."""
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        query(spark, sf_dir).createOrReplaceTempView(name)
+        return spark.table(name)
+
+    return read
+
+
 def all_queries() -> dict[str, Query]:
+    results = _results()
+    return {**results, **{f"view_{name}": _view(name, results[name]) for name in VIEWS}}
+
+
+def _results() -> dict[str, Query]:
     over = _over_lake
     return {
         **_per_domain("raw", lambda lk, domain: lk.raw[domain]),
@@ -177,6 +194,8 @@ def all_queries() -> dict[str, Query]:
         **_per_domain("merge", merged),
         **_streamed("ingest", ingested),
         **_streamed("incremental", incremental),
+        **_streamed("ingest_refused", beside_refused),
+        **_streamed("load_history", history),
         "dq_reservation_guest_fk": over(
             lambda lk: quality.reservation_guest_fk(lk.valid["reservations"], lk.valid["guests"])
         ),

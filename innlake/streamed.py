@@ -18,7 +18,7 @@ from innlake.sources.feeds import FEEDS
 from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore
 from innlake.streaming import merge
-from innlake.streaming.ingest import ingest
+from innlake.streaming.ingest import ingest, load_history
 
 
 def deliver(rows: DataFrame, landing: str, domain: str) -> None:
@@ -45,6 +45,28 @@ def ingested(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) ->
     return store.raw(domain).select(*RAW_COLUMNS[domain])
 
 
+def _with_refused(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> LakeStore:
+    """A loaded delivery that has one malformed file among the good ones."""
+    store, landing, take = _start(spark, as_of)
+    deliver(FEEDS[domain](spark, sf_dir), landing, domain)
+    bad = F.when(F.col("id") == 0, "header").otherwise("one,two")
+    spark.range(2).coalesce(1).select(bad.alias("value")).write.mode("append").text(lf.folder(landing, domain))
+    take(domain)
+    return store
+
+
+def beside_refused(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+    """RAW rows of the good files of a delivery with a malformed one."""
+    store = _with_refused(spark, sf_dir, domain, as_of)
+    return store.raw(domain).select(*RAW_COLUMNS[domain])
+
+
+def history(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+    """Rows loaded and records refused in the last 24 hours."""
+    files = load_history(_with_refused(spark, sf_dir, domain, as_of), domain, as_of)
+    return files.groupBy("status").agg(F.sum("row_count").alias("row_count"))
+
+
 def incremental(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
     """VALIDATED after a full load and two merged deliveries."""
     store, landing, take = _start(spark, as_of)

@@ -42,6 +42,12 @@ BODIES = {
     **{f"validate_{d}": f"select * from val_{d}" for d in KEYS},
     **{f"merge_{d}": f"select {', '.join(COLUMNS[d])} from mrg_{d}" for d in KEYS},
     **{f"ingest_{d}": f"select * from landed_{d}" for d in KEYS},
+    **{f"ingest_refused_{d}": f"select * from landed_{d}" for d in KEYS},
+    **{f"load_history_{d}": f"""
+        select 'LOADED' as status, count(*) as row_count from landed_{d}
+        union all select 'REFUSED', 1""" for d in KEYS},
+    **{f"view_{k}": f"select * from {k}" for k in (
+        "kpi_occupancy", "kpi_conversion", "kpi_hk_sla", "kpi_revpar", "kpi_billing_accuracy")},
     **{f"incremental_{d}": f"select * from after_third_{d}" for d in KEYS},
     "dq_reservation_guest_fk": "select * from fk_reservation_guest",
     "dq_housekeeping_room_fk": "select * from fk_housekeeping_room",
