@@ -23,6 +23,7 @@ HEADLINE = (
     "anomaly_billing_mismatch", "anomaly_suspicious_cancellation", "anomaly_cancellation_sliding",
     "kpi_occupancy", "kpi_conversion", "kpi_hk_sla", "kpi_revpar", "kpi_billing_accuracy",
     "masked_dim_guest", "rpt_top_guests",
+    "dq_exceptions", "anomaly_log", "refresh_curated", "ingest_rooms", "incremental_rooms",
 )
 
 
