@@ -23,6 +23,11 @@ EXCEPTION_COLUMNS = ("domain", "natural_key", "error_type", "error_detail")
 DUPLICATE_CHUNK = 100_000
 
 
+def _spread(rows: DataFrame) -> int:
+    """A stated number of partitions: chunks are tiny before they unfold, and adaptive execution would join them again."""
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _exception(domain: str, key: Column, error_type: str, detail: Column) -> list[Column]:
     values = (F.lit(domain.upper()), key, F.lit(error_type), detail)
     return [value.alias(name) for name, value in zip(EXCEPTION_COLUMNS, values)]
@@ -68,7 +73,7 @@ def duplicate_exceptions(domain: str, raw: DataFrame) -> DataFrame:
         .withColumn("chunk", F.explode(F.sequence(
             F.lit(0).cast("bigint"), F.floor((F.col("copies") - 2) / DUPLICATE_CHUNK)
         )))
-        .repartition(F.col(key), F.col("chunk"))
+        .repartition(_spread(raw), F.col(key), F.col("chunk"))
     )
     first = F.col("chunk") * DUPLICATE_CHUNK + 2
     last = F.least(F.col("copies"), first + DUPLICATE_CHUNK - 1)
@@ -131,8 +136,22 @@ def all_exceptions(raw: Frames, valid: Frames) -> list[DataFrame]:
 
 
 def exception_log(exceptions: DataFrame, as_of: datetime, after: Column | int = 0) -> DataFrame:
-    numbered = with_surrogate_key(exceptions, "exception_id", EXCEPTION_COLUMNS, after)
-    return numbered.withColumn("logged_at", instant(as_of))
+    """Exceptions with a dense number each.
+
+    Equal exceptions are counted before they are numbered and unfolded in chunks
+    afterwards, so any number of rows without a key never meets in one task.
+    """
+    counted = exceptions.groupBy(*EXCEPTION_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    numbered = with_surrogate_key(counted, "first_id", EXCEPTION_COLUMNS, after, copies="copies")
+    chunked = numbered.withColumn("chunk", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / DUPLICATE_CHUNK)
+    ))).repartition(_spread(exceptions), F.col("first_id"), F.col("chunk"))
+    first = F.col("chunk") * DUPLICATE_CHUNK
+    last = F.least(F.col("copies"), first + DUPLICATE_CHUNK) - 1
+    unfolded = chunked.withColumn("copy", F.explode(F.sequence(first, last)))
+    return unfolded.select(
+        (F.col("first_id") + F.col("copy")).alias("exception_id"), *EXCEPTION_COLUMNS, instant(as_of).alias("logged_at")
+    )
 
 
 def load_counts(raw: Frames, valid: Frames) -> DataFrame:

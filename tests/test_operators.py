@@ -195,3 +195,14 @@ def test_history_properties_over_random_snapshots(spark, rows):
         assert sum(current for _, _, current in own) == 1
         for (_, end, _), (begin, _, _) in zip(own, own[1:]):
             assert end == begin
+
+
+def test_copies_get_dense_numbers_without_meeting(spark):
+    from innlake.plans.quality import DUPLICATE_CHUNK, exception_log
+
+    hot = spark.range(3 * DUPLICATE_CHUNK + 7).selectExpr("'ROOMS' as domain", "cast(null as string) as natural_key", "'VALUE' as error_type", "'room_id missing' as error_detail")
+    some = spark.range(50).selectExpr("'ROOMS' as domain", "cast(id as string) as natural_key", "'VALUE' as error_type", "'x' as error_detail")
+    log = exception_log(hot.unionByName(some), datetime(2024, 2, 1), 10)
+    n = 3 * DUPLICATE_CHUNK + 57
+    assert log.agg(F.min("exception_id"), F.max("exception_id"), F.countDistinct("exception_id"), F.count("*")).first()[:] == (11, n + 10, n, n)
+    assert log.withColumn("p", F.spark_partition_id()).groupBy("p").count().count() > 1
