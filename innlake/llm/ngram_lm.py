@@ -37,8 +37,9 @@ DISCOUNT = 0.7
 HEAD_WORDS = 1 << 20
 FILTER_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 16
-BITS_PER_ENTRY = 14
-PROBES = 8
+BITS_PER_ENTRY = 11
+PROBES = 6
+SHARES = 8
 END = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BITS = 28
 _COUNT_TAG, _SHARE_TAG = np.uint64(0xA5A5), np.uint64(0x5A5A)
@@ -164,10 +165,9 @@ class BigramModel:
         return self.train_tokens + 0.5 * (self.vocabulary + 1)
 
     def part(self, k: int) -> FilterPart:
-        rows = self.blocks.where(F.col("part") == k).select("block", "bits").toArrow()
         bits = np.zeros(self.blocks_per_part * BLOCK_BYTES, np.uint8)
-        for block, content in zip(rows.column("block").to_pylist(), rows.column("bits")):
-            bits[block * BLOCK_BYTES : (block + 1) * BLOCK_BYTES] = np.frombuffer(content.as_buffer(), np.uint8)
+        for row in self.blocks.where(F.col("part") == k).select("block", "bits").toLocalIterator():
+            bits[row.block * BLOCK_BYTES : (row.block + 1) * BLOCK_BYTES] = np.frombuffer(row.bits, np.uint8)
         return FilterPart(k, self.parts, bits)
 
 
@@ -193,7 +193,7 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     whole = words.groupBy(history.alias("history")).agg(F.sum("n").alias("n"))
     histories = kept.join(whole, "history").select(
         "history", (2 + F.ceil(2 * F.log2(F.col("n") / LEAST_PAIR) - 1e-9)).cast("int").alias("count"),
-        F.least(F.lit(32), F.ceil(32 * F.col("kept") / F.col("n"))).cast("int").alias("share"))
+        F.least(F.lit(SHARES), F.ceil(SHARES * F.col("kept") / F.col("n"))).cast("int").alias("share"))
     tagged = lambda tag: F.col("history").bitwiseXOR(F.lit(int(tag) << 40))
     entries = pairs.select(history.alias("history"), "key", "level").unionByName(
         histories.select("history", tagged(_COUNT_TAG).alias("key"), F.col("count").alias("level"))).unionByName(
@@ -218,7 +218,7 @@ def _gain(codes: np.ndarray, prior: np.ndarray, part: FilterPart) -> np.ndarray:
     found = part.levels(known[at] ^ _COUNT_TAG << np.uint64(40))
     at, found = at[found > 0], found[found > 0]
     count[at] = _level_count(found.astype(np.float64))
-    share[at] = np.minimum(part.levels(known[at] ^ _SHARE_TAG << np.uint64(40)), 32) / 32
+    share[at] = np.minimum(part.levels(known[at] ^ _SHARE_TAG << np.uint64(40)), SHARES) / SHARES
     gain = np.zeros(len(codes))
     open_at = np.flatnonzero(count[which] > 0)
     if len(open_at):
