@@ -263,8 +263,8 @@ def fit(pages: DataFrame, html_col: str = "html", fit_pages: int = FIT_PAGES) ->
     """Weights of the block classifier."""
     chosen = pages.select(F.col(html_col).cast("string").alias("html")).where("html is not null")
     chosen = chosen.orderBy(F.xxhash64("html")).limit(fit_pages)
-    rows = chosen.mapInArrow(_examples, "x array<double>").toPandas()["x"]
-    x = np.array(rows.to_list(), np.float64).reshape(len(rows), len(FEATURES))
+    rows = chosen.mapInArrow(_examples, "x array<double>").toArrow().column("x").to_pylist()
+    x = np.array(rows, np.float64).reshape(len(rows), len(FEATURES))
     boiler = (x[:, 1] > 0) | (x[:, 2] > 0)
     known = boiler | (x[:, 3] > 0)
     x, y = x[known], (~boiler[known]).astype(np.float64)

@@ -88,8 +88,8 @@ def common_slots(texts: DataFrame, length: int = WORDS) -> tuple[np.ndarray, np.
         if held > COMMON_SLOTS:
             break
         least = row["kind"]
-    rows = counted.where(F.col("kind") >= least).select("slot", "kind").toPandas()
-    return rows["slot"].to_numpy(np.int64), rows["kind"].to_numpy(np.uint8)
+    rows = counted.where(F.col("kind") >= least).select("slot", "kind").toArrow()
+    return rows.column("slot").to_numpy(), rows.column("kind").to_numpy().astype(np.uint8)
 
 
 def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):

@@ -37,6 +37,7 @@ DISCOUNT = 0.7
 HEAD_WORDS = 1 << 20
 FILTER_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 16
+COUNTED_BYTES = 12 << 20
 BITS_PER_ENTRY = 11
 PROBES = 6
 SHARES = 8
@@ -71,15 +72,12 @@ def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column(0))
-        words, pairs = [], []
-        for low, high in row_chunks(offsets):
+        for low, high in row_chunks(offsets, COUNTED_BYTES):
             codes, _ = _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-            words.append(codes)
-            pairs.append(_pairs(codes)[1])
-        for kind, parts in ((0, words), (1, pairs)):
-            keys, times = np.unique(np.concatenate(parts) if parts else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(times, pa.int64())], names=["kind", "key", "n"])
+            for kind, found in ((0, codes), (1, _pairs(codes)[1])):
+                keys, times = np.unique(found, return_counts=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(times, pa.int64())], names=["kind", "key", "n"])
 
 
 def _level(count: Column) -> Column:
@@ -183,8 +181,10 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
         if held + row.words > head_words and held:
             break
         held, cut = held + row.words, row.n
-    head = words.where(F.col("n") >= cut).toPandas().sort_values("key")
-    head_counts = head["n"].to_numpy(np.int64)
+    rows = words.where(F.col("n") >= cut).toArrow()
+    head, head_counts = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+    order = np.argsort(head)
+    head, head_counts = head[order], head_counts[order]
     tail = (total - int(head_counts.sum())) / max(1, vocabulary - len(head) + 1)
 
     pairs = counts.where("kind = 1").select("key", _level(F.col("n")).alias("level"))
@@ -205,7 +205,7 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     placed = entries.select(F.pmod(F.xxhash64("history"), F.lit(parts)).cast("int").alias("part"), "key", "level").mapInArrow(
         _placer(blocks), "part int, key long, level int, block long")
     built = saved(placed.groupBy("part", "block").applyInArrow(_block_builder, "part int, block long, bits binary"))
-    return BigramModel(int(total), int(vocabulary), head["key"].to_numpy(np.int64), head_counts, tail, words, built, parts, blocks)
+    return BigramModel(int(total), int(vocabulary), head, head_counts, tail, words, built, parts, blocks)
 
 
 def _gain(codes: np.ndarray, prior: np.ndarray, part: FilterPart) -> np.ndarray:

@@ -240,7 +240,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     total = open_runs.agg(F.count("*").alias("rows"), F.sum(F.col("run").bitwiseAND(0xFFFFFFFF) + length - 1).alias("bytes")).first()
     buckets = max(1, min(MOST_BUCKETS, -(-(total.bytes or 0) // BUCKET_BYTES)))
     share = min(1.0, SAMPLES_PER_BUCKET * buckets / max(1, total.rows))
-    sample = np.sort(open_runs.sample(share, seed=7).select("token").toPandas()["token"].to_numpy(np.int64))
+    sample = np.sort(open_runs.sample(share, seed=7).select("token").toArrow().column("token").to_numpy())
     splitters = sample[np.arange(1, buckets) * len(sample) // buckets] if len(sample) else sample
 
     per_text = open_runs.groupBy("h1", "h2").agg(F.collect_set(F.struct("token", "run")).alias("runs"))

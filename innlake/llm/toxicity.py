@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +50,8 @@ class SeverityModel:
 
     def at_least(self, latent: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1.., one column each."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds - latent[:, None], -500, 500)))
+        above = 1 / (1 + np.exp(np.clip(self.thresholds - latent[:, None], -500, 500)))
+        return np.where(np.isinf(self.thresholds), 0.0, above)
 
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,17 +149,17 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", f
     surprise = F.col("n") * (
         F.when(share > 0, share * F.log(share / base)).otherwise(0.0) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
     seen = saved(sample.select("toxic", F.explode("features").alias("code")).groupBy("code").agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")).withColumn("surprise", surprise))
-    kept = seen.where(F.col("surprise") > float(np.log(max(1, seen.count())) + 3)).orderBy(F.desc("surprise"), "code").limit(MOST_FEATURES).toPandas()
+    kept = seen.where(F.col("surprise") > float(np.log(max(1, seen.count())) + 3)).orderBy(F.desc("surprise"), "code").limit(MOST_FEATURES).toArrow().to_pandas()
     if not len(kept):
         return none
     kept = kept.sort_values("code")
     codes = kept["code"].to_numpy(np.int64)
     marks = (kept["hits"] >= 0.8 * kept["n"]).to_numpy()
-    table = sample.mapInArrow(_picker(codes), "toxic int, features array<int>, counts array<int>").toPandas()
-    owner = np.repeat(np.arange(len(table)), table["features"].str.len().to_numpy(np.int64))
-    feature = np.concatenate(table["features"].to_list()).astype(np.int64)
-    count = np.concatenate(table["counts"].to_list()).astype(np.float64)
-    label = table["toxic"].to_numpy(np.int64)
+    table = sample.mapInArrow(_picker(codes), "toxic int, features array<int>, counts array<int>").toArrow().combine_chunks()
+    lists = pc.list_value_length(table.column("features")).to_numpy()
+    owner = np.repeat(np.arange(len(table)), lists)
+    feature, count = (pc.list_flatten(table.column(c)).to_numpy().astype(np.int64) for c in ("features", "counts"))
+    label = table.column("toxic").to_numpy().astype(np.int64)
     marked = np.bincount(owner, count * marks[feature], len(table))
     low, high = np.quantile(marked[label == 1], [1 / 3, 2 / 3])
     grade = label * (1 + (marked > low) + (marked > high))
