@@ -59,8 +59,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_bpe_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = byte_bpe()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, pattern), ranks)
-    same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
+    texts = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    coded = bpe.decode(bpe.encode(texts, ranks, pattern, keep_text=False), ranks)
+    same = F.sha2("decoded", 256) == F.col("digest")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 

@@ -206,11 +206,13 @@ def _encoder(table: MergeTable):
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
-    """The documents with ``ids``, array<int>."""
-    docs = docs.drop("ids", "_pieces")
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.withColumn("_pieces", pieces(F.col(text_col).cast("string"), pattern)).mapInArrow(_encoder(MergeTable(ranks)), schema)
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """The documents with ``ids``, array<int>; without ``keep_text`` the text stays behind."""
+    docs = docs.drop("ids", "_pieces").withColumn("_pieces", pieces(F.col(text_col).cast("string"), pattern))
+    docs = docs if keep_text else docs.drop(text_col)
+    kept = [f for f in docs.schema.fields if f.name != "_pieces"]
+    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.mapInArrow(_encoder(MergeTable(ranks)), schema)
 
 
 def _decoder(tokens: list[bytes], ids_col: str):

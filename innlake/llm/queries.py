@@ -78,7 +78,7 @@ def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> tuple[dict[bytes, int], str
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = byte_bpe()
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, keep_text=False)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return bpe.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
