@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 

@@ -72,10 +72,15 @@ def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column(0))
-        for low, high in row_chunks(offsets, COUNTED_BYTES):
-            codes, _ = _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-            for kind, found in ((0, codes), (1, _pairs(codes)[1])):
-                keys, times = np.unique(found, return_counts=True)
+        for begin, end in row_chunks(offsets, COUNTED_BYTES):
+            words, pairs = [], []
+            for low, high in row_chunks(offsets[begin : end + 1]):
+                edges = offsets[begin + low : begin + high + 1]
+                codes, _ = _tokens(data[edges[0] : edges[-1]], edges - edges[0])
+                words.append(codes)
+                pairs.append(_pairs(codes)[1])
+            for kind, found in ((0, words), (1, pairs)):
+                keys, times = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(times, pa.int64())], names=["kind", "key", "n"])
 
