@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="innlake-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
