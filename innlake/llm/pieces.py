@@ -21,6 +21,12 @@ def pieces(text: Column, pattern: str) -> Column:
 
 def distinct_pieces(column: pa.ListArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(distinct pieces, index of every piece among them, bounds of each row's pieces)."""
+    _, words, index, bounds = coded_pieces(column)
+    return words, index, bounds
+
+
+def coded_pieces(column: pa.ListArray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(rising codes of the distinct pieces, the pieces, index of every piece among them, bounds of each row's pieces)."""
     flat = column.flatten()
     bounds = np.concatenate(([0], np.cumsum(np.diff(column.offsets.to_numpy())))) if len(column) else np.zeros(1, np.int64)
     data, offsets = text_buffers(flat)
@@ -29,8 +35,8 @@ def distinct_pieces(column: pa.ListArray) -> tuple[list[bytes], np.ndarray, np.n
         sums = prefix_codes(data[offsets[low] : offsets[high]])
         edges = offsets[low : high + 1] - offsets[low]
         codes[low:high] = span_codes(sums, edges[:-1], edges[1:])
-    _, first, index = np.unique(codes, return_index=True, return_inverse=True)
-    return [data[offsets[k] : offsets[k + 1]].tobytes() for k in first.tolist()], index, bounds
+    known, first, index = np.unique(codes, return_index=True, return_inverse=True)
+    return known, [data[offsets[k] : offsets[k + 1]].tobytes() for k in first.tolist()], index, bounds
 
 
 def row_groups(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -38,7 +44,9 @@ def row_groups(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     lists = batch.column(column)
     if not len(batch):
         return
-    inner = text_buffers(lists.flatten())[1]
+    flat = lists.flatten()
+    kind = np.int64 if pa.types.is_large_string(flat.type) else np.int32
+    inner = np.frombuffer(flat.buffers()[1], kind)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, kind)
     bounds = np.concatenate(([0], np.cumsum(np.diff(lists.offsets.to_numpy()))))
     for low, high in row_chunks(inner[bounds], BATCH_BYTES):
         yield batch.slice(low, high - low)

@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from innlake.llm.arrowtext import row_chunks
 from innlake.llm.bpe import spread
 from innlake.llm.fingerprints import _range_of
-from innlake.llm.pieces import distinct_pieces, pieces, row_groups
+from innlake.llm.pieces import coded_pieces, pieces, row_groups
 from innlake.llm.workspace import saved, shared_folder
 
-SHARD_IDS = 1 << 21
+SHARD_IDS = 1 << 20
 BLOCK = 512
 MAGIC = b"IDWM1\n"
-WORDS_AT_ONCE = 20_000
+MOST_KNOWN = 1_000_000
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD = "bucket long, shard int, n_ids long, data binary"
@@ -159,25 +159,45 @@ def read_shard(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
     return table["doc_ids"], np.array(table["sizes"], np.int64), WaveletMatrix(planes, header["n"])
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: itself where it is printable, else one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+
+
 def _encoder(tokenizer: str, end_id: int):
+    """Ids of each document: the library's model encodes every distinct piece of a task once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = Tokenizer.from_str(tokenizer)
-        encoder.encode_special_tokens = True
+        model, letters = Tokenizer.from_str(tokenizer).model, byte_letters()
+        nothing = lambda: (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32), np.zeros(1, np.int64))
+        known, order, all_ids, all_bounds = nothing()
         for batch in batches:
             for part in row_groups(batch, "pieces"):
-                words, index, rows = distinct_pieces(part.column("pieces"))
-                ids, owners = [], []
-                for at in range(0, len(words), WORDS_AT_ONCE):
-                    found = encoder.encode([w.decode() for w in words[at : at + WORDS_AT_ONCE]], is_pretokenized=True, add_special_tokens=False)
-                    ids.append(np.array(found.ids, np.uint32))
-                    owners.append(np.array(found.word_ids, np.int64) + at)
-                ids, owners = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (ids, owners))
-                ids, bounds = spread(ids, np.searchsorted(owners, np.arange(len(words) + 1)), index, rows)
+                codes, words, index, rows = coded_pieces(part.column("pieces"))
+                at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+                old = known[at] == codes if len(known) else np.zeros(len(codes), bool)
+                fresh = np.flatnonzero(~old)
+                found = [[t.id for t in model.tokenize(words[k].decode("latin-1").translate(letters))] for k in fresh.tolist()]
+                new_ids = np.array([x for ids in found for x in ids], np.uint32)
+                new_bounds = np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int64)
+                places = np.empty(len(codes), np.int64)
+                places[old] = order[at[old]]
+                places[fresh] = len(all_bounds) - 1 + np.arange(len(fresh))
+                all_ids = np.concatenate([all_ids, new_ids])
+                all_bounds = np.concatenate([all_bounds, all_bounds[-1] + new_bounds[1:]])
+                ids, bounds = spread(all_ids, all_bounds, places[index], rows)
+                known, order = np.concatenate([known, codes[fresh]]), np.concatenate([order, places[fresh]])
+                if len(known) > MOST_KNOWN:  # start anew; only time depends on what is kept
+                    known, order, all_ids, all_bounds = nothing()
+                by_code = np.argsort(known, kind="stable")
+                known, order = known[by_code], order[by_code]
                 ids = np.insert(ids.astype(np.uint32), bounds[1:], end_id).astype("<u4")
                 bounds = (bounds + np.arange(len(bounds))) * 4
                 yield pa.RecordBatch.from_arrays([
