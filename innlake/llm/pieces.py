@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from innlake.llm.arrowtext import prefix_codes, row_chunks, span_codes, text_buffers
 
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 
 
 def pieces(text: Column, pattern: str) -> Column:
