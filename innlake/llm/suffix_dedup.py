@@ -157,7 +157,7 @@ def _spans(h1, h2, start, stop) -> pa.RecordBatch:
 def _found(rows: pa.RecordBatch, length: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Spans of repeated suffixes of whole token groups; of a token spread over buckets, also what to compare elsewhere.
 
-    What is repeated here goes on once, what is alone here goes on to meet the other buckets, dealt by its code.
+    What is repeated here goes on once by all its keys, what is alone here goes on to meet the other buckets, dealt by its code.
     """
     data, offsets = text_buffers(rows.column("slice"))
     count = np.diff(offsets) - length + 1
@@ -178,8 +178,11 @@ def _found(rows: pa.RecordBatch, length: int, parts: int) -> Iterator[pa.RecordB
     spread = rows.column("wide").to_numpy(zero_copy_only=False)[row]
     if spread.any():
         code = mixed(keys[0] + mixed(keys[1]))
-        _, once = np.unique(code[spread & hit], return_index=True)
-        go = np.concatenate([np.flatnonzero(spread & hit)[once], np.flatnonzero(spread & ~hit)])
+        again = np.flatnonzero(spread & hit)
+        again = again[np.lexsort((keys[2][again], code[again]))]
+        once = np.ones(len(again), bool)
+        once[1:] = (np.diff(code[again]) != 0) | (np.diff(keys[2][again]) != 0)
+        go = np.concatenate([again[once], np.flatnonzero(spread & ~hit)])
         packed = np.empty(len(go), _EXCHANGED)
         packed["code"], packed["code2"], packed["start"], packed["alone"] = code[go], keys[2][go], place[go], ~hit[go]
         packed["h1"], packed["h2"] = h1[row[go]], h2[row[go]]

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from innlake.llm import queries, suffix_dedup
@@ -53,6 +54,24 @@ def test_whole_characters_stay_text(spark):
     assert all(bytes(r.kept).decode() in ("", r.text) or r.removed_from for r in rows)
 
 
+def test_every_repeated_continuation_meets_the_other_buckets():
+    rng = random.Random(6)
+    prose = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    prefix = prose(150)
+    ends = [prefix + prose(50) for _ in range(4)]
+
+    def bucket(slices, first_id):
+        n = len(slices)
+        rows = pa.RecordBatch.from_arrays([
+            pa.array([True] * n), pa.array(range(first_id, first_id + n), pa.int64()), pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int64()), pa.array(slices, pa.binary()),
+        ], names=["wide", "h1", "h2", "first", "slice"])
+        return [b.select(["part", "packed"]) for b in suffix_dedup._found(rows, 200, 1) if b.column("part").null_count == 0]
+
+    sent = bucket(ends * 2, 0) + bucket(ends, 100)
+    met = suffix_dedup._meeting(200)(pa.Table.from_batches(sent))
+    assert sorted(met.column("h1").to_pylist()) == [100, 101, 102, 103]
+
+
 def test_empty_table(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
