@@ -2,11 +2,11 @@
 
 A paragraph's vector has two parts. ``EXACT_LANES`` lanes are hashes of the whole paragraph: their sums are
 equal for equal multisets of paragraphs. ``SIGN_LANES`` more hold the sums over the paragraph's features (runs of three words) of
-four bits each, 16 bits apart: seen as signs, their scalar product estimates how many features two texts
+two bits each, 32 bits apart: seen as signs, their scalar product estimates how many features two texts
 share. Sums do not depend on order, and adding or taking away a paragraph's vector inserts or deletes it.
 
-Sums modulo 2^64 come from sums of the low and high halves, which cannot overflow below 2^31 rows of a text, so
-the result does not depend on how the engine treats overflow. Only built-in functions are used; the paragraphs of a
+Sums modulo 2^64 come from sums of the low and high halves, and counters of signs have 32 bits; neither can overflow below
+2^31 rows of a text, so the result does not depend on how the engine treats overflow. Only built-in functions are used; the paragraphs of a
 text are summed where its rows are after one exchange, with partial sums before it.
 
 Defined results: null and empty texts have one empty paragraph and no feature; likeness of two texts without
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from innlake.llm.workspace import saved
 
 EXACT_LANES = 4
-SIGN_LANES = 16
+SIGN_LANES = 32
 RUN = 3
 _HALF = 0xFFFFFFFF
-_SIGNS = 0x0001000100010001
+_SIGNS = 0x0000000100000001
 
 
 def _words(text: Column) -> Column:
@@ -47,7 +47,6 @@ def _joined(name: str) -> Column:
 
 def fingerprints(texts: DataFrame, key_cols: list[str], text_col: str = "text") -> DataFrame:
     """(keys, lanes array<long>, features long): the summed vectors of every text and its number of features."""
-    names = [f"e{k}" for k in range(EXACT_LANES)] + [f"s{k}" for k in range(SIGN_LANES)]
     parts = texts.select(*key_cols, F.explode(paragraphs(F.col(text_col))).alias("part"))
     words = _words(F.col("part"))
     rows = parts.select(*key_cols, "part", words.alias("w"))
@@ -55,10 +54,16 @@ def fingerprints(texts: DataFrame, key_cols: list[str], text_col: str = "text")
     spread = rows.select(*key_cols, F.posexplode(runs).alias("_nth", "run"), "part").select(
         *key_cols, F.when(F.col("_nth") == 0, F.col("part")).alias("part"), F.when(F.col("part") != "", F.xxhash64("run")).alias("feature"))
     exact = [F.when(F.col("part").isNotNull(), F.xxhash64(F.lit(k), "part")).otherwise(F.lit(0).cast("long")) for k in range(EXACT_LANES)]
-    signs = [F.when(F.col("feature").isNotNull(), F.xxhash64(F.lit(k), "feature").bitwiseAND(F.lit(_SIGNS))).otherwise(F.lit(0).cast("long")) for k in range(SIGN_LANES)]
-    sums = [x for name, lane in zip(names, exact + signs) for x in _halves(lane, name)]
+
+    def sign(k: int) -> Column:
+        """Two lanes share a hash: its bits 0 and 32, and its bits 16 and 48."""
+        bits = F.shiftrightunsigned(F.xxhash64(F.lit(k // 2), "feature"), 16 * (k % 2)).bitwiseAND(F.lit(_SIGNS))
+        return F.when(F.col("feature").isNotNull(), bits).otherwise(F.lit(0).cast("long"))
+
+    sums = [x for k, lane in enumerate(exact) for x in _halves(lane, f"e{k}")] + [F.sum(sign(k)).alias(f"s{k}") for k in range(SIGN_LANES)]
+    lanes = [_joined(f"e{k}") for k in range(EXACT_LANES)] + [F.col(f"s{k}") for k in range(SIGN_LANES)]
     return spread.groupBy(*key_cols).agg(*sums, F.count("feature").alias("features")).select(
-        *key_cols, F.array(*(_joined(n) for n in names)).alias("lanes"), "features")
+        *key_cols, F.array(*lanes).alias("lanes"), "features")
 
 
 def digest(lanes: Column) -> Column:
@@ -84,8 +89,8 @@ def minus(a: Column, b: Column) -> Column:
 def likeness(a: Column, a_features: Column, b: Column, b_features: Column) -> Column:
     """Estimated cosine of the feature multisets, 0 to 1, from the fingerprints; exactly 1 for equal ones."""
     def signed(lanes: Column, n: Column) -> Column:
-        lane = lambda x, k: 2 * F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(0xFFFF)) - n
-        return F.flatten(F.transform(F.slice(lanes, EXACT_LANES + 1, SIGN_LANES), lambda x: F.array(*(lane(x, k).cast("double") for k in range(4)))))
+        lane = lambda x, k: 2 * F.shiftrightunsigned(x, 32 * k).bitwiseAND(F.lit(_HALF)) - n
+        return F.flatten(F.transform(F.slice(lanes, EXACT_LANES + 1, SIGN_LANES), lambda x: F.array(*(lane(x, k).cast("double") for k in range(2)))))
 
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)

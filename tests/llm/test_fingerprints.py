@@ -25,6 +25,15 @@ def test_insertion_and_deletion(spark):
     assert list(row.both) == got[2][0] and list(row.a) == got[0][0]
 
 
+def test_likeness_of_long_texts(spark):
+    words = lambda name: " ".join(f"{name}{k % 50_021}" for k in range(200_000))
+    a, b = words("a"), words("b")
+    got = prints(spark, [a, b, a + " one more", "the same line again\n" * 70_000, "another line here now\n" * 70_000])
+    df = spark.createDataFrame([(*got[x], *got[y]) for x, y in ((0, 1), (0, 2), (3, 4), (0, 0))], "a array<long>, m long, b array<long>, n long")
+    unrelated, near, lines, same = (r.x for r in df.select(fp.likeness(F.col("a"), F.col("m"), F.col("b"), F.col("n")).alias("x")).collect())
+    assert unrelated < 0.5 and lines < 0.5 and near > 0.99 and same == 1
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()), reverse=True)
     out = []
