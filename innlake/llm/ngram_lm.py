@@ -8,11 +8,12 @@ pairs keep (rounded up), so probabilities sum to one at most, false positives as
 
     P(w | h) = (level count of h w - DISCOUNT) / count of h + (1 - share of h) * P(w)
 
-P(w) is the smoothed word frequency, exact for the ``HEAD_WORDS`` most frequent words; the words below share one average.
+P(w) is the smoothed exact word frequency. The workers have it for the ``HEAD_WORDS`` most frequent words; for words outside this head
+they note what the filter says of the pair, and a join on the word completes both scores, which so do not depend on the head.
 
 What is sent to the workers is bounded: the head table by HEAD_WORDS, and the filter by ``FILTER_BYTES`` at a time. A larger
 filter is cut by history into parts of that size that pass over the texts one after the other, each
-adding what its histories change. The exact base score resolves words outside the head by a join on the word.
+adding what its histories change.
 
 Words are told apart by 64-bit codes, pairs by 36 and 28 bits of them. Defined results: null and empty texts are one end;
 a null id belongs to the training texts; without training texts every probability is that of an unknown word; repeated rows count and are scored each.
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, text_buffers, words_of
+from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, text_buffers, with_columns, words_of
 from innlake.llm.workspace import saved
 
 LEAST_PAIR = 2
@@ -157,7 +158,6 @@ class BigramModel:
     vocabulary: int
     head: np.ndarray
     head_counts: np.ndarray
-    tail_average: float
     words: DataFrame
     blocks: DataFrame
     parts: int
@@ -190,7 +190,6 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     head, head_counts = rows.column("key").to_numpy(), rows.column("n").to_numpy()
     order = np.argsort(head)
     head, head_counts = head[order], head_counts[order]
-    tail = (total - int(head_counts.sum())) / max(1, vocabulary - len(head) + 1)
 
     pairs = counts.where("kind = 1").select("key", _level(F.col("n")).alias("level"))
     history = F.shiftrightunsigned("key", _WORD_BITS)
@@ -210,32 +209,47 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     placed = entries.select(F.pmod(F.xxhash64("history"), F.lit(parts)).cast("int").alias("part"), "key", "level").mapInArrow(
         _placer(blocks), "part int, key long, level int, block long")
     built = saved(placed.groupBy("part", "block").applyInArrow(_block_builder, "part int, block long, bits binary"))
-    return BigramModel(int(total), int(vocabulary), head, head_counts, tail, words, built, parts, blocks)
+    return BigramModel(int(total), int(vocabulary), head, head_counts, words, built, parts, blocks)
 
 
-def _gain(codes: np.ndarray, prior: np.ndarray, part: FilterPart) -> np.ndarray:
-    """log10 P(w | h) - log10 P(w) of every token whose history is in the part."""
+def _states(codes: np.ndarray, part: FilterPart) -> np.ndarray:
+    """What the part says of every token: level of the pair, level of the history's count << 8, and share << 16; 0 for other histories."""
     history, pair = _pairs(codes)
     known, which = np.unique(history, return_inverse=True)
     mine = _xxhash_parts(known, part.parts) == part.part if part.parts > 1 else np.ones(len(known), bool)
-    count, share = np.zeros(len(known)), np.zeros(len(known))
+    state = np.zeros(len(known), np.int32)
     at = np.flatnonzero(mine)
     found = part.levels(known[at] ^ _COUNT_TAG << np.uint64(40))
     at, found = at[found > 0], found[found > 0]
-    count[at] = _level_count(found.astype(np.float64))
-    share[at] = np.minimum(part.levels(known[at] ^ _SHARE_TAG << np.uint64(40)), SHARES) / SHARES
-    gain = np.zeros(len(codes))
-    open_at = np.flatnonzero(count[which] > 0)
+    state[at] = found << 8 | np.minimum(part.levels(known[at] ^ _SHARE_TAG << np.uint64(40)), SHARES) << 16
+    state = state[which]
+    open_at = np.flatnonzero(state)
     if len(open_at):
         pairs, same = np.unique(pair[open_at], return_inverse=True)
-        level = part.levels(pairs)[same].astype(np.float64)
-        own = which[open_at]
-        seen = np.where(level > 0, np.minimum(1.0, (_level_count(level) - DISCOUNT) / count[own]), 0.0)
-        mixture = np.minimum(1.0, seen + np.maximum(1 - share[own], 1 / 64) * prior[open_at])
-        gain[open_at] = np.log10(mixture) - np.log10(prior[open_at])
+        state[open_at] |= part.levels(pairs)[same]
+    return state
+
+
+def _gain(state: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """log10 P(w | h) - log10 P(w) of tokens; 0 where the history is not known."""
+    gain = np.zeros(len(state))
+    at = np.flatnonzero(state)
+    level, count, share = (state[at] & 0xFF).astype(np.float64), state[at] >> 8 & 0xFF, (state[at] >> 16) / SHARES
+    seen = np.where(level > 0, np.minimum(1.0, (_level_count(level) - DISCOUNT) / _level_count(count.astype(np.float64))), 0.0)
+    mixture = np.minimum(1.0, seen + np.maximum(1 - share, 1 / 64) * prior[at])
+    gain[at] = np.log10(mixture) - np.log10(prior[at])
     return gain
 
 
+def _mixture(state: Column, prior: Column) -> Column:
+    """P(w | h), as in ``_gain``."""
+    level, count = state.bitwiseAND(0xFF), F.shiftright(state, 8).bitwiseAND(0xFF)
+    power = lambda x: LEAST_PAIR * F.pow(F.lit(2.0), (x - 1) / 2)
+    seen = F.when(level > 0, F.least(F.lit(1.0), (power(level) - DISCOUNT) / power(count))).otherwise(0.0)
+    mixture = F.least(F.lit(1.0), seen + F.greatest(1 - F.shiftright(state, 16) / SHARES, F.lit(1 / 64)) * prior)
+    return F.when(state == 0, prior).otherwise(mixture)
+
+
 def _xxhash_parts(history: np.ndarray, parts: int) -> np.ndarray:
     """pmod(xxhash64(history), parts) as Spark computes it for a long (seed 42)."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -247,73 +261,81 @@ def _xxhash_parts(history: np.ndarray, parts: int) -> np.ndarray:
     return (code ^ code >> np.uint64(32)).view(np.int64) % parts
 
 
-def _scorer(model_part: FilterPart, head, head_counts, tail_average: float, denominator: float, first: bool):
+def _scorer(model_part: FilterPart, head, head_counts, denominator: float, first: bool, last: bool):
+    """Scores of the head's words; for the others their states in text order, grouped by word and state after the last part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            out = {name: [] for name in ("n_tokens", "head_known", "head_score", "score")}
-            tail, counts, bounds = [], [], [np.zeros(1, np.int64)]
+            earlier, read = None if first else batch.column("tail_states").flatten().to_numpy(), 0
+            out = {name: [np.empty(0, kind)] for name, kind in (("n_tokens", np.int64), ("head_known", np.int64), ("head_score", float), ("score", float))}
+            tail, states, counts, bounds = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
             for low, high in row_chunks(offsets):
                 codes, edges = _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 owner = np.repeat(np.arange(high - low), np.diff(edges))
                 at = np.minimum(np.searchsorted(head, codes.view(np.int64)), max(len(head) - 1, 0))
                 known = head[at] == codes.view(np.int64) if len(head) else np.zeros(len(codes), bool)
-                times = np.where(known, head_counts[at], tail_average) if len(head) else np.full(len(codes), tail_average)
-                prior = (times + 0.5) / denominator
-                gain = np.bincount(owner, _gain(codes, prior, model_part), high - low)
+                state = _states(codes, model_part)
+                own, prior = owner[known], (head_counts[at[known]] + 0.5) / denominator
+                score = np.bincount(own, _gain(state[known], prior), high - low)
                 if first:
+                    alone = np.bincount(own, np.log10(prior), high - low)
+                    score = score + alone
                     out["n_tokens"].append(np.diff(edges))
-                    out["head_known"].append(np.bincount(owner, known, high - low).astype(np.int64))
-                    out["head_score"].append(np.bincount(owner, np.where(known, np.log10(prior), 0.0), high - low))
-                    gain += np.bincount(owner, np.log10(prior), high - low)
-                    order = np.flatnonzero(~known)
-                    order = order[np.lexsort((codes[order], owner[order]))]
-                    rest, own = codes[order], owner[order]
+                    out["head_known"].append(np.bincount(own, minlength=high - low).astype(np.int64))
+                    out["head_score"].append(alone)
+                out["score"].append(score)
+                rest, own, state = codes[~known], owner[~known], state[~known]
+                if not first:
+                    state = state | earlier[read : read + len(state)]
+                    read += len(state)
+                if last:
+                    order = np.lexsort((state, rest, own))
+                    rest, own, state = rest[order], own[order], state[order]
                     new = np.ones(len(rest), bool)
-                    new[1:] = (rest[1:] != rest[:-1]) | (own[1:] != own[:-1])
+                    new[1:] = (rest[1:] != rest[:-1]) | (own[1:] != own[:-1]) | (state[1:] != state[:-1])
                     new = np.flatnonzero(new)
+                    counts.append(np.diff(np.append(new, len(rest))).astype(np.int32))
                     tail.append(rest[new].view(np.int64))
-                    counts.append(np.diff(np.append(new, len(rest))))
-                    bounds.append(bounds[-1][-1] + np.searchsorted(own[new], np.arange(1, high - low + 1)))
-                out["score"].append(gain)
-            flat = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+                    own, state = own[new], state[new]
+                states.append(state)
+                bounds.append(bounds[-1][-1] + np.searchsorted(own, np.arange(1, high - low + 1)))
+            edges = np.concatenate(bounds)
+            found = {"score": pa.array(np.concatenate(out["score"]) if first else batch.column("score").to_numpy() + np.concatenate(out["score"]))}
+            for name, parts, ends in (("tail", tail, edges if last else 0 * edges), ("tail_states", states, edges), ("tail_counts", counts, edges if last else 0 * edges)):
+                found[name] = list_array(pa.array(np.concatenate(parts)), ends)
             if first:
-                edges = np.concatenate(bounds)
-                kinds = {"n_tokens": pa.int64(), "head_known": pa.int64(), "head_score": pa.float64(), "score": pa.float64()}
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id"), batch.column("held_out"), pa.array(row + np.arange(len(batch))), batch.column("text"),
-                    *(flat(out[name], kind) for name, kind in kinds.items()),
-                    list_array(flat(tail, pa.int64()), edges), list_array(flat(counts, pa.int32()), edges),
-                ], names=["doc_id", "held_out", "row", "text", *kinds, "tail", "tail_counts"])
+                found |= {name: pa.array(np.concatenate(out[name])) for name in ("n_tokens", "head_known", "head_score")}
+                found["row"] = pa.array(row + np.arange(len(batch)))
                 row += len(batch)
-            else:
-                at = batch.schema.get_field_index("score")
-                score = batch.column(at).to_numpy() + (np.concatenate(out["score"]) if out["score"] else np.empty(0))
-                yield batch.set_column(at, "score", pa.array(score))
+            yield with_columns(batch, found).select(_SCORED_NAMES)
 
     return run
 
 
 _SCORED = ("doc_id long, held_out boolean, row long, text string, n_tokens long, head_known long, head_score double, "
-           "score double, tail array<long>, tail_counts array<int>")
+           "score double, tail array<long>, tail_states array<int>, tail_counts array<int>")
+_SCORED_NAMES = [field.split()[0] for field in _SCORED.split(", ")]
 
 
 def score(docs: DataFrame, model: BigramModel) -> DataFrame:
     """Per row of (doc_id, held_out, text): n_tokens, n_known, train_tokens, base_score and score."""
     scored = docs.select("doc_id", "held_out", F.col("text").cast("string").alias("text"))
     for k in range(model.parts):
-        scored = scored.mapInArrow(_scorer(model.part(k), model.head, model.head_counts, model.tail_average, model.denominator, k == 0), _SCORED)
+        scored = scored.mapInArrow(_scorer(model.part(k), model.head, model.head_counts, model.denominator, k == 0, k == model.parts - 1), _SCORED)
     scored = saved(scored.drop("text"))
-    rare = scored.select("row", F.inline(F.arrays_zip(F.col("tail").alias("key"), F.col("tail_counts").alias("times"))))
+    rare = scored.select("row", F.inline(F.arrays_zip(F.col("tail").alias("key"), F.col("tail_states").alias("state"), F.col("tail_counts").alias("times"))))
     rare = rare.join(model.words, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    prior = (F.col("n") + 0.5) / F.lit(model.denominator)
     each = rare.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("n") + 0.5) / F.lit(model.denominator))).alias("rare_score"),
+        F.sum(F.col("times") * F.log10(prior)).alias("rare_base"),
+        F.sum(F.col("times") * F.log10(_mixture(F.col("state"), prior))).alias("rare_score"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
     return scored.join(each, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("head_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"))
 
 
 def score_held_out(docs: DataFrame, head_words: int = HEAD_WORDS, filter_bytes: int = FILTER_BYTES) -> DataFrame:

@@ -44,6 +44,14 @@ def test_parts_do_not_change_scores(spark):
     assert np.allclose(one, many, atol=0.6)
 
 
+@pytest.mark.parametrize("size", [64 << 20, 60])
+def test_head_does_not_change_scores(spark, size):
+    docs = spark.createDataFrame([*ROWS, (50, "never seen words only"), (7, "never seen the cat")], "doc_id long, text string")
+    whole, few = (sorted((r.doc_id or -1, r.n_tokens, r.score) for r in score_held_out(docs, head_words=head, filter_bytes=size).collect()) for head in (1 << 20, 5))
+    assert np.allclose([r[2] for r in whole], [r[2] for r in few], atol=1e-6)
+    assert any(r.n_known < r.n_tokens for r in score_held_out(docs, head_words=5, filter_bytes=size).collect())
+
+
 def test_hash_is_sparks(spark):
     values = [0, 1, 5, 2**35, 2**36 - 1]
     rows = spark.createDataFrame([(v,) for v in values], "h long").select(F.pmod(F.xxhash64("h"), F.lit(97)).alias("p")).collect()
