@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from innlake.constants import DATE_DIM_DAYS, DATE_DIM_START
 from innlake.operators.surrogate import next_key
@@ -18,7 +18,7 @@ from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore, settle, settle_all
 from innlake.streaming import merge
 
-AUDIT, CURATED = "audit", "curated"
+AUDIT, CURATED, POSITION = "audit", "curated", "merge_position"
 
 
 def _next_id(store: LakeStore, layer: str, table: str, column: str, as_of: datetime):
@@ -30,6 +30,21 @@ def _raw(store: LakeStore) -> dict[str, DataFrame]:
     return {d: store.raw(d).select(*RAW_COLUMNS[d]) for d in DOMAINS}
 
 
+def _merged(store: LakeStore) -> dict[str, int]:
+    """Position of the merges: the last committed source of each domain."""
+    return {d: merge.last_merge(store, d) for d in DOMAINS}
+
+
+def _refreshed(store: LakeStore) -> dict[str, int]:
+    """Position of the merges that CURATED was last brought up to."""
+    rows = store.latest(CURATED, POSITION)
+    return dict.fromkeys(DOMAINS, -1) | ({r.domain: r.epoch for r in rows.collect()} if rows is not None else {})
+
+
+def _mark_refreshed(store: LakeStore, position: dict[str, int], as_of: datetime) -> None:
+    store.replace(store.spark.createDataFrame(list(position.items()), "domain string, epoch long"), CURATED, POSITION, as_of)
+
+
 def _valid(store: LakeStore) -> dict[str, DataFrame]:
     return {d: merge.validated(store, d) for d in DOMAINS}
 
@@ -47,17 +62,26 @@ def full_load(
     store: LakeStore, as_of: datetime, first_day: str = DATE_DIM_START, n_days: int = DATE_DIM_DAYS
 ) -> None:
     """RAW to CURATED from scratch; the calendar must reach the last check-in."""
+    position = _merged(store)  # before the bases, which hold all that is merged by now
     valid = {domain: merge.load_base(store, domain) for domain in DOMAINS}
-    audit(store, _raw(store), valid, as_of)
+    covered = {d: store.raw(d).filter(F.col("batch_id") <= merge.base_upto(store, d)).select(*RAW_COLUMNS[d]) for d in DOMAINS}
+    audit(store, covered, valid, as_of)
     guest = store.replace(dims.dim_guest(valid["guests"], as_of), CURATED, "dim_guest", as_of)
     room = store.replace(dims.dim_room(valid["rooms"], as_of), CURATED, "dim_room", as_of)
     store.replace(dims.dim_date(store.spark, first_day, n_days), CURATED, "dim_date", as_of)
     _write_facts(store, valid, guest, room, as_of)
+    _mark_refreshed(store, position, as_of)
 
 
 def hourly_increment(store: LakeStore, as_of: datetime, strict: bool = False) -> None:
-    """Merge what arrived, then bring dimensions and facts up to date; an hour without data writes no table."""
-    if any([merge.run_merge(store, domain, strict) for domain in DOMAINS]):
+    """Merge what arrived, then bring dimensions and facts up to date; an hour without data writes no table.
+
+    What counts is whether CURATED has reached the committed merges, so a run that died
+    between them and its tables is made up for by the next one.
+    """
+    for domain in DOMAINS:
+        merge.run_merge(store, domain, strict)
+    if _merged(store) != _refreshed(store):
         refresh_curated(store, as_of)
 
 
@@ -68,6 +92,7 @@ def refresh_curated(store: LakeStore, as_of: datetime) -> None:
     rebuilt whenever dimensions move. Dimensions start from the load before
     ``as_of``, which makes a repeated run give the same tables.
     """
+    position = _merged(store)
     valid = _valid(store)
     guest, room = (store.latest(CURATED, t, before=as_of) for t in ("dim_guest", "dim_room"))
     if guest is None or room is None:
@@ -77,6 +102,7 @@ def refresh_curated(store: LakeStore, as_of: datetime) -> None:
     snapshot = settle(valid["rooms"], "rooms")
     room = store.replace(dims.scd2_dim_room(room, snapshot, as_of), CURATED, "dim_room", as_of)
     _write_facts(store, valid, guest, room, as_of)
+    _mark_refreshed(store, position, as_of)
 
 
 def _write_facts(store: LakeStore, valid, guest: DataFrame, room: DataFrame, as_of: datetime) -> None:

@@ -27,6 +27,16 @@ def last_raw_batch(store: LakeStore, domain: str) -> int:
     return max((int(v) for v in store.values("batch_id", "raw", domain)), default=-1)
 
 
+def last_merge(store: LakeStore, domain: str) -> int:
+    """Highest committed merge source, -1 for none."""
+    return max((int(v) for v in store.values("epoch", "merged", domain)), default=-1)
+
+
+def base_upto(store: LakeStore, domain: str) -> int:
+    """Last RAW batch of the newest base, -1 for none."""
+    return max((int(v) for v in store.values("upto", "validated", domain)), default=-1)
+
+
 def load_base(store: LakeStore, domain: str) -> DataFrame:
     """Full load: validate everything in RAW and write it as the base."""
     upto = last_raw_batch(store, domain)

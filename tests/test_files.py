@@ -248,3 +248,31 @@ def test_jobs_end_to_end(place, spark, sf_dir):
     jobs.register_views(store, "FRONT_DESK")
     assert spark.table("kpi_conversion").agg(F.sum("total_reservations")).first()[0] == 1291
     assert spark.table("dim_guest").filter("phone not like 'XXXXXX%'").count() == 0
+
+
+def test_increment_makes_up_for_a_dead_refresh(place, monkeypatch):
+    store, landing, take = place
+    for domain, columns in RAW_COLUMNS.items():
+        put(landing, domain, "a.csv", ",".join(columns), ",".join("x" for _ in columns))
+        take(domain)
+    put(landing, "rooms", "b.csv", HEADER, "r1,h1,t,1,1,x,s,1")
+    take()
+    jobs.full_load(store, NOW)
+    put(landing, "rooms", "c.csv", HEADER, "r2,h1,t,1,1,x,s,1")
+    take()
+    refresh, seen = jobs.refresh_curated, []
+
+    def dies_once(store, as_of):
+        seen.append(as_of)
+        if len(seen) == 1:
+            raise RuntimeError("died after the merges")
+        refresh(store, as_of)
+
+    monkeypatch.setattr(jobs, "refresh_curated", dies_once)
+    hours = [NOW + timedelta(hours=n) for n in (1, 2, 3)]
+    with pytest.raises(RuntimeError):
+        jobs.hourly_increment(store, hours[0])
+    jobs.hourly_increment(store, hours[1])
+    jobs.hourly_increment(store, hours[2])
+    assert seen == hours[:2]
+    assert {r.room_id for r in jobs.curated(store, "dim_room").collect()} == {"r1", "r2"}
