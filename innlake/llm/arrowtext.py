@@ -123,9 +123,12 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Words:
-    """Words of each text after A-Z are lower-cased; ``separators`` marks the (lower-cased) bytes between words."""
-    lower = LOWER[data]
+AS_IS = np.arange(256, dtype=np.uint8)
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, letters: np.ndarray = LOWER) -> Words:
+    """Words of each text after its bytes went through ``letters``; ``separators`` marks the (mapped) bytes between words."""
+    lower = letters[data]
     inside = ~separators[lower]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innlake.llm import bpe
+from innlake.llm import bpe, vector_codes, word_bpe
 from innlake.llm.chat import format_chats, formatted_texts, learnt_text, read_chats
 from innlake.llm.decontaminate import contaminated
 from innlake.llm.fingerprints import compared_with_edits
 from innlake.llm.html_text import main_texts
 from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.ngram_lm import score_held_out
+from innlake.llm.resampling import resample
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.texts import TEXTS
 from innlake.llm.toxicity import fit_on_labels, score
@@ -22,6 +24,7 @@ from innlake.llm.wavelet import ids_with_sums
 COLUMNS = {
     "documents": "doc_id bigint, text string",
     "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
     "labels": "doc_id bigint, toxic int",
     "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
@@ -113,6 +116,35 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.fit_codebooks(vectors)
+    codes = vector_codes.compress(vectors, books)
+    spelled = F.array_join(F.transform("entries", lambda e: F.lower(F.lpad(F.hex(e.cast("long")), 2, "0"))), "")
+    whole = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return vector_codes.with_label_error(codes).select("vec_id", spelled.alias("code"), "error", "label_error", F.lit(whole).alias("codebooks_sha256"))
+
+
+def word_bpe_file(name: str = "word_bpe_49k.json") -> str:
+    """Content of a public tokenizer file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = word_bpe_file()
+    decoded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), content, keep_text=False), content)
+    digests = decoded.select("doc_id", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return word_bpe.packed(digests).select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), "decoded_sha256")
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "n_words", "weight", "score", "rank")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -125,6 +157,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_wavelet_ids": op9_wavelet_ids,
         "op10_decontaminate": op10_decontaminate,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_word_bpe": op12_word_bpe,
+        "op13_resample": op13_resample,
     }
 
 

@@ -98,4 +98,84 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from words left join hit using (doc_id) left join named using (doc_id)
 """
 
-TEXTS = {"op1_chat_format": OP1, "op6_jaccard_join": OP6, "op8_suffix_dedup": OP8, "op10_decontaminate": OP10}
+OP11 = """
+with recursive kept as (
+  select row_number() over () as row, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), points as (
+  select row, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] as p from kept, range(16) r(part)
+), firsts as (
+  select row, row_number() over (order by vec_id nulls last, v) - 1 as entry from kept qualify entry < 64
+), start as (select part, entry, p as c from firsts join points using (row)),
+{rounds}
+final as (
+  select row, string_agg(printf('%02x', cast(entry as integer)), '' order by part) as code, cast(sum(away) as bigint) as error from assigned_2 group by row
+), books as (
+  select sha256(string_agg(cast(x as varchar), ',' order by part, entry, k)) as codebooks_sha256
+  from (select part, entry, unnest(c) as x, unnest(range(len(c))) as k from books_2)
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from kept join final using (row), books
+"""
+
+_ROUND = """
+assigned_{n} as (
+  select row, part, p, min(away) as away, arg_min(entry, away * 64 + entry) as entry
+  from (select row, part, p, entry, list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as away
+    from points join {books} using (part)) group by row, part, p
+),
+"""
+_MOVED = """
+books_{n} as (
+  select part, entry, coalesce(m, c) as c from {books} left join (
+    select part, entry, list(x order by k) as m from (
+      select part, entry, k, cast(floor(sum(x) / count(*)) as bigint) as x
+      from (select part, entry, unnest(p) as x, unnest(range(len(p))) as k from assigned_{last}) group by part, entry, k)
+    group by part, entry) using (part, entry)
+),
+"""
+OP11 = OP11.replace("{rounds}", "".join([
+    _ROUND.format(n=0, books="start"), _MOVED.format(n=1, books="start", last=0),
+    _ROUND.format(n=1, books="books_1"), _MOVED.format(n=2, books="books_1", last=1),
+    _ROUND.format(n=2, books="books_2"),
+]))
+
+OP13 = rf"""
+with steps as (
+  select list(c order by b) as tab from (
+    select b, list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+    from range(256) r(b))
+), words as (
+  select 0 as side, doc_id as id, regexp_extract_all({_LOWER}, {_WORD}) as w from documents
+  union all select 1, item_id, regexp_extract_all({_LOWER}, {_WORD}) from benchmark
+), features as (
+  select side, id, unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]),
+    list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])))) as f from words
+), spelled as (
+  select f, hex(encode(f)) as h, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from features group by f
+), bucketed as (
+  select f, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2),
+      lambda k: (instr('0123456789ABCDEF', h[k]) - 1) * 16 + instr('0123456789ABCDEF', h[k + 1]) - 1)),
+    lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1])), 4294967295) % 10000 as bucket from spelled, steps
+), totals as (select sum(s) as all_s, sum(t) as all_t from spelled),
+gains as (
+  select bucket, floor(1000 * ln(cast((sum(t) + 1) * (any_value(all_s) + 10000) as double) / cast((sum(s) + 1) * (any_value(all_t) + 10000) as double))) as gain
+  from bucketed, totals group by bucket
+), weights as (
+  select id as doc_id, count(*) as n_features, sum(gain) as weight
+  from features join bucketed using (f) join gains using (bucket) where side = 0 group by id
+), scored as (
+  select id as doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) as bigint)
+      + cast(floor(-1000 * ln(-ln((cast('0x' || left(sha256('42:' || id), 8) as bigint) + 0.5) / 4294967296::double))) as bigint) as score
+  from words left join weights on doc_id = id where side = 0
+), ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as place from scored where n_words >= 20
+)
+select doc_id, n_features, n_words, weight, score,
+  case when place <= (select 5 * count(*) // 100 from ranked) then place end as rank
+from scored left join ranked using (doc_id)
+"""
+
+TEXTS = {"op11_vector_codes": OP11, "op13_resample": OP13, "op1_chat_format": OP1, "op6_jaccard_join": OP6, "op8_suffix_dedup": OP8, "op10_decontaminate": OP10}

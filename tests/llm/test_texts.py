@@ -12,7 +12,7 @@ TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN"}
 @pytest.mark.parametrize("name", sorted(TEXTS))
 def test_matches_duckdb(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     got, want = queries.all_queries()[name](spark, sf_dir), con.sql(TEXTS[name])
     columns = sorted(got.columns)
