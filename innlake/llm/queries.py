@@ -135,9 +135,8 @@ def word_bpe_file(name: str = "word_bpe_49k.json") -> str:
 
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = word_bpe_file()
-    decoded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), content, keep_text=False), content)
-    digests = decoded.select("doc_id", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
-    return word_bpe.packed(digests).select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), "decoded_sha256")
+    decoded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), content, keep_text=False), content, pack=True)
+    return decoded.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:

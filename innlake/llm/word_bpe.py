@@ -18,6 +18,7 @@ token. Input columns stay, clashing ones are replaced.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -33,8 +34,9 @@ from innlake.llm.bpe import spread
 SHORT = 64
 FOREST_ROWS = 1 << 15
 CHUNK = 1 << 20
-MOST_KNOWN = 500_000
+MOST_KNOWN = 200_000
 NONE = np.int64(1) << 40
+_WHITE = re.compile(r"\s")
 
 
 class Merges:
@@ -69,8 +71,8 @@ class Merges:
         return np.where(self.pairs[at] == pair, self.ranks[at], NONE)
 
 
-def merged_forest(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> list[np.ndarray]:
-    """Ids of many pieces (rows of ``symbols``, filled up to one width), a segment tree over pairs for each."""
+def merged_forest(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all, number of each) of many pieces (rows of ``symbols``, filled up to one width), a segment tree over pairs for each."""
     rows, width = symbols.shape
     leaves = 1 << (width - 1).bit_length()
     keys = np.full((rows, leaves), NONE * leaves)
@@ -114,7 +116,7 @@ def merged_forest(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> lis
                 tree[who, node] = np.minimum(tree[who, 2 * node], tree[who, 2 * node + 1])
             paths = [(who, node >> 1) for who, node in paths]
         active = active[tree[active, 1] < NONE * leaves]
-    return [symbol[k, alive[k]] for k in range(rows)]
+    return symbol[alive], alive.sum(1)
 
 
 def merged_long(symbols: list[int], merges: Merges) -> list[int]:
@@ -155,27 +157,30 @@ def merged_long(symbols: list[int], merges: Merges) -> list[int]:
     return [s for s in symbols if s >= 0]
 
 
-def merged(pieces: list[str], merges: Merges) -> list[np.ndarray]:
-    """Ids of each piece."""
-    out: list = [None] * len(pieces)
-    by_width: dict[int, list[int]] = {}
+def merged(pieces: list[str], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of the pieces."""
     symbols = [merges.symbols(p) if p else [] for p in pieces]
+    sizes, places, found = np.zeros(len(pieces), np.int64), [], []
+    by_width: dict[int, list[int]] = {}
     for k, ids in enumerate(symbols):
-        if len(ids) < 2:
-            out[k] = np.array(ids, np.int64)
-        elif len(ids) > SHORT:
-            out[k] = np.array(merged_long(ids, merges), np.int64)
+        if len(ids) < 2 or len(ids) > SHORT:
+            ids = merged_long(ids, merges) if len(ids) > SHORT else ids
+            sizes[k] = len(ids)
+            places.append(np.full(len(ids), k))
+            found.append(np.array(ids, np.int64))
         else:
             by_width.setdefault(1 << (len(ids) - 1).bit_length(), []).append(k)
     for width, members in by_width.items():
         for low in range(0, len(members), FOREST_ROWS):
-            part = members[low : low + FOREST_ROWS]
-            sizes = np.array([len(symbols[k]) for k in part], np.int64)
+            part = np.array(members[low : low + FOREST_ROWS])
+            length = np.array([len(symbols[k]) for k in part.tolist()], np.int64)
             filled = np.zeros((len(part), width), np.int64)
-            filled[np.arange(width) < sizes[:, None]] = np.array([s for k in part for s in symbols[k]], np.int64)
-            for k, ids in zip(part, merged_forest(filled, sizes, merges)):
-                out[k] = ids
-    return out
+            filled[np.arange(width) < length[:, None]] = np.array([s for k in part.tolist() for s in symbols[k]], np.int64)
+            ids, sizes[part] = merged_forest(filled, length, merges)
+            places.append(np.repeat(part, sizes[part]))
+            found.append(ids)
+    order = np.argsort(np.concatenate(places), kind="stable") if places else np.empty(0, np.int64)
+    return (np.concatenate(found)[order] if found else np.empty(0)).astype(np.int32), np.concatenate(([0], np.cumsum(sizes)))
 
 
 class Encoder:
@@ -189,35 +194,55 @@ class Encoder:
         added = {t["content"]: t["id"] for t in json.loads(content)["added_tokens"]}
         self.added = added
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
+        self.hint = os.path.commonprefix([*added]) if added else ""
         self.forget()
 
     def forget(self) -> None:
         self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.ids, self.bounds = np.empty(0, np.int32), np.zeros(1, np.int64)
-        self.of_piece: dict[str, int] = {}
-        self.pieces: list[np.ndarray] = []
+        self.of_piece = {token: k for k, token in enumerate(self.added)}
+        self.piece_ids, self.piece_bounds = np.array([*self.added.values()], np.int32), np.arange(len(self.added) + 1)
 
-    def _split(self, word: str) -> list:
-        """Pieces of a word, and ids of the added tokens in it."""
+    def _split(self, word: str) -> list[str]:
+        """Pieces of a word; an added token is one."""
         tokenizer, out = self.tokenizer, []
         for part in self.cut.split(word) if self.cut else [word]:
             if part in self.added:
-                out.append(self.added[part])
+                out.append(part)
             elif part:
-                out.extend(p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(part)))
+                out.extend([p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(part))])
         return out
 
+    def _split_all(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """(pieces, bounds by word). Words without inner white space or added tokens go to the library as one text."""
+        plain = [k for k, w in enumerate(words) if not (self.hint in w if self.hint else self.cut and self.cut.search(w)) and not _WHITE.search(w)]
+        text = self.tokenizer.normalizer.normalize_str("\n".join(words[k] for k in plain))
+        gaps = np.array([m.start() for m in _WHITE.finditer(text)], np.int64)
+        owner, flat = [], []
+        if len(gaps) == max(0, len(plain) - 1):
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+            owner.append(np.array(plain, np.int64)[np.searchsorted(gaps, np.array([at for _, (at, _) in found], np.int64))] if found else np.empty(0, np.int64))
+            flat = [p for p, _ in found]
+        else:  # the file's rules join or add white space
+            plain = []
+        for k in sorted(set(range(len(words))) - set(plain)):
+            some = self._split(words[k])
+            owner.append(np.full(len(some), k))
+            flat += some
+        owner = np.concatenate(owner) if owner else np.empty(0, np.int64)
+        order = np.argsort(owner, kind="stable")
+        return [flat[k] for k in order.tolist()], np.searchsorted(owner[order], np.arange(len(words) + 1))
+
     def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of words not met before."""
-        split = [self._split(w) for w in words]
-        fresh = list({p: None for parts in split for p in parts if isinstance(p, str) and p not in self.of_piece})
-        for piece, ids in zip(fresh, merged(fresh, self.merges)):
-            self.of_piece[piece] = len(self.pieces)
-            self.pieces.append(ids)
-        arrays = [[np.array([p]) if isinstance(p, int) else self.pieces[self.of_piece[p]] for p in parts] for parts in split]
-        sizes = np.array([sum(map(len, a)) for a in arrays], np.int64)
-        flat = [x for a in arrays for x in a]
-        return (np.concatenate(flat) if flat else np.empty(0)).astype(np.int32), np.concatenate(([0], np.cumsum(sizes)))
+        flat, rows = self._split_all(words)
+        fresh = [p for p in dict.fromkeys(flat) if p not in self.of_piece]
+        ids, bounds = merged(fresh, self.merges)
+        for piece in fresh:
+            self.of_piece[piece] = len(self.of_piece)
+        self.piece_ids = np.concatenate([self.piece_ids, ids])
+        self.piece_bounds = np.concatenate([self.piece_bounds, self.piece_bounds[-1] + bounds[1:]])
+        return spread(self.piece_ids, self.piece_bounds, np.array([self.of_piece[p] for p in flat], np.int64), rows)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds by text) of texts given as bytes and offsets."""
@@ -269,7 +294,7 @@ def _tokens(content: str) -> list[bytes]:
     return [names.get(k, "").encode() for k in range(max(names) + 1)]
 
 
-def _decoder(tokens: list[bytes], ids_col: str):
+def _decoder(tokens: list[bytes], ids_col: str, pack: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = np.frombuffer(b"".join(t + b" " for t in tokens), np.uint8)
         edges = np.concatenate(([0], np.cumsum([len(t) + 1 for t in tokens])))
@@ -278,44 +303,33 @@ def _decoder(tokens: list[bytes], ids_col: str):
             some = ~lists.is_null().to_numpy(zero_copy_only=False)
             sizes = np.where(some, np.diff(lists.offsets.to_numpy()), 0) if len(batch) else np.empty(0, np.int64)
             ids, bounds = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes)))
-            for low, high in row_chunks(bounds, CHUNK):
+            for low, high in row_chunks(bounds, CHUNK // 4):
                 part, size = ids[bounds[low] : bounds[high]], sizes[low:high]
                 length = edges[part + 1] - edges[part]
                 last = np.cumsum(size)[size > 0] - 1
                 length[last] -= 1  # one space between tokens, none after the last
-                ends = np.concatenate(([0], np.cumsum(length)))[bounds[low : high + 1] - bounds[low]]
+                steps = bounds[low : high + 1] - bounds[low]
+                ends = np.concatenate(([0], np.cumsum(length)))[steps]
                 text = pa.py_buffer(data[ranges(edges[part], length)])
-                made = pa.LargeStringArray.from_buffers(high - low, pa.py_buffer(ends.astype(np.int64)), text).cast(pa.string())
-                yield with_columns(batch.slice(low, high - low), {"decoded": made})
+                made = {"decoded": pa.LargeStringArray.from_buffers(high - low, pa.py_buffer(ends.astype(np.int64)), text).cast(pa.string())}
+                rows = batch.slice(low, high - low)
+                if pack:
+                    rows = rows.drop_columns([ids_col])
+                    packed = pa.py_buffer(np.ascontiguousarray(part, "<u4"))
+                    made |= {"packed": pa.BinaryArray.from_buffers(pa.binary(), high - low, [None, pa.py_buffer((steps * 4).astype(np.int32)), packed]),
+                             "n_tokens": pa.array(size, pa.int64())}
+                yield with_columns(rows, made)
 
     return run
 
 
-def decode(docs: DataFrame, content: str, ids_col: str = "ids") -> DataFrame:
-    """The documents with ``decoded``: their tokens, parted by one space, as the library writes them for a file without a decoder."""
-    docs = docs.drop("decoded")
-    schema = T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())])
-    return docs.mapInArrow(_decoder(_tokens(content), ids_col), schema)
-
-
-def _packer(ids_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(ids_col)
-            sizes = np.diff(lists.offsets.to_numpy()) if len(batch) else np.empty(0, np.int64)
-            ends = (np.concatenate(([0], np.cumsum(sizes))) * 4).astype(np.int32)
-            packed = np.ascontiguousarray(lists.flatten().to_numpy(), "<u4")
-            yield with_columns(batch.drop_columns([ids_col]), {
-                "packed": pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(packed)]),
-                "n_tokens": pa.array(sizes, pa.int64()),
-            })
-
-    return run
-
+def decode(docs: DataFrame, content: str, ids_col: str = "ids", pack: bool = False) -> DataFrame:
+    """The documents with ``decoded``: their tokens, parted by one space, as the library writes them for a file without a decoder.
 
-def packed(docs: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Ids as little-endian unsigned 32-bit integers in ``packed`` (binary) with their number ``n_tokens``, in place of the array."""
-    docs = docs.drop("packed", "n_tokens")
-    kept = [f for f in docs.schema.fields if f.name != ids_col]
-    schema = T.StructType([*kept, T.StructField("packed", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-    return docs.mapInArrow(_packer(ids_col), schema)
+    With ``pack`` the ids turn into ``packed``, little-endian unsigned 32-bit integers, and their number ``n_tokens``.
+    """
+    new = [T.StructField("decoded", T.StringType())]
+    new += [T.StructField("packed", T.BinaryType()), T.StructField("n_tokens", T.LongType())] if pack else []
+    docs = docs.drop(*(f.name for f in new))
+    kept = [f for f in docs.schema.fields if not pack or f.name != ids_col]
+    return docs.mapInArrow(_decoder(_tokens(content), ids_col, pack), T.StructType([*kept, *new]))
