@@ -1,22 +1,23 @@
 """Exact Jaccard self-join of documents on word shingles, by rare-first prefixes.
 
 Two sets with Jaccard similarity t or more share a token among their first n - ceil(t n) + 1 tokens in any
-order that both follow. Tokens are ordered by how common they are, the rarest first, ties by their code.
-The counts come from one pass over all documents: every task counts shingles in 2^24 slots, sends the slots
-that stand out among its own, and their sums (at most ``COMMON_SLOTS``, whose order is all they decide) go
-to the workers. Links are the same with any such table, since it only sets the order.
-
-Sets that are equal are one node from the start. Prefix rows of rare tokens meet in a window, those
-of common tokens by an aggregation and a join, which adaptive execution splits. A node is
-first compared with the smallest node of its token groups (a star, not all pairs); only pairs that are not yet in one
-component afterwards are compared one by one. Pairs pass the length filter, the positional filter and a
-suffix filter (parities of the token counts by code range, which bound how many tokens the sets do not share) before
-the sets themselves are compared, once per pair.
+order that both follow. Tokens are ordered by the number of sets that hold them, the rarest first, ties by their code. The numbers
+come from one shuffle: every task sorts the tokens of its distinct sets and sends them packed by range of codes, and the range answers, for
+each set, with the tokens that another set holds as well and their numbers. Tokens that many sets of a single task hold are
+counted in the tasks before; the most frequent of these are told to all tasks and not sent (a stated number of them, which
+decides only how a token is counted). The order does not depend on the number of tasks but for such tokens' numbers, and
+the links do not depend on the order at all.
+
+A prefix token that no other set holds meets nothing and is left out, so most sets have no prefix row. Sets that are equal are one node
+from the start. A node is first compared with the smallest node of its token groups (a star, not all pairs); what stays outside
+a token's largest component is compared with other members of it, chosen by a hash, and only pairs that are not in one component after that
+are compared one by one. Pairs pass the length filter, the positional filter and a suffix filter (parities of the token counts by code
+range, which bound how many tokens the sets do not share) before the sets themselves are compared, once per pair.
 
 Defined results: null and empty texts, and texts without a word, have no shingle and link with nothing;
 fewer words than the shingle length make one shingle of all; repeated rows are linked unless empty; rows with
-one id each keep their row; a null id stays, and never names a component that holds another id. Extra columns
-are ignored.
+one id each keep their row; a null id stays, and never names a component that holds another id. Very long texts are taken whole, one
+at a time. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,24 +26,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, sequence_codes, text_buffers, words_of
 from innlake.llm.components import components
-from innlake.llm.workspace import removed, saved
+from innlake.llm.workspace import saved
 
 WORDS = 5
 PERCENT = 75
-SLOT_BITS = 24
-COMMON_SLOTS = 1 << 20
+#: Bits of a token that travel, and text bytes for each range of them.
+TOKEN_BITS = 55
+RANGE_BYTES = 32 << 20
+#: Tokens that wait in a task to be counted, and to be packed.
+TALLY = 1 << 20
+PACKED = 1 << 21
+#: A token of so many sets of one task is counted by tasks; the most frequent of these, at most LISTED_TOKENS, are sent to all.
+OFTEN = 8
+LISTED_TOKENS = 1 << 18
 RANGE_BITS = 11
-LISTED = 32
+HUBS = 2
 MEMBERS = 256
 NO_ID = -(2**63)
 BROADCAST_ROWS = 500_000
 
-SIGNATURE = "doc_id long, text_code long, code long, n int, parity array<long>, rare int, prefix array<long>"
+SIGNATURE = "doc_id long, text_code long, code long, n int, parity array<long>, token long, times long"
+PACKS = "part int, code long, n int, size int, entries array<long>, tokens binary, owners binary, codes binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int) -> list[np.ndarray]:
@@ -58,74 +68,216 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, length: int) -> list[np.
     return out
 
 
-def _slots(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _set_code(tokens: np.ndarray) -> int:
+    """A code of a set, whatever its order."""
+    return int(mixed(tokens).sum(dtype=np.uint64).astype(np.uint64).view(np.int64))
 
 
-def _counter(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.uint32)
-        for batch in batches:
-            data, offsets = text_buffers(batch.column(0))
-            for low, high in row_chunks(offsets):
-                sets = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length)
-                slots, times = np.unique(_slots(np.concatenate(sets)), return_counts=True)
-                counts[slots] += times.astype(np.uint32)
-        load = counts.mean()
-        slots = np.flatnonzero(counts > 3 + load + 6 * np.sqrt(load))
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())], names=["slot", "times"])
+class _Tally:
+    """Tokens of a task with their numbers; single ones are dropped whenever TALLY of them wait."""
 
-    return run
+    def __init__(self):
+        self.tokens, self.times = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.waiting, self.size = [], 0
+
+    def add(self, tokens: np.ndarray) -> None:
+        self.waiting.append(tokens)
+        self.size += len(tokens)
+        if self.size >= TALLY:
+            self.settle()
+
+    def settle(self) -> None:
+        tokens = np.concatenate([self.tokens, *self.waiting])
+        times = np.concatenate([self.times, np.ones(self.size, np.int64)])
+        found, index = np.unique(tokens, return_inverse=True)
+        times = np.bincount(index, times, len(found)).astype(np.int64)
+        self.tokens, self.times = found[times > 1], times[times > 1]
+        self.waiting, self.size = [], 0
 
+    def frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        many = self.times >= OFTEN
+        return self.tokens[many], self.times[many]
 
-def common_slots(texts: DataFrame, length: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of shingles that many documents hold, and a rising class of their frequency; at most COMMON_SLOTS."""
-    counted = texts.mapInArrow(_counter(length), "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times"))
-    counted = saved(counted.withColumn("kind", F.least(F.lit(255), F.lit(1) + F.floor(8 * F.log2(F.lit(1) + F.col("times")))).cast("int")))
-    held, least = 0, 256
-    for row in counted.groupBy("kind").count().orderBy(F.desc("kind")).collect():
-        held += row["count"]
-        if held > COMMON_SLOTS:
-            break
-        least = row["kind"]
-    rows = counted.where(F.col("kind") >= least).select("slot", "kind").toArrow()
-    return rows.column("slot").to_numpy(), rows.column("kind").to_numpy().astype(np.uint8)
 
+def _signer(length: int):
+    """A signature row per document, and at the end of a task a row for each token that OFTEN of its sets hold."""
 
-def _signer(length: int, percent: int, slots: np.ndarray, classes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = np.zeros(1 << SLOT_BITS, np.uint8)
-        common[slots] = classes
+        tally, met = _Tally(), set()
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
-            code, size, parity, rare, prefix = [], [], [], [], []
+            code, size, parity = [], [], []
             for low, high in row_chunks(offsets):
                 for tokens in shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length):
-                    n = len(tokens)
-                    kept = n - -(-percent * n // 100) + 1 if n else 0
-                    kind = common[_slots(tokens)]
-                    usual = np.count_nonzero(kind)
-                    if usual:
-                        order = np.argsort(kind, kind="stable")[:kept]
-                        prefix.append(tokens[order])
-                    else:
-                        prefix.append(tokens[:kept])
-                    rare.append(min(kept, n - usual))
-                    code.append(mixed(tokens).sum(dtype=np.uint64))
-                    size.append(n)
+                    code.append(_set_code(tokens))
+                    size.append(len(tokens))
                     bits = np.bincount((tokens >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS) & 1
                     parity.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
-            bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int64)
-            tokens = np.concatenate(prefix) if prefix else np.empty(0, np.uint64)
+                    if code[-1] not in met:
+                        met.add(code[-1])
+                        tally.add(tokens)
+            bounds = np.arange(len(size) + 1) * ((1 << RANGE_BITS) // 64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(np.array(code, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
-                list_array(pa.array(np.concatenate(parity) if parity else [], pa.int64()), np.arange(len(size) + 1) * ((1 << RANGE_BITS) // 64)),
-                pa.array(rare, pa.int32()), list_array(pa.array(tokens.view(np.int64)), bounds),
-            ], names=["doc_id", "text_code", "code", "n", "parity", "rare", "prefix"])
+                batch.column(0), batch.column(1), pa.array(code, pa.int64()), pa.array(size, pa.int32()),
+                list_array(pa.array(np.concatenate(parity) if parity else [], pa.int64()), bounds), pa.nulls(len(size), pa.int64()), pa.nulls(len(size), pa.int64()),
+            ], names=["doc_id", "text_code", "code", "n", "parity", "token", "times"])
+        tokens, times = tally.frequent()
+        none = [pa.nulls(len(tokens), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(tokens.view(np.int64)), pa.array(times)], names=["doc_id", "text_code", "code", "n", "parity", "token", "times"])
+
+    return run
+
+
+def _frequent(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(rising tokens, frequencies) of at most LISTED_TOKENS that stand out in single tasks; these need not be sent to be counted."""
+    counted = signed.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
+    rows = counted.orderBy(F.desc("times"), "token").limit(LISTED_TOKENS).toArrow()
+    tokens, times = rows.column("token").to_numpy().view(np.uint64), rows.column("times").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
+
+
+def _entry(tokens: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Order keys: the frequency's class, an eighth of an octave wide, before the token's first TOKEN_BITS bits."""
+    kind = np.minimum(255, 8 * np.log2(times)).astype(np.uint64)
+    return (kind << np.uint64(TOKEN_BITS) | tokens).view(np.int64)
+
+
+def _dealer(length: int, bits: int, frequent: np.ndarray, times: np.ndarray):
+    """The tokens of a task's distinct sets, sorted and packed by range; a row per set has its size and its frequent tokens.
+
+    A pack holds the tokens' bytes below the range, plane by plane, the sets' codes, and each token's place among them.
+    """
+    names = ["part", "code", "n", "size", "entries", "tokens", "owners", "codes"]
+    lower = np.uint64(TOKEN_BITS - bits)
+    planes = -(-(TOKEN_BITS - bits) // 8)
+
+    def about(code, n, size, entries):
+        bounds = np.concatenate(([0], np.cumsum([len(e) for e in entries])))
+        rows, flat = len(code), np.concatenate(entries) if entries else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.arange(rows) & (1 << bits) - 1, pa.int32()), pa.array(code, pa.int64()), pa.array(n, pa.int32()), pa.array(size, pa.int32()),
+            list_array(pa.array(flat, pa.int64()), bounds), *(pa.nulls(rows, pa.binary()) for _ in range(3))], names=names)
+
+    def packs(sets, codes):
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner, codes = tokens[order], owner[order], np.array(codes, np.int64)
+        edges = np.searchsorted(tokens >> lower, np.arange((1 << bits) + 1, dtype=np.uint64))
+        rows = []
+        for part in np.flatnonzero(np.diff(edges)).tolist():
+            here = slice(edges[part], edges[part + 1])
+            who, place = np.unique(owner[here], return_inverse=True)
+            low = (tokens[here] & (np.uint64(1) << lower) - np.uint64(1)).astype("<u8").view(np.uint8).reshape(-1, 8)
+            kind = np.uint16 if len(who) <= 1 << 16 else np.uint32
+            rows.append((part, np.ascontiguousarray(low[:, :planes].T).tobytes(), place.astype(kind).tobytes(), codes[who].tobytes()))
+        part, *packed = zip(*rows)
+        none = [pa.nulls(len(rows), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *none, *(pa.array(p, pa.binary()) for p in packed)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, sets, codes, held = set(), [], [], 0
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(0))
+            for low, high in row_chunks(offsets):
+                rows = []
+                for tokens in shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], length):
+                    code = _set_code(tokens)
+                    if not len(tokens) or code in met:
+                        continue
+                    met.add(code)
+                    at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
+                    often = frequent[at] == tokens if len(frequent) else np.zeros(len(tokens), bool)
+                    short = np.uint64(64 - TOKEN_BITS)
+                    entries = _entry(tokens[often] >> short, times[at[often]]) if often.any() else np.empty(0, np.int64)
+                    rest = np.unique(tokens[~often] >> short)
+                    rows.append((code, len(tokens), len(np.unique(tokens >> short)), entries))
+                    if len(rest):
+                        sets.append(rest)
+                        codes.append(code)
+                        held += len(rest)
+                yield about(*zip(*rows)) if rows else about((), (), (), ())
+                if held >= PACKED:
+                    yield packs(sets, codes)
+                    sets, codes, held = [], [], 0
+        if held:
+            yield packs(sets, codes)
 
     return run
 
 
+def _matcher(bits: int):
+    """For every set and range the order keys of the tokens that another set holds as well."""
+    planes, lower = -(-(TOKEN_BITS - bits) // 8), np.uint64(TOKEN_BITS - bits)
+
+    def shared(part: int, packs: list) -> pa.RecordBatch:
+        tokens, codes = [], []
+        for packed, owners, known in packs:
+            known, size = np.frombuffer(known, np.int64), len(packed) // planes
+            owners = np.frombuffer(owners, np.uint16 if len(known) <= 1 << 16 else np.uint32)
+            low = np.zeros((size, 8), np.uint8)
+            low[:, :planes] = np.frombuffer(packed, np.uint8).reshape(planes, size).T
+            tokens.append(low.view("<u8").ravel())
+            codes.append(known[owners])
+        tokens, codes = np.concatenate(tokens), np.concatenate(codes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, codes = tokens[order], codes[order]
+        same = tokens[1:] == tokens[:-1]
+        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        tokens, codes = tokens[several], codes[several]
+        order = np.lexsort((codes, tokens))
+        tokens, codes = tokens[order], codes[order]
+        fresh = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (codes[1:] != codes[:-1])))[: len(tokens)]
+        tokens, codes = tokens[fresh], codes[fresh]
+        _, index, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        held = times[index] > 1
+        entries, codes = _entry(tokens[held] | np.uint64(part) << lower, times[index[held]]), codes[held]
+        order = np.argsort(codes, kind="stable")
+        entries, codes = entries[order], codes[order]
+        known, first = np.unique(codes, return_index=True)
+        return pa.RecordBatch.from_arrays([
+            pa.array(known), pa.nulls(len(known), pa.int32()), pa.nulls(len(known), pa.int32()), list_array(pa.array(entries), np.append(first, len(codes)).astype(np.int32)),
+        ], names=["code", "n", "size", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, packs = None, []
+        for batch in batches:
+            known = batch.column("code").is_valid()
+            yield batch.filter(known).select(["code", "n", "size", "entries"])
+            batch = batch.filter(pc.invert(known))
+            columns = [batch.column(c) for c in ("tokens", "owners", "codes")]
+            for k, where in enumerate(batch.column("part").to_pylist()):
+                if packs and where != part:
+                    yield shared(part, packs)
+                    packs = []
+                part = where
+                packs.append(tuple(c[k].as_py() for c in columns))
+        if packs:
+            yield shared(part, packs)
+
+    return run
+
+
+def prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
+    """(token, node, at): the first tokens of every set, rare ones first, but for those no other set holds; at: the place in the order.
+
+    ``at`` is -1 for a set of which two tokens agree in their first TOKEN_BITS bits.
+    """
+    dealt = docs.select("text").mapInArrow(_dealer(words, bits, frequent, times), PACKS)
+    dealt = dealt.repartition(2 << bits, "part").sortWithinPartitions("part")
+    found = dealt.mapInArrow(_matcher(bits), "code long, n int, size int, entries array<long>")
+    # copies of a set in several tasks have equal rows of their own
+    sets = found.groupBy("code").agg(F.max("n").alias("n"), F.max("size").alias("size"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("entries")))).alias("entries"))
+    alone = F.col("size") - F.size("entries")
+    kept = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
+    first = F.slice("entries", F.lit(1), F.greatest(kept - F.col("alone"), F.lit(0)).cast("int"))
+    rows = sets.withColumn("alone", alone).select("code", "n", "size", "alone", F.posexplode(first).alias("pos", "entry"))
+    return rows.select(
+        F.col("entry").bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)).alias("token"), _node(),
+        F.when(F.col("size") == F.col("n"), F.col("alone") + F.col("pos")).otherwise(-1).cast("int").alias("at"))
+
+
 def _comparer(length: int, percent: int):
     """Pairs of a centre and a member that are similar enough; a centre's text comes before its members'."""
 
@@ -152,31 +304,14 @@ def _node():
     return F.struct("n", "code").alias("node")
 
 
-def _shared(signatures: DataFrame) -> DataFrame:
-    """(token, node, at, head): prefix rows of the tokens that more than one node has, with the token's first row.
+def _shared(rows: DataFrame) -> DataFrame:
+    """The prefix rows (token, node, at) of tokens with several nodes; of tokens with the same nodes one is kept.
 
-    Near copies share dozens of tokens with the same holders; one token of each such set of holders is kept.
+    Near copies share dozens of tokens with the same holders.
     """
-    rows = signatures.select(
-        "code", F.posexplode("prefix").alias("at", "token"), "rare", "n").select("token", "code", F.expr("at * 4294967296L + n").alias("place"), (F.col("at") < F.col("rare")).alias("seldom"))
-    whole = Window.partitionBy("token")
-    rare = (
-        rows.where("seldom").drop("seldom")
-        .withColumn("low", F.min("code").over(whole)).withColumn("high", F.max("code").over(whole)).withColumn("rows", F.count("*").over(whole))
-        .where("low != high").groupBy("token", "code").agg(F.min("place").alias("place"), F.first("rows").alias("rows"))
-    )
-    rare = saved(rare.groupBy("token", F.when(F.col("rows") > LISTED, F.col("code")).alias("alone")).agg(
-        F.sort_array(F.collect_list(F.struct("code", "place"))).alias("members")))
-    codes = F.transform("members", lambda m: m["code"])
-    listed = rare.where("alone is null").groupBy(F.xxhash64(codes).alias("token"), F.xxhash64(F.lit(1), codes).alias("again")).agg(F.first("members").alias("members"))
-    listed = listed.select("token", F.inline("members"))
-    usual = rows.where("not seldom").groupBy("token", "code").agg(F.min("place").alias("place"))
-    many = saved(usual.unionByName(rare.where("alone is not null").select("token", F.inline("members"))))
-    holders = many.groupBy("token").agg(F.bit_xor(F.xxhash64("code")).alias("all"), F.count("*").alias("rows"), F.min("code").alias("low"), F.max("code").alias("high"))
+    holders = rows.groupBy("token").agg(F.bit_xor(F.xxhash64("node")).alias("all"), F.count("*").alias("rows"), F.min("node").alias("low"), F.max("node").alias("high"))
     once = holders.where("low != high").groupBy("all", "rows", "low", "high").agg(F.min("token").alias("token")).select("token")
-    both = saved(listed.unionByName(many.join(once, "token")))
-    both = both.select("token", F.expr("struct(cast(place & 4294967295L as int) as n, code)").alias("node"), F.expr("cast(place >> 32 as int)").alias("at"))
-    return both.join(both.groupBy("token").agg(F.min(F.struct("node", "at")).alias("head")), "token")
+    return rows.join(once, "token")
 
 
 def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +331,8 @@ def _possible(rows: DataFrame, percent: int) -> DataFrame:
     a, b = F.col("a.n"), F.col("b.n")
     need = F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))
     most = 1 + F.least(a - F.col("a_at") - 1, b - F.col("b_at") - 1) + F.least("a_at", "b_at")
-    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & (most >= need)).select(
+    close = (most >= need) | (F.least("a_at", "b_at") < 0)
+    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & close).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -219,16 +355,19 @@ def _verified(near: DataFrame, docs: DataFrame, signatures: DataFrame, words: in
     return sent.mapInArrow(_comparer(words, percent), f"a {pair}, b {pair}")
 
 
+def _range_bits(docs: DataFrame) -> int:
+    """Token ranges, as a power of two: one for every 32 MB of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(20, max(6, (size // RANGE_BYTES).bit_length()))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     text = F.col(text_col).cast("string")
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("text_code"), text.alias("text"))
-    slots, classes = common_slots(docs.select("text"), words)
-    signatures = saved(docs.mapInArrow(_signer(words, percent, slots, classes), SIGNATURE))
-    shared = saved(_shared(signatures.where("n > 0")))
-    slim = saved(signatures.drop("rare", "prefix"))
-    removed(signatures)
-    signatures = slim
+    signed = saved(docs.mapInArrow(_signer(words), SIGNATURE))
+    signatures = signed.where("n is not null").drop("token", "times")
+    shared = saved(_shared(saved(prefixes(docs, *_frequent(signed), words, percent, _range_bits(docs)))))
 
     involved = shared.select("node").distinct()
     info = saved(signatures.select(_node(), "parity").join(involved, "node", "left_semi").dropDuplicates(["node"]))
@@ -244,21 +383,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rest = near.join(one, ["a", "b"], "left_anti").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
         return links.unionByName(saved(_verified(saved(rest), docs, signatures, words, percent)))
 
-    star = shared.where("node != head.node").select(
-        F.col("head.node").alias("a"), F.col("head.at").alias("a_at"), F.col("node").alias("b"), F.col("at").alias("b_at"))
-    links = linked(star)
-
-    named = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = saved(shared.join(named, "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component")))
-    mains = named.groupBy("token", "component").count().groupBy("token").agg(
-        F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    sides = named.join(mains.drop("kinds"), "token").select(
-        "token", F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("component").alias("b_component"), "main")
-    strays = sides.where("b_component != main").select("token", *(F.col(c).alias("a" + c[1:]) for c in ("b", "b_at", "b_component")))
+    def grouped(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The shared rows with the component so far, and the rows outside their token's largest component."""
+        named = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        named = saved(shared.join(named, "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component")))
+        mains = named.groupBy("token", "component").count().groupBy("token").agg(
+            F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
+        sides = named.join(mains.drop("kinds"), "token")
+        return sides, saved(sides.where("component != main").drop("main"))
+
+    hubs = shared.groupBy("token").agg(F.min(F.struct("node", "at")).alias("hub"))
+    star = lambda rows, hubs: rows.join(hubs, "token").where("node != hub.node").select(
+        F.col("hub.node").alias("a"), F.col("hub.at").alias("a_at"), F.col("node").alias("b"), F.col("at").alias("b_at"))
+    links = linked(star(shared, hubs))
+    sides, strays = grouped(links)
+    for turn in range(HUBS):
+        # what is outside a token's largest component meets another member of it, chosen by a hash
+        hubs = sides.where("component = main").groupBy("token").agg(F.min_by(F.struct("node", "at"), F.xxhash64(F.lit(turn), "node")).alias("hub"))
+        links = links.unionByName(linked(star(strays, hubs)))
+        sides, strays = grouped(links)
+
+    sides = sides.select("token", F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("component").alias("b_component"), "main")
+    strays = strays.select("token", F.col("node").alias("a"), F.col("at").alias("a_at"), F.col("component").alias("a_component"))
     across = strays.join(sides, "token").where((F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))))
-    more = linked(across)
+    links = links.unionByName(linked(across))
 
-    links = links.unionByName(more)
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     rows = signatures.select(known.alias("doc_id"), "n", _node()).join(classes_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
