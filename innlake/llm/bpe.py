@@ -3,9 +3,9 @@
 Two forms of the fold give the same ids. ``word_ids`` is one Spark expression: higher-order functions fold the merges over
 an array of byte strings, ranks come from a literal map (an array of slots in which a token has two possible
 places). Interpreted, it takes most of a millisecond per distinct word, so ``encode`` runs the fold over all
-distinct words of an Arrow batch at once, as array operations: in each round every word merges the first of its pairs of lowest rank.
-Splitting into words is a Spark expression in both. Nothing is needed but the rows themselves: no shuffle, and no
-dictionary that grows with the data.
+distinct words of some texts at once, as array operations: in each round every word merges the first of its pairs of lowest rank. A
+word of more than ``LONG`` bytes is folded by itself under a heap of its pairs, in n log n steps. Texts are split by the regex
+module with the pattern that is given. Nothing is needed but the rows themselves: no shuffle, and no dictionary that grows with the data.
 
 Defined results: null and empty texts have no ids and decode to nothing; a byte without a rank cannot occur
 with a complete rank file and raises an error; repeated rows are encoded each. Input columns stay, clashing ones are replaced.
@@ -14,6 +14,7 @@ with a complete rank file and raises an error; repeated rows are encoded each. I
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -23,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innlake.llm.arrowtext import list_array, ranges, row_chunks, with_columns
-from innlake.llm.pieces import distinct_pieces, pieces, row_groups
+from innlake.llm.arrowtext import list_array, ranges, row_chunks, text_buffers, with_columns
+from innlake.llm.pieces import Splitter
 
 SLOT_BITS = 16
 NONE = 2**31 - 1
+LONG = 256
+CHUNK = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -133,6 +136,7 @@ class MergeTable:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     merges[left << 20 | right] = rank
+        self.by_pair = merges
         self.pairs = np.array(sorted(merges), np.int64)
         self.merged = np.array([merges[p] for p in self.pairs.tolist()], np.int64)
 
@@ -145,6 +149,45 @@ class MergeTable:
 
     def fold(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, bounds of each word's)."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self._fold_all(words)
+        ids, bounds = self._fold_all([b"" if len(w) > LONG else w for w in words])
+        sizes, pieces = np.diff(bounds), {k: np.array(self.fold_long(words[k]), np.int64) for k in long}
+        parts, last = [], 0
+        for k, piece in pieces.items():
+            parts += [ids[last : bounds[k]], piece]
+            last, sizes[k] = bounds[k], len(piece)
+        return np.concatenate([*parts, ids[last:]]), np.concatenate(([0], np.cumsum(sizes)))
+
+    def fold_long(self, word: bytes) -> list[int]:
+        """Ids of one long word: a heap holds its pairs by (rank, place); entries that no longer hold are passed over."""
+        ids, known = self.of_byte[np.frombuffer(word, np.uint8)].tolist(), self.by_pair
+        if min(ids, default=0) < 0:
+            raise ValueError("the rank file has no token for a byte of the text")
+        n = len(ids)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(rank, k) for k, pair in enumerate(zip(ids, ids[1:])) if (rank := known.get(pair[0] << 20 | pair[1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            following = after[at]
+            if ids[at] < 0 or following < 0 or known.get(ids[at] << 20 | ids[following]) != rank:
+                continue
+            ids[at], ids[following] = rank, -1
+            after[at] = following = after[following]
+            if following >= 0:
+                before[following] = at
+                new = known.get(rank << 20 | ids[following])
+                if new is not None:
+                    heapq.heappush(heap, (new, at))
+            if before[at] >= 0:
+                new = known.get(ids[before[at]] << 20 | rank)
+                if new is not None:
+                    heapq.heappush(heap, (new, before[at]))
+        return [x for x in ids if x >= 0]
+
+    def _fold_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(w) for w in words], np.int64)
         ids = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
         if len(ids) and ids.min() < 0:
@@ -194,25 +237,28 @@ def spread(ids: np.ndarray, bounds: np.ndarray, index: np.ndarray, rows: np.ndar
     return ids[ranges(bounds[:-1][index], sizes)], np.concatenate(([0], np.cumsum(sizes)))[rows]
 
 
-def _encoder(table: MergeTable):
+def _encoder(table: MergeTable, pattern: str, text_col: str, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Splitter(pattern)
         for batch in batches:
-            for part in row_groups(batch, "_pieces"):
-                words, index, rows = distinct_pieces(part.column("_pieces"))
+            _, offsets = text_buffers(batch.column(text_col))
+            for low, high in row_chunks(offsets, CHUNK):
+                part = batch.slice(low, high - low)
+                words, index, rows = splitter.distinct(part.column(text_col).to_pylist())
                 ids, bounds = table.fold(words)
                 ids, bounds = spread(ids, bounds, index, rows)
-                yield with_columns(part.drop_columns(["_pieces"]), {"ids": list_array(pa.array(ids, pa.int32()), bounds)})
+                part = part if keep_text else part.drop_columns([text_col])
+                yield with_columns(part, {"ids": list_array(pa.array(ids, pa.int32()), bounds)})
 
     return run
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """The documents with ``ids``, array<int>; without ``keep_text`` the text stays behind."""
-    docs = docs.drop("ids", "_pieces").withColumn("_pieces", pieces(F.col(text_col).cast("string"), pattern))
-    docs = docs if keep_text else docs.drop(text_col)
-    kept = [f for f in docs.schema.fields if f.name != "_pieces"]
+    """The documents with ``ids``, array<int>; without ``keep_text`` the text stays behind. ``pattern`` is the regex module's."""
+    docs = docs.drop("ids").withColumn(text_col, F.col(text_col).cast("string"))
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
     schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(_encoder(MergeTable(ranks)), schema)
+    return docs.mapInArrow(_encoder(MergeTable(ranks), pattern, text_col, keep_text), schema)
 
 
 def _decoder(tokens: list[bytes], ids_col: str):

@@ -1,52 +1,95 @@
-"""Splitting texts by a tokenizer's pattern, and the distinct pieces of a batch."""
+"""Splitting texts as byte-level tokenizers do: by a pattern, or into units that no match of the usual pattern crosses."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from innlake.llm.arrowtext import prefix_codes, row_chunks, span_codes, text_buffers
-
-BATCH_BYTES = 3 << 20
-
-
-def pieces(text: Column, pattern: str) -> Column:
-    """All matches of the pattern, in order; null texts have none. White space is Unicode's, as in the tokenizers."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){pattern}"), F.lit(0))
-
-
-def distinct_pieces(column: pa.ListArray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct pieces, index of every piece among them, bounds of each row's pieces)."""
-    _, words, index, bounds = coded_pieces(column)
-    return words, index, bounds
-
-
-def coded_pieces(column: pa.ListArray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """(rising codes of the distinct pieces, the pieces, index of every piece among them, bounds of each row's pieces)."""
-    flat = column.flatten()
-    bounds = np.concatenate(([0], np.cumsum(np.diff(column.offsets.to_numpy())))) if len(column) else np.zeros(1, np.int64)
-    data, offsets = text_buffers(flat)
-    codes = np.empty(len(flat), np.uint64)
-    for low, high in row_chunks(offsets):
-        sums = prefix_codes(data[offsets[low] : offsets[high]])
-        edges = offsets[low : high + 1] - offsets[low]
-        codes[low:high] = span_codes(sums, edges[:-1], edges[1:])
-    known, first, index = np.unique(codes, return_index=True, return_inverse=True)
-    return known, [data[offsets[k] : offsets[k + 1]].tobytes() for k in first.tolist()], index, bounds
-
-
-def row_groups(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most about BATCH_BYTES of pieces; a longer row is a slice of its own."""
-    lists = batch.column(column)
-    if not len(batch):
-        return
-    flat = lists.flatten()
-    kind = np.int64 if pa.types.is_large_string(flat.type) else np.int32
-    inner = np.frombuffer(flat.buffers()[1], kind)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, kind)
-    bounds = np.concatenate(([0], np.cumsum(np.diff(lists.offsets.to_numpy()))))
-    for low, high in row_chunks(inner[bounds], BATCH_BYTES):
-        yield batch.slice(low, high - low)
+
+#: White space of the tokenizers' patterns (fixed values): single bytes, and the first, second and third bytes of others.
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_TWO = (0xC2, (0x85, 0xA0))
+_THREE = {(0xE1, 0x9A): (0x80,), (0xE2, 0x80): (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF), (0xE2, 0x81): (0x9F,), (0xE3, 0x80): (0x80,)}
+
+
+def white(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 texts belong to white space."""
+    out = _WHITE[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    lead = lead[(data[lead] == _TWO[0]) | (data[lead] >= 0xE1) & (data[lead] <= 0xE3)]
+    padded = np.append(data, (0, 0)).astype(np.uint8) if len(lead) else data
+    two = lead[(padded[lead] == _TWO[0]) & np.isin(padded[lead + 1], _TWO[1])] if len(lead) else lead
+    out[two] = out[two + 1] = True
+    for (one, second), third in _THREE.items():
+        at = lead[(padded[lead] == one) & (padded[lead + 1] == second) & np.isin(padded[lead + 2], third)] if len(lead) else lead
+        out[at] = out[at + 1] = out[at + 2] = True
+    return out
+
+
+def units(data: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Starts of units: a run of white space but for its last character, and that character with what follows up to the next run.
+
+    ``borders`` rise from 0 to the number of bytes; units never cross one. White space before a border is one unit.
+    No match of a pattern whose words may begin with one space, and whose longer runs of white space leave their last
+    character to what follows, crosses a unit's start, and a unit alone is split as it is inside its text.
+    """
+    if not len(data):
+        return np.empty(0, np.int64)
+    space, edge = white(data), np.zeros(len(data), bool)
+    edge[borders[borders < len(data)]] = True
+    cut = edge.copy()
+    cut[1:] |= space[1:] & ~space[:-1]
+    follows = np.flatnonzero(~space[1:] & space[:-1] & ~edge[1:]) + 1  # what is no white space, after white space
+    last = follows - 1
+    for _ in range(2):
+        last = np.where(data[last] & 0xC0 == 0x80, last - 1, last)
+    cut[last] = True
+    return np.flatnonzero(cut)
+
+
+@lru_cache(maxsize=None)
+def _differences(name: str) -> tuple[str, str]:
+    """Characters of a class that tiktoken has and regex lacks, and the other way round, as ranges for a set."""
+    import regex
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    single = tiktoken.Encoding("bytes", pat_str=name, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    theirs, ours = set(single.decode(single.encode_ordinary(every))), set(regex.findall(name, every))
+    return _ranges(theirs - ours), _ranges(ours - theirs)
+
+
+def _ranges(letters: set[str]) -> str:
+    codes, out = sorted(map(ord, letters)), []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+def with_library_classes(pattern: str) -> str:
+    """The pattern for the regex module, with letters and numbers as the installed tiktoken's Unicode version has them."""
+    for name in (r"\p{L}", r"\p{N}"):
+        more, less = _differences(name)
+        own = f"[{name}--[{less}]]" if less else name
+        pattern = pattern.replace(name, f"[{own}||[{more}]]" if more else own)
+    return pattern
+
+
+class Splitter:
+    """Matches of a pattern, in order."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        self.matches = regex.compile(pattern, regex.V1).findall
+
+    def distinct(self, texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(distinct pieces, index of every piece among them, bounds of each text's pieces); null texts have none."""
+        split = [self.matches(t) if t else () for t in texts]
+        place = {piece: k for k, piece in enumerate(dict.fromkeys(p for pieces in split for p in pieces))}
+        index = np.array([place[p] for pieces in split for p in pieces], np.int64)
+        return [p.encode() for p in place], index, np.concatenate(([0], np.cumsum([len(p) for p in split]))).astype(np.int64)

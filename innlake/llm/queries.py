@@ -15,6 +15,7 @@ from innlake.llm.fingerprints import compared_with_edits
 from innlake.llm.html_text import main_texts
 from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.ngram_lm import score_held_out
+from innlake.llm.pieces import with_library_classes
 from innlake.llm.resampling import resample
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.texts import TEXTS
@@ -76,7 +77,15 @@ def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> tuple[dict[bytes, int], str
     """Ranks and splitting pattern of a public tokenizer file."""
     import public_tokenizers
 
-    return bpe.read_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
+    return bpe.read_ranks(public_tokenizers.path(name)), with_library_classes(public_tokenizers.PATTERN)
+
+
+def tokenizer_file(name: str) -> str:
+    """Content of a public tokenizer file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,10 +109,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
-        return ids_with_sums(table(spark, sf_dir, "documents"), file.read(), public_tokenizers.PATTERN)
+    return ids_with_sums(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,16 +131,8 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.with_label_error(codes).select("vec_id", spelled.alias("code"), "error", "label_error", F.lit(whole).alias("codebooks_sha256"))
 
 
-def word_bpe_file(name: str = "word_bpe_49k.json") -> str:
-    """Content of a public tokenizer file."""
-    import public_tokenizers
-
-    with open(public_tokenizers.path(name), encoding="utf-8") as file:
-        return file.read()
-
-
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = word_bpe_file()
+    content = tokenizer_file("word_bpe_49k.json")
     decoded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents"), content, keep_text=False), content, pack=True)
     return decoded.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -6,7 +6,8 @@ block. A shard's bytes are a JSON header and compressed planes; shards are rows
 writes and commits, so a lost executor leaves no partial file.
 
 Documents are dealt to ranges of ids (quantiles) and sorted there; a range becomes shards of about ``SHARD_IDS`` ids, a longer document
-one of its own. Only ids travel, not texts.
+one of its own. Only ids travel, not texts. Texts are cut at added tokens and into units that the byte-level rule never joins
+(``pieces.units``); the library encodes every distinct unit of a task.
 
 Defined results: null and empty texts are the end id alone; null document ids come first, equal ones are ordered by their
 ids; an empty table makes no shard.
@@ -15,8 +16,10 @@ ids; an empty table makes no shard.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +27,16 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innlake.llm.arrowtext import row_chunks
+from innlake.llm.arrowtext import prefix_codes, row_chunks, span_codes, text_buffers
 from innlake.llm.bpe import spread
 from innlake.llm.fingerprints import _range_of
-from innlake.llm.pieces import coded_pieces, pieces, row_groups
+from innlake.llm.pieces import units
 from innlake.llm.workspace import saved, shared_folder
 
 SHARD_IDS = 1 << 20
 BLOCK = 512
 MAGIC = b"IDWM1\n"
-MOST_KNOWN = 1_000_000
+MOST_KNOWN = 500_000
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD = "bucket long, shard int, n_ids long, data binary"
@@ -91,14 +94,13 @@ class WaveletMatrix:
         return cls(planes, len(ids))
 
     def all(self) -> np.ndarray:
-        """Every id, in order."""
-        at, out = np.arange(self.size), np.zeros(self.size, np.uint32)
-        for plane in self.planes:
-            bits = np.unpackbits(plane.packed, count=self.size, bitorder="little")
-            ones = np.cumsum(bits, dtype=np.int64) - bits
-            bit = bits[at]
-            out = out << np.uint32(1) | bit
-            at = np.where(bit == 1, plane.zeros + ones[at], at - ones[at])
+        """Every id, in order: from the lowest plane up, each undoes the parting by its bits."""
+        out = np.zeros(self.size, np.uint32)
+        for shift, plane in enumerate(reversed(self.planes)):
+            bits = np.unpackbits(plane.packed, count=self.size, bitorder="little").view(bool)
+            parted, out = out, np.empty(self.size, np.uint32)
+            out[~bits] = parted[: plane.zeros]
+            out[bits] = parted[plane.zeros :] | np.uint32(1 << shift)
         return out
 
     def access(self, at: np.ndarray) -> np.ndarray:
@@ -159,50 +161,80 @@ def read_shard(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
     return table["doc_ids"], np.array(table["sizes"], np.int64), WaveletMatrix(planes, header["n"])
 
 
-def byte_letters() -> dict[int, str]:
-    """The letter that a byte-level vocabulary writes for each byte: itself where it is printable, else one from 256 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
-
+class Encoder:
+    """Ids of texts by a tokenizer file with byte-level splitting; the library encodes each distinct unit once while it is kept."""
 
-def _encoder(tokenizer: str, end_id: int):
-    """Ids of each document: the library's model encodes every distinct piece of a task once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, content: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model, letters = Tokenizer.from_str(tokenizer).model, byte_letters()
-        nothing = lambda: (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint32), np.zeros(1, np.int64))
-        known, order, all_ids, all_bounds = nothing()
+        self.tokenizer = Tokenizer.from_str(content)
+        added = json.loads(content)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError("added tokens that depend on what surrounds them are not supported")
+        names = sorted((t["content"].encode() for t in added), key=len, reverse=True)
+        self.cut = re.compile(b"|".join(map(re.escape, names))) if names else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _borders(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where texts and added tokens begin and end."""
+        found = [m.span() for m in self.cut.finditer(data.tobytes())] if self.cut else []
+        if not found:
+            return offsets
+        spans = np.array(found, np.int64)
+        inside = np.searchsorted(offsets, spans[:, 0], "right") == np.searchsorted(offsets, spans[:, 1], "left")
+        return np.union1d(offsets, spans[inside].ravel()) if inside.all() else np.union1d(offsets, self._by_text(data, offsets))
+
+    def _by_text(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The same, text by text, for texts whose seams make an added token."""
+        raw = data.tobytes()
+        return np.array([x for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in self.cut.finditer(raw, low, high) for x in m.span()], np.int64)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds by text) of texts given as bytes and offsets."""
+        if len(self.known) > MOST_KNOWN:  # start anew; only time depends on what is kept
+            self.forget()
+        starts = units(data, self._borders(data, offsets))
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        codes, first, index = np.unique(span_codes(prefix_codes(data), starts, ends), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, codes), max(len(self.known) - 1, 0))
+        old = self.known[at] == codes if len(self.known) else np.zeros(len(codes), bool)
+        fresh = np.flatnonzero(~old)
+        raw = data.tobytes()
+        found = self.tokenizer.encode_batch_fast([raw[starts[k] : ends[k]].decode() for k in first[fresh].tolist()], add_special_tokens=False)
+        found = [x.ids for x in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        places = np.empty(len(codes), np.int64)
+        places[old] = self.order[at[old]] if len(self.known) else 0
+        places[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        known, order = np.concatenate([self.known, codes[fresh]]), np.concatenate([self.order, places[fresh]])
+        by_code = np.argsort(known, kind="stable")
+        self.known, self.order = known[by_code], order[by_code]
+        return spread(self.ids, self.bounds, places[index], np.searchsorted(starts, offsets))
+
+
+def _encoder(tokenizer: str, end_id: int):
+    """Ids of each document with the end id, as little-endian 32-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(tokenizer)
         for batch in batches:
-            for part in row_groups(batch, "pieces"):
-                codes, words, index, rows = coded_pieces(part.column("pieces"))
-                at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
-                old = known[at] == codes if len(known) else np.zeros(len(codes), bool)
-                fresh = np.flatnonzero(~old)
-                found = [[t.id for t in model.tokenize(words[k].decode("latin-1").translate(letters))] for k in fresh.tolist()]
-                new_ids = np.array([x for ids in found for x in ids], np.uint32)
-                new_bounds = np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int64)
-                places = np.empty(len(codes), np.int64)
-                places[old] = order[at[old]]
-                places[fresh] = len(all_bounds) - 1 + np.arange(len(fresh))
-                all_ids = np.concatenate([all_ids, new_ids])
-                all_bounds = np.concatenate([all_bounds, all_bounds[-1] + new_bounds[1:]])
-                ids, bounds = spread(all_ids, all_bounds, places[index], rows)
-                known, order = np.concatenate([known, codes[fresh]]), np.concatenate([order, places[fresh]])
-                if len(known) > MOST_KNOWN:  # start anew; only time depends on what is kept
-                    known, order, all_ids, all_bounds = nothing()
-                by_code = np.argsort(known, kind="stable")
-                known, order = known[by_code], order[by_code]
+            data, offsets = text_buffers(batch.column("text"))
+            for low, high in row_chunks(offsets):
+                ids, bounds = encoder.encode(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 ids = np.insert(ids.astype(np.uint32), bounds[1:], end_id).astype("<u4")
                 bounds = (bounds + np.arange(len(bounds))) * 4
                 yield pa.RecordBatch.from_arrays([
-                    part.column("bucket"), part.column("doc_id"),
-                    pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)]),
+                    batch.column("bucket").slice(low, high - low), batch.column("doc_id").slice(low, high - low),
+                    pa.BinaryArray.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)]),
                 ], names=["bucket", "doc_id", "ids"])
 
     return run
@@ -234,11 +266,10 @@ def _sharder(limit: int):
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer: str, pattern: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
     """Encode (doc_id, text) with a tokenizers file's content and write the shards to a folder."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    split = docs.select(_range_of(docs).alias("bucket"), "doc_id", pieces(F.col("text"), pattern).alias("pieces"))
-    encoded = split.mapInArrow(_encoder(tokenizer, end_id), "bucket long, doc_id long, ids binary")
+    encoded = docs.select(_range_of(docs).alias("bucket"), "doc_id", "text").mapInArrow(_encoder(tokenizer, end_id), "bucket long, doc_id long, ids binary")
     dealt = encoded.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), "ids")
     dealt.mapInArrow(_sharder(shard_ids), SHARD).write.option("compression", "uncompressed").parquet(folder)
 
@@ -286,10 +317,10 @@ def read_ids(spark, folder: str) -> DataFrame:
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_ids", "ids")
 
 
-def ids_with_sums(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> DataFrame:
+def ids_with_sums(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the shards of (doc_id, text) and read them back: doc_id, start, n_tokens and a checksum of each document's ids."""
     folder = shared_folder(docs.sparkSession)
-    write_ids(docs, tokenizer, pattern, folder, end_id, shard_ids)
+    write_ids(docs, tokenizer, folder, end_id, shard_ids)
     summed = _documents(docs.sparkSession, folder).mapInArrow(_checker, "bucket long, shard int, inside long, doc_id long, n_ids long, ids_crc32 long")
     return summed.join(_starts(docs.sparkSession, folder), ["bucket", "shard"]).select(
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32")

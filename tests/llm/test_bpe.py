@@ -1,9 +1,12 @@
 import hashlib
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from innlake.llm import bpe, queries
+from innlake.llm.pieces import Splitter
 
 tiktoken = pytest.importorskip("tiktoken")
 
@@ -37,6 +40,28 @@ def test_expression_gives_the_same_ids(spark, files, reference):
     assert all(list(r.ids) == reference.encode_ordinary(r.w) for r in rows)
 
 
+def test_every_letter_before_a_suffix(files, reference):
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    splitter, table = Splitter(files[1]), bpe.MergeTable(files[0])
+    for low in range(0, len(letters), 100_000):
+        text = "".join(f"{x}'s 1{x} {x}" for x in letters[low : low + 100_000])
+        words, index, rows = splitter.distinct([text])
+        assert bpe.spread(*table.fold(words), index, rows)[0].tolist() == reference.encode_ordinary(text)
+
+
+def test_long_pieces(files, reference):
+    table = bpe.MergeTable(files[0])
+    chance = random.Random(1)
+    words = ["".join(chance.choices("etaoin", k=k)).encode() for k in (2, 255, 256, 257, 1000, 5000)] + [b"", b"ab", "日本語".encode() * 300]
+    ids, bounds = table.fold(words)
+    for k, word in enumerate(words):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == reference.encode_ordinary(word.decode())
+    long = "".join(chr(0x4E00 + k * 7919 % 20000) for k in range(350_000)).encode()
+    start = time.time()
+    ids, _ = table.fold([long])
+    assert time.time() - start < 20 and ids.tolist() == reference.encode_ordinary(long.decode())
+
+
 def test_empty_table(spark, files):
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), *files).count() == 0
 

@@ -19,7 +19,7 @@ TEXTS = [None, "", " ", " \n\t", "Hello WORLD's it'll don't I'LL", "ÄÖ été 
 
 @pytest.fixture(scope="module")
 def content():
-    return queries.word_bpe_file()
+    return queries.tokenizer_file("word_bpe_49k.json")
 
 
 @pytest.fixture(scope="module")
