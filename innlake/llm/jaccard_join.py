@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, sequence_codes, text_buffers, words_of
@@ -40,8 +40,8 @@ PERCENT = 75
 TOKEN_BITS = 55
 RANGE_BYTES = 32 << 20
 #: Tokens that wait in a task to be counted, and to be packed.
-TALLY = 1 << 20
-PACKED = 1 << 21
+TALLY = 1 << 19
+PACKED = 1 << 20
 #: A token of so many sets of one task is counted by tasks; the most frequent of these, at most LISTED_TOKENS, are sent to all.
 OFTEN = 8
 LISTED_TOKENS = 1 << 18
@@ -211,7 +211,14 @@ def _matcher(bits: int):
     """For every set and range the order keys of the tokens that another set holds as well."""
     planes, lower = -(-(TOKEN_BITS - bits) // 8), np.uint64(TOKEN_BITS - bits)
 
-    def shared(part: int, packs: list) -> pa.RecordBatch:
+    def shared(part: int, packs: list) -> Iterator[pa.RecordBatch]:
+        """An eighth of the range at a time, to sort little at once."""
+        tokens, codes = unpacked(packs)
+        eighth = (tokens >> lower - np.uint64(3)).astype(np.uint8)
+        for k in range(8):
+            yield matched(part, tokens[eighth == k], codes[eighth == k])
+
+    def unpacked(packs: list) -> tuple[np.ndarray, np.ndarray]:
         tokens, codes = [], []
         for packed, owners, known in packs:
             known, size = np.frombuffer(known, np.int64), len(packed) // planes
@@ -220,7 +227,9 @@ def _matcher(bits: int):
             low[:, :planes] = np.frombuffer(packed, np.uint8).reshape(planes, size).T
             tokens.append(low.view("<u8").ravel())
             codes.append(known[owners])
-        tokens, codes = np.concatenate(tokens), np.concatenate(codes)
+        return np.concatenate(tokens), np.concatenate(codes)
+
+    def matched(part: int, tokens: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(tokens, kind="stable")
         tokens, codes = tokens[order], codes[order]
         same = tokens[1:] == tokens[:-1]
@@ -249,20 +258,21 @@ def _matcher(bits: int):
             columns = [batch.column(c) for c in ("tokens", "owners", "codes")]
             for k, where in enumerate(batch.column("part").to_pylist()):
                 if packs and where != part:
-                    yield shared(part, packs)
+                    yield from shared(part, packs)
                     packs = []
                 part = where
                 packs.append(tuple(c[k].as_py() for c in columns))
         if packs:
-            yield shared(part, packs)
+            yield from shared(part, packs)
 
     return run
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray, words: int, percent: int, bits: int) -> DataFrame:
-    """(token, node, at): the first tokens of every set, rare ones first, but for those no other set holds; at: the place in the order.
+    """(token, node, at): the first tokens of every set, rare ones first, but for those no other set holds.
 
-    ``at`` is -1 for a set of which two tokens agree in their first TOKEN_BITS bits.
+    ``at`` is the place in the order times 2^32, plus the place among the tokens that another set holds; -1 for a set of
+    which two tokens agree in their first TOKEN_BITS bits.
     """
     dealt = docs.select("text").mapInArrow(_dealer(words, bits, frequent, times), PACKS)
     dealt = dealt.repartition(2 << bits, "part").sortWithinPartitions("part")
@@ -275,7 +285,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray, words: in
     rows = sets.withColumn("alone", alone).select("code", "n", "size", "alone", F.posexplode(first).alias("pos", "entry"))
     return rows.select(
         F.col("entry").bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)).alias("token"), _node(),
-        F.when(F.col("size") == F.col("n"), F.col("alone") + F.col("pos")).otherwise(-1).cast("int").alias("at"))
+        F.when(F.col("size") == F.col("n"), F.expr("(alone + pos) * 4294967296L + pos")).otherwise(-1).alias("at"))
 
 
 def _comparer(length: int, percent: int):
@@ -314,25 +324,21 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(once, "token")
 
 
-def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
-    """The pairs that pass the suffix filter: token counts by code range differ in parity too seldom to rule a link out.
+def _possible(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) that pass three filters; rows have a, a_at, a_parity, b, b_at, b_parity.
 
-    Each range whose counts differ in parity holds a token that one set has and the other lacks.
+    Length: the smaller set is large enough. Position: the common token leaves enough tokens that both may hold; before it, these
+    are among those that another set holds. Suffix: each code range whose token counts differ in parity holds a token that one set has
+    and the other lacks. Of a join's rows only those that pass are made, as its condition.
     """
-    need = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent)).cast("int")
-    apart = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    left = info.select(F.col("node").alias("a"), F.col("parity").alias("a_parity"))
-    right = info.select(F.col("node").alias("b"), F.col("parity").alias("b_parity"))
-    return pairs.join(left, "a").join(right, "b").where(apart <= F.col("a.n") + F.col("b.n") - 2 * need).select("a", "b")
-
-
-def _possible(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) that pass the length and the positional filter; rows have a, a_at, b, b_at."""
     a, b = F.col("a.n"), F.col("b.n")
     need = F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))
-    most = 1 + F.least(a - F.col("a_at") - 1, b - F.col("b_at") - 1) + F.least("a_at", "b_at")
-    close = (most >= need) | (F.least("a_at", "b_at") < 0)
-    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & close).select(
+    after = F.least(a - F.shiftright("a_at", 32), b - F.shiftright("b_at", 32))
+    before = F.least(F.col("a_at").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("b_at").bitwiseAND(F.lit(0xFFFFFFFF)))
+    close = (after + before >= need) | (F.least("a_at", "b_at") < 0)
+    odd = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = odd <= a + b - 2 * need
+    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & close & near).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -368,44 +374,50 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signed = saved(docs.mapInArrow(_signer(words), SIGNATURE))
     signatures = signed.where("n is not null").drop("token", "times")
     shared = saved(_shared(saved(prefixes(docs, *_frequent(signed), words, percent, _range_bits(docs)))))
-
     involved = shared.select("node").distinct()
-    info = saved(signatures.select(_node(), "parity").join(involved, "node", "left_semi").dropDuplicates(["node"]))
+    info = signatures.select(_node(), "parity").join(involved, "node", "left_semi").dropDuplicates(["node"])
+    shared = saved(shared.join(info, "node"))
+    verified = lambda pairs: saved(_verified(pairs, docs, signatures, words, percent))
 
     def linked(rows: DataFrame) -> DataFrame:
         """Links that join what the possible pairs can join: each node's first pair is compared, then what these leave apart."""
-        near = saved(_near(_possible(rows, percent), info, percent))
+        near = saved(_possible(rows, percent))
         one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        links = saved(_verified(one, docs, signatures, words, percent))
+        links = verified(one)
         joined = saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
         named = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
         apart = F.coalesce("a_in", "a") != F.coalesce("b_in", "b")
         rest = near.join(one, ["a", "b"], "left_anti").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
-        return links.unionByName(saved(_verified(saved(rest), docs, signatures, words, percent)))
+        return links.unionByName(verified(saved(rest)))
 
     def grouped(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The shared rows with the component so far, and the rows outside their token's largest component."""
+        """The shared rows of tokens with several components so far, and those outside their token's largest one."""
         named = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        named = saved(shared.join(named, "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component")))
+        named = saved(shared.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mains = named.groupBy("token", "component").count().groupBy("token").agg(
             F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-        sides = named.join(mains.drop("kinds"), "token")
-        return sides, saved(sides.where("component != main").drop("main"))
+        sides = saved(named.join(mains.drop("kinds"), "token"))
+        return sides, sides.where("component != main")
+
+    def star(rows: DataFrame, centres: DataFrame, first: Column) -> DataFrame:
+        """Every row beside its token's hub: of the centres the one that comes first."""
+        hubs = centres.groupBy("token").agg(F.min_by(F.struct("node", "at", "parity"), first).alias("hub"))
+        return rows.join(hubs, "token").where("node != hub.node").select(
+            F.col("hub.node").alias("a"), F.col("hub.at").alias("a_at"), F.col("hub.parity").alias("a_parity"),
+            F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("parity").alias("b_parity"))
 
-    hubs = shared.groupBy("token").agg(F.min(F.struct("node", "at")).alias("hub"))
-    star = lambda rows, hubs: rows.join(hubs, "token").where("node != hub.node").select(
-        F.col("hub.node").alias("a"), F.col("hub.at").alias("a_at"), F.col("node").alias("b"), F.col("at").alias("b_at"))
-    links = linked(star(shared, hubs))
+    links = linked(star(shared, shared, F.col("node")))
     sides, strays = grouped(links)
     for turn in range(HUBS):
+        if strays.isEmpty():
+            break
         # what is outside a token's largest component meets another member of it, chosen by a hash
-        hubs = sides.where("component = main").groupBy("token").agg(F.min_by(F.struct("node", "at"), F.xxhash64(F.lit(turn), "node")).alias("hub"))
-        links = links.unionByName(linked(star(strays, hubs)))
+        links = links.unionByName(verified(saved(_possible(star(strays, sides.where("component = main"), F.xxhash64(F.lit(turn), "node")), percent))))
         sides, strays = grouped(links)
 
-    sides = sides.select("token", F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("component").alias("b_component"), "main")
-    strays = strays.select("token", F.col("node").alias("a"), F.col("at").alias("a_at"), F.col("component").alias("a_component"))
-    across = strays.join(sides, "token").where((F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))))
+    left = strays.select("token", *(F.col(c).alias(f"a_{c}") for c in ("node", "at", "parity", "component"))).withColumnRenamed("a_node", "a")
+    right = sides.select("token", *(F.col(c).alias(f"b_{c}") for c in ("node", "at", "parity", "component")), "main").withColumnRenamed("b_node", "b")
+    across = left.join(right, "token").where((F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))))
     links = links.unionByName(linked(across))
 
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
