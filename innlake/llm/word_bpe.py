@@ -34,7 +34,7 @@ from innlake.llm.bpe import spread
 SHORT = 64
 FOREST_ROWS = 1 << 15
 CHUNK = 1 << 20
-MOST_KNOWN = 200_000
+MOST_KNOWN = 450_000
 NONE = np.int64(1) << 40
 _WHITE = re.compile(r"\s")
 
