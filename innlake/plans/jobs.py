@@ -1,29 +1,65 @@
 """The scheduled runs: full load, hourly increment, daily anomalies.
 
 An outside scheduler calls these. Each layer is written as a table and the next
-one starts from it.
+one starts from it. Facts are kept in monthly parts and dimensions in a current and a
+closed part, so an increment writes the months it touches and adds closed versions to
+the ones before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from innlake.constants import DATE_DIM_DAYS, DATE_DIM_START
-from innlake.operators.surrogate import next_key
 from innlake.plans import anomalies, dims, facts, governance, kpis, quality
 from innlake.plans.domains import DOMAINS
 from innlake.sources.schemas import RAW_COLUMNS
-from innlake.sources.tables import LakeStore, settle, settle_all
+from innlake.sources.tables import AUDIT, LakeStore, settle, settle_all, settled_until_end, stamp
+from innlake.sources.versions import Versions
 from innlake.streaming import merge
 
-AUDIT, CURATED, POSITION = "audit", "curated", "merge_position"
+CURATED, POSITION = "curated", "merge_position"
+CLOSED = "closed"
+KEEP_VERSIONS = 24
 
 
-def _next_id(store: LakeStore, layer: str, table: str, column: str, as_of: datetime):
-    earlier = store.log(layer, table, before=as_of)
-    return 0 if earlier is None else next_key(earlier, column)
+@dataclass(frozen=True)
+class Fact:
+    """How a fact table is built from its domain, and which month a row belongs to (0 without one)."""
+
+    domain: str
+    build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+    part: str
+    month: Callable[[], Column]
+    guests: bool = False
+    rooms: bool = False
+
+
+def _month_of(moment: str) -> Column:
+    return F.coalesce(F.year(moment) * 100 + F.month(moment), F.lit(0))
+
+
+# The columns that decide a month are none that a merge updates, so a row never moves to another part.
+FACTS = {
+    "fact_reservation": Fact(
+        "reservations", facts.fact_reservation, "check_in_month",
+        lambda: F.coalesce(F.floor(F.col("check_in_date_sk") / 100), F.lit(0)).cast("int"), guests=True, rooms=True),
+    "fact_housekeeping": Fact(
+        "housekeeping", lambda rows, guest, room: facts.fact_housekeeping(rows, room), "scheduled_month",
+        lambda: _month_of("scheduled_time"), rooms=True),
+    "fact_billing": Fact(
+        "billing", lambda rows, guest, room: facts.fact_billing(rows, guest), "payment_month",
+        lambda: _month_of("payment_time"), guests=True),
+}
+DIMENSIONS = {"dim_guest": ("guests", dims.scd2_dim_guest), "dim_room": ("rooms", dims.scd2_dim_room)}
+
+
+def _table(store: LakeStore, name: str) -> Versions:
+    return Versions(store, CURATED, name, FACTS[name].part if name in FACTS else CLOSED)
 
 
 def _raw(store: LakeStore) -> dict[str, DataFrame]:
@@ -35,14 +71,16 @@ def _merged(store: LakeStore) -> dict[str, int]:
     return {d: merge.last_merge(store, d) for d in DOMAINS}
 
 
-def _refreshed(store: LakeStore) -> dict[str, int]:
-    """Position of the merges that CURATED was last brought up to."""
-    rows = store.latest(CURATED, POSITION)
-    return dict.fromkeys(DOMAINS, -1) | ({r.domain: r.epoch for r in rows.collect()} if rows is not None else {})
+def _refreshed(store: LakeStore, before: datetime | None = None) -> tuple[dict[str, int], datetime | None]:
+    """Position of the merges that CURATED was last brought up to, and when."""
+    rows = store.latest(CURATED, POSITION, before)
+    found = rows.collect() if rows is not None else []
+    return dict.fromkeys(DOMAINS, -1) | {r.domain: r.epoch for r in found}, max((r.refreshed_at for r in found), default=None)
 
 
 def _mark_refreshed(store: LakeStore, position: dict[str, int], as_of: datetime) -> None:
-    store.replace(store.spark.createDataFrame(list(position.items()), "domain string, epoch long"), CURATED, POSITION, as_of)
+    rows = [(domain, epoch, as_of) for domain, epoch in position.items()]
+    store.replace(store.spark.createDataFrame(rows, "domain string, epoch long, refreshed_at timestamp_ntz"), CURATED, POSITION, as_of)
 
 
 def _valid(store: LakeStore) -> dict[str, DataFrame]:
@@ -50,27 +88,32 @@ def _valid(store: LakeStore) -> dict[str, DataFrame]:
 
 
 def audit(store: LakeStore, raw, valid, as_of: datetime) -> None:
-    """Load log and rejected rows of one run."""
+    """Load log and rejected rows of one full load."""
     found = settle_all(quality.all_exceptions(raw, valid), "exceptions")
-    first = _next_id(store, AUDIT, "dq_exceptions", "exception_id", as_of)
-    store.log_run(quality.exception_log(found, as_of, first), AUDIT, "dq_exceptions", as_of)
-    first = _next_id(store, AUDIT, "load_log", "log_id", as_of)
-    store.log_run(quality.load_log(raw, valid, as_of, first), AUDIT, "load_log", as_of)
+    first = store.reserve("dq_exceptions", stamp(as_of), found.count())
+    store.log_run(quality.exception_log(found, as_of, first - 1), AUDIT, "dq_exceptions", as_of)
+    first = store.reserve("load_log", stamp(as_of), len(DOMAINS))
+    store.log_run(quality.load_log(raw, valid, as_of, first - 1), AUDIT, "load_log", as_of)
 
 
 def full_load(
     store: LakeStore, as_of: datetime, first_day: str = DATE_DIM_START, n_days: int = DATE_DIM_DAYS
 ) -> None:
     """RAW to CURATED from scratch; the calendar must reach the last check-in."""
-    position = _merged(store)  # before the bases, which hold all that is merged by now
-    valid = {domain: merge.load_base(store, domain) for domain in DOMAINS}
-    covered = {d: store.raw(d).filter(F.col("batch_id") <= merge.base_upto(store, d)).select(*RAW_COLUMNS[d]) for d in DOMAINS}
-    audit(store, covered, valid, as_of)
-    guest = store.replace(dims.dim_guest(valid["guests"], as_of), CURATED, "dim_guest", as_of)
-    room = store.replace(dims.dim_room(valid["rooms"], as_of), CURATED, "dim_room", as_of)
-    store.replace(dims.dim_date(store.spark, first_day, n_days), CURATED, "dim_date", as_of)
-    _write_facts(store, valid, guest, room, as_of)
-    _mark_refreshed(store, position, as_of)
+    with settled_until_end(store.spark):
+        position = _merged(store)  # before the bases, which hold all that is merged by now
+        valid = {domain: merge.load_base(store, domain) for domain in DOMAINS}
+        covered = {d: store.raw(d).filter(F.col("batch_id") <= merge.base_upto(store, d)).select(*RAW_COLUMNS[d]) for d in DOMAINS}
+        audit(store, covered, valid, as_of)
+        current = F.lit(0).alias(CLOSED)
+        guest = _table(store, "dim_guest").commit(dims.dim_guest(valid["guests"], as_of).select("*", current), stamp(as_of))
+        room = _table(store, "dim_room").commit(dims.dim_room(valid["rooms"], as_of).select("*", current), stamp(as_of))
+        store.replace(dims.dim_date(store.spark, first_day, n_days), CURATED, "dim_date", as_of)
+        store.replace(dims.dim_hotel(valid["rooms"]), CURATED, "dim_hotel", as_of)
+        for name, fact in FACTS.items():
+            rows = fact.build(valid[fact.domain], guest, room)
+            _table(store, name).commit(rows.withColumn(fact.part, fact.month()), stamp(as_of))
+        _mark_refreshed(store, position, as_of)
 
 
 def hourly_increment(store: LakeStore, as_of: datetime, strict: bool = False) -> None:
@@ -80,44 +123,79 @@ def hourly_increment(store: LakeStore, as_of: datetime, strict: bool = False) ->
     between them and its tables is made up for by the next one.
     """
     for domain in DOMAINS:
-        merge.run_merge(store, domain, strict)
-    if _merged(store) != _refreshed(store):
+        merge.run_merge(store, domain, strict, as_of=as_of)
+    if _merged(store) != _refreshed(store)[0]:
         refresh_curated(store, as_of)
 
 
 def refresh_curated(store: LakeStore, as_of: datetime) -> None:
-    """New dimension versions first, then facts bound to the current ones.
+    """Dimension versions first, then the facts that the change reaches.
 
-    Facts left on a closed version would drop out of every KPI, so they are
-    rebuilt whenever dimensions move. Dimensions start from the load before
-    ``as_of``, which makes a repeated run give the same tables.
+    A fact row is touched if its own row was merged, or if its guest or room has a version that was opened
+    since the last refresh (facts left on a closed version would drop out of every KPI). Only the months with touched
+    rows are written. All tables start from the versions before ``as_of``, which makes a repeated run give the same tables.
     """
-    position = _merged(store)
-    valid = _valid(store)
-    guest, room = (store.latest(CURATED, t, before=as_of) for t in ("dim_guest", "dim_room"))
-    if guest is None or room is None:
+    with settled_until_end(store.spark):
+        position = _merged(store)
+        reached, refreshed_at = _refreshed(store, before=as_of)
+        if refreshed_at is None:
+            raise ValueError("run full_load first")
+        guest, room = (_refresh_dimension(store, name, as_of) for name in DIMENSIONS)
+        store.replace(dims.dim_hotel(room), CURATED, "dim_hotel", as_of)
+        for name in FACTS:
+            _refresh_fact(store, name, guest, room, reached, refreshed_at, as_of)
+        _mark_refreshed(store, position, as_of)
+
+
+def _refresh_dimension(store: LakeStore, name: str, as_of: datetime) -> DataFrame:
+    """The current versions. Those that close now are added to the closed part, which otherwise stays as it is."""
+    domain, apply = DIMENSIONS[name]
+    table = _table(store, name)
+    base = table.latest(before=stamp(as_of))
+    if base is None:
         raise ValueError("run full_load first")
-    snapshot = settle(valid["guests"], "guests")
-    guest = store.replace(dims.scd2_dim_guest(guest, snapshot, as_of), CURATED, "dim_guest", as_of)
-    snapshot = settle(valid["rooms"], "rooms")
-    room = store.replace(dims.scd2_dim_room(room, snapshot, as_of), CURATED, "dim_room", as_of)
-    _write_facts(store, valid, guest, room, as_of)
-    _mark_refreshed(store, position, as_of)
-
-
-def _write_facts(store: LakeStore, valid, guest: DataFrame, room: DataFrame, as_of: datetime) -> None:
-    store.replace(dims.dim_hotel(valid["rooms"]), CURATED, "dim_hotel", as_of)
-    built = {
-        "fact_reservation": facts.fact_reservation(valid["reservations"], guest, room),
-        "fact_housekeeping": facts.fact_housekeeping(valid["housekeeping"], room),
-        "fact_billing": facts.fact_billing(valid["billing"], guest),
-    }
-    for table, rows in built.items():
-        store.replace(rows, CURATED, table, as_of)
+    before = table.read(base, only=[0]).drop(CLOSED)
+    after = apply(before, settle(merge.validated(store, domain), domain), as_of)
+    rows = after.withColumn(CLOSED, F.when(F.col("is_current"), 0).otherwise(1))
+    table.commit(rows, stamp(as_of), base=base, replace=[0], append=[1])
+    return table.read(stamp(as_of), only=[0])
 
 
-def curated(store: LakeStore, table: str) -> DataFrame:
-    rows = store.latest(CURATED, table)
+def _refresh_fact(
+    store: LakeStore, name: str, guest: DataFrame, room: DataFrame, reached: dict[str, int], since: datetime, as_of: datetime,
+) -> None:
+    fact, table = FACTS[name], _table(store, name)
+    key = DOMAINS[fact.domain].key
+    rows = merge.validated(store, fact.domain)
+    # one scan beside sets of changed keys, guests and rooms, which adaptive execution broadcasts while they are small
+    marked = rows.join(merge.changed_keys(store, fact.domain, reached[fact.domain]).withColumn("_changed", F.lit(True)), key, "left")
+    touched = F.col("_changed").isNotNull()
+    for used, column, dim in ((fact.guests, "guest_id", guest), (fact.rooms, "room_id", room)):
+        if used:
+            opened = dim.filter(F.col("is_current") & (F.col("effective_from") > F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")))
+            marked = marked.join(opened.select(column, F.lit(True).alias(f"_{column}")), column, "left")
+            touched = touched | F.col(f"_{column}").isNotNull()
+    fresh = settle(
+        fact.build(marked.filter(touched).select(*rows.columns), guest, room).withColumn(fact.part, fact.month()), name)
+    base = table.latest(before=stamp(as_of))
+    months = sorted(r[0] for r in fresh.select(fact.part).distinct().collect())
+    if not months:
+        return
+    kept = table.read(base, only=months).join(fresh.select(key), key, "left_anti")
+    table.commit(kept.select(*fresh.columns).unionByName(fresh), stamp(as_of), base=base, replace=months)
+
+
+def curated(store: LakeStore, table: str, current: bool = False) -> DataFrame:
+    """Newest version of a table, of a dimension only its ``current`` rows where these are asked for.
+
+    Facts have their month as a column more, by which Spark leaves out parts.
+    """
+    if table in FACTS or table in DIMENSIONS:
+        parts = _table(store, table)
+        name = parts.latest()
+        rows = None if name is None else parts.read(name, only=[0] if current and table in DIMENSIONS else None).drop(CLOSED)
+    else:
+        rows = store.latest(CURATED, table)
     if rows is None:
         raise ValueError(f"{table} has not been loaded")
     return rows
@@ -125,25 +203,31 @@ def curated(store: LakeStore, table: str) -> DataFrame:
 
 def run_anomalies(store: LakeStore, as_of: datetime) -> None:
     """All five rules into the anomaly log; repeating a run replaces its rows."""
-    found = anomalies.all_findings(
-        curated(store, "fact_reservation"), curated(store, "fact_housekeeping"),
-        curated(store, "fact_billing"), curated(store, "dim_room"), as_of,
-    )
-    first = _next_id(store, CURATED, "anomaly_log", "anomaly_id", as_of)
-    log = anomalies.anomaly_log(settle_all(found, "findings"), as_of, first)
-    store.log_run(log, CURATED, "anomaly_log", as_of)
+    with settled_until_end(store.spark):
+        found = settle_all(anomalies.all_findings(
+            curated(store, "fact_reservation"), curated(store, "fact_housekeeping"),
+            curated(store, "fact_billing"), curated(store, "dim_room", current=True), as_of,
+        ), "findings")
+        first = store.reserve("anomaly_log", stamp(as_of), found.count())
+        store.log_run(anomalies.anomaly_log(found, as_of, first - 1), CURATED, "anomaly_log", as_of)
 
 
 def daily(store: LakeStore, as_of: datetime) -> None:
-    """The anomaly rules, then the day's merge sources folded into new bases."""
+    """The anomaly rules, then the day's merge sources folded into new bases, and old versions dropped.
+
+    Merge sources that the facts have not been refreshed from stay.
+    """
     run_anomalies(store, as_of)
+    reached, _ = _refreshed(store)
     for domain in DOMAINS:
-        merge.compact(store, domain)
+        merge.compact(store, domain, read_upto=reached[domain])
+    for name in (*FACTS, *DIMENSIONS):
+        _table(store, name).drop_old(KEEP_VERSIONS)
 
 
 def register_views(store: LakeStore, role: str) -> None:
     """KPI views and the masked guest dimension as temporary views for SQL users."""
-    stays, room = curated(store, "fact_reservation"), curated(store, "dim_room")
+    stays, room = curated(store, "fact_reservation"), curated(store, "dim_room", current=True)
     tasks, bills = curated(store, "fact_housekeeping"), curated(store, "fact_billing")
     days = curated(store, "dim_date")
     views = {

@@ -22,11 +22,17 @@ def _ones(condition: Column) -> Column:
 
 
 def with_month(facts: DataFrame, dim_date: DataFrame, n_days: int = 0) -> DataFrame:
-    """Year and month of check-in; days outside the date dimension drop out."""
-    months = dim_date.select(F.col("date_sk").alias("check_in_date_sk"), "year", "month")
+    """Year and month of check-in; days outside the date dimension drop out.
+
+    Facts that are kept by month are joined on it as well, so days of a few months leave the other parts unread.
+    """
+    part = (F.col("year") * 100 + F.col("month")).alias("check_in_month")
+    months = dim_date.select(F.col("date_sk").alias("check_in_date_sk"), "year", "month", part)
     if 0 < n_days <= MAX_BROADCAST_DAYS:
         months = F.broadcast(months)
-    return facts.join(months, "check_in_date_sk")
+    if "check_in_month" in facts.columns:
+        return facts.join(months, ["check_in_date_sk", "check_in_month"])
+    return facts.join(months.drop("check_in_month"), "check_in_date_sk")
 
 
 def _with_hotel(per_room: DataFrame, dim_room: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from innlake.operators.joins import not_in
 from innlake.operators.scd2 import instant
 from innlake.operators.surrogate import with_surrogate_key
 from innlake.plans.domains import DOMAINS
-from innlake.plans.validate import winners
+from innlake.plans.validate import rejection, winners
 
 Frames = Mapping[str, DataFrame]
 
@@ -67,48 +67,54 @@ def duplicate_exceptions(domain: str, raw: DataFrame) -> DataFrame:
     in a single task.
     """
     key = DOMAINS[domain].key
-    counted = (
-        raw.filter(has_key(key)).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
+    return losers(domain, raw.filter(has_key(key)).groupBy(key).agg(F.count(F.lit(1)).alias("copies")))
+
+
+def losers(domain: str, counted: DataFrame) -> DataFrame:
+    """The exceptions of keys with ``copies`` rows, all but the first of each."""
+    key = DOMAINS[domain].key
+    chunked = (
+        counted.filter("copies > 1")
         .withColumn("chunk", F.explode(F.sequence(
             F.lit(0).cast("bigint"), F.floor((F.col("copies") - 2) / DUPLICATE_CHUNK)
         )))
-        .repartition(_spread(raw), F.col(key), F.col("chunk"))
+        .repartition(_spread(counted), F.col(key), F.col("chunk"))
     )
     first = F.col("chunk") * DUPLICATE_CHUNK + 2
     last = F.least(F.col("copies"), first + DUPLICATE_CHUNK - 1)
-    losers = counted.withColumn("copy", F.explode(F.sequence(first, last)))
+    lost = chunked.withColumn("copy", F.explode(F.sequence(first, last)))
     detail = F.concat(
         F.lit("copy "), F.col("copy").cast("string"), F.lit(" of "), F.col("copies").cast("string"),
         F.lit(f" for {key}"),
     )
-    return losers.select(*_exception(domain, F.col(key), k.DEDUP, detail))
-
-
-def _rejection(domain: str) -> tuple[str, Column]:
-    """Error type and text of a row that fails the batch rule."""
-    if domain == "guests":
-        return k.VALUE, F.lit("email not valid")
-    if domain == "reservations":
-        return k.TEMPORAL, (
-            F.when(F.col("check_in_date").isNull(), "check_in_date not a date")
-            .when(F.col("check_out_date").isNull(), "check_out_date not a date")
-            .otherwise("check_out_date not after check_in_date")
-        )
-    if domain == "rooms":
-        return k.VALUE, (
-            F.when(F.coalesce(F.col("capacity") > 0, F.lit(False)), "base_price not valid")
-            .otherwise("capacity not valid")
-        )
-    if domain == "housekeeping":
-        return k.TEMPORAL, F.lit("end_time before start_time")
-    return k.VALUE, F.lit("amount not valid")
+    return lost.select(*_exception(domain, F.col(key), k.DEDUP, detail))
+
+
+def counted_fates(domain: str, rows: DataFrame) -> DataFrame:
+    """Judged rows of change batches, counted by batch, key and error: all that the two logs of a merge need."""
+    return rows.groupBy("batch_id", DOMAINS[domain].key, "error_type", "error_detail").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def merge_loads(domain: str, fates: DataFrame) -> DataFrame:
+    """Total, merged and failed rows of each change batch; of the rows of one key that may be merged one counts as merged."""
+    good = F.col("error_type").isNull()
+    lines = fates.groupBy("batch_id").agg(F.sum("copies").alias("total_rows"), F.count_if(good).alias("passed_rows"))
+    return _with_failed(lines.withColumn("domain", F.lit(domain.upper())))
+
+
+def merge_exceptions(domain: str, fates: DataFrame) -> DataFrame:
+    """Rows of change batches that were rejected or lost as copies, equal ones counted in ``copies``."""
+    key = DOMAINS[domain].key
+    bad = fates.filter("error_type is not null").select(
+        F.lit(domain.upper()).alias("domain"), F.col(key).alias("natural_key"), "error_type", "error_detail", "copies")
+    lost = losers(domain, fates.filter("error_type is null")).withColumn("copies", F.lit(1).cast("bigint"))
+    return bad.unionByName(lost)
 
 
 def rule_exceptions(domain: str, raw: DataFrame) -> DataFrame:
     """Deduplicated rows the batch rule rejects."""
     spec = DOMAINS[domain]
-    error_type, text = _rejection(domain)
+    error_type, text = rejection(domain)
     passed = F.coalesce(spec.batch_rule(), F.lit(False))
     return winners(domain, raw).filter(~passed).select(
         *_exception(domain, F.col(spec.key), error_type, text)
@@ -139,9 +145,11 @@ def exception_log(exceptions: DataFrame, as_of: datetime, after: Column | int =
     """Exceptions with a dense number each.
 
     Equal exceptions are counted before they are numbered and unfolded in chunks
-    afterwards, so any number of rows without a key never meets in one task.
+    afterwards, so any number of rows without a key never meets in one task. A column
+    ``copies`` says how many a row stands for.
     """
-    counted = exceptions.groupBy(*EXCEPTION_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    rows = F.sum("copies") if "copies" in exceptions.columns else F.count(F.lit(1))
+    counted = exceptions.groupBy(*EXCEPTION_COLUMNS).agg(rows.alias("copies"))
     numbered = with_surrogate_key(counted, "first_id", EXCEPTION_COLUMNS, after, copies="copies")
     chunked = numbered.withColumn("chunk", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / DUPLICATE_CHUNK)
@@ -165,7 +173,10 @@ def load_counts(raw: Frames, valid: Frames) -> DataFrame:
             F.count_if(F.col("passed")).alias("passed_rows"),
         ).select(F.lit(domain.upper()).alias("domain"), "*")
 
-    counted = reduce(DataFrame.unionByName, [one(domain) for domain in DOMAINS])
+    return _with_failed(reduce(DataFrame.unionByName, [one(domain) for domain in DOMAINS]))
+
+
+def _with_failed(counted: DataFrame) -> DataFrame:
     failed = F.col("total_rows") - F.col("passed_rows")
     return counted.withColumn("failed_rows", failed).withColumn(
         "error_detail",
@@ -173,8 +184,15 @@ def load_counts(raw: Frames, valid: Frames) -> DataFrame:
     )
 
 
+LOAD_COLUMNS = ("log_id", "domain", "total_rows", "passed_rows", "failed_rows", "error_detail", "batch_ts")
+
+
 def load_log(
     raw: Frames, valid: Frames, as_of: datetime, after: Column | int = 0
 ) -> DataFrame:
-    numbered = with_surrogate_key(load_counts(raw, valid), "log_id", ["domain"], after)
-    return numbered.withColumn("batch_ts", instant(as_of))
+    return numbered_loads(load_counts(raw, valid), "domain", as_of, after)
+
+
+def numbered_loads(lines: DataFrame, key: str, as_of: datetime, after: Column | int = 0) -> DataFrame:
+    numbered = with_surrogate_key(lines, "log_id", [key], after)
+    return numbered.withColumn("batch_ts", instant(as_of)).select(*LOAD_COLUMNS)

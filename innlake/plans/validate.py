@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from innlake import constants as k
 from innlake.functions.dialect import has_key
 from innlake.operators.dedup import first_per_key, latest_per_key
 from innlake.operators.upsert import upsert
@@ -47,6 +48,39 @@ def merge_source(
     return latest_per_key(typed, [spec.key, *batch], arrival)
 
 
+def judged(domain: str, changes: DataFrame, kept: Sequence[str] = (), strict: bool = False) -> DataFrame:
+    """Every row of a change batch, typed, with ``error_type`` and ``error_detail``; both NULL where the row may be merged."""
+    spec = DOMAINS[domain]
+    usable = has_key(spec.key) if strict else F.col(spec.key).isNotNull()
+    passed = F.coalesce((spec.batch_rule if strict else spec.merge_rule)(), F.lit(False))
+    error_type, detail = rejection(domain)
+    typed = changes.withColumn("_usable", usable).select(*spec.columns(), *kept, "_usable")
+    return typed.withColumns({
+        "error_type": F.when(~F.col("_usable"), k.VALUE).when(~passed, error_type),
+        "error_detail": F.when(~F.col("_usable"), f"{spec.key} missing").when(~passed, detail),
+    }).drop("_usable")
+
+
+def rejection(domain: str) -> tuple[str, Column]:
+    """Error type and text of a row that fails a rule."""
+    if domain == "guests":
+        return k.VALUE, F.lit("email not valid")
+    if domain == "reservations":
+        return k.TEMPORAL, (
+            F.when(F.col("check_in_date").isNull(), "check_in_date not a date")
+            .when(F.col("check_out_date").isNull(), "check_out_date not a date")
+            .otherwise("check_out_date not after check_in_date")
+        )
+    if domain == "rooms":
+        return k.VALUE, (
+            F.when(F.coalesce(F.col("capacity") > 0, F.lit(False)), "base_price not valid")
+            .otherwise("capacity not valid")
+        )
+    if domain == "housekeeping":
+        return k.TEMPORAL, F.lit("end_time before start_time")
+    return k.VALUE, F.lit("amount not valid")
+
+
 def merge(
     domain: str,
     target: DataFrame,

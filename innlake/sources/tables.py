@@ -8,7 +8,9 @@ it is being read, and a run that died half way is simply not seen. Logs keep one
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -24,12 +26,38 @@ RAW_AUDIT_FIELDS = [
 ]
 
 
+_SETTLED: list[list[str]] = []
+
+
+@contextmanager
+def settled_until_end(spark: SparkSession):
+    """Folders that ``settle`` writes inside are removed at the end: for jobs, whose results are tables of their own."""
+    _SETTLED.append([])
+    try:
+        yield
+    finally:
+        for path in _SETTLED.pop():
+            delete(spark, path)
+
+
+def _folder(spark: SparkSession, purpose: str) -> str:
+    path = working_folder(spark, purpose)
+    if _SETTLED:
+        _SETTLED[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame once to the shared working folder and read it back.
 
     For results that several branches of a plan use, and to keep plans short.
     """
-    path = working_folder(df.sparkSession, purpose)
+    path = _folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -41,7 +69,7 @@ def settle_all(frames: Sequence[DataFrame], purpose: str) -> DataFrame:
     every stage.
     """
     spark, schema = frames[0].sparkSession, frames[0].schema
-    root = working_folder(spark, purpose)
+    root = _folder(spark, purpose)
     paths = [f"{root}/{i}" for i in range(len(frames))]
     for frame, path in zip(frames, paths):
         frame.write.parquet(path)
@@ -52,10 +80,17 @@ def stamp(moment: datetime) -> str:
     return moment.strftime("%Y%m%dT%H%M%S")
 
 
+AUDIT = "audit"
+BUCKETS = 64
+
+
 class LakeStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """A lake below one folder. ``buckets`` is how many parts VALIDATED tables have, the same for the lake's whole life."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # ---- paths --------------------------------------------------------------
 
@@ -71,10 +106,41 @@ class LakeStore:
         marks = files.globStatus(jvm.org.apache.hadoop.fs.Path(folder, "*/_SUCCESS"))
         return sorted(m.getPath().getParent().getName() for m in marks or ())
 
+    def _system(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def files(self, path: str) -> list[str]:
+        """Names of what lies directly in a folder, hidden files aside; none if there is no such folder."""
+        path, files = self._system(path)
+        names = (f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else ()
+        return sorted(n for n in names if n[0] not in "._")
+
+    def read_text(self, path: str) -> str:
+        path, files = self._system(path)
+        stream = files.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put_text(self, path: str, text: str) -> None:
+        """Write a small file beside its place and move it there, so it is never seen in part."""
+        target, files = self._system(path)
+        beside, _ = self._system(f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+        stream = files.create(beside)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+        if not files.rename(beside, target):  # some file systems do not replace a file
+            files.delete(target, False)
+            if not files.rename(beside, target):
+                raise OSError(f"{path} could not be put in place")
+
     def delete(self, path: str) -> None:
         """Remove a folder that nothing reads any more."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(self.spark, path)
 
     def values(self, label: str, *parts: str) -> list[str]:
         prefix = f"{label}="
@@ -99,8 +165,24 @@ class LakeStore:
 
     # ---- logs ---------------------------------------------------------------
 
-    def log_run(self, df: DataFrame, layer: str, table: str, as_of: datetime) -> None:
-        df.write.mode("overwrite").parquet(self.path(layer, table, f"run={stamp(as_of)}"))
+    def log_run(self, df: DataFrame, layer: str, table: str, run: datetime | str) -> None:
+        name = run if isinstance(run, str) else stamp(run)
+        df.write.mode("overwrite").parquet(self.path(layer, table, f"run={name}"))
+
+    def reserve(self, log: str, run: str, size: int) -> int:
+        """First of ``size`` consecutive numbers for a run of a log; a repeated run of the same size gets the same ones.
+
+        Ranges are the names of empty files, so finding the next one takes a listing and reads no log.
+        """
+        folder = self.path("audit", "id_ranges", log)
+        taken = {name: (int(first), int(n)) for name, first, n in (f.rsplit(",", 2) for f in self.files(folder) if f.count(",") >= 2)}
+        if run in taken and taken[run][1] == size:
+            return taken[run][0]
+        first = max((a + n for a, n in taken.values()), default=1)
+        if run in taken:
+            self.delete(f"{folder}/{run},{taken[run][0]},{taken[run][1]}")
+        self.put_text(f"{folder}/{run},{first},{size}", "")
+        return first
 
     def log(self, layer: str, table: str, before: datetime | None = None) -> DataFrame | None:
         runs = self.values("run", layer, table)

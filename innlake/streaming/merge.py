@@ -3,23 +3,35 @@
 VALIDATED is a base plus the merge sources that came after it. A micro-batch
 only appends its own source; nothing already written is read or replaced, so
 its cost follows the size of the change and a repeated batch rewrites the same
-folder. Readers see the base with the later sources upserted, and compaction
-folds them into a new base.
+folder. Base and sources are dealt to buckets by a hash of the key: readers upsert
+into the buckets that later sources touch and take the others as they are, and
+compaction writes only those anew.
+
+Every change row is judged once. What may be merged becomes the source, what was
+rejected or lost as a copy goes to the exceptions, and the counts to the load log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from innlake.operators.dedup import latest_per_key
 from innlake.operators.upsert import fold, upsert_small
+from innlake.plans import quality
 from innlake.plans.domains import DOMAINS
-from innlake.plans.validate import merge_source, validate
+from innlake.plans.validate import judged, validate
 from innlake.sources.schemas import RAW_COLUMNS
-from innlake.sources.tables import LakeStore
+from innlake.sources.tables import AUDIT, LakeStore
+from innlake.sources.versions import Versions
+from innlake.streaming.ingest import utc_now
 
 ARRIVAL = ("_file_time", "_file")
+# files of RAW that one epoch of a merge reads; a long outage is made up for in several epochs
+FILES_PER_EPOCH = 1000
+BUCKET = "bucket"
 
 
 def last_raw_batch(store: LakeStore, domain: str) -> int:
@@ -27,60 +39,77 @@ def last_raw_batch(store: LakeStore, domain: str) -> int:
     return max((int(v) for v in store.values("batch_id", "raw", domain)), default=-1)
 
 
+def epochs(store: LakeStore, domain: str) -> list[int]:
+    """Committed merge sources, in order."""
+    return sorted(int(v) for v in store.values("epoch", "merged", domain))
+
+
 def last_merge(store: LakeStore, domain: str) -> int:
     """Highest committed merge source, -1 for none."""
-    return max((int(v) for v in store.values("epoch", "merged", domain)), default=-1)
+    return max(epochs(store, domain), default=-1)
+
+
+# ---- base -------------------------------------------------------------------
+
+def base_table(store: LakeStore, domain: str) -> Versions:
+    """Bases by the last RAW batch they hold."""
+    return Versions(store, "validated", domain, BUCKET)
+
+
+def _version(upto: int) -> str:
+    return f"{upto + 1:020d}"  # a base of no batch comes first
 
 
 def base_upto(store: LakeStore, domain: str) -> int:
     """Last RAW batch of the newest base, -1 for none."""
-    return max((int(v) for v in store.values("upto", "validated", domain)), default=-1)
+    name = base_table(store, domain).latest()
+    return -1 if name is None else int(name) - 1
+
+
+def _bucket(store: LakeStore, domain: str) -> Column:
+    return F.pmod(F.xxhash64(DOMAINS[domain].key), F.lit(store.buckets)).cast("int").alias(BUCKET)
 
 
 def load_base(store: LakeStore, domain: str) -> DataFrame:
     """Full load: validate everything in RAW and write it as the base."""
     upto = last_raw_batch(store, domain)
     rows = store.raw(domain).filter(F.col("batch_id") <= upto).select(*RAW_COLUMNS[domain])
-    return _write_base(store, domain, validate(domain, rows), upto)
-
-
-def _write_base(store: LakeStore, domain: str, rows: DataFrame, upto: int) -> DataFrame:
-    path = store.path("validated", domain, f"upto={upto:020d}")
-    rows.write.mode("overwrite").parquet(path)
-    return store.spark.read.schema(rows.schema).parquet(path)
-
+    valid = validate(domain, rows).withColumn(BUCKET, _bucket(store, domain))
+    return base_table(store, domain).commit(valid, _version(upto), buckets=store.buckets).drop(BUCKET)
 
-def _base(store: LakeStore, domain: str) -> tuple[DataFrame | None, int]:
-    bases = store.values("upto", "validated", domain)
-    if not bases:
-        return None, -1
-    path = store.path("validated", domain, f"upto={bases[-1]}")
-    return store.spark.read.parquet(path), int(bases[-1])
 
+# ---- merge ------------------------------------------------------------------
 
 def run_merge(
-    store: LakeStore, domain: str, strict: bool = False, arrival: Sequence[str] = ARRIVAL
+    store: LakeStore, domain: str, strict: bool = False, arrival: Sequence[str] = ARRIVAL,
+    as_of: datetime | None = None, files_per_epoch: int = FILES_PER_EPOCH,
 ) -> bool:
     """Take every RAW row that arrived since the last run, then say whether there was any source.
 
     The checkpoint is the position in the change stream. Rows the full load has
     already covered are passed over. Every RAW batch is a merge of its own, so
-    the outcome does not depend on how many of them one run finds. ``arrival``
-    says which of two rows with one key came later inside a batch; rows it leaves
-    equal are told apart by their content.
+    the outcome depends neither on how many of them one run finds nor on the files
+    an epoch takes. ``arrival`` says which of two rows with one key came later inside
+    a batch; rows it leaves equal are told apart by their content.
     """
-    _, loaded_upto = _base(store, domain)
-    before = set(store.values("epoch", "merged", domain))
+    loaded_upto = base_upto(store, domain)
+    before = last_merge(store, domain)
+    moment = as_of or utc_now()
 
     def append_source(batch: DataFrame, epoch: int) -> None:
-        fresh = batch.filter(F.col("batch_id") > loaded_upto)
-        source = merge_source(domain, fresh, arrival, strict, batch=["batch_id"])
-        source.drop(*arrival).write.mode("overwrite").parquet(
-            store.path("merged", domain, f"epoch={epoch}")
-        )
+        staged = store.path("staging", "merge", domain, f"epoch={epoch}")
+        rows = judged(domain, batch.filter(F.col("batch_id") > loaded_upto), [*arrival, "batch_id"], strict)
+        rows.write.mode("overwrite").parquet(f"{staged}/rows")
+        rows = store.spark.read.schema(rows.schema).parquet(f"{staged}/rows")
+        _log(store, domain, epoch, rows, f"{staged}/fates", moment)
+        good = rows.filter("error_type is null").drop("error_type", "error_detail")
+        source = latest_per_key(good, [DOMAINS[domain].key, "batch_id"], arrival).withColumn(BUCKET, _bucket(store, domain))
+        source.write.mode("overwrite").partitionBy(BUCKET).parquet(store.path("merged", domain, f"epoch={epoch}"))
+        store.delete(staged)
 
     query = (
         store.spark.readStream.schema(store.raw_schema(domain))
+        .option("maxFilesPerTrigger", files_per_epoch)
         .parquet(store.path("raw", domain))
         .filter(F.col("batch_id") > loaded_upto)  # here it prunes folders, so a first merge does not read what the base holds
         .writeStream.foreachBatch(append_source)
@@ -89,41 +118,110 @@ def run_merge(
         .start()
     )
     query.awaitTermination()
-    return set(store.values("epoch", "merged", domain)) != before
+    return last_merge(store, domain) != before
 
 
-def _later_sources(store: LakeStore, domain: str, upto: int) -> DataFrame | None:
+def _log(store: LakeStore, domain: str, epoch: int, rows: DataFrame, path: str, as_of: datetime) -> None:
+    """Load log and exceptions of one epoch, under a run of its own: repeated, it replaces them under the same numbers."""
+    fates = quality.counted_fates(domain, rows)
+    fates.write.mode("overwrite").parquet(path)
+    fates = store.spark.read.schema(fates.schema).parquet(path)
+    loads = quality.merge_loads(domain, fates)
+    lines, failed = loads.agg(F.count(F.lit(1)), F.sum("failed_rows")).first()
+    run = f"merge-{domain}-{epoch:012d}"
+    if lines:
+        first = store.reserve("load_log", run, lines)
+        store.log_run(quality.numbered_loads(loads, "batch_id", as_of, first - 1), AUDIT, "load_log", run)
+    if failed:
+        first = store.reserve("dq_exceptions", run, failed)
+        found = quality.exception_log(quality.merge_exceptions(domain, fates), as_of, first - 1)
+        store.log_run(found, AUDIT, "dq_exceptions", run)
+
+
+# ---- reading ----------------------------------------------------------------
+
+def _read_sources(store: LakeStore, domain: str, after_epoch: int = -1) -> DataFrame | None:
     root = store.path("merged", domain)
-    committed = [f"{root}/epoch={e}" for e in store.values("epoch", "merged", domain)]
-    if not committed:
+    paths = [f"{root}/epoch={e}" for e in epochs(store, domain) if e > after_epoch]
+    if not paths:
         return None
-    sources = store.spark.read.option("basePath", root).parquet(*committed)
-    return sources.filter(F.col("batch_id") > upto)
+    typed = judged(domain, store.spark.createDataFrame([], store.raw_schema(domain)), [*ARRIVAL, "batch_id"])
+    schema = T.StructType([
+        *typed.drop("error_type", "error_detail").schema.fields,
+        T.StructField("epoch", T.LongType()), T.StructField(BUCKET, T.IntegerType()),
+    ])
+    return store.spark.read.schema(schema).option("basePath", root).parquet(*paths).drop("epoch")
+
+
+def sources(store: LakeStore, domain: str) -> DataFrame | None:
+    """Rows of the committed merge sources, one per key and RAW batch (an epoch may end inside a batch); None without a source."""
+    rows = _read_sources(store, domain)
+    return rows if rows is None else latest_per_key(rows, [DOMAINS[domain].key, "batch_id"], ARRIVAL).drop(*ARRIVAL)
+
+
+def touched_buckets(store: LakeStore, domain: str) -> list[int]:
+    """Buckets with rows in the merge sources, from folder names."""
+    root, prefix = store.path("merged", domain), f"{BUCKET}="
+    found = {n for e in epochs(store, domain) for n in store.files(f"{root}/epoch={e}") if n.startswith(prefix)}
+    return sorted(int(n[len(prefix):]) for n in found)
+
+
+def _current(store: LakeStore, domain: str) -> tuple[DataFrame | None, DataFrame, list[int], str | None]:
+    """(untouched rows, rows of the touched buckets, these buckets, the base's version), all with their bucket."""
+    spec, table = DOMAINS[domain], base_table(store, domain)
+    name = table.latest()
+    if name is not None and table.note(name, "buckets") != store.buckets:
+        raise ValueError(f"{domain} was dealt to {table.note(name, 'buckets')} buckets")
+    later = sources(store, domain)
+    if later is None:
+        if name is None:
+            raise ValueError(f"nothing loaded for {domain}")
+        return table.read(name), table.read(name, only=()), [], name
+    later = later.filter(F.col("batch_id") > base_upto(store, domain))
+    changes = fold(later, spec.key, spec.merge_updates, "batch_id")
+    touched = touched_buckets(store, domain)
+    if name is None:
+        return None, changes, touched, None
+    rows = upsert_small(table.read(name, only=touched), changes, spec.key, spec.merge_updates)
+    return table.read(name, but=touched), rows, touched, name
 
 
 def validated(store: LakeStore, domain: str) -> DataFrame:
     """Current VALIDATED rows of a domain."""
-    spec = DOMAINS[domain]
-    base, upto = _base(store, domain)
-    sources = _later_sources(store, domain, upto)
-    if sources is None:
-        if base is None:
-            raise ValueError(f"nothing loaded for {domain}")
-        return base
-    ordered = sources.select(
-        "*", F.struct("batch_id", "epoch").alias("_order")
-    ).drop("batch_id", "epoch")
-    changes = fold(ordered, spec.key, spec.merge_updates, "_order")
-    if base is None:
-        return changes
-    return upsert_small(base, changes, spec.key, spec.merge_updates)
-
-
-def compact(store: LakeStore, domain: str) -> DataFrame:
-    """Write the current rows as a new base; older sources are no longer read."""
-    _, upto = _base(store, domain)
-    sources = _later_sources(store, domain, upto)
-    reached = sources.agg(F.max("batch_id")).first()[0] if sources is not None else None
-    if reached is None:
-        return validated(store, domain)
-    return _write_base(store, domain, validated(store, domain), reached)
+    untouched, rows, touched, _ = _current(store, domain)
+    if untouched is None:
+        return rows.drop(BUCKET)
+    return (untouched.unionByName(rows) if touched else untouched).drop(BUCKET)
+
+
+def changed_keys(store: LakeStore, domain: str, after_epoch: int) -> DataFrame:
+    """Keys of the rows merged after an epoch."""
+    key = DOMAINS[domain].key
+    later = _read_sources(store, domain, after_epoch)
+    if later is None:
+        return store.spark.createDataFrame([], T.StructType([T.StructField(key, T.StringType())]))
+    return later.select(key).distinct()
+
+
+# ---- compaction -------------------------------------------------------------
+
+def compact(store: LakeStore, domain: str, read_upto: int | None = None, keep: int = 2) -> DataFrame:
+    """Make the current rows the base, bucket by bucket.
+
+    Only touched buckets are written. Sources that the new base holds are dropped but for
+    the newest, which stays as the position; ``read_upto`` names the last epoch that
+    nothing else needs, such as the refresh of the facts (all of them, if None).
+    """
+    table, done = base_table(store, domain), epochs(store, domain)
+    upto = base_upto(store, domain)
+    later = sources(store, domain)
+    reached = later.agg(F.max("batch_id")).first()[0] if later is not None else None
+    if reached is not None and reached > upto:
+        _, rows, touched, name = _current(store, domain)
+        replace = None if name is None else touched
+        table.commit(rows, _version(reached), base=name, replace=replace, buckets=store.buckets)
+        table.drop_old(keep)
+    for epoch in done[:-1]:
+        if read_upto is None or epoch <= read_upto:
+            store.delete(store.path("merged", domain, f"epoch={epoch}"))
+    return validated(store, domain)
