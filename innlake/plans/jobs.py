@@ -8,7 +8,7 @@ the ones before.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -116,14 +116,16 @@ def full_load(
         _mark_refreshed(store, position, as_of)
 
 
-def hourly_increment(store: LakeStore, as_of: datetime, strict: bool = False) -> None:
+def hourly_increment(
+    store: LakeStore, as_of: datetime, strict: bool = False, arrival: Sequence[str] = merge.ARRIVAL
+) -> None:
     """Merge what arrived, then bring dimensions and facts up to date; an hour without data writes no table.
 
     What counts is whether CURATED has reached the committed merges, so a run that died
     between them and its tables is made up for by the next one.
     """
     for domain in DOMAINS:
-        merge.run_merge(store, domain, strict, as_of=as_of)
+        merge.run_merge(store, domain, strict, arrival, as_of)
     if _merged(store) != _refreshed(store)[0]:
         refresh_curated(store, as_of)
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from innlake.functions import dialect as d
 from innlake.operators.scd2 import instant
-from innlake.plans import anomalies, dims, facts, governance, kpis, quality, reports
+from innlake.plans import anomalies, dims, facts, governance, jobs, kpis, quality, reports
 from innlake.plans.domains import DOMAINS
 from innlake.plans.lake import Lake
 from innlake.plans.validate import merge
@@ -18,7 +18,9 @@ from innlake.sources.changes import ARRIVAL, change_batch
 from innlake.sources.feeds import FEEDS
 from innlake.sources.provided import table
 from innlake.sources.tables import settle, settle_all
-from innlake.streamed import beside_refused, history, incremental, ingested
+from innlake.streamed import (
+    beside_refused, by_file_time, history, incremental, ingested, job_anomalies, job_log, job_table, job_validated, landed_files,
+)
 
 AS_OF = datetime(2024, 2, 1)
 CHANGED_AT = datetime(2024, 2, 2)
@@ -196,6 +198,13 @@ def _results() -> dict[str, Query]:
         **_streamed("incremental", incremental),
         **_streamed("ingest_refused", beside_refused),
         **_streamed("load_history", history),
+        **_streamed("incremental_strict", partial(incremental, strict=True)),
+        **_streamed("incremental_by_time", by_file_time),
+        "list_files_rooms": lambda spark, sf_dir: landed_files(spark, sf_dir, "rooms", AS_OF),
+        **{f"job_{t}": lambda spark, sf_dir, t=t: job_table(spark, sf_dir, t, AS_OF) for t in (*jobs.FACTS, *jobs.DIMENSIONS)},
+        **{f"job_{t}": lambda spark, sf_dir, t=t: job_log(spark, sf_dir, t, AS_OF) for t in ("load_log", "dq_exceptions")},
+        "job_anomaly_log": lambda spark, sf_dir: job_anomalies(spark, sf_dir, AS_OF),
+        **_streamed("job_validated", job_validated),
         "dq_reservation_guest_fk": over(
             lambda lk: quality.reservation_guest_fk(lk.valid["reservations"], lk.valid["guests"])
         ),

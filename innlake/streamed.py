@@ -6,17 +6,21 @@ streaming loader and, for the incremental results, merged in three deliveries.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from innlake.functions.dialect import has_key
+from innlake.operators.dedup import first_per_key
+from innlake.plans import jobs
 from innlake.plans.domains import DOMAINS
 from innlake.session import working_folder
 from innlake.sources import landing as lf
 from innlake.sources.changes import ARRIVAL, change_batch
 from innlake.sources.feeds import FEEDS
 from innlake.sources.schemas import RAW_COLUMNS
-from innlake.sources.tables import LakeStore
+from innlake.sources.tables import AUDIT, LakeStore
 from innlake.streaming import merge
 from innlake.streaming.ingest import ingest, load_history
 
@@ -30,7 +34,7 @@ def deliver(rows: DataFrame, landing: str, domain: str) -> None:
 
 
 def _start(spark: SparkSession, as_of: datetime):
-    store = LakeStore(spark, working_folder(spark, "lake"))
+    store = LakeStore(spark, working_folder(spark, "lake"), buckets=8)
     landing = store.path("landing")
     # the feeds hold no quoted line breaks, so files may be split over tasks
     take = lambda domain: ingest(store, landing, domain, lambda: as_of, multiline=False)
@@ -67,7 +71,7 @@ def history(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> D
     return files.groupBy("status").agg(F.sum("row_count").alias("row_count"))
 
 
-def incremental(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+def incremental(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime, strict: bool = False) -> DataFrame:
     """VALIDATED after a full load and two merged deliveries."""
     store, landing, take = _start(spark, as_of)
     raw = FEEDS[domain](spark, sf_dir)
@@ -79,5 +83,73 @@ def incremental(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime)
         deliver(changes.filter(F.col(ARRIVAL) == arrival).drop(ARRIVAL), landing, domain)
         take(domain)
         # which file a duplicate ends up in is chance here, so it must not decide
-        merge.run_merge(store, domain, arrival=())
+        merge.run_merge(store, domain, strict, arrival=(), as_of=as_of, files_per_epoch=2)
     return merge.validated(store, domain)
+
+
+def by_file_time(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+    """VALIDATED after a full load and one batch with two versions of every row, of which the later file's counts."""
+    store, landing, take = _start(spark, as_of)
+    raw, key = FEEDS[domain](spark, sf_dir), DOMAINS[domain].key
+    deliver(raw, landing, domain)
+    take(domain)
+    merge.load_base(store, domain)
+    changes = change_batch(domain, key, first_per_key(raw.filter(has_key(key)), key))
+    for arrival in (1, 2):
+        deliver(changes.filter(F.col(ARRIVAL) == arrival).drop(ARRIVAL), landing, domain)
+    take(domain)
+    merge.run_merge(store, domain, as_of=as_of)
+    return merge.validated(store, domain)
+
+
+@lru_cache(maxsize=4)
+def run_lake(spark: SparkSession, sf_dir: str, as_of: datetime) -> LakeStore:
+    """A lake after a full load and two hours with a delivery each, written by the scheduled jobs."""
+    store, landing, take = _start(spark, as_of)
+    raw = {domain: FEEDS[domain](spark, sf_dir) for domain in DOMAINS}
+    for domain in DOMAINS:
+        deliver(raw[domain], landing, domain)
+        take(domain)
+    jobs.full_load(store, as_of)
+    for arrival in (1, 2):
+        for domain in DOMAINS:
+            changes = change_batch(domain, DOMAINS[domain].key, raw[domain])
+            deliver(changes.filter(F.col(ARRIVAL) == arrival).drop(ARRIVAL), landing, domain)
+            take(domain)
+        jobs.hourly_increment(store, as_of + timedelta(hours=arrival), arrival=())
+    return store
+
+
+def job_table(spark: SparkSession, sf_dir: str, table: str, as_of: datetime) -> DataFrame:
+    """A CURATED table of that lake, without the column that says which part a row is in."""
+    rows = jobs.curated(run_lake(spark, sf_dir, as_of), table)
+    return rows.drop(jobs.FACTS[table].part) if table in jobs.FACTS else rows
+
+
+@lru_cache(maxsize=4)
+def daily_lake(spark: SparkSession, sf_dir: str, as_of: datetime) -> LakeStore:
+    """The same lake after the daily job: anomalies logged, merges folded into new bases."""
+    store = run_lake(spark, sf_dir, as_of)
+    jobs.daily(store, as_of + timedelta(hours=2))
+    return store
+
+
+def job_anomalies(spark: SparkSession, sf_dir: str, as_of: datetime) -> DataFrame:
+    return daily_lake(spark, sf_dir, as_of).log(jobs.CURATED, "anomaly_log")
+
+
+def job_validated(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+    """VALIDATED after two merges and their compaction."""
+    return merge.validated(daily_lake(spark, sf_dir, as_of), domain)
+
+
+def job_log(spark: SparkSession, sf_dir: str, table: str, as_of: datetime) -> DataFrame:
+    return run_lake(spark, sf_dir, as_of).log(AUDIT, table)
+
+
+def landed_files(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> DataFrame:
+    """The landing folder's files as the listing sees them: how many there are, whether any is empty."""
+    store, landing, _ = _start(spark, as_of)
+    deliver(FEEDS[domain](spark, sf_dir).repartition(3), landing, domain)
+    files = lf.list_files(spark, landing).filter(F.col("path").endswith(".csv"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") == 0).alias("empty_files"))

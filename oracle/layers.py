@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from innlake.sources.schemas import RAW_COLUMNS
 from oracle.feeds import FEEDS
 
@@ -155,15 +157,15 @@ def _pick_one(domain: str, first: str = "") -> str:
     return f"qualify row_number() over (partition by {key} order by {first}{order}) = 1"
 
 
-def _delivery(domain: str, arrival: int, values: dict[str, str]) -> str:
+def _delivery(domain: str, arrival: int, values: dict[str, str], rows: str = "") -> str:
     picked = ", ".join(f"{values[c]} as {c}" if c in values else c for c in COLUMNS[domain])
-    return f"select {picked}, {arrival} as arrival from raw_{domain}"
+    return f"select {picked}, {arrival} as arrival from {rows or f'raw_{domain}'}"
 
 
-def _source(domain: str, changes: str) -> str:
+def _source(domain: str, changes: str, rules: dict[str, str] = MERGE_RULES) -> str:
     return (
         f"select * from (select {_typed(domain)}, arrival from {changes} where {KEYS[domain]} is not null)"
-        f" where {MERGE_RULES[domain]} {_pick_one(domain, 'arrival desc, ')}"
+        f" where {rules[domain]} {_pick_one(domain, 'arrival desc, ')}"
     )
 
 
@@ -216,6 +218,21 @@ for _d, _feed in FEEDS.items():
         f"third_{_d}": _source(_d, f"(from landed_chg_{_d} where arrival = 2)"),
         f"after_second_{_d}": _merged(_d, f"landed_val_{_d}", f"second_{_d}"),
         f"after_third_{_d}": _merged(_d, f"after_second_{_d}", f"third_{_d}"),
+        # the same under the batch rules
+        f"strict_second_{_d}": _source(_d, f"(from landed_chg_{_d} where arrival = 1)", BATCH_RULES),
+        f"strict_third_{_d}": _source(_d, f"(from landed_chg_{_d} where arrival = 2)", BATCH_RULES),
+        f"after_strict_second_{_d}": _merged(_d, f"landed_val_{_d}", f"strict_second_{_d}"),
+        f"after_strict_third_{_d}": _merged(_d, f"after_strict_second_{_d}", f"strict_third_{_d}"),
+        # both deliveries in one batch, the later one counts
+        f"uniq_{_d}": f"select * from raw_{_d} where trim({KEYS[_d]}) <> '' {_pick_one(_d)}",
+        f"uniq_chg_{_d}": " union all ".join([
+            _delivery(_d, 1, REDELIVERED[_d][0], f"uniq_{_d}"),
+            _delivery(_d, 2, REDELIVERED[_d][1], f"uniq_{_d}"),
+            _delivery(_d, 2, {KEYS[_d]: f"{KEYS[_d]}||'-N'"}, f"uniq_{_d}"),
+        ]),
+        f"landed_uniq_chg_{_d}": _landed(_d, f"uniq_chg_{_d}", ", arrival"),
+        f"by_time_{_d}": _source(_d, f"landed_uniq_chg_{_d}"),
+        f"after_by_time_{_d}": _merged(_d, f"landed_val_{_d}", f"by_time_{_d}"),
     }
 
 BLOCKS |= {
@@ -347,19 +364,22 @@ def _lost(domain: str, column: str, parents: str, text: str) -> str:
         from val_{domain} where {column} not in (select {column} from val_{parents})"""
 
 
+REASONS = {
+    "guests": ("VALUE", "'email not valid'"),
+    "reservations": (
+        "TEMPORAL",
+        "case when check_in_date is null then 'check_in_date not a date'"
+        " when check_out_date is null then 'check_out_date not a date'"
+        " else 'check_out_date not after check_in_date' end",
+    ),
+    "rooms": ("VALUE", "if(capacity > 0, 'base_price not valid', 'capacity not valid')"),
+    "housekeeping": ("TEMPORAL", "'end_time before start_time'"),
+    "billing": ("VALUE", "'amount not valid'"),
+}
+
+
 def _rejected(domain: str) -> str:
-    kind, text = {
-        "guests": ("VALUE", "'email not valid'"),
-        "reservations": (
-            "TEMPORAL",
-            "case when check_in_date is null then 'check_in_date not a date'"
-            " when check_out_date is null then 'check_out_date not a date'"
-            " else 'check_out_date not after check_in_date' end",
-        ),
-        "rooms": ("VALUE", "if(capacity > 0, 'base_price not valid', 'capacity not valid')"),
-        "housekeeping": ("TEMPORAL", "'end_time before start_time'"),
-        "billing": ("VALUE", "'amount not valid'"),
-    }[domain]
+    kind, text = REASONS[domain]
     key, name = KEYS[domain], domain.upper()
     return f"""
         select '{name}', {key}, '{kind}', {text} from one_{domain}
@@ -373,6 +393,22 @@ def _rejected(domain: str) -> str:
         where i > 1"""
 
 
+def _merge_rejected(domain: str, arrival: int) -> str:
+    """Rows of one delivery that a merge rejects or loses as copies."""
+    kind, text = REASONS[domain]
+    key, name, rule = KEYS[domain], domain.upper(), f"coalesce({MERGE_RULES[domain]}, false)"
+    typed = f"(select {_typed(domain)} from landed_chg_{domain} where arrival = {arrival})"
+    return f"""
+        select '{name}' as domain, {key} as natural_key, 'VALUE' as error_type, '{key} missing' as error_detail from {typed} where {key} is null
+        union all
+        select '{name}', {key}, '{kind}', {text} from {typed} where {key} is not null and not {rule}
+        union all
+        select '{name}', {key}, 'DEDUP', format('copy {{}} of {{}} for {key}', i, n)
+        from (select {key}, row_number() over (partition by {key}) as i, count(*) over (partition by {key}) as n
+              from {typed} where {key} is not null and {rule})
+        where i > 1"""
+
+
 BLOCKS["fk_reservation_guest"] = _lost("reservations", "guest_id", "guests", "guest_id not in GUESTS")
 BLOCKS["fk_housekeeping_room"] = _lost("housekeeping", "room_id", "rooms", "room_id not in ROOMS")
 BLOCKS["exceptions"] = " union all ".join(
@@ -392,8 +428,8 @@ BLOCKS["loads"] = " union all ".join(
 )
 
 
-def _versions(dim: str, sk: str, key: str, merged: str, tracked: tuple[str, ...], columns: list[str]) -> str:
-    """Slowly changing dimension after one snapshot, first load before it."""
+def _versions(dim: str, sk: str, key: str, merged: str, tracked: tuple[str, ...], columns: list[str], now: str = CHANGED_AT) -> str:
+    """Slowly changing dimension after one snapshot."""
     moved = " or ".join(f"o.{c} is distinct from n.{c}" for c in tracked)
     values = [c for c in columns if c != key]
     stay = ", ".join(
@@ -402,13 +438,15 @@ def _versions(dim: str, sk: str, key: str, merged: str, tracked: tuple[str, ...]
     )
     return f"""
         select o.{sk}, o.{key}, {stay}, o.effective_from,
-          if(n.{key} is not null and ({moved}), {CHANGED_AT}, {NO_TIME}) as effective_to,
+          if(n.{key} is not null and ({moved}), {now}, {NO_TIME}) as effective_to,
           not (n.{key} is not null and ({moved})) as is_current
-        from {dim} o left join {merged} n on n.{key} = o.{key}
+        from {dim} o left join {merged} n on n.{key} = o.{key} where o.is_current
+        union all
+        select {sk}, {key}, {', '.join(values)}, effective_from, effective_to, is_current from {dim} where not is_current
         union all
         select (select max({sk}) from {dim}) + {number(key)} as {sk}, {key}, {', '.join(values)},
-          {CHANGED_AT}, {NO_TIME}, true
-        from (select n.* from {merged} n left join {dim} o on n.{key} = o.{key}
+          {now}, {NO_TIME}, true
+        from (select n.* from {merged} n left join (from {dim} where is_current) o on n.{key} = o.{key}
               where o.{key} is null or {moved})"""
 
 
@@ -427,3 +465,38 @@ BLOCKS["refreshed"] = f"""
       coalesce(v.status = 'No_Show', false) as is_no_show
     from mrg_reservations v left join (from scd_guest where is_current) g using (guest_id)
       left join (from scd_room where is_current) r using (room_id)"""
+
+
+# ---- the scheduled jobs: a full load and two hours, over landed files --------
+
+_LANDED = re.compile(r"\b(raw|one|val)_(" + "|".join(FEEDS) + r")\b")
+
+
+def _over_landed(name: str) -> str:
+    """A block's text over what came through files."""
+    return _LANDED.sub(lambda m: f"landed_{m[2]}" if m[1] == "raw" else f"landed_{m[1]}_{m[2]}", BLOCKS[name])
+
+
+_HOURS = {1: "timestamp '2024-02-01 01:00:00'", 2: "timestamp '2024-02-01 02:00:00'"}
+_AFTER = {1: "after_second", 2: "after_third"}
+for _dim, _of, _sk, _tracked in (("dim_guest", "guests", "guest_sk", ("loyalty_tier", "email", "phone")), ("dim_room", "rooms", "room_sk", ("base_price", "status"))):
+    _columns = [c for c in COLUMNS[_of] if c != "address"]
+    BLOCKS[f"job_{_dim}_0"] = _over_landed(_dim)
+    for _hour, _now in _HOURS.items():
+        BLOCKS[f"job_{_dim}_{_hour}"] = _versions(f"job_{_dim}_{_hour - 1}", _sk, KEYS[_of], f"{_AFTER[_hour]}_{_of}", _tracked, _columns, _now)
+for _fact, _of in (("stays", "reservations"), ("tasks", "housekeeping"), ("bills", "billing")):
+    BLOCKS[f"job_{_fact}"] = (
+        BLOCKS[_fact].replace(f"val_{_of}", f"after_third_{_of}")
+        .replace("join dim_guest", "join (from job_dim_guest_2 where is_current) g").replace("join dim_room", "join (from job_dim_room_2 where is_current) r"))
+BLOCKS["job_exceptions"] = " union all ".join(
+    [f"select 0 as run, domain, natural_key, error_type, error_detail from ({_over_landed('exceptions')})"]
+    + [f"select {h * 5 + i}, * from ({_merge_rejected(d, h)})" for h in _HOURS for i, d in enumerate(("guests", "reservations", "rooms", "housekeeping", "billing"))])
+BLOCKS["job_loads"] = " union all ".join(
+    [f"select 0 as run, domain, total_rows, passed_rows, {AS_OF} as batch_ts from ({_over_landed('loads')})"]
+    + [f"select {h * 5 + i}, '{d.upper()}', (select count(*) from landed_chg_{d} where arrival = {h}), (select count(*) from {s}_{d}), {_HOURS[h]}"
+       for h, s in ((1, "second"), (2, "third")) for i, d in enumerate(("guests", "reservations", "rooms", "housekeeping", "billing"))])
+BLOCKS["job_dim_room"] = "select * from job_dim_room_2 where is_current"
+_RULES = ("double_booking", "hk_sla_breach", "overdue", "maintenance_overdue", "billing_mismatch", "suspicious_cancellation", "findings")
+_OF_JOBS = re.compile(r"\b(stays|tasks|bills|dim_room|" + "|".join(_RULES) + r")\b")
+for _rule in _RULES:
+    BLOCKS[f"job_{_rule}"] = _OF_JOBS.sub(r"job_\1", BLOCKS[_rule]).replace(AS_OF, _HOURS[2])

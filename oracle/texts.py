@@ -49,6 +49,26 @@ BODIES = {
     **{f"view_{k}": f"select * from {k}" for k in (
         "kpi_occupancy", "kpi_conversion", "kpi_hk_sla", "kpi_revpar", "kpi_billing_accuracy")},
     **{f"incremental_{d}": f"select * from after_third_{d}" for d in KEYS},
+    **{f"incremental_strict_{d}": f"select * from after_strict_third_{d}" for d in KEYS},
+    **{f"incremental_by_time_{d}": f"select * from after_by_time_{d}" for d in KEYS},
+    "list_files_rooms": "select cast(least(3, count(*)) as bigint) as files, cast(0 as bigint) as empty_files from landed_rooms",
+    "job_fact_reservation": "select * from job_stays",
+    "job_fact_housekeeping": "select * from job_tasks",
+    "job_fact_billing": "select * from job_bills",
+    "job_dim_guest": "select * from job_dim_guest_2",
+    "job_dim_room": "select * from job_dim_room_2",
+    "job_anomaly_log": f"""
+        select {number('rule_name', 'entity_id', 'details')} as anomaly_id, *, {AS_OF} + interval 2 hour as detected_at
+        from job_findings""",
+    **{f"job_validated_{d}": f"select * from after_third_{d}" for d in KEYS},
+    "job_load_log": f"""
+        select row_number() over (order by run, md5(domain)) as log_id, domain, total_rows, passed_rows,
+          total_rows - passed_rows as failed_rows,
+          if(total_rows > passed_rows, format('{{}} rows rejected', total_rows - passed_rows), null) as error_detail, batch_ts
+        from job_loads""",
+    "job_dq_exceptions": f"""
+        select {number('domain', 'natural_key', 'error_type', 'error_detail').replace('order by', 'order by run,')} as exception_id,
+          domain, natural_key, error_type, error_detail, {AS_OF} + (run // 5) * interval 1 hour as logged_at from job_exceptions""",
     "dq_reservation_guest_fk": "select * from fk_reservation_guest",
     "dq_housekeeping_room_fk": "select * from fk_housekeeping_room",
     "dq_exceptions": f"""
