@@ -5,7 +5,7 @@ or boilerplate; these costs are the capacities from the source and to the sink.
 blocks with one parent are joined by smoothness edges, the stronger the more of the document tree they
 share. The blocks on the source's side after a maximum flow are the text.
 
-The classifier is fitted on at most ``FIT_PAGES`` pages, those whose address hashes least: blocks inside article or main elements are
+The classifier is fitted on at most ``FIT_PAGES`` pages, those whose html hashes least: blocks inside article or main elements are
 examples of content, those inside navigation, footers, asides and forms of boilerplate. It starts from,
 and is drawn towards, ``PRIOR``; for half of the pages the element names are hidden, so the weights of length, links
 and names of classes are learnt as well. Every page and every block is labelled; nothing is cut or capped.
@@ -36,8 +36,10 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_PARTS = re.compile(r"[a-z]+")
+_VALUES = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)", re.I)
+_UNSHOWN = re.compile(r"aria-hidden\s*=\s*[\"']?true|\bstyle\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none", re.I)
+_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg canvas iframe select button textarea title object audio video".split())
@@ -51,6 +53,11 @@ BOILER_HINTS = frozenset(
     "overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget related recommended share sharing social follow "
     "subscribe subscription newsletter signup login register search comment comments reply replies disqus discussion respond footer header masthead "
     "copyright legal disclaimer pagination pager tags toolbar contentinfo complementary".split())
+#: Words that say where or what kind of box a part is, and first words of names that tell what else is on the page.
+BOX_WORDS = frozenset(
+    "left right top bottom main primary secondary list item items box block wrapper wrap container inner outer section area bar panel "
+    "link links form title text content body button buttons group row column icon count author meta module region".split())
+ABOUT_WORDS = frozenset("has have with without no not is".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 #: Features and the weights towards which the fit is drawn (positive: content).
@@ -59,33 +66,71 @@ PRIOR = np.array([-1.0, -6.0, -6.0, 4.0, 2.0, 0.6, -3.0, 0.5, 0.5, -0.5, -2.0])
 SEMANTIC = [1, 3]
 
 
+def hinted(name: str) -> tuple[bool, bool]:
+    """Whether a class, id or role names (boilerplate, content), going by the whole name.
+
+    The last word says what a thing is (``site-footer``), or the first one does and the others where it is
+    (``sidebar-left``); a boilerplate word elsewhere (``search-page``, ``has-sidebar``) says nothing of what is inside.
+    """
+    words = [w.lower() for w in _PARTS.findall(name)]
+    if not words or words[0] in ABOUT_WORDS:
+        return False, False
+    boiler = [w in BOILER_HINTS for w in words]
+    if boiler[-1] or (boiler[0] and all(x or w in BOX_WORDS for x, w in zip(boiler, words))):
+        return True, False
+    return False, not any(boiler) and any(w in CONTENT_HINTS for w in words)
+
+
 class _Node:
-    __slots__ = ("article", "block", "boiler_hint", "boiler_tag", "content_hint", "depth", "heading", "item", "link", "name", "parent")
+    __slots__ = ("article", "block", "boiler_tag", "content_hint", "depth", "heading", "hinter", "item", "link", "name", "outer_hinter", "parent", "proper")
 
     def __init__(self, name: str, attributes: str, parent: _Node | None):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
-        words = set()
+        boiler = content = False
         if attributes and name not in ("html", "body"):
             for a, b, c in _HINTS.findall(attributes):
-                words.update(_PARTS.findall((a or b or c).lower()))
-        boiler, content = bool(words & BOILER_HINTS), bool(words & CONTENT_HINTS)
-        if attributes and _HIDDEN.search(attributes) and name not in ("html", "body"):
-            boiler, content = True, False
-        if boiler and content:
-            boiler = content = False
+                for word in (a or b or c).split():
+                    one, other = hinted(word)
+                    boiler, content = boiler or one or word == "hidden", content or other
+            if boiler and content:
+                boiler = content = False
+            if _HIDDEN.search(_VALUES.sub(" ", attributes)) or _UNSHOWN.search(attributes):
+                boiler, content = True, False
         up = parent
         self.article = name in ("article", "main") or bool(up and up.article)
         outer_header = name == "header" and not self.article
         self.boiler_tag = name in BOILER_TAGS or outer_header or bool(up and up.boiler_tag)
-        self.boiler_hint = boiler or bool(up and up.boiler_hint)
+        self.outer_hinter = up.hinter if up else None
+        self.hinter = self if boiler else self.outer_hinter
         self.content_hint = content or bool(up and up.content_hint)
+        self.proper = name in ("article", "main", "h1") or content
         self.link = name == "a" or bool(up and up.link)
         self.heading = (len(name) == 2 and name[0] == "h" and name[1].isdigit()) or bool(up and up.heading)
         self.item = name in ("li", "td", "dt", "dd") or bool(up and up.item)
         self.block = self if name not in INLINE or up is None else up.block
 
 
+def _boiler_hints(owners: list[_Node], words: list[int], wrappers: set[_Node]) -> list[bool]:
+    """Whether a boilerplate name counts for each block.
+
+    It does not if its element holds most of the page's words and the content's own element is inside it.
+    """
+    held: dict[_Node, int] = {}
+    for owner, n in zip(owners, words):
+        at = owner.hinter
+        while at is not None:
+            held[at] = held.get(at, 0) + n
+            at = at.outer_hinter
+    total, out = sum(words), []
+    for owner in owners:
+        at = owner.hinter
+        while at is not None and at in wrappers and 2 * held[at] > total:
+            at = at.outer_hinter
+        out.append(at is not None)
+    return out
+
+
 def blocks_of(html: str) -> tuple[list[str], np.ndarray, list[tuple[int, int, float]]]:
     """(texts, features, edges (i, j, weight)) of a page's blocks."""
     root = _Node("", "", None)
@@ -103,7 +148,7 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray, list[tuple[int, int, fl
             words = text.count(" ") + 1
             k = len(texts)
             features.append((
-                1.0, owner.boiler_tag, owner.boiler_hint, owner.article, owner.content_hint, np.log1p(words),
+                1.0, owner.boiler_tag, False, owner.article, owner.content_hint, np.log1p(words),
                 sum(len(t.strip()) for t, link in parts if link) / size, text[-1] in ".!?:;…\"'”)", owner.heading, owner.item,
                 "©" in text or "copyright" in text.lower(),
             ))
@@ -121,6 +166,7 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray, list[tuple[int, int, fl
         parts = []
 
     keep: list[_Node] = []
+    wrappers: set[_Node] = set()
     depths: list[int] = []
 
     def add(text: str):
@@ -172,8 +218,12 @@ def blocks_of(html: str) -> tuple[list[str], np.ndarray, list[tuple[int, int, fl
                 up = up.parent
         if not found["attributes"].rstrip().endswith("/"):
             node = _Node(name, found["attributes"], node)
+            if node.proper and node.outer_hinter is not None:
+                wrappers.add(node.outer_hinter)
     flush()
-    return texts, np.array(features, np.float64).reshape(len(texts), len(FEATURES)), edges
+    matrix = np.array(features, np.float64).reshape(len(texts), len(FEATURES))
+    matrix[:, 2] = _boiler_hints(keep, [t.count(" ") + 1 for t in texts], wrappers)
+    return texts, matrix, edges
 
 
 def source_side(to_source: np.ndarray, to_sink: np.ndarray, edges: list[tuple[int, int, float]]) -> np.ndarray:

@@ -368,7 +368,10 @@ def _range_bits(docs: DataFrame) -> int:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links), text_code, component.
+
+    ``text_code`` is the text's xxhash64, ``component`` tells components apart that rows with equal ids name alike.
+    """
     text = F.col(text_col).cast("string")
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text).alias("text_code"), text.alias("text"))
     signed = saved(docs.mapInArrow(_signer(words), SIGNATURE))
@@ -422,7 +425,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    rows = signatures.select(known.alias("doc_id"), "n", _node()).join(classes_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = signatures.select(known.alias("doc_id"), "text_code", "n", _node()).join(classes_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = rows.groupBy("component").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "component")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_code", "component")

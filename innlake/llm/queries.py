@@ -70,7 +70,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def byte_bpe(name: str = "byte_bpe_50k.tiktoken") -> tuple[dict[bytes, int], str]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from innlake.llm import queries
-from innlake.llm.html_text import PRIOR, blocks_of, main_texts, page_text, source_side
+from innlake.llm.html_text import PRIOR, blocks_of, hinted, main_texts, page_text, source_side
 
 RICH = """<!doctype html><html><head><title>T</title><style>p{}</style><script>if (a<b) document.write("</p>")</script></head>
 <body class="page has-sidebar"><header><h2>Site name</h2><p>All the news that fits, every single day of the year.</p></header>
@@ -32,6 +32,42 @@ def test_page_without_article_element():
     assert page_text(RICH, PRIOR).split("\n\n") == WANT
 
 
+WRAPPERS = ["layout has-sidebar", "overflow-hidden", "page-header-fixed", "tags-page", "search-page", "social-site", "site-wrapper", "no-comments", "with-banner", "hidden"]
+CONTENTS = ["content", "post-body", "entry-content"]
+
+
+def test_layouts_without_article():
+    """Thirty layouts: what is found of the text, and how much of what is found is text."""
+    found = right = wanted = 0
+    for k, (wrapper, inner) in enumerate(itertools.product(WRAPPERS, CONTENTS)):
+        paragraphs = [f"Paragraph {n} of story {k} tells at some length what happened on that day, and why it mattered to everybody." for n in range(3 + k % 4)]
+        extra = ["Read our other stories about the very same thing right here, every day.", "We use cookies to make this site better for all of you.", "I disagree with every single word of it."]
+        html = (f'<html><body><div class="{wrapper}"><div class="site-header"><p>The daily site of all news</p></div><div class="nav-list"><a href=/>Home</a> <a href=/w>World</a></div>'
+                f'<div class="{inner}"><h1>Story {k}</h1>{"".join(f"<p>{p}</p>" for p in paragraphs)}</div><div class="sidebar-left"><p>{extra[0]}</p></div>'
+                f'<div id="cookie-notice"><p>{extra[1]}</p></div><div class="comment-list"><p class="comment-body">{extra[2]}</p></div><div class="site-footer">© Somebody</div></div></body></html>')
+        got, want = page_text(html, PRIOR).split("\n\n"), [f"Story {k}", *paragraphs]
+        found, right, wanted = found + len([g for g in got if g]), right + len(set(got) & set(want)), wanted + len(want)
+    assert right / wanted >= 0.9 and right / found >= 0.9
+
+
+def test_whole_names():
+    assert [n for n in ("site-header", "sidebar-left", "cookieNotice", "comment-body", "nav", "main-menu", "ads") if not hinted(n)[0]] == []
+    assert [n for n in ("has-sidebar", "overflow-hidden", "page-header-fixed", "tags-page", "search-page", "social-site", "shadow", "navy", "loader") if hinted(n)[0]] == []
+    assert hinted("post-content") == (False, True) and hinted("x1") == (False, False)
+
+
+def test_long_comments_stay_out():
+    html = '<body><div class="story"><h1>News</h1><p>A short story was told by somebody, and it ended well.</p></div><section class="comments"><h3>Comments</h3>' + (
+        '<div class="comment-body"><p>I have a lot to say about all of this, and I will say it again and again.</p></div>' * 40) + "</section></body>"
+    assert page_text(html, PRIOR).split("\n\n") == ["News", "A short story was told by somebody, and it ended well."]
+
+
+def test_hidden_is_an_attribute():
+    text = "<p>A sentence of the story that has quite a few words in it.</p>"
+    assert page_text(f'<div class="content"><div hidden>{text}</div></div>', PRIOR) == page_text(f'<div class="content"><div style="display: none">{text}</div></div>', PRIOR) == ""
+    assert page_text(f'<div class="content" data-x="hidden" title="a hidden thing">{text}</div>', PRIOR) != ""
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<p>", "<script>x", "<!-- never closed", "<nav>a</nav>", "</div></p>", "<" * 50, "&nbsp;"])
 def test_odd_pages_do_not_crash(html):
     assert page_text(html, PRIOR) in ("", "<" * 50)

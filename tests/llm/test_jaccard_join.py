@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from innlake.llm import queries
-from innlake.llm.jaccard_join import jaccard_components
+from innlake.llm import jaccard_join, queries
+from innlake.llm.jaccard_join import jaccard_components, prefixes
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -61,6 +62,34 @@ def test_components_against_brute_force(spark, seed):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("bits", [6, 9])
+def test_order_does_not_depend_on_tasks(spark, bits):
+    rows = [(k, t) for k, (_, t) in enumerate(made(3, 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    one, many = (sorted(map(repr, prefixes(docs.repartition(n), *none, 5, 75, bits).collect())) for n in (1, 16))
+    assert one == many and one
+
+
+def test_frequent_tokens_change_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "OFTEN", 2)
+    monkeypatch.setattr(jaccard_join, "TALLY", 50)
+    monkeypatch.setattr(jaccard_join, "PACKED", 200)
+    rows = made(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(50_000)}" for _ in range(60_000)]
+    other = [*long[:54_000], *(f"v{k}" for k in range(6_000))]
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(long[:40_000])), (4, " ".join(long[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in jaccard_components(docs).collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
