@@ -1,15 +1,16 @@
 """Cleaning a corpus in stages; each keeps the documents the next one works on.
 
 1. toxicity: documents that the severity model calls toxic go. The model is fitted on the labels of the tables' folder.
-2. near_duplicates: of each group of documents linked by word shingles one stays, the one with the smallest id; documents
-   without a word link with nothing and stay.
+2. near_duplicates: of each group of documents linked by word shingles one row stays, the one with the smallest id (null ids
+   last, equal ids by the text's hash); rows that share an id but are not linked stay both, and documents without a word
+   link with nothing and stay.
 3. repeated_substrings: what stands at two places or more goes from the text, character by character, and
    documents of which nothing is left go with it. Texts that were empty before stay.
 4. decontaminate: documents with a benchmark passage go.
 5. byte_bpe: what is left is encoded; ids, their number and the decoded text's equality with the text are returned.
 
-Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents. Rows of one id and text are
-one group in stage 2, of which one row stays; null texts stay null until the last stage.
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of documents. Null texts stay null until the
+last stage. What a stage wrote is removed when the next one has been written; only the last one's input stays.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from innlake.llm.jaccard_join import jaccard_components
 from innlake.llm.queries import byte_bpe, table
 from innlake.llm.suffix_dedup import without_repeats
 from innlake.llm.toxicity import fit_on_labels, score
-from innlake.llm.workspace import saved
+from innlake.llm.workspace import removed, saved
 
 #: SQL has no ordinal regression and no byte-pair merges; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -35,14 +36,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_components(docs).where("n_shingles > 0").select("doc_id", "component_id")
-    leaders = groups.where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    text = F.coalesce("text", F.lit(""))
-    words = docs.where(text.rlike(r"[^\x20\x09-\x0D]"))
-    kept = words.join(leaders, words["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi")
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = kept.withColumn("_nth", once).where("_nth = 1 or doc_id is null").select(*docs.columns)
-    return kept.unionByName(docs.where(~text.rlike(r"[^\x20\x09-\x0D]")))
+    keys = ["_id", "_unnamed", "_code"]
+    groups = jaccard_components(docs).where("n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_code")).alias("first")
+    leaders = groups.groupBy("component").agg(first).select(
+        F.coalesce("first.doc_id", F.lit(0)).alias("_id"), F.col("first.doc_id").isNull().alias("_unnamed"), F.col("first.text_code").alias("_code")).distinct()
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    coded = docs.where(~wordless).withColumns({
+        "_id": F.coalesce("doc_id", F.lit(0)), "_unnamed": F.col("doc_id").isNull(), "_code": F.xxhash64(F.col("text").cast("string"))})
+    # rows of one id and text: the rank filter leaves one of each task before the shuffle
+    once = F.row_number().over(Window.partitionBy(*keys).orderBy(*docs.columns))
+    kept = coded.join(leaders, keys, "left_semi").withColumn("_nth", once).where("_nth = 1").select(*docs.columns)
+    return kept.unionByName(docs.where(wordless))
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,6 +82,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written to the shared folder before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, saved(stage(spark, docs, sf_dir))
+        if k:
+            removed(before)
     return STAGES[-1][1](spark, docs, sf_dir)
