@@ -17,6 +17,14 @@ def test_near_duplicates_keeps_one_of_each_group(spark, sf_dir):
     assert got == sorted(d for d, n, c in brute_groups(rows) if n == 0 or c == d)
 
 
+def test_near_duplicates_loses_no_row_for_a_shared_id(spark, sf_dir):
+    one, other, third = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight", "red green blue black white grey brown pink")
+    rows = [(1, one), (1, other), (2, one), (1, one), (None, other), (None, third), (None, third), (None, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, "s", k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, source string, _nth int")
+    got = sorted(((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, sf_dir).collect()), key=str)
+    assert got == sorted([(1, one), (1, other), (None, third), (None, None), (3, "")], key=str)
+
+
 def test_decontaminate_drops_hit_documents_only(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
