@@ -48,6 +48,7 @@ LISTED_TOKENS = 1 << 18
 RANGE_BITS = 11
 HUBS = 2
 MEMBERS = 256
+FOUND = pa.schema([("code", pa.int64()), ("n", pa.int32()), ("size", pa.int32()), ("entries", pa.list_(pa.int64()))])
 NO_ID = -(2**63)
 BROADCAST_ROWS = 500_000
 
@@ -230,6 +231,8 @@ def _matcher(bits: int):
         return np.concatenate(tokens), np.concatenate(codes)
 
     def matched(part: int, tokens: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
+        if not len(tokens):
+            return pa.RecordBatch.from_pylist([], FOUND)
         order = np.argsort(tokens, kind="stable")
         tokens, codes = tokens[order], codes[order]
         same = tokens[1:] == tokens[:-1]
