@@ -23,6 +23,7 @@ at a time. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,11 @@ PACKED = 1 << 20
 #: A token of so many sets of one task is counted by tasks; the most frequent of these, at most LISTED_TOKENS, are sent to all.
 OFTEN = 8
 LISTED_TOKENS = 1 << 18
-RANGE_BITS = 11
+RANGE_BITS = 10
 HUBS = 2
+LISTED = 64
 MEMBERS = 256
+PARITIES = [f"p{k}" for k in range((1 << RANGE_BITS) // 64)]
 FOUND = pa.schema([("code", pa.int64()), ("n", pa.int32()), ("size", pa.int32()), ("entries", pa.list_(pa.int64()))])
 NO_ID = -(2**63)
 BROADCAST_ROWS = 500_000
@@ -327,21 +330,21 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(once, "token")
 
 
-def _possible(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) that pass three filters; rows have a, a_at, a_parity, b, b_at, b_parity.
+def _possible(rows: DataFrame, percent: int, once: Column | str = "true") -> DataFrame:
+    """Distinct pairs (a, b) that pass three filters; rows have a, a_at, a_p0 .., b, b_at, b_p0 ..
 
     Length: the smaller set is large enough. Position: the common token leaves enough tokens that both may hold; before it, these
     are among those that another set holds. Suffix: each code range whose token counts differ in parity holds a token that one set has
-    and the other lacks. Of a join's rows only those that pass are made, as its condition.
+    and the other lacks. Of a join's rows only those that pass are made, as its condition; ``once`` is tested last.
     """
     a, b = F.col("a.n"), F.col("b.n")
     need = F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))
     after = F.least(a - F.shiftright("a_at", 32), b - F.shiftright("b_at", 32))
     before = F.least(F.col("a_at").bitwiseAND(F.lit(0xFFFFFFFF)), F.col("b_at").bitwiseAND(F.lit(0xFFFFFFFF)))
     close = (after + before >= need) | (F.least("a_at", "b_at") < 0)
-    odd = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    odd = reduce(Column.__add__, [F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES])
     near = odd <= a + b - 2 * need
-    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & close & near).select(
+    return rows.where((100 * F.least(a, b) >= percent * F.greatest(a, b)) & close & near).where(once).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -381,13 +384,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signatures = signed.where("n is not null").drop("token", "times")
     shared = saved(_shared(saved(prefixes(docs, *_frequent(signed), words, percent, _range_bits(docs)))))
     involved = shared.select("node").distinct()
-    info = signatures.select(_node(), "parity").join(involved, "node", "left_semi").dropDuplicates(["node"])
+    parities = (F.get("parity", F.lit(k)).alias(p) for k, p in enumerate(PARITIES))  # as columns, for fast conditions of joins
+    info = signatures.select(_node(), *parities).join(involved, "node", "left_semi").dropDuplicates(["node"])
     shared = saved(shared.join(info, "node"))
     verified = lambda pairs: saved(_verified(pairs, docs, signatures, words, percent))
 
-    def linked(rows: DataFrame) -> DataFrame:
+    def linked(rows: DataFrame, once: Column | str = "true") -> DataFrame:
         """Links that join what the possible pairs can join: each node's first pair is compared, then what these leave apart."""
-        near = saved(_possible(rows, percent))
+        near = saved(_possible(rows, percent, once))
         one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         links = verified(one)
         joined = saved(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
@@ -407,10 +411,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def star(rows: DataFrame, centres: DataFrame, first: Column) -> DataFrame:
         """Every row beside its token's hub: of the centres the one that comes first."""
-        hubs = centres.groupBy("token").agg(F.min_by(F.struct("node", "at", "parity"), first).alias("hub"))
+        hubs = centres.groupBy("token").agg(F.min_by(F.struct("node", "at", *PARITIES), first).alias("hub"))
         return rows.join(hubs, "token").where("node != hub.node").select(
-            F.col("hub.node").alias("a"), F.col("hub.at").alias("a_at"), F.col("hub.parity").alias("a_parity"),
-            F.col("node").alias("b"), F.col("at").alias("b_at"), F.col("parity").alias("b_parity"))
+            F.col("hub.node").alias("a"), F.col("node").alias("b"), *(F.col(f"hub.{c}").alias(f"a_{c}") for c in ("at", *PARITIES)),
+            *(F.col(c).alias(f"b_{c}") for c in ("at", *PARITIES)))
 
     links = linked(star(shared, shared, F.col("node")))
     sides, strays = grouped(links)
@@ -421,10 +425,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         links = links.unionByName(verified(saved(_possible(star(strays, sides.where("component = main"), F.xxhash64(F.lit(turn), "node")), percent))))
         sides, strays = grouped(links)
 
-    left = strays.select("token", *(F.col(c).alias(f"a_{c}") for c in ("node", "at", "parity", "component"))).withColumnRenamed("a_node", "a")
-    right = sides.select("token", *(F.col(c).alias(f"b_{c}") for c in ("node", "at", "parity", "component")), "main").withColumnRenamed("b_node", "b")
+    # a pair is made under the least of its common tokens, unless one of its nodes has too many of them to be told with each row
+    listed = shared.groupBy("node").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") <= LISTED)
+    sides = saved(sides.join(listed, "node", "left"))
+    strays = sides.where("component != main")
+    columns = ("node", "at", *PARITIES, "component", "tokens")
+    left = strays.select("token", *(F.col(c).alias(f"a_{c}") for c in columns)).withColumnRenamed("a_node", "a")
+    right = sides.select("token", *(F.col(c).alias(f"b_{c}") for c in columns), "main").withColumnRenamed("b_node", "b")
     across = left.join(right, "token").where((F.col("a_component") != F.col("b_component")) & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))))
-    links = links.unionByName(linked(across))
+    first = F.array_min(F.array_intersect("a_tokens", "b_tokens"))
+    links = links.unionByName(linked(across, first.isNull() | (first == F.col("token"))))
 
     classes_of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
