@@ -143,6 +143,12 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lett
     return Words(starts, ends, span_codes(sums, starts, ends), np.searchsorted(starts, offsets), sums)
 
 
+def inserted(known: np.ndarray, order: np.ndarray, codes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising codes with their places after rising new ones came in."""
+    at = np.searchsorted(known, codes)
+    return np.insert(known, at, codes), np.insert(order, at, places)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, .. for each (start, length), one after the other."""
     total = int(lengths.sum())

@@ -7,7 +7,7 @@ writes and commits, so a lost executor leaves no partial file.
 
 Documents are dealt to ranges of ids (quantiles) and sorted there; a range becomes shards of about ``SHARD_IDS`` ids, a longer document
 one of its own. Only ids travel, not texts. Texts are cut at added tokens and into units that the byte-level rule never joins
-(``pieces.units``); the library encodes every distinct unit of a task.
+(``pieces.units``); each distinct unit of a task is split by the byte-level pattern, and the library's model encodes every distinct piece.
 
 Defined results: null and empty texts are the end id alone; null document ids come first, equal ones are ordered by their
 ids; an empty table makes no shard.
@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from innlake.llm.arrowtext import prefix_codes, row_chunks, span_codes, text_buffers
+from innlake.llm.arrowtext import inserted, prefix_codes, row_chunks, span_codes, text_buffers
 from innlake.llm.bpe import spread
 from innlake.llm.fingerprints import _range_of
 from innlake.llm.pieces import units
@@ -36,7 +36,7 @@ from innlake.llm.workspace import saved, shared_folder
 SHARD_IDS = 1 << 20
 BLOCK = 512
 MAGIC = b"IDWM1\n"
-MOST_KNOWN = 500_000
+MOST_KNOWN = 400_000
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD = "bucket long, shard int, n_ids long, data binary"
@@ -161,12 +161,21 @@ def read_shard(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
     return table["doc_ids"], np.array(table["sizes"], np.int64), WaveletMatrix(planes, header["n"])
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: itself where it is printable, else one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file with byte-level splitting; the library encodes each distinct unit once while it is kept."""
+    """Ids of texts by a tokenizer file with byte-level splitting; its library's model encodes each distinct piece once while it is kept."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, pattern: str):
         import os
 
+        import regex
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -174,13 +183,16 @@ class Encoder:
         added = json.loads(content)["added_tokens"]
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("added tokens that depend on what surrounds them are not supported")
-        names = sorted((t["content"].encode() for t in added), key=len, reverse=True)
+        self.added, self.letters, self.matches = {t["content"]: t["id"] for t in added}, byte_letters(), regex.compile(pattern, regex.V1).findall
+        names = sorted((t.encode() for t in self.added), key=len, reverse=True)
         self.cut = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.forget()
 
     def forget(self) -> None:
         self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.of_piece = {token: k for k, token in enumerate(self.added)}
+        self.piece_ids, self.piece_bounds = np.array([*self.added.values()], np.uint32), np.arange(len(self.added) + 1)
 
     def _borders(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where texts and added tokens begin and end."""
@@ -196,6 +208,20 @@ class Encoder:
         raw = data.tobytes()
         return np.array([x for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in self.cut.finditer(raw, low, high) for x in m.span()], np.int64)
 
+    def _new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of units not met before; an added token is a piece of its own."""
+        split = [(u,) if u in self.added else self.matches(u) for u in units]
+        fresh = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.of_piece]
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in fresh]
+        self.of_piece.update(zip(fresh, range(len(self.of_piece), len(self.of_piece) + len(fresh))))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.piece_ids = np.concatenate([self.piece_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
+        self.piece_bounds = np.concatenate([self.piece_bounds, self.piece_bounds[-1] + np.cumsum(sizes)])
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        index = np.fromiter(map(self.of_piece.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        return spread(self.piece_ids, self.piece_bounds, index, np.concatenate(([0], np.cumsum(counts))))
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds by text) of texts given as bytes and offsets."""
         if len(self.known) > MOST_KNOWN:  # start anew; only time depends on what is kept
@@ -207,25 +233,21 @@ class Encoder:
         old = self.known[at] == codes if len(self.known) else np.zeros(len(codes), bool)
         fresh = np.flatnonzero(~old)
         raw = data.tobytes()
-        found = self.tokenizer.encode_batch_fast([raw[starts[k] : ends[k]].decode() for k in first[fresh].tolist()], add_special_tokens=False)
-        found = [x.ids for x in found]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids, bounds = self._new([raw[starts[k] : ends[k]].decode() for k in first[fresh].tolist()])
         places = np.empty(len(codes), np.int64)
         places[old] = self.order[at[old]] if len(self.known) else 0
         places[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        known, order = np.concatenate([self.known, codes[fresh]]), np.concatenate([self.order, places[fresh]])
-        by_code = np.argsort(known, kind="stable")
-        self.known, self.order = known[by_code], order[by_code]
+        self.ids = np.concatenate([self.ids, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+        self.known, self.order = inserted(self.known, self.order, codes[fresh], places[fresh])
         return spread(self.ids, self.bounds, places[index], np.searchsorted(starts, offsets))
 
 
-def _encoder(tokenizer: str, end_id: int):
+def _encoder(tokenizer: str, pattern: str, end_id: int):
     """Ids of each document with the end id, as little-endian 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, pattern)
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for low, high in row_chunks(offsets):
@@ -266,10 +288,10 @@ def _sharder(limit: int):
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, pattern: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
     """Encode (doc_id, text) with a tokenizers file's content and write the shards to a folder."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = docs.select(_range_of(docs).alias("bucket"), "doc_id", "text").mapInArrow(_encoder(tokenizer, end_id), "bucket long, doc_id long, ids binary")
+    encoded = docs.select(_range_of(docs).alias("bucket"), "doc_id", "text").mapInArrow(_encoder(tokenizer, pattern, end_id), "bucket long, doc_id long, ids binary")
     dealt = encoded.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), "ids")
     dealt.mapInArrow(_sharder(shard_ids), SHARD).write.option("compression", "uncompressed").parquet(folder)
 
@@ -317,10 +339,10 @@ def read_ids(spark, folder: str) -> DataFrame:
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_ids", "ids")
 
 
-def ids_with_sums(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> DataFrame:
+def ids_with_sums(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the shards of (doc_id, text) and read them back: doc_id, start, n_tokens and a checksum of each document's ids."""
     folder = shared_folder(docs.sparkSession)
-    write_ids(docs, tokenizer, folder, end_id, shard_ids)
+    write_ids(docs, tokenizer, pattern, folder, end_id, shard_ids)
     summed = _documents(docs.sparkSession, folder).mapInArrow(_checker, "bucket long, shard int, inside long, doc_id long, n_ids long, ids_crc32 long")
     return summed.join(_starts(docs.sparkSession, folder), ["bucket", "shard"]).select(
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32")

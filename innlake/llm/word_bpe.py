@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innlake.llm.arrowtext import AS_IS, SPACES, list_array, ranges, row_chunks, text_buffers, with_columns, words_of
+from innlake.llm.arrowtext import AS_IS, SPACES, inserted, list_array, ranges, row_chunks, text_buffers, with_columns, words_of
 from innlake.llm.bpe import spread
 
 SHORT = 64
@@ -260,9 +260,7 @@ class Encoder:
         ids, bounds = self._new([raw[words.starts[k] : words.ends[k]].decode() for k in first[fresh].tolist()])
         self.ids = np.concatenate([self.ids, ids])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
-        known, order = np.concatenate([self.known, codes[fresh]]), np.concatenate([self.order, places[fresh]])
-        by_code = np.argsort(known, kind="stable")
-        self.known, self.order = known[by_code], order[by_code]
+        self.known, self.order = inserted(self.known, self.order, codes[fresh], places[fresh])
         return spread(self.ids, self.bounds, places[index], words.bounds)
 
 

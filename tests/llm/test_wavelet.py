@@ -11,6 +11,7 @@ from innlake.llm.arrowtext import text_buffers
 from innlake.llm.wavelet import Encoder, WaveletMatrix, ids_with_sums, read_ids, read_shard, write_ids, write_shard
 from innlake.llm.workspace import shared_folder
 
+PATTERN = queries.byte_bpe()[1]
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
 
@@ -60,7 +61,7 @@ def test_files_against_the_library(spark, content, reference, shard_ids):
     rows = [(k * 3 % 40, t) for k, t in enumerate(["Hello world", None, "", "a\n\n b", "été 😀", "<|endoftext|>", "x" * 5000, "same", "same"] * 4)]
     rows = [(k, t) for k, (_, t) in enumerate(rows)][::-1] + [(None, "no id")]
     docs = spark.createDataFrame([(*r, "extra") for r in rows], "doc_id long, text string, bucket string")
-    got = ids_with_sums(docs, content, shard_ids=shard_ids).collect()
+    got = ids_with_sums(docs, content, PATTERN, shard_ids=shard_ids).collect()
     assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == brute(rows, reference)
 
 
@@ -69,7 +70,7 @@ LETTERS = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "\t", "\u00a0"
 
 
 def test_units_are_encoded_as_in_their_text(content, reference):
-    chance, encoder = random.Random(5), Encoder(content)
+    chance, encoder = random.Random(5), Encoder(content, PATTERN)
     for _ in range(5):
         texts = ["".join(chance.choices(LETTERS, k=chance.randint(0, 12))) for _ in range(2000)]
         ids, bounds = encoder.encode(*text_buffers(pa.array(texts)))
@@ -78,7 +79,7 @@ def test_units_are_encoded_as_in_their_text(content, reference):
 
 
 def test_every_letter_before_a_suffix(content, reference):
-    encoder = Encoder(content)
+    encoder = Encoder(content, PATTERN)
     letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for low in range(0, len(letters), 50_000):
         text = "".join(f"{x}'s 1{x} {x}" for x in letters[low : low + 50_000])
@@ -88,13 +89,13 @@ def test_every_letter_before_a_suffix(content, reference):
 
 def test_added_tokens_do_not_cross_texts(content, reference):
     texts = ["a <|endof", "text|> b", "<|endoftext|>", "<|endoftext", "|><|endoftext|>"]
-    ids, bounds = Encoder(content).encode(*text_buffers(pa.array(texts)))
+    ids, bounds = Encoder(content, PATTERN).encode(*text_buffers(pa.array(texts)))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [reference.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_memo_starts_anew(content, monkeypatch, reference):
     monkeypatch.setattr(wavelet, "MOST_KNOWN", 2)
-    encoder = Encoder(content)
+    encoder = Encoder(content, PATTERN)
     for text in ("one two three", "two four five", "", "one"):
         assert encoder.encode(*text_buffers(pa.array([text])))[0].tolist() == reference.encode(text, add_special_tokens=False).ids
 
@@ -102,14 +103,14 @@ def test_memo_starts_anew(content, monkeypatch, reference):
 def test_repeated_ids_and_reading_back(spark, content, reference):
     folder = shared_folder(spark)
     docs = spark.createDataFrame([(1, "b c"), (1, "b c"), (1, "a")], "doc_id long, text string")
-    write_ids(docs, content, folder)
+    write_ids(docs, content, PATTERN, folder)
     rows = read_ids(spark, folder).orderBy("start").collect()
     texts = [reference.decode(np.frombuffer(bytes(r.ids), "<u4")[:-1].tolist()) for r in rows]
     assert sorted(texts) == ["a", "b c", "b c"] and rows[-1].start + rows[-1].n_ids == 8
 
 
 def test_empty_table(spark, content):
-    assert ids_with_sums(spark.createDataFrame([], "doc_id long, text string"), content).count() == 0
+    assert ids_with_sums(spark.createDataFrame([], "doc_id long, text string"), content, PATTERN).count() == 0
 
 
 def test_query(spark, sf_dir, reference):
