@@ -12,9 +12,8 @@ from innlake.operators.joins import splittable_join
 from innlake.operators.scd2 import instant
 from innlake.operators.surrogate import with_surrogate_key
 
-# Nights per bin of the overlap join, near the usual length of a stay, and the
-# coarse bin for stays that would cover too many of the fine ones.
-FINE_BIN, COARSE_BIN, LONG_STAY = 8, 32_768, 512
+# Bins of the overlap join are 8, 64, 512, .. days wide; a stay goes to the first width that holds its nights.
+BIN_BITS = 3
 
 
 def _finding(rule: str, entity: Column, details: Column) -> list[Column]:
@@ -29,10 +28,10 @@ def clashing_pairs(stays: DataFrame) -> DataFrame:
     """Pairs of stays in one room that share a night, each pair once.
 
     Of two overlapping stays the later one starts inside the earlier one. So a
-    stay is listed under every bin of days it covers, and looked up under the
-    single bin of its own first day: the pair meets exactly once, and only
-    stays close in time are compared, however many one room has. Very long
-    stays use coarse bins, which keeps the listing short for any date range.
+    stay is listed under the one or two bins of days it covers, at the width that fits
+    its nights, and looked up under the bin of its own first day at every width that occurs: the
+    pair meets exactly once, and a stay meets only those near it in time, near in terms of the listed stay's
+    length, however many one room has.
     """
     stay = stays.select(
         "room_sk", "reservation_id",
@@ -40,8 +39,10 @@ def clashing_pairs(stays: DataFrame) -> DataFrame:
         day_number(F.col("check_out_date_sk")).alias("end_day"),
     ).filter(F.col("room_sk").isNotNull() & (F.col("end_day") > F.col("first_day")))
 
-    width = F.when(F.col("end_day") - F.col("first_day") <= LONG_STAY, FINE_BIN).otherwise(COARSE_BIN)
-    listed = stay.withColumn("width", width).select(
+    bits = F.length(F.bin(F.col("end_day") - F.col("first_day") - 1))
+    power = F.greatest(F.lit(1), F.ceil(bits / BIN_BITS)) * BIN_BITS
+    stay = stay.withColumn("width", F.pow(F.lit(2), power).cast("bigint"))
+    listed = stay.select(
         "room_sk", "width",
         F.col("reservation_id").alias("early_id"),
         F.col("first_day").alias("early_first"),
@@ -51,9 +52,10 @@ def clashing_pairs(stays: DataFrame) -> DataFrame:
             F.floor((F.col("end_day") - 1) / F.col("width")),
         )).alias("bin"),
     )
+    widths = stay.agg(F.collect_set("width")).scalar()
     probing = stay.select(
         "room_sk",
-        F.explode(F.array(F.lit(FINE_BIN), F.lit(COARSE_BIN))).alias("width"),
+        F.explode(widths).alias("width"),
         F.col("reservation_id").alias("late_id"),
         F.col("first_day").alias("late_first"),
     ).withColumn("bin", F.floor(F.col("late_first") / F.col("width")))

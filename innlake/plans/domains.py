@@ -21,7 +21,7 @@ Rule = Callable[[], Column]
 class Domain:
     name: str
     key: str
-    columns: Callable[[], list[Column]]
+    columns: Callable[..., list[Column]]  # epoch=True also reads times written as digits
     batch_rule: Rule
     merge_rule: Rule
     merge_updates: tuple[str, ...]
@@ -31,7 +31,7 @@ def _as(expression: Column, name: str) -> Column:
     return expression.alias(name)
 
 
-def _guest_columns() -> list[Column]:
+def _guest_columns(epoch: bool = False) -> list[Column]:
     return [
         F.col("guest_id"), F.col("name"), _as(d.try_date("dob"), "dob"), F.col("gender"),
         F.col("email"), F.col("phone"), F.col("address"), F.col("city"), F.col("country"),
@@ -39,17 +39,17 @@ def _guest_columns() -> list[Column]:
     ]
 
 
-def _reservation_columns() -> list[Column]:
+def _reservation_columns(epoch: bool = False) -> list[Column]:
     return [
         F.col("reservation_id"), F.col("guest_id"), F.col("room_id"),
         *[_as(d.try_date(c), c) for c in ("check_in_date", "check_out_date")],
         F.col("booking_channel"),
-        *[_as(d.try_timestamp(c), c) for c in ("booking_time", "cancellation_time")],
+        *[_as(d.try_timestamp(c, epoch), c) for c in ("booking_time", "cancellation_time")],
         _as(d.init_cap(F.trim("status")), "status"),
     ]
 
 
-def _room_columns() -> list[Column]:
+def _room_columns(epoch: bool = False) -> list[Column]:
     return [
         F.col("room_id"), F.col("hotel_id"), F.col("room_type"),
         *[_as(d.try_number(c), c) for c in ("floor", "capacity")],
@@ -59,24 +59,24 @@ def _room_columns() -> list[Column]:
     ]
 
 
-def _housekeeping_columns() -> list[Column]:
+def _housekeeping_columns(epoch: bool = False) -> list[Column]:
     return [
         F.col("task_id"), F.col("room_id"),
         _as(F.upper(F.trim("task_type")), "task_type"),
         F.col("assigned_staff"),
-        *[_as(d.try_timestamp(c), c) for c in ("scheduled_time", "start_time", "end_time")],
+        *[_as(d.try_timestamp(c, epoch), c) for c in ("scheduled_time", "start_time", "end_time")],
         _as(d.flag("issue_detected_flag"), "issue_detected_flag"),
         _as(d.init_cap(F.trim("status")), "status"),
     ]
 
 
-def _billing_columns() -> list[Column]:
+def _billing_columns(epoch: bool = False) -> list[Column]:
     return [
         F.col("bill_id"), F.col("reservation_id"), F.col("guest_id"),
         _as(d.try_decimal("total_amount", 12, 2), "total_amount"),
         *[_as(d.try_decimal(c, 10, 2), c) for c in ("taxes", "discounts")],
         F.col("payment_mode"),
-        _as(d.try_timestamp("payment_time"), "payment_time"),
+        _as(d.try_timestamp("payment_time", epoch), "payment_time"),
         _as(d.flag("is_flagged"), "is_flagged"),
     ]
 

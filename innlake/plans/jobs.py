@@ -89,7 +89,7 @@ def _valid(store: LakeStore) -> dict[str, DataFrame]:
 
 def audit(store: LakeStore, raw, valid, as_of: datetime) -> None:
     """Load log and rejected rows of one full load."""
-    found = settle_all(quality.all_exceptions(raw, valid), "exceptions")
+    found = settle_all(quality.all_exceptions(raw, valid, store.epoch), "exceptions")
     first = store.reserve("dq_exceptions", stamp(as_of), found.count())
     store.log_run(quality.exception_log(found, as_of, first - 1), AUDIT, "dq_exceptions", as_of)
     first = store.reserve("load_log", stamp(as_of), len(DOMAINS))

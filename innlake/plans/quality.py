@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -111,12 +111,12 @@ def merge_exceptions(domain: str, fates: DataFrame) -> DataFrame:
     return bad.unionByName(lost)
 
 
-def rule_exceptions(domain: str, raw: DataFrame) -> DataFrame:
+def rule_exceptions(domain: str, raw: DataFrame, epoch: bool = False) -> DataFrame:
     """Deduplicated rows the batch rule rejects."""
     spec = DOMAINS[domain]
     error_type, text = rejection(domain)
     passed = F.coalesce(spec.batch_rule(), F.lit(False))
-    return winners(domain, raw).filter(~passed).select(
+    return winners(domain, raw, epoch).filter(~passed).select(
         *_exception(domain, F.col(spec.key), error_type, text)
     )
 
@@ -129,14 +129,14 @@ def keyless_exceptions(domain: str, raw: DataFrame) -> DataFrame:
     )
 
 
-def all_exceptions(raw: Frames, valid: Frames) -> list[DataFrame]:
-    """Every check as a frame of its own."""
+def all_exceptions(raw: Frames, valid: Frames, epoch: Collection[str] = ()) -> list[DataFrame]:
+    """Every check as a frame of its own; ``epoch`` names the domains whose times may be digits."""
     checks = reference_exceptions(valid)
     for domain in DOMAINS:
         checks += [
             keyless_exceptions(domain, raw[domain]),
             duplicate_exceptions(domain, raw[domain]),
-            rule_exceptions(domain, raw[domain]),
+            rule_exceptions(domain, raw[domain], domain in epoch),
         ]
     return checks
 

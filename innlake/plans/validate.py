@@ -13,19 +13,19 @@ from innlake.operators.upsert import upsert
 from innlake.plans.domains import DOMAINS
 
 
-def winners(domain: str, raw: DataFrame) -> DataFrame:
+def winners(domain: str, raw: DataFrame, epoch: bool = False) -> DataFrame:
     """One typed row per usable key, before any quality rule."""
     spec = DOMAINS[domain]
-    return first_per_key(raw.filter(has_key(spec.key)), spec.key).select(*spec.columns())
+    return first_per_key(raw.filter(has_key(spec.key)), spec.key).select(*spec.columns(epoch))
 
 
-def validate(domain: str, raw: DataFrame) -> DataFrame:
-    """Deduplicate, cast, then apply the quality rule.
+def validate(domain: str, raw: DataFrame, epoch: bool = False) -> DataFrame:
+    """Deduplicate, cast, then apply the quality rule. ``epoch`` also reads times written as digits.
 
     The rule comes after the dedup on purpose: a key whose first row is bad
     disappears even if another copy was good.
     """
-    return winners(domain, raw).filter(DOMAINS[domain].batch_rule())
+    return winners(domain, raw, epoch).filter(DOMAINS[domain].batch_rule())
 
 
 def merge_source(
@@ -48,13 +48,13 @@ def merge_source(
     return latest_per_key(typed, [spec.key, *batch], arrival)
 
 
-def judged(domain: str, changes: DataFrame, kept: Sequence[str] = (), strict: bool = False) -> DataFrame:
+def judged(domain: str, changes: DataFrame, kept: Sequence[str] = (), strict: bool = False, epoch: bool = False) -> DataFrame:
     """Every row of a change batch, typed, with ``error_type`` and ``error_detail``; both NULL where the row may be merged."""
     spec = DOMAINS[domain]
     usable = has_key(spec.key) if strict else F.col(spec.key).isNotNull()
     passed = F.coalesce((spec.batch_rule if strict else spec.merge_rule)(), F.lit(False))
     error_type, detail = rejection(domain)
-    typed = changes.withColumn("_usable", usable).select(*spec.columns(), *kept, "_usable")
+    typed = changes.withColumn("_usable", usable).select(*spec.columns(epoch), *kept, "_usable")
     return typed.withColumns({
         "error_type": F.when(~F.col("_usable"), k.VALUE).when(~passed, error_type),
         "error_detail": F.when(~F.col("_usable"), f"{spec.key} missing").when(~passed, detail),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from innlake.functions import dialect as d
+from innlake.operators import scd2
 from innlake.operators.scd2 import instant
 from innlake.plans import anomalies, dims, facts, governance, jobs, kpis, quality, reports
 from innlake.plans.domains import DOMAINS
@@ -56,6 +57,19 @@ def _scd2_room(lk: Lake) -> DataFrame:
     return dims.scd2_dim_room(before, after, CHANGED_AT)
 
 
+def _feed_room(lk: Lake) -> DataFrame:
+    """Versions of every room after two runs of a change feed, the second one late; without the surrogate keys."""
+    rooms = settle(lk.valid["rooms"], "rooms")
+    hour = lambda n: instant(CHANGED_AT + timedelta(hours=n)).alias("changed_at")
+    changed = lambda n, **new: rooms.select(*[new[c].alias(c) if c in new else c for c in rooms.columns], hour(n))
+    third = F.pmod(F.crc32(F.col("room_id").cast("binary")), F.lit(3)) == 0
+    first = changed(1, status=F.lit("Dirty")).unionByName(changed(2, status=F.lit("Dirty"), amenities=F.lit("none"))).unionByName(
+        changed(4, base_price=F.col("base_price") + 1))
+    late = changed(3, status=F.when(third, "Dirty").otherwise("Closed")).unionByName(changed(3.5, base_price=F.col("base_price") + 1))
+    dim = settle(scd2.apply_feed(settle(lk.dim_room, "dim_room"), first, "room_sk", "room_id", dims.ROOM_TRACKED), "dim_room")
+    return scd2.apply_feed(dim, late, "room_sk", "room_id", dims.ROOM_TRACKED).drop("room_sk")
+
+
 def _refresh_curated(lk: Lake) -> DataFrame:
     """Reservation facts rebuilt on merged rows and new dimension versions."""
     return facts.fact_reservation(merged(lk, "reservations"), _scd2_guest(lk), _scd2_room(lk))
@@ -222,6 +236,7 @@ def _results() -> dict[str, Query]:
         "fact_billing": over(lambda lk: lk.bills),
         "scd2_dim_guest": over(_scd2_guest),
         "scd2_dim_room": over(_scd2_room),
+        "scd2_feed_room": over(_feed_room),
         "refresh_curated": over(_refresh_curated),
         "anomaly_double_booking": over(lambda lk: anomalies.double_booking(lk.stays_by_room)),
         "anomaly_hk_sla_breach": over(lambda lk: anomalies.hk_sla_breach(lk.tasks_keyless)),

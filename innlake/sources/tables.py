@@ -9,7 +9,7 @@ it is being read, and a run that died half way is simply not seen. Logs keep one
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -85,12 +85,17 @@ BUCKETS = 64
 
 
 class LakeStore:
-    """A lake below one folder. ``buckets`` is how many parts VALIDATED tables have, the same for the lake's whole life."""
+    """A lake below one folder.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    ``buckets`` is how many parts VALIDATED tables have, the same for the lake's whole life; ``epoch`` names the domains whose
+    landed times may be digits, counted from 1970.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, epoch: Collection[str] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.epoch = frozenset(epoch)
 
     # ---- paths --------------------------------------------------------------
 

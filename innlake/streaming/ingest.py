@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from innlake.operators.scd2 import instant
 from innlake.sources import landing as lf
 from innlake.sources.schemas import RAW_COLUMNS
-from innlake.sources.tables import LakeStore
+from innlake.sources.tables import AUDIT, LakeStore
 
 # files of one batch; a backfill of more takes several batches in the same run
 FILES_PER_BATCH = 1000
@@ -49,7 +49,8 @@ def ingest(
         batch = spark.read.schema(batch.schema).parquet(staged)
         refused = lf.refused_files(batch)
         n_refused = refused.count()
-        loaded_at = instant(clock()).alias("_loaded_at")
+        moment = clock()
+        loaded_at = instant(moment).alias("_loaded_at")
         if n_refused:
             refused.select("*", loaded_at).write.mode("overwrite").parquet(
                 store.path("audit", "refused_files", domain, f"batch_id={batch_id}")
@@ -58,6 +59,7 @@ def ingest(
         good.select(*RAW_COLUMNS[domain], "_file", "_file_time", loaded_at).write.mode(
             "overwrite"
         ).parquet(store.path("raw", domain, f"batch_id={batch_id}"))
+        _note_files(store, domain, batch_id, good, refused, moment)
         store.delete(staged)
 
     query = (
@@ -69,21 +71,25 @@ def ingest(
     query.awaitTermination()
 
 
+def _note_files(store: LakeStore, domain: str, batch_id: int, good: DataFrame, refused: DataFrame, moment: datetime) -> None:
+    """A line per file of a batch, kept by load day; a batch that is repeated has its lines in one day only."""
+    lines = good.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("row_count")).select(
+        "file", F.lit("LOADED").alias("status"), "row_count").unionByName(refused.select(
+            F.col("_file").alias("file"), F.lit("REFUSED").alias("status"), F.col("bad_records").alias("row_count")))
+    root, name, today = store.path(AUDIT, "files", domain), f"batch_id={batch_id}", f"load_day={moment:%Y-%m-%d}"
+    lines.withColumn("loaded_at", instant(moment)).coalesce(1).write.mode("overwrite").parquet(f"{root}/{today}/{name}")
+    for day in store.files(root):
+        if day != today and name in store.files(f"{root}/{day}"):
+            store.delete(f"{root}/{day}/{name}")
+
+
 def load_history(store: LakeStore, domain: str, as_of: datetime, hours: int = 24) -> DataFrame:
-    """Files loaded or refused in the last hours: file, status, rows, load time."""
-    recent = F.col("loaded_at") >= instant(as_of) - F.expr(f"INTERVAL '{hours}' HOUR")
-    loaded = store.raw(domain).filter(F.col("_loaded_at") >= instant(as_of) - F.expr(f"INTERVAL '{hours}' HOUR"))
-    history = loaded.groupBy(F.col("_file").alias("file")).agg(
-        F.lit("LOADED").alias("status"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.max("_loaded_at").alias("loaded_at"),
-    )
-    if store.values("batch_id", "audit", "refused_files", domain):
-        refused = store.spark.read.parquet(store.path("audit", "refused_files", domain))
-        history = history.unionByName(refused.select(
-            F.col("_file").alias("file"),
-            F.lit("REFUSED").alias("status"),
-            F.col("bad_records").alias("row_count"),
-            F.col("_loaded_at").alias("loaded_at"),
-        ))
-    return history.filter(recent)
+    """Files loaded or refused in the last hours: file, status, rows, load time. Only the lines of these days are read."""
+    root = store.path(AUDIT, "files", domain)
+    since = as_of - timedelta(hours=hours)
+    days = [d for d in store.files(root) if d >= f"load_day={since:%Y-%m-%d}"]
+    schema = "file string, status string, row_count bigint, loaded_at timestamp_ntz"
+    if not days:
+        return store.spark.createDataFrame([], schema)
+    rows = store.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f"{root}/{d}" for d in days])
+    return rows.filter(F.col("loaded_at") >= instant(since))

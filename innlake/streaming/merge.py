@@ -74,7 +74,7 @@ def load_base(store: LakeStore, domain: str) -> DataFrame:
     """Full load: validate everything in RAW and write it as the base."""
     upto = last_raw_batch(store, domain)
     rows = store.raw(domain).filter(F.col("batch_id") <= upto).select(*RAW_COLUMNS[domain])
-    valid = validate(domain, rows).withColumn(BUCKET, _bucket(store, domain))
+    valid = validate(domain, rows, domain in store.epoch).withColumn(BUCKET, _bucket(store, domain))
     return base_table(store, domain).commit(valid, _version(upto), buckets=store.buckets).drop(BUCKET)
 
 
@@ -98,7 +98,7 @@ def run_merge(
 
     def append_source(batch: DataFrame, epoch: int) -> None:
         staged = store.path("staging", "merge", domain, f"epoch={epoch}")
-        rows = judged(domain, batch.filter(F.col("batch_id") > loaded_upto), [*arrival, "batch_id"], strict)
+        rows = judged(domain, batch.filter(F.col("batch_id") > loaded_upto), [*arrival, "batch_id"], strict, domain in store.epoch)
         rows.write.mode("overwrite").parquet(f"{staged}/rows")
         rows = store.spark.read.schema(rows.schema).parquet(f"{staged}/rows")
         _log(store, domain, epoch, rows, f"{staged}/fates", moment)

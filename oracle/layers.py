@@ -500,3 +500,29 @@ _RULES = ("double_booking", "hk_sla_breach", "overdue", "maintenance_overdue", "
 _OF_JOBS = re.compile(r"\b(stays|tasks|bills|dim_room|" + "|".join(_RULES) + r")\b")
 for _rule in _RULES:
     BLOCKS[f"job_{_rule}"] = _OF_JOBS.sub(r"job_\1", BLOCKS[_rule]).replace(AS_OF, _HOURS[2])
+
+_CRC_TABLE = """(select list(c order by b) as tab from (
+    select b, list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(b)))"""
+BLOCKS["feed_thirds"] = f"""
+    select room_id, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(room_id) + 1), lambda k: cast(ascii(room_id[k]) as bigint))),
+      lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1])), 4294967295) % 3 = 0 as third from val_rooms, {_CRC_TABLE}"""
+
+
+def _feed_row(minutes: int, **new: str) -> str:
+    cells = ", ".join(f"{new[c]} as {c}" if c in new else f"r.{c}" for c in COLUMNS["rooms"])
+    return f"select {cells}, {CHANGED_AT} + {minutes} * interval 1 minute as seen, {minutes} as n from val_rooms r join feed_thirds using (room_id)"
+
+
+BLOCKS["feed_events"] = " union all ".join([
+    f"select *, {AS_OF} as seen, 0 as n from val_rooms",
+    _feed_row(60, status="'Dirty'"), _feed_row(120, status="'Dirty'", amenities="'none'"),
+    _feed_row(180, status="if(third, 'Dirty', 'Closed')"), _feed_row(210, base_price="cast(base_price + 1 as decimal(10,2))"), _feed_row(240, base_price="cast(base_price + 1 as decimal(10,2))"),
+])
+BLOCKS["feed_runs"] = """
+    select *, sum(new) over (partition by room_id order by n) as run from (
+      select *, if((status, base_price) is distinct from lag((status, base_price)) over (partition by room_id order by n), 1, 0) as new from feed_events)"""
+BLOCKS["feed_versions"] = f"""
+    select *, lead(effective_from) over (partition by room_id order by effective_from) as effective_to,
+      effective_to is null as is_current
+    from (select room_id, {', '.join(f"last({c} order by n) as {c}" for c in COLUMNS['rooms'] if c != 'room_id')}, min(seen) as effective_from
+          from feed_runs group by room_id, run)"""

@@ -91,6 +91,7 @@ BODIES = {
     "fact_billing": "select * from bills",
     "scd2_dim_guest": "select * from scd_guest",
     "scd2_dim_room": "select * from scd_room",
+    "scd2_feed_room": "select * from feed_versions",
     "refresh_curated": "select * from refreshed",
     "anomaly_double_booking": "select * from double_booking",
     "anomaly_hk_sla_breach": "select * from hk_sla_breach",

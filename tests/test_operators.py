@@ -206,3 +206,66 @@ def test_copies_get_dense_numbers_without_meeting(spark):
     n = 3 * DUPLICATE_CHUNK + 57
     assert log.agg(F.min("exception_id"), F.max("exception_id"), F.countDistinct("exception_id"), F.count("*")).first()[:] == (11, n + 10, n, n)
     assert log.withColumn("p", F.spark_partition_id()).groupBy("p").count().count() > 1
+
+
+# ---- versions from an ordered feed ------------------------------------------
+
+def brute_versions(events):
+    """(key, value, other, from, to) of (key, from, fed, value, other) events: runs of one value."""
+    out = []
+    for key in sorted({e[0] for e in events}):
+        runs = []
+        for _, at, _, value, other in sorted((e for e in events if e[0] == key), key=lambda e: (e[1], e[2], e[3], e[4])):
+            if runs and runs[-1][0] == value:
+                runs[-1][1] = other
+            else:
+                runs.append([value, other, at])
+        ends = [r[2] for r in runs[1:]] + [None]
+        out += [(key, v, o, a, b) for (v, o, a), b in zip(runs, ends)]
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_feed_gives_every_version(rows, seed):
+    import random
+    from datetime import datetime, timedelta
+
+    from innlake.operators.scd2 import apply_feed
+
+    chance, start = random.Random(seed), datetime(2024, 1, 1)
+    schema = "k string, v string, o string"
+    dim = rows([(n, f"k{n}", "a", "x", start, None, True) for n in range(1, 7)], f"sk bigint, {schema}, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean")
+    state = [(f"k{n}", "a", "x", start, None) for n in range(1, 7)]
+    keys_before = {}
+    for _ in range(3):  # later runs bring late rows too
+        feed = [(f"k{chance.randint(1, 8)}", chance.choice("abc"), chance.choice("xyz"), start + timedelta(minutes=13 * chance.randint(1, 90))) for _ in range(25)]
+        feed = list({(k, at): (k, v, o, at) for k, v, o, at in feed if (k, at) not in {(e[0], e[3]) for e in state}}.values())
+        state = brute_versions([(k, at, 0, v, o) for k, v, o, at, _ in state] + [(k, at, 1, v, o) for k, v, o, at in feed])
+        df = rows(feed, f"{schema}, changed_at timestamp_ntz")
+        dim = apply_feed(dim, df, "sk", "k", ["v"])
+        found = dim.collect()
+        key = lambda r: (r[0], r[3])
+        assert sorted(((r.k, r.v, r.o, r.effective_from, r.effective_to) for r in found), key=key) == sorted(state, key=key)
+        assert len({r.sk for r in found}) == len(found) and all(r.is_current == (r.effective_to is None) for r in found)
+        now = {r.sk: (r.k, r.v) for r in found}
+        assert all(now.get(sk) == was for sk, was in keys_before.items())
+        keys_before = now
+        again = apply_feed(dim, df, "sk", "k", ["v"])
+        assert sorted(map(repr, again.drop("o").collect())) == sorted(map(repr, dim.drop("o").collect()))
+    assert dim.count() > 20
+
+
+def test_feed_overwrites_other_columns(rows):
+    from datetime import datetime
+
+    from innlake.operators.scd2 import apply_feed
+
+    day = lambda n: datetime(2024, 1, n)
+    dim = rows([(1, "k", "a", "x", day(1), None, True), (2, "q", "a", "x", day(1), None, True)],
+               "sk bigint, k string, v string, o string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean")
+    feed = rows([("k", "a", "y", day(2)), ("k", "b", "y", day(4)), ("k", "b", None, day(5)), (None, "b", "y", day(4)), ("k", "b", "y", None), ("n", "a", "z", day(3))],
+                "k string, v string, o string, changed_at timestamp_ntz")
+    got = sorted(tuple(r) for r in apply_feed(dim, feed, "sk", "k", ["v"]).drop("sk").collect())
+    assert got == [("k", "a", "y", day(1), day(4), False), ("k", "b", None, day(4), None, True), ("n", "a", "z", day(3), None, True), ("q", "a", "x", day(1), None, True)]
+    empty = apply_feed(dim, feed.limit(0), "sk", "k", ["v"])
+    assert sorted(map(repr, empty.collect())) == sorted(map(repr, dim.collect()))

@@ -11,7 +11,7 @@ from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import LakeStore, settle, settled_until_end
 from innlake.sources.versions import Versions
 from innlake.streaming import merge as merging
-from innlake.streaming.ingest import ingest
+from innlake.streaming.ingest import ingest, load_history
 from tests.test_files import HEADER, NOW, put, room
 
 
@@ -198,3 +198,28 @@ def test_an_increment_writes_the_months_it_touches(place):
     plan = kpi._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "dynamicpruning" in plan
     assert [(r.year, r.month, r.booked_rooms) for r in kpi.collect()] == [(2024, 3, 1)]
+
+
+def test_history_reads_the_manifest_alone(place):
+    store, landing, take = place
+    put(landing, "rooms", "a.csv", HEADER, room("r1"), room("r2"))
+    put(landing, "rooms", "bad.csv", HEADER, "r3,h")
+    take()
+    history = load_history(store, "rooms", NOW)
+    assert {(r.status, r.row_count) for r in history.collect()} == {("LOADED", 2), ("REFUSED", 1)}
+    assert all("/audit/files/" in f for f in history.inputFiles()) and load_history(store, "rooms", NOW + timedelta(days=3)).count() == 0
+    ingest(store, str(landing), "rooms", lambda: NOW + timedelta(days=1), multiline=False)
+    os.rename(f"{store.root}/checkpoints/ingest", f"{store.root}/lost")
+    ingest(store, str(landing), "rooms", lambda: NOW + timedelta(days=1), multiline=False)  # the same batch a day later
+    assert store.files(f"{store.root}/audit/files/rooms/load_day=2024-02-01") == []
+    assert load_history(store, "rooms", NOW + timedelta(days=1)).count() == 2
+
+
+def test_epoch_times_are_an_option_of_the_lake(spark, tmp_path):
+    head = ",".join(RAW_COLUMNS["billing"])
+    for epoch, want in (((), [None]), (("billing",), ["2024-01-06 10:00:00"])):
+        store = LakeStore(spark, str(tmp_path / f"lake{len(epoch)}"), buckets=2, epoch=epoch)
+        put(tmp_path / "landing", "billing", "a.csv", head, "b1,s1,g1,100,1,0,card,1704535200,N")
+        ingest(store, str(tmp_path / "landing"), "billing", lambda: NOW, multiline=False)
+        rows = merging.load_base(store, "billing")
+        assert [r[0] and str(r[0]) for r in rows.select("payment_time").collect()] == want
