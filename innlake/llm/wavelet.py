@@ -36,7 +36,7 @@ from innlake.llm.workspace import saved, shared_folder
 SHARD_IDS = 1 << 20
 BLOCK = 512
 MAGIC = b"IDWM1\n"
-MOST_KNOWN = 400_000
+MOST_KNOWN = 1_000_000
 _BITS_SET = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 SHARD = "bucket long, shard int, n_ids long, data binary"
@@ -86,22 +86,24 @@ class WaveletMatrix:
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
         ids = np.asarray(ids, np.uint32)
-        planes = []
-        for shift in range(max(1, int(ids.max(initial=0)).bit_length()) - 1, -1, -1):
-            bits = (ids >> np.uint32(shift) & np.uint32(1)).astype(np.uint8)
+        width, planes = max(1, int(ids.max(initial=0)).bit_length()), []
+        ids = ids.astype(np.uint16) if width <= 16 else ids
+        for shift in range(width - 1, -1, -1):
+            bits = ids & ids.dtype.type(1 << shift) != 0
             planes.append(Plane.of(bits))
-            ids = np.concatenate([ids[bits == 0], ids[bits == 1]])
+            ids = np.concatenate([ids[~bits], ids[bits]])
         return cls(planes, len(ids))
 
     def all(self) -> np.ndarray:
         """Every id, in order: from the lowest plane up, each undoes the parting by its bits."""
-        out = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.size, kind)
         for shift, plane in enumerate(reversed(self.planes)):
             bits = np.unpackbits(plane.packed, count=self.size, bitorder="little").view(bool)
-            parted, out = out, np.empty(self.size, np.uint32)
+            parted, out = out, np.empty(self.size, kind)
             out[~bits] = parted[: plane.zeros]
-            out[bits] = parted[plane.zeros :] | np.uint32(1 << shift)
-        return out
+            out[bits] = parted[plane.zeros :] | kind(1 << shift)
+        return out.astype(np.uint32)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """The ids at some places."""
@@ -191,8 +193,6 @@ class Encoder:
     def forget(self) -> None:
         self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
-        self.of_piece = {token: k for k, token in enumerate(self.added)}
-        self.piece_ids, self.piece_bounds = np.array([*self.added.values()], np.uint32), np.arange(len(self.added) + 1)
 
     def _borders(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where texts and added tokens begin and end."""
@@ -211,16 +211,15 @@ class Encoder:
     def _new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of units not met before; an added token is a piece of its own."""
         split = [(u,) if u in self.added else self.matches(u) for u in units]
-        fresh = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in self.of_piece]
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        found = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in fresh]
-        self.of_piece.update(zip(fresh, range(len(self.of_piece), len(self.of_piece) + len(fresh))))
+        pieces = dict.fromkeys(chain.from_iterable(split))
+        added, tokenize, letters = self.added, self.tokenizer.model.tokenize, self.letters
+        found = [(added[p],) if p in added else [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.piece_ids = np.concatenate([self.piece_ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
-        self.piece_bounds = np.concatenate([self.piece_bounds, self.piece_bounds[-1] + np.cumsum(sizes)])
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        pieces = dict(zip(pieces, range(len(pieces))))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        index = np.fromiter(map(self.of_piece.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        return spread(self.piece_ids, self.piece_bounds, index, np.concatenate(([0], np.cumsum(counts))))
+        index = np.fromiter(map(pieces.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        return spread(ids, np.concatenate(([0], np.cumsum(sizes))), index, np.concatenate(([0], np.cumsum(counts))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds by text) of texts given as bytes and offsets."""
