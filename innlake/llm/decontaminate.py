@@ -4,7 +4,7 @@ A window is ``window`` consecutive words of an item (a shorter item is one windo
 form one search: the SHIFT table says for each pair of adjacent words how far the search may jump, a zero
 sends it to the bucket of windows that end in this pair, and only those are compared, word codes first
 and then bytes. Documents stay where they are: the benchmark goes to them in blocks of bounded size
-(``block_bytes``), one after the other, so neither side needs a shuffle.
+(``block_bytes``), one after the other and with what was found written in between, so neither side needs a shuffle.
 
 Defined results: null and empty texts have no words; null items have no windows; items without an id are
 left out; several items with one id count once; repeated documents give repeated rows; an empty benchmark
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innlake.llm.arrowtext import LOWER, NOT_ALNUM, list_array, mixed, ranges, row_chunks, text_buffers, with_columns, words_of
+from innlake.llm.workspace import saved
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -177,6 +178,8 @@ def find_benchmark(
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block)
         plans = searches([(r.item, r.words) for r in part.collect()], window)
         out = out.mapInArrow(_finder(plans, text_col, block == 0), schema)
+        if block < blocks - 1:  # written, so one block at a time is in the driver and the workers
+            out = saved(out)
     return out
 
 

@@ -13,10 +13,11 @@ they note what the filter says of the pair, and a join on the word completes bot
 
 What is sent to the workers is bounded: the head table by HEAD_WORDS, and the filter by ``FILTER_BYTES`` at a time. A larger
 filter is cut by history into parts of that size that pass over the texts one after the other, each
-adding what its histories change.
+adding what its histories change and written before the next one is read.
 
 Words are told apart by 64-bit codes, pairs by 36 and 28 bits of them. Defined results: null and empty texts are one end;
 a null id belongs to the training texts; without training texts every probability is that of an unknown word; repeated rows count and are scored each.
+Extra columns are ignored. Pairs seen less than LEAST_PAIR times are not kept: their mass goes to P(w).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innlake.llm.arrowtext import SPACES, list_array, mixed, row_chunks, text_buffers, with_columns, words_of
-from innlake.llm.workspace import saved
+from innlake.llm.workspace import removed, saved
 
 LEAST_PAIR = 2
 DISCOUNT = 0.7
@@ -180,13 +181,14 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     counts = saved(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")).where(f"kind = 0 or n >= {LEAST_PAIR}"))
     words = counts.where("kind = 0").select("key", "n")
     total, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    classes = words.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
-    cut, held = 1001, 0
+    kind = F.when(F.col("n") < 1000, F.col("n")).otherwise(1000 + F.floor(8 * F.log2(F.col("n") / 1000)))
+    classes = words.groupBy(kind.alias("kind")).agg(F.count("*").alias("words")).orderBy(F.desc("kind")).collect()
+    cut, held = 1 << 60, 0
     for row in classes:
-        if held + row.words > head_words and held:
+        if held + row.words > head_words:
             break
-        held, cut = held + row.words, row.n
-    rows = words.where(F.col("n") >= cut).toArrow()
+        held, cut = held + row.words, row.kind
+    rows = words.where(kind >= cut).select("key", "n").toArrow()
     head, head_counts = rows.column("key").to_numpy(), rows.column("n").to_numpy()
     order = np.argsort(head)
     head, head_counts = head[order], head_counts[order]
@@ -196,7 +198,7 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     kept = pairs.groupBy(history.alias("history")).agg(F.sum(_level_count(F.col("level")) - DISCOUNT).alias("kept"))
     whole = words.groupBy(history.alias("history")).agg(F.sum("n").alias("n"))
     histories = kept.join(whole, "history").select(
-        "history", (2 + F.ceil(2 * F.log2(F.col("n") / LEAST_PAIR) - 1e-9)).cast("int").alias("count"),
+        "history", F.greatest(F.lit(1), 1 + F.ceil(2 * F.log2(F.col("n") / LEAST_PAIR) - 1e-9)).cast("int").alias("count"),
         F.least(F.lit(SHARES), F.ceil(SHARES * F.col("kept") / F.col("n"))).cast("int").alias("share"))
     tagged = lambda tag: F.col("history").bitwiseXOR(F.lit(int(tag) << 40))
     entries = pairs.select(history.alias("history"), "key", "level").unionByName(
@@ -322,8 +324,11 @@ def score(docs: DataFrame, model: BigramModel) -> DataFrame:
     """Per row of (doc_id, held_out, text): n_tokens, n_known, train_tokens, base_score and score."""
     scored = docs.select("doc_id", "held_out", F.col("text").cast("string").alias("text"))
     for k in range(model.parts):
-        scored = scored.mapInArrow(_scorer(model.part(k), model.head, model.head_counts, model.denominator, k == 0, k == model.parts - 1), _SCORED)
-    scored = saved(scored.drop("text"))
+        first, last, before = k == 0, k == model.parts - 1, scored
+        scored = scored.mapInArrow(_scorer(model.part(k), model.head, model.head_counts, model.denominator, first, last), _SCORED)
+        scored = saved(scored.drop("text") if last else scored)  # so one part at a time is in the driver and the workers
+        if not first:
+            removed(before)
     rare = scored.select("row", F.inline(F.arrays_zip(F.col("tail").alias("key"), F.col("tail_states").alias("state"), F.col("tail_counts").alias("times"))))
     rare = rare.join(model.words, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     prior = (F.col("n") + 0.5) / F.lit(model.denominator)

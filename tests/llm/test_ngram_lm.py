@@ -52,6 +52,46 @@ def test_head_does_not_change_scores(spark, size):
     assert any(r.n_known < r.n_tokens for r in score_held_out(docs, head_words=5, filter_bytes=size).collect())
 
 
+def brute_scores(rows):
+    """Scores with exact tables in place of the filter, counts and shares rounded as its levels are."""
+    tokens = [[*WORD.findall((t or "").encode().lower()), None] for _, t in rows]
+    trained = [t for (d, _), t in zip(rows, tokens) if not (d is not None and zlib.crc32(str(d).encode()) % 5 == 1)]
+    words, pairs = Counter(w for t in trained for w in t), Counter(p for t in trained for p in zip([None, *t], t))
+    bottom = sum(words.values()) + 0.5 * (len(words) + 1)
+    size = lambda level: 2 * 2 ** ((level - 1) / 2)
+    level = {p: 1 + math.floor(2 * math.log2(n / 2) + 1e-9) for p, n in pairs.items() if n >= 2}
+    kept = Counter()
+    for (h, _), x in level.items():
+        kept[h] += size(x) - 0.7
+    out = []
+    for (d, _), text in zip(rows, tokens):
+        total = 0.0
+        for h, w in zip([None, *text], text):
+            p = (words[w] + 0.5) / bottom
+            if h in kept:
+                whole = size(max(1, 1 + math.ceil(2 * math.log2(words[h] / 2) - 1e-9)))
+                seen = min(1.0, (size(level[h, w]) - 0.7) / whole) if (h, w) in level else 0.0
+                share = min(8, math.ceil(8 * kept[h] / words[h])) / 8
+                p = min(1.0, seen + max(1 - share, 1 / 64) * p)
+            total += math.log10(p)
+        out.append((d if d is not None else -1, len(text), total))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("head", [1 << 20, 3, 0])
+def test_scores_against_exact_counts(spark, head):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.score) for r in score_held_out(docs, head_words=head).collect())
+    want = brute_scores(ROWS)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want], atol=1e-6)
+
+
+def test_head_is_bounded(spark):
+    docs = spark.createDataFrame([("a " * 5000 + "b " * 4000 + "c " * 3000 + "d e f",)], "text string")
+    assert [len(train(docs, head_words=n).head) for n in (0, 1, 2, 3, 100)] == [0, 1, 2, 3, 7]
+
+
 def test_hash_is_sparks(spark):
     values = [0, 1, 5, 2**35, 2**36 - 1]
     rows = spark.createDataFrame([(v,) for v in values], "h long").select(F.pmod(F.xxhash64("h"), F.lit(97)).alias("p")).collect()
