@@ -132,14 +132,19 @@ def _descend(owner, feature, value, grade, n_features: int) -> tuple[np.ndarray,
     return parameters[:n_features], parameters[n_features] + np.concatenate(([0], np.cumsum(gaps)))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> SeverityModel:
-    """The model of labelled texts (label 0 or 1)."""
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, most_features: int = MOST_FEATURES) -> SeverityModel:
+    """The model of labelled texts (label 0 or 1): of at most ``fit_rows`` of them, with at most ``most_features`` weights.
+
+    The rows whose text hashes least are taken; of equal texts at the limit as many as there is room for.
+    """
     none = SeverityModel(np.empty(0, np.int64), np.empty(0), np.full(GRADES, np.inf))
     rows = labelled.select(F.col(label_col).cast("int").alias("toxic"), F.col(text_col).cast("string").alias("text")).where("toxic is not null")
     total = rows.count()
     if total > fit_rows:
-        cut = rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
-        rows = rows.where(F.xxhash64("text") <= cut)
+        code = F.xxhash64("text")
+        cut = rows.select(code.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+        below = rows.where(code < cut)
+        rows = below.unionByName(rows.where(code == cut).limit(fit_rows - below.count()))
     sample = saved(rows.mapInArrow(_lister, "toxic int, features array<long>, counts array<int>"))
     size, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     if not size or not toxic or toxic == size:
@@ -149,7 +154,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", f
     surprise = F.col("n") * (
         F.when(share > 0, share * F.log(share / base)).otherwise(0.0) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
     seen = saved(sample.select("toxic", F.explode("features").alias("code")).groupBy("code").agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")).withColumn("surprise", surprise))
-    kept = seen.where(F.col("surprise") > float(np.log(max(1, seen.count())) + 3)).orderBy(F.desc("surprise"), "code").limit(MOST_FEATURES).toArrow().to_pandas()
+    kept = seen.where(F.col("surprise") > float(np.log(max(1, seen.count())) + 3)).orderBy(F.desc("surprise"), "code").limit(most_features).toArrow().to_pandas()
     if not len(kept):
         return none
     kept = kept.sort_values("code")

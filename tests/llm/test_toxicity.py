@@ -3,7 +3,7 @@ import os
 import numpy as np
 import pytest
 
-from innlake.llm import queries
+from innlake.llm import queries, toxicity
 from innlake.llm.toxicity import fit, fit_on_labels, score
 
 LARGER = "/root/testdata/sf0.1"
@@ -50,6 +50,26 @@ def test_without_both_labels_nothing_is_toxic(spark, rows):
     assert (got.severity, got.toxic) == (0.0, False)
 
 
+def test_repeated_rows_and_empty_tables(spark, model):
+    docs = spark.createDataFrame([(1, "vile foul tree")] * 3, "doc_id long, text string")
+    rows = score(docs, model).collect()
+    assert len(rows) == 3 and len({r.severity for r in rows}) == 1
+    assert score(docs.limit(0), model).count() == 0
+    none = fit_on_labels(docs.limit(0), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert not score(docs, none).first().toxic
+
+
+def test_rows_of_the_fit_are_bounded(spark, monkeypatch):
+    taken = []
+    saved = toxicity.saved
+    monkeypatch.setattr(toxicity, "saved", lambda df: taken.append(df.count()) or saved(df))
+    rows = [("the same text again", k % 2) for k in range(500)] + [(f"other {k}", k % 2) for k in range(20)]
+    for size in (5, 100, 510):
+        fit(spark.createDataFrame(rows, "text string, toxic int"), fit_rows=size)
+        assert taken[0] == size
+        taken.clear()
+
+
 def test_query_covers_all_documents(spark, sf_dir):
     got = queries.op3_toxicity(spark, sf_dir)
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
