@@ -20,7 +20,7 @@ from innlake.sources.feeds import FEEDS
 from innlake.sources.provided import table
 from innlake.sources.tables import settle, settle_all
 from innlake.streamed import (
-    beside_refused, by_file_time, history, incremental, ingested, job_anomalies, job_log, job_table, job_validated, landed_files,
+    beside_refused, by_file_time, history, incremental, ingested, job_anomalies, job_log, job_table, job_validated, landed_files, quoted,
 )
 
 AS_OF = datetime(2024, 2, 1)
@@ -214,6 +214,7 @@ def _results() -> dict[str, Query]:
         **_streamed("load_history", history),
         **_streamed("incremental_strict", partial(incremental, strict=True)),
         **_streamed("incremental_by_time", by_file_time),
+        "ingest_quoted": lambda spark, sf_dir: quoted(spark, sf_dir, "rooms", AS_OF, "amenities"),
         "list_files_rooms": lambda spark, sf_dir: landed_files(spark, sf_dir, "rooms", AS_OF),
         **{f"job_{t}": lambda spark, sf_dir, t=t: job_table(spark, sf_dir, t, AS_OF) for t in (*jobs.FACTS, *jobs.DIMENSIONS)},
         **{f"job_{t}": lambda spark, sf_dir, t=t: job_log(spark, sf_dir, t, AS_OF) for t in ("load_log", "dq_exceptions")},

@@ -49,6 +49,16 @@ def ingested(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) ->
     return store.raw(domain).select(*RAW_COLUMNS[domain])
 
 
+def quoted(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime, column: str) -> DataFrame:
+    """RAW rows of a delivery in which every blank of a column is a line break, so most records take several lines."""
+    store, landing, _ = _start(spark, as_of)
+    rows = FEEDS[domain](spark, sf_dir)
+    broken = rows.withColumn(column, F.replace(F.trim(F.col(column)), F.lit(" "), F.lit("\n")))
+    broken.write.mode("append").options(header="true", quoteAll="true", escape='"', emptyValue="", nullValue="").csv(lf.folder(landing, domain))
+    ingest(store, landing, domain, lambda: as_of, multiline="split")
+    return store.raw(domain).select(*RAW_COLUMNS[domain])
+
+
 def _with_refused(spark: SparkSession, sf_dir: str, domain: str, as_of: datetime) -> LakeStore:
     """A loaded delivery that has one malformed file among the good ones."""
     store, landing, take = _start(spark, as_of)

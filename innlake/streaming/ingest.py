@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, functions as F
 
 from innlake.operators.scd2 import instant
-from innlake.sources import landing as lf
+from innlake.sources import landing as lf, quoted
 from innlake.sources.schemas import RAW_COLUMNS
 from innlake.sources.tables import AUDIT, LakeStore
 
@@ -27,7 +27,7 @@ def ingest(
     landing: str,
     domain: str,
     clock: Clock = utc_now,
-    multiline: bool = True,
+    multiline: bool | str = True,
     max_files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Load every landing file not loaded before, then return.
@@ -35,16 +35,24 @@ def ingest(
     The first run is the backfill; later runs pick up new files only, and do
     nothing when there are none. A run takes everything in batches of
     ``max_files_per_batch`` files. A batch replaces its own RAW folder, so one
-    repeated after a failure does not double its rows.
+    repeated after a failure does not double its rows. ``multiline`` says whether quoted
+    fields may hold line breaks: True reads a file in one task, ``"split"`` in a task per
+    byte range.
     """
-    spark = store.spark
-    reader = spark.readStream.schema(lf.csv_schema(domain)).options(**lf.csv_options(multiline))
-    reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    files = lf.with_file(reader.csv(lf.folder(landing, domain)))
+    spark, folder = store.spark, lf.folder(landing, domain)
+    split = multiline == "split"
+    if split:
+        text = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files_per_batch)
+        files = quoted.lines_of(text.text(folder))
+    else:
+        reader = spark.readStream.schema(lf.csv_schema(domain)).options(**lf.csv_options(bool(multiline)))
+        files = lf.with_file(reader.option("maxFilesPerTrigger", max_files_per_batch).csv(folder))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         # parsed once into the lake: then a scan for malformed records, and the write
         staged = store.path("staging", domain, f"batch_id={batch_id}")
+        if split:
+            batch = quoted.parsed(quoted.records(batch), lf.csv_schema(domain), lf.csv_options(True))
         batch.write.mode("overwrite").parquet(staged)
         batch = spark.read.schema(batch.schema).parquet(staged)
         refused = lf.refused_files(batch)

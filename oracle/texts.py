@@ -51,6 +51,7 @@ BODIES = {
     **{f"incremental_{d}": f"select * from after_third_{d}" for d in KEYS},
     **{f"incremental_strict_{d}": f"select * from after_strict_third_{d}" for d in KEYS},
     **{f"incremental_by_time_{d}": f"select * from after_by_time_{d}" for d in KEYS},
+    "ingest_quoted": "select * replace (replace(amenities, ' ', chr(10)) as amenities) from landed_rooms",
     "list_files_rooms": "select cast(least(3, count(*)) as bigint) as files, cast(0 as bigint) as empty_files from landed_rooms",
     "job_fact_reservation": "select * from job_stays",
     "job_fact_housekeeping": "select * from job_tasks",
