@@ -497,7 +497,7 @@ BLOCKS["job_loads"] = " union all ".join(
        for h, s in ((1, "second"), (2, "third")) for i, d in enumerate(("guests", "reservations", "rooms", "housekeeping", "billing"))])
 BLOCKS["job_dim_room"] = "select * from job_dim_room_2 where is_current"
 _RULES = ("double_booking", "hk_sla_breach", "overdue", "maintenance_overdue", "billing_mismatch", "suspicious_cancellation", "findings")
-_OF_JOBS = re.compile(r"\b(stays|tasks|bills|dim_room|" + "|".join(_RULES) + r")\b")
+_OF_JOBS = re.compile(r"\b(stays|tasks|bills|dim_room|" + "|".join(_RULES) + r")\b(?! by)")
 for _rule in _RULES:
     BLOCKS[f"job_{_rule}"] = _OF_JOBS.sub(r"job_\1", BLOCKS[_rule]).replace(AS_OF, _HOURS[2])
 
