@@ -9,9 +9,8 @@ decides only how a token is counted). The order does not depend on the number of
 the links do not depend on the order at all.
 
 A prefix token that no other set holds meets nothing and is left out, so most sets have no prefix row. Sets that are equal are one node
-from the start. A node is first compared with the smallest node of its token groups (a star, not all pairs); what stays outside
-a token's largest component is compared with other members of it, chosen by a hash, and only pairs that are not in one component after that
-are compared one by one. Pairs pass the length filter, the positional filter and a suffix filter (parities of the token counts by code
+from the start. A node is first compared with the smallest node of its token groups (a star, not all pairs); only pairs that are not
+in one component after that, one of them outside its token's largest component, are compared one by one. Pairs pass the length filter, the positional filter and a suffix filter (parities of the token counts by code
 range, which bound how many tokens the sets do not share) before the sets themselves are compared, once per pair.
 
 Defined results: null and empty texts, and texts without a word, have no shingle and link with nothing;
@@ -47,7 +46,6 @@ PACKED = 1 << 20
 OFTEN = 8
 LISTED_TOKENS = 1 << 18
 RANGE_BITS = 10
-HUBS = 2
 LISTED = 64
 MEMBERS = 256
 PARITIES = [f"p{k}" for k in range((1 << RANGE_BITS) // 64)]
@@ -400,30 +398,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rest = near.join(one, ["a", "b"], "left_anti").join(named("a"), "a", "left").join(named("b"), "b", "left").where(apart).select("a", "b")
         return links.unionByName(verified(saved(rest)))
 
-    def grouped(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The shared rows of tokens with several components so far, and those outside their token's largest one."""
+    def grouped(links: DataFrame) -> DataFrame:
+        """The shared rows of tokens with several components so far, with their own component and the token's largest one."""
         named = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         named = saved(shared.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mains = named.groupBy("token", "component").count().groupBy("token").agg(
             F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-        sides = saved(named.join(mains.drop("kinds"), "token"))
-        return sides, sides.where("component != main")
+        return named.join(mains.drop("kinds"), "token")
 
-    def star(rows: DataFrame, centres: DataFrame, first: Column) -> DataFrame:
-        """Every row beside its token's hub: of the centres the one that comes first."""
-        hubs = centres.groupBy("token").agg(F.min_by(F.struct("node", "at", *PARITIES), first).alias("hub"))
+    def star(rows: DataFrame) -> DataFrame:
+        """Every row beside the smallest node of its token."""
+        hubs = rows.groupBy("token").agg(F.min_by(F.struct("node", "at", *PARITIES), "node").alias("hub"))
         return rows.join(hubs, "token").where("node != hub.node").select(
             F.col("hub.node").alias("a"), F.col("node").alias("b"), *(F.col(f"hub.{c}").alias(f"a_{c}") for c in ("at", *PARITIES)),
             *(F.col(c).alias(f"b_{c}") for c in ("at", *PARITIES)))
 
-    links = linked(star(shared, shared, F.col("node")))
-    sides, strays = grouped(links)
-    for turn in range(HUBS):
-        if strays.isEmpty():
-            break
-        # what is outside a token's largest component meets another member of it, chosen by a hash
-        links = links.unionByName(verified(saved(_possible(star(strays, sides.where("component = main"), F.xxhash64(F.lit(turn), "node")), percent))))
-        sides, strays = grouped(links)
+    links = linked(star(shared))
+    sides = grouped(links)
 
     # a pair is made under the least of its common tokens, unless one of its nodes has too many of them to be told with each row
     listed = shared.groupBy("node").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") <= LISTED)
