@@ -223,3 +223,62 @@ def test_epoch_times_are_an_option_of_the_lake(spark, tmp_path):
         ingest(store, str(tmp_path / "landing"), "billing", lambda: NOW, multiline=False)
         rows = merging.load_base(store, "billing")
         assert [r[0] and str(r[0]) for r in rows.select("payment_time").collect()] == want
+
+
+def test_files_of_the_base_make_no_source(place):
+    store, landing, take = place
+    for n in range(4):
+        put(landing, "rooms", f"{n}.csv", HEADER, room(f"r{n}"))
+    take(), merging.load_base(store, "rooms")
+    assert not merging.run_merge(store, "rooms", as_of=NOW, files_per_epoch=1)
+    assert merging.epochs(store, "rooms") == [] and store.log("audit", "load_log") is None
+
+
+def test_merges_read_many_rows_in_many_tasks(place, spark):
+    store, landing, take = place
+    rows = (room(f"r{n}", f"s{n}", amenities) for n, amenities in ((n, str(n * 7919 % 10007)) for n in range(300_000)))
+    put(landing, "rooms", "a.csv", HEADER, *rows)
+    take()
+    batch = spark.read.parquet(store.path("raw", "rooms")).coalesce(1)
+    assert merging._spread(batch).rdd.getNumPartitions() > 1
+    assert merging._spread(batch.limit(5)).rdd.getNumPartitions() == 1
+
+
+def test_a_good_delivery_is_written_once(place, monkeypatch):
+    store, landing, take = place
+    moved = []
+    monkeypatch.setattr(store, "move", lambda path, to, move=store.move: (moved.append(to), move(path, to)))
+    put(landing, "rooms", "a.csv", HEADER, room("r1"))
+    take()
+    assert moved == [store.path("raw", "rooms", "batch_id=0")] and store.raw("rooms").count() == 1
+    put(landing, "rooms", "b.csv", HEADER, room("r2"))
+    put(landing, "rooms", "c.csv", HEADER, "r3,h")
+    take()
+    assert len(moved) == 1 and store.raw("rooms").count() == 2
+
+
+def test_large_sources_are_joined_in_one_pass(place, monkeypatch):
+    store, landing, take = place
+    put(landing, "rooms", "a.csv", HEADER, room("r1"), room("r2"))
+    take(), merging.load_base(store, "rooms")
+    put(landing, "rooms", "b.csv", HEADER, room("r2", "busy"), room("r3"))
+    take(), merging.run_merge(store, "rooms", as_of=NOW)
+    with monkeypatch.context() as m:
+        m.setattr(merging, "upsert_small", None)
+        large = rows_of(merging.validated(store, "rooms"))
+    monkeypatch.setattr(merging, "SMALLER", 0)
+    assert rows_of(merging.validated(store, "rooms")) == large and len(large) == 3
+
+
+def test_domains_number_their_logs_in_order(place):
+    store, landing, take = place
+    for domain, columns in RAW_COLUMNS.items():
+        put(landing, domain, "a.csv", ",".join(columns), ",".join("x" for _ in columns))
+        take(domain)
+    jobs.full_load(store, NOW)
+    for domain, columns in RAW_COLUMNS.items():
+        put(landing, domain, "b.csv", ",".join(columns), ",".join("y" for _ in columns))
+        take(domain)
+    jobs.hourly_increment(store, NOW + timedelta(hours=1))
+    loads = sorted((r.log_id, r.domain) for r in store.log("audit", "load_log").collect())
+    assert [d for _, d in loads[5:]] == [d.upper() for d in RAW_COLUMNS] and [n for n, _ in loads] == list(range(1, 11))
