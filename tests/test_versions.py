@@ -1,6 +1,7 @@
 """Tables in parts, buckets of VALIDATED, months of facts, and the audit of merges."""
 
 import os
+import time
 from datetime import timedelta
 
 import pytest
@@ -282,3 +283,32 @@ def test_domains_number_their_logs_in_order(place):
     jobs.hourly_increment(store, NOW + timedelta(hours=1))
     loads = sorted((r.log_id, r.domain) for r in store.log("audit", "load_log").collect())
     assert [d for _, d in loads[5:]] == [d.upper() for d in RAW_COLUMNS] and [n for n, _ in loads] == list(range(1, 11))
+
+
+def test_a_delivery_of_many_tasks_becomes_few_raw_files(place):
+    store, landing, take = place
+    for n in range(24):
+        put(landing, "rooms", f"{n}.csv", HEADER, room(f"r{n}", f"s{n}"))
+    take()
+    assert len(store.files(store.path("raw", "rooms", "batch_id=0"))) == 2
+    assert {r.status for r in store.raw("rooms").collect()} == {f"s{n}" for n in range(24)}
+    assert store.raw("rooms").select("_file").distinct().count() == 24
+
+
+def test_only_batches_cut_by_an_epoch_are_ranked_again(place, monkeypatch):
+    store, landing, take = place
+    put(landing, "rooms", "a.csv", HEADER, room("r1"))
+    take(), merging.load_base(store, "rooms")
+    put(landing, "rooms", "b.csv", HEADER, room("r1", "busy"), room("r2", "new"))
+    take(), merging.run_merge(store, "rooms", as_of=NOW)
+    with monkeypatch.context() as m:  # one batch in one source: nothing to rank or to fold
+        m.setattr(merging, "latest_per_key", None), m.setattr(merging, "fold", None)
+        assert {r.room_id: r.status for r in merging.validated(store, "rooms").collect()} == {"r1": "Busy", "r2": "New"}
+    for n in range(3):
+        put(landing, "rooms", f"c{n}.csv", HEADER, room("r2", f"s{n}"))
+    take(), merging.run_merge(store, "rooms", as_of=NOW, files_per_epoch=1)
+    batches = merging.source_batches(store, "rooms")
+    assert len(batches) > len(set(batches)) and merging.sources(store, "rooms").filter("batch_id = 2").count() == 1
+    assert {r.room_id: r.status for r in merging.validated(store, "rooms").collect()}["r2"] == "S2"
+    store.delete(store.path("merged", "rooms", "epoch=0", merging.BATCHES))
+    assert merging.source_batches(store, "rooms") is None and merging.sources(store, "rooms").filter("batch_id = 2").count() == 1
