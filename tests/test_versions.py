@@ -312,3 +312,32 @@ def test_only_batches_cut_by_an_epoch_are_ranked_again(place, monkeypatch):
     assert {r.room_id: r.status for r in merging.validated(store, "rooms").collect()}["r2"] == "S2"
     store.delete(store.path("merged", "rooms", "epoch=0", merging.BATCHES))
     assert merging.source_batches(store, "rooms") is None and merging.sources(store, "rooms").filter("batch_id = 2").count() == 1
+
+
+def test_a_domain_numbers_before_the_one_before_it_has_written(place, monkeypatch):
+    store, landing, take = place
+    for domain, columns in RAW_COLUMNS.items():
+        put(landing, domain, "a.csv", ",".join(columns), ",".join("x" for _ in columns))
+        take(domain)
+    jobs.full_load(store, NOW)
+    for domain, columns in RAW_COLUMNS.items():
+        put(landing, domain, "b.csv", ",".join(columns), ",".join("y" for _ in columns))
+        take(domain)
+    numbered, seen, log_run = [], [], store.log_run
+    monkeypatch.setattr(store, "reserve", lambda log, run, n, reserve=store.reserve: (numbered.append(run), reserve(log, run, n))[1])
+
+    def last_first(df, layer, table, run):
+        """The first domain's log is not written before the last one has its numbers."""
+        if table == "load_log" and "guests" in str(run):
+            for _ in range(600):
+                if any("billing" in r for r in numbered):
+                    seen.append(run)
+                    break
+                time.sleep(0.1)
+        log_run(df, layer, table, run)
+
+    monkeypatch.setattr(store, "log_run", last_first)
+    jobs.hourly_increment(store, NOW + timedelta(hours=1))
+    assert seen
+    loads = sorted((r.log_id, r.domain) for r in store.log("audit", "load_log").collect())
+    assert [d for _, d in loads[5:]] == [d.upper() for d in RAW_COLUMNS]
