@@ -109,7 +109,11 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ids_with_sums(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), byte_bpe()[1])
+    import public_tokenizers
+
+    # Unicode versions do not differ in ASCII, so the pattern as published splits it alike
+    return ids_with_sums(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), byte_bpe()[1], ascii_pattern=public_tokenizers.PATTERN)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,11 +15,15 @@ ids; an empty table makes no shard.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
+from operator import attrgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -85,24 +89,26 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        ids = np.asarray(ids, np.uint32)
+        ids = np.asarray(ids)
         width, planes = max(1, int(ids.max(initial=0)).bit_length()), []
-        ids = ids.astype(np.uint16) if width <= 16 else ids
+        ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         for shift in range(width - 1, -1, -1):
+            ids = ids.astype(np.uint8) if shift == 7 else ids  # the bits above have had their planes
             bits = ids & ids.dtype.type(1 << shift) != 0
             planes.append(Plane.of(bits))
-            ids = np.concatenate([ids[~bits], ids[bits]])
+            ids = np.concatenate([ids.take(np.flatnonzero(~bits)), ids.take(np.flatnonzero(bits))])
         return cls(planes, len(ids))
 
     def all(self) -> np.ndarray:
         """Every id, in order: from the lowest plane up, each undoes the parting by its bits."""
-        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
-        out = np.zeros(self.size, kind)
+        wide = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.size, np.uint8)
         for shift, plane in enumerate(reversed(self.planes)):
+            kind = np.uint8 if shift < 8 else wide
             bits = np.unpackbits(plane.packed, count=self.size, bitorder="little").view(bool)
             parted, out = out, np.empty(self.size, kind)
-            out[~bits] = parted[: plane.zeros]
-            out[bits] = parted[plane.zeros :] | kind(1 << shift)
+            out[np.flatnonzero(~bits)] = parted[: plane.zeros]
+            out[np.flatnonzero(bits)] = parted[plane.zeros :] | kind(1 << shift)
         return out.astype(np.uint32)
 
     def access(self, at: np.ndarray) -> np.ndarray:
@@ -170,10 +176,55 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rising distinct codes, a place of each, the index of every code among them)."""
+    order = np.argsort(codes)
+    rising = codes[order]
+    fresh = np.ones(len(codes), bool)
+    fresh[1:] = rising[1:] != rising[:-1]
+    index = np.empty(len(codes), np.int64)
+    index[order] = np.cumsum(fresh) - 1
+    return rising[fresh], order[fresh], index
+
+
+class _Token(NamedTuple):
+    """An added token, as the library's model gives others."""
+
+    id: int
+
+
+class Memo:
+    """Ids by the code of what they encode."""
+
+    def __init__(self):
+        self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where each of some rising codes is or is to be, which of them are not kept yet)."""
+        at = np.searchsorted(self.known, codes)
+        old = np.zeros(len(codes), bool)
+        inside = at < len(self.known)
+        old[inside] = self.known[at[inside]] == codes[inside]
+        places, fresh = np.empty(len(codes), np.int64), np.flatnonzero(~old)
+        places[old] = self.order[at[old]]
+        places[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
+        return places, fresh
+
+    def add(self, codes: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """Keep the ids of the codes that ``places`` did not find."""
+        self.known, self.order = inserted(self.known, self.order, codes, len(self.bounds) - 1 + np.arange(len(codes)))
+        self.ids = np.concatenate([self.ids, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
+
+
 class Encoder:
-    """Ids of texts by a tokenizer file with byte-level splitting; its library's model encodes each distinct piece once while it is kept."""
+    """Ids of texts by a tokenizer file with byte-level splitting; its library's model encodes each distinct piece once while it is kept.
 
-    def __init__(self, content: str, pattern: str):
+    ``ascii_pattern`` may name a cheaper pattern that splits ASCII units as ``pattern`` does.
+    """
+
+    def __init__(self, content: str, pattern: str, ascii_pattern: str | None = None):
         import os
 
         import regex
@@ -185,14 +236,15 @@ class Encoder:
         added = json.loads(content)["added_tokens"]
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("added tokens that depend on what surrounds them are not supported")
-        self.added, self.letters, self.matches = {t["content"]: t["id"] for t in added}, byte_letters(), regex.compile(pattern, regex.V1).findall
+        self.added, self.matches = {t["content"]: (_Token(t["id"]),) for t in added}, regex.compile(pattern, regex.V1).findall
+        self.ascii_matches = regex.compile(ascii_pattern or pattern, regex.V1).findall
+        self.letters = np.array([ord(letter) for _, letter in sorted(byte_letters().items())], "<u4")
         names = sorted((t.encode() for t in self.added), key=len, reverse=True)
         self.cut = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.order = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.units, self.pieces = Memo(), Memo()
 
     def _borders(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where texts and added tokens begin and end."""
@@ -208,51 +260,78 @@ class Encoder:
         raw = data.tobytes()
         return np.array([x for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in self.cut.finditer(raw, low, high) for x in m.span()], np.int64)
 
-    def _new(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _new(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of units not met before; an added token is a piece of its own."""
-        split = [(u,) if u in self.added else self.matches(u) for u in units]
-        pieces = dict.fromkeys(chain.from_iterable(split))
-        added, tokenize, letters = self.added, self.tokenizer.model.tokenize, self.letters
-        found = [(added[p],) if p in added else [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        pieces = dict(zip(pieces, range(len(pieces))))
+        added, matches, ascii_matches = self.added, self.matches, self.ascii_matches
+        split = [(u,) if u in added else ascii_matches(u) if u.isascii() else matches(u) for u in texts]
+        pieces = list(chain.from_iterable(split))
+        data = np.frombuffer("".join(pieces).encode(), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        if len(data) and data.max() > 0x7F:  # from characters to bytes
+            ends = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))[ends]
+        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+        codes, first, index = _distinct(span_codes(prefix_codes(data), starts, ends))
+        places, fresh = self.pieces.places(codes)
+        if len(fresh):
+            spelled, tokenize = self.letters[data].tobytes().decode("utf-32-le"), self.tokenizer.model.tokenize
+            at = first[fresh]
+            found = [
+                added[pieces[k]] if pieces[k] in added else tokenize(spelled[low:high])
+                for k, low, high in zip(at.tolist(), starts[at].tolist(), ends[at].tolist())]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32, int(sizes.sum()))
+            self.pieces.add(codes[fresh], ids, np.concatenate(([0], np.cumsum(sizes))))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        index = np.fromiter(map(pieces.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        return spread(ids, np.concatenate(([0], np.cumsum(sizes))), index, np.concatenate(([0], np.cumsum(counts))))
+        return spread(self.pieces.ids, self.pieces.bounds, places[index], np.concatenate(([0], np.cumsum(counts))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds by text) of texts given as bytes and offsets."""
-        if len(self.known) > MOST_KNOWN:  # start anew; only time depends on what is kept
+        if max(len(self.units.known), len(self.pieces.known)) > MOST_KNOWN:  # start anew; only time depends on what is kept
             self.forget()
         starts = units(data, self._borders(data, offsets))
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        codes, first, index = np.unique(span_codes(prefix_codes(data), starts, ends), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known, codes), max(len(self.known) - 1, 0))
-        old = self.known[at] == codes if len(self.known) else np.zeros(len(codes), bool)
-        fresh = np.flatnonzero(~old)
-        raw = data.tobytes()
-        ids, bounds = self._new([raw[starts[k] : ends[k]].decode() for k in first[fresh].tolist()])
-        places = np.empty(len(codes), np.int64)
-        places[old] = self.order[at[old]] if len(self.known) else 0
-        places[fresh] = len(self.bounds) - 1 + np.arange(len(fresh))
-        self.ids = np.concatenate([self.ids, ids])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
-        self.known, self.order = inserted(self.known, self.order, codes[fresh], places[fresh])
-        return spread(self.ids, self.bounds, places[index], np.searchsorted(starts, offsets))
-
-
-def _encoder(tokenizer: str, pattern: str, end_id: int):
-    """Ids of each document with the end id, as little-endian 32-bit integers."""
+        codes, first, index = _distinct(span_codes(prefix_codes(data), starts, ends))
+        places, fresh = self.units.places(codes)
+        if len(fresh):
+            raw, at = data.tobytes(), first[fresh]
+            new = [raw[low:high].decode() for low, high in zip(starts[at].tolist(), ends[at].tolist())]
+            with _uncollected():
+                self.units.add(codes[fresh], *self._new(new))
+        return spread(self.units.ids, self.units.bounds, places[index], np.searchsorted(starts, offsets))
+
+
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without collections of cycles: hundreds of thousands of small lists, none in a cycle, would be gone through again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def id_type(tokenizer: str, end_id: int) -> str:
+    """The integers that ids travel as: of 16 bits where the vocabulary's ids, the added ones and the end id have no more."""
+    known = json.loads(tokenizer)
+    vocabulary = known["model"]["vocab"]
+    most = max(end_id, max(vocabulary.values(), default=0), *(t["id"] for t in known["added_tokens"]))
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def _encoder(tokenizer: str, pattern: str, end_id: int, ascii_pattern: str | None = None, kind: str = "<u4"):
+    """Ids of each document with the end id, as little-endian integers."""
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, pattern)
+        encoder = Encoder(tokenizer, pattern, ascii_pattern)
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for low, high in row_chunks(offsets):
                 ids, bounds = encoder.encode(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-                ids = np.insert(ids.astype(np.uint32), bounds[1:], end_id).astype("<u4")
-                bounds = (bounds + np.arange(len(bounds))) * 4
+                ids = np.insert(ids.astype(kind), bounds[1:], end_id)
+                bounds = (bounds + np.arange(len(bounds))) * width
                 yield pa.RecordBatch.from_arrays([
                     batch.column("bucket").slice(low, high - low), batch.column("doc_id").slice(low, high - low),
                     pa.BinaryArray.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)]),
@@ -261,38 +340,43 @@ def _encoder(tokenizer: str, pattern: str, end_id: int):
     return run
 
 
-def _sharder(limit: int):
+def _sharder(limit: int, kind: str = "<u4"):
+    width = np.dtype(kind).itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, shard, docs, parts, size = None, 0, [], [], 0
 
         def row():
-            sizes = np.array([len(p) // 4 for p in parts], np.int64)
-            data = write_shard(docs, sizes, np.frombuffer(b"".join(parts), "<u4"))
+            sizes = np.array([len(p) // width for p in parts], np.int64)
+            data = write_shard(docs, sizes, np.frombuffer(b"".join(parts), kind))
             return pa.RecordBatch.from_pylist([{"bucket": bucket, "shard": shard, "n_ids": int(sizes.sum()), "data": data}], pa.schema(
                 [("bucket", pa.int64()), ("shard", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())]))
 
         for batch in batches:
             for where, doc, ids in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "ids"))):
-                if docs and (where != bucket or size + len(ids) // 4 > limit):
+                if docs and (where != bucket or size + len(ids) // width > limit):
                     yield row()
                     shard = shard + 1 if where == bucket else 0
                     docs, parts, size = [], [], 0
                 bucket = where
                 docs.append(doc)
                 parts.append(ids)
-                size += len(ids) // 4
+                size += len(ids) // width
         if docs:
             yield row()
 
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer: str, pattern: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
+def write_ids(
+    docs: DataFrame, tokenizer: str, pattern: str, folder: str, end_id: int = 0, shard_ids: int = SHARD_IDS, ascii_pattern: str | None = None,
+) -> None:
     """Encode (doc_id, text) with a tokenizers file's content and write the shards to a folder."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = docs.select(_range_of(docs).alias("bucket"), "doc_id", "text").mapInArrow(_encoder(tokenizer, pattern, end_id), "bucket long, doc_id long, ids binary")
+    kind = id_type(tokenizer, end_id)
+    encoded = docs.select(_range_of(docs).alias("bucket"), "doc_id", "text").mapInArrow(_encoder(tokenizer, pattern, end_id, ascii_pattern, kind), "bucket long, doc_id long, ids binary")
     dealt = encoded.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), "ids")
-    dealt.mapInArrow(_sharder(shard_ids), SHARD).write.option("compression", "uncompressed").parquet(folder)
+    dealt.mapInArrow(_sharder(shard_ids, kind), SHARD).write.option("compression", "uncompressed").parquet(folder)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,6 +401,11 @@ def _checker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(sums, pa.int64()))
 
 
+def _summer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checksums beside the reader, so that ids read back do not leave their task."""
+    return _checker(_reader(batches))
+
+
 def _starts(spark, folder: str) -> DataFrame:
     """(bucket, shard, first): how many ids stand before each shard."""
     sizes = saved(spark.read.schema(SHARD).parquet(folder).select("bucket", "shard", "n_ids"))
@@ -327,21 +416,19 @@ def _starts(spark, folder: str) -> DataFrame:
         "bucket", "shard", (F.col("base") + F.col("from")).alias("first")))
 
 
-def _documents(spark, folder: str) -> DataFrame:
-    rows = spark.read.schema(SHARD).parquet(folder)
-    return rows.mapInArrow(_reader, "bucket long, shard int, inside long, doc_id long, n_ids long, ids binary")
-
-
 def read_ids(spark, folder: str) -> DataFrame:
     """(doc_id, start, n_ids, ids) of every document in the shards; ids are little-endian 32-bit integers."""
-    return _documents(spark, folder).join(_starts(spark, folder), ["bucket", "shard"]).select(
+    rows = spark.read.schema(SHARD).parquet(folder).mapInArrow(_reader, "bucket long, shard int, inside long, doc_id long, n_ids long, ids binary")
+    return rows.join(_starts(spark, folder), ["bucket", "shard"]).select(
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_ids", "ids")
 
 
-def ids_with_sums(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> DataFrame:
+def ids_with_sums(
+    docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 0, shard_ids: int = SHARD_IDS, ascii_pattern: str | None = None,
+) -> DataFrame:
     """Write the shards of (doc_id, text) and read them back: doc_id, start, n_tokens and a checksum of each document's ids."""
-    folder = shared_folder(docs.sparkSession)
-    write_ids(docs, tokenizer, pattern, folder, end_id, shard_ids)
-    summed = _documents(docs.sparkSession, folder).mapInArrow(_checker, "bucket long, shard int, inside long, doc_id long, n_ids long, ids_crc32 long")
-    return summed.join(_starts(docs.sparkSession, folder), ["bucket", "shard"]).select(
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    write_ids(docs, tokenizer, pattern, folder, end_id, shard_ids, ascii_pattern)
+    summed = spark.read.schema(SHARD).parquet(folder).mapInArrow(_summer, "bucket long, shard int, inside long, doc_id long, n_ids long, ids_crc32 long")
+    return summed.join(_starts(spark, folder), ["bucket", "shard"]).select(
         "doc_id", (F.col("first") + F.col("inside")).alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32")

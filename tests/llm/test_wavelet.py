@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,23 @@ def test_memo_starts_anew(content, monkeypatch, reference):
         assert encoder.encode(*text_buffers(pa.array([text])))[0].tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_a_piece_is_encoded_once_in_several_units(content, reference):
+    encoder, asked = Encoder(content, PATTERN, r" ?[A-Za-z]+|[^\sA-Za-z]+|\s+"), []
+    encoder.tokenizer = SimpleNamespace(model=SimpleNamespace(tokenize=lambda piece: asked.append(piece) or reference.model.tokenize(piece)))
+    for text in ("x word, é", "x word. word", "x word! é? word,"):
+        assert encoder.encode(*text_buffers(pa.array([text])))[0].tolist() == reference.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked)) == 7
+
+
+@pytest.mark.parametrize("end_id, kind", [(0, "<u2"), ((1 << 16) - 1, "<u2"), (1 << 16, "<u4")])
+def test_ids_travel_as_narrow_as_they_may(spark, content, reference, end_id, kind):
+    assert wavelet.id_type(content, end_id) == kind
+    folder = shared_folder(spark)
+    write_ids(spark.createDataFrame([(2, "b c"), (1, "a 😀")], "doc_id long, text string"), content, PATTERN, folder, end_id)
+    rows = read_ids(spark, folder).orderBy("start").collect()
+    assert [np.frombuffer(bytes(r.ids), "<u4").tolist() for r in rows] == [[*reference.encode(t).ids, end_id] for t in ("a 😀", "b c")]
+
+
 def test_repeated_ids_and_reading_back(spark, content, reference):
     folder = shared_folder(spark)
     docs = spark.createDataFrame([(1, "b c"), (1, "b c"), (1, "a")], "doc_id long, text string")
