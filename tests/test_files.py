@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from innlake import streamed
 from innlake.plans import jobs
 from innlake.plans.validate import merge, validate
 from innlake.session import working_folder
@@ -276,3 +277,27 @@ def test_increment_makes_up_for_a_dead_refresh(place, monkeypatch):
     jobs.hourly_increment(store, hours[2])
     assert seen == hours[:2]
     assert {r.room_id for r in jobs.curated(store, "dim_room").collect()} == {"r1", "r2"}
+
+
+def test_a_table_of_one_row_group_is_delivered_by_several_tasks(spark, tmp_path):
+    key = F.col("id")
+    rows = spark.range(0, 400_000, 1, 1).select(
+        key.alias("p_partkey"), F.sha2(key.cast("string"), 256).alias("p_name"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"), F.lit(900.0).alias("p_retailprice"))
+    rows.write.parquet(str(tmp_path / "part.parquet"))
+    streamed.deliver(FEEDS["rooms"](spark, str(tmp_path), spread=True), str(tmp_path / "landing"), "rooms")
+    found = [name for name in os.listdir(lf.folder(str(tmp_path / "landing"), "rooms")) if name.endswith(".csv")]
+    landed = lf.read_csv(spark, str(tmp_path / "landing"), "rooms", multiline=False)
+    assert len(found) > 1 and landed.select("room_id").distinct().count() == landed.count() == 400_000
+
+
+def test_files_of_a_batch_are_counted_in_one_pass(place, spark):
+    store, landing, take = place
+    put(landing, "rooms", "good.csv", HEADER, "r1,h,t,1,1,x,s,1", "r2,h,t,1,1,x,s,1")
+    put(landing, "rooms", "bad.csv", HEADER, "r3,h,t,1,1,x,s,1", "r4,h")
+    put(landing, "rooms", "empty.csv", HEADER)
+    files = lf.counted_files(lf.read_csv(spark, str(landing), "rooms"))
+    assert sorted((f._file.rpartition("/")[2], f.row_count, f.bad_records) for f in files) == [("bad.csv", 2, 1), ("good.csv", 2, 0)]
+    take()
+    assert sorted(r[0] for r in raw_rows(store)) == ["r1", "r2"]
+    found = load_history(store, "rooms", NOW).select("file", "status", "row_count").collect()
+    assert sorted((f.rpartition("/")[2], status, n) for f, status, n in found) == [("bad.csv", "REFUSED", 1), ("good.csv", "LOADED", 2)]
