@@ -295,7 +295,8 @@ def test_files_of_a_batch_are_counted_in_one_pass(place, spark):
     put(landing, "rooms", "good.csv", HEADER, "r1,h,t,1,1,x,s,1", "r2,h,t,1,1,x,s,1")
     put(landing, "rooms", "bad.csv", HEADER, "r3,h,t,1,1,x,s,1", "r4,h")
     put(landing, "rooms", "empty.csv", HEADER)
-    files = lf.counted_files(lf.read_csv(spark, str(landing), "rooms"))
+    lf.read_csv(spark, str(landing), "rooms").write.parquet(store.path("parsed"))
+    files = lf.counted_files(spark.read.parquet(store.path("parsed")))
     assert sorted((f._file.rpartition("/")[2], f.row_count, f.bad_records) for f in files) == [("bad.csv", 2, 1), ("good.csv", 2, 0)]
     take()
     assert sorted(r[0] for r in raw_rows(store)) == ["r1", "r2"]
