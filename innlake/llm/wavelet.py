@@ -22,8 +22,6 @@ import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 from itertools import chain
-from operator import attrgetter
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -187,12 +185,6 @@ def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rising[fresh], order[fresh], index
 
 
-class _Token(NamedTuple):
-    """An added token, as the library's model gives others."""
-
-    id: int
-
-
 class Memo:
     """Ids by the code of what they encode."""
 
@@ -236,7 +228,7 @@ class Encoder:
         added = json.loads(content)["added_tokens"]
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("added tokens that depend on what surrounds them are not supported")
-        self.added, self.matches = {t["content"]: (_Token(t["id"]),) for t in added}, regex.compile(pattern, regex.V1).findall
+        self.added, self.matches = {t["content"]: (t["id"],) for t in added}, regex.compile(pattern, regex.V1).findall
         self.ascii_matches = regex.compile(ascii_pattern or pattern, regex.V1).findall
         self.letters = np.array([ord(letter) for _, letter in sorted(byte_letters().items())], "<u4")
         names = sorted((t.encode() for t in self.added), key=len, reverse=True)
@@ -276,10 +268,10 @@ class Encoder:
             spelled, tokenize = self.letters[data].tobytes().decode("utf-32-le"), self.tokenizer.model.tokenize
             at = first[fresh]
             found = [
-                added[pieces[k]] if pieces[k] in added else tokenize(spelled[low:high])
+                added[pieces[k]] if pieces[k] in added else [t.id for t in tokenize(spelled[low:high])]
                 for k, low, high in zip(at.tolist(), starts[at].tolist(), ends[at].tolist())]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32, int(sizes.sum()))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
             self.pieces.add(codes[fresh], ids, np.concatenate(([0], np.cumsum(sizes))))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         return spread(self.pieces.ids, self.pieces.bounds, places[index], np.concatenate(([0], np.cumsum(counts))))
