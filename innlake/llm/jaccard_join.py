@@ -9,8 +9,8 @@ decides only how a token is counted). The order does not depend on the number of
 the links do not depend on the order at all.
 
 A prefix token that no other set holds meets nothing and is left out, so most sets have no prefix row. Sets that are equal are one node
-from the start. A node is first compared with the smallest node of its token groups (a star, not all pairs); only pairs that are not
-in one component after that, one of them outside its token's largest component, are compared one by one. Pairs pass the length filter, the positional filter and a suffix filter (parities of the token counts by code
+from the start. A node is first compared with one node of each of its token groups (a star, not all pairs; few groups have the same
+one); only pairs that are not in one component after that, one of them outside its token's largest component, are compared one by one. Pairs pass the length filter, the positional filter and a suffix filter (parities of the token counts by code
 range, which bound how many tokens the sets do not share) before the sets themselves are compared, once per pair.
 
 Defined results: null and empty texts, and texts without a word, have no shingle and link with nothing;
@@ -41,13 +41,15 @@ TOKEN_BITS = 55
 RANGE_BYTES = 32 << 20
 #: Tokens that wait in a task to be counted, and to be packed.
 TALLY = 1 << 19
-PACKED = 1 << 20
+PACKED = 1 << 19
 #: A token of so many sets of one task is counted by tasks; the most frequent of these, at most LISTED_TOKENS, are sent to all.
 OFTEN = 8
 LISTED_TOKENS = 1 << 18
 RANGE_BITS = 10
 LISTED = 64
 MEMBERS = 256
+#: Orders by chance in which a token's first node is its hub: one alone may be far from most near copies, which then all meet pairwise.
+HUBS = 4
 PARITIES = [f"p{k}" for k in range((1 << RANGE_BITS) // 64)]
 FOUND = pa.schema([("code", pa.int64()), ("n", pa.int32()), ("size", pa.int32()), ("entries", pa.list_(pa.int64()))])
 NO_ID = -(2**63)
@@ -407,8 +409,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return named.join(mains.drop("kinds"), "token")
 
     def star(rows: DataFrame) -> DataFrame:
-        """Every row beside the smallest node of its token."""
-        hubs = rows.groupBy("token").agg(F.min_by(F.struct("node", "at", *PARITIES), "node").alias("hub"))
+        """Every row beside one node of its token; tokens have HUBS different ones where they have the same nodes."""
+        chance = F.xxhash64("node", F.pmod("token", F.lit(HUBS)))
+        hubs = rows.groupBy("token").agg(F.min_by(F.struct("node", "at", *PARITIES), chance).alias("hub"))
         return rows.join(hubs, "token").where("node != hub.node").select(
             F.col("hub.node").alias("a"), F.col("node").alias("b"), *(F.col(f"hub.{c}").alias(f"a_{c}") for c in ("at", *PARITIES)),
             *(F.col(c).alias(f"b_{c}") for c in ("at", *PARITIES)))

@@ -99,3 +99,27 @@ def test_query_against_brute_force(spark, sf_dir):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in queries.op6_jaccard_join(spark, sf_dir).collect()), key=str)
     assert got == brute(docs)
     assert any(c < d for d, _, c in got)
+
+
+def test_near_copies_do_not_all_meet_pairwise(spark, monkeypatch):
+    """The least set of a group is far from most copies, which must be joined by stars around other ones."""
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(120)]
+    docs = []
+    for k in range(160):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            copy[rng.randrange(20, 120)] = f"c{rng.randrange(10**9)}"
+        docs.append((k, " ".join(copy)))
+    docs += [(1000 + k, " ".join(base[:88] + [f"x{k}-{j}" for j in range(k)])) for k in range(4)]
+    made_pairs = []
+
+    def counted(*given, real=jaccard_join._possible):
+        near = real(*given).cache()
+        made_pairs.append(near.count())
+        return near
+
+    monkeypatch.setattr(jaccard_join, "_possible", counted)
+    rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == sorted(brute(docs))
+    assert made_pairs[1] < 500, made_pairs
