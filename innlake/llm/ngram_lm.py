@@ -96,6 +96,9 @@ def _level_count(level):
     return LEAST_PAIR * 2 ** ((level - 1) / 2)
 
 
+_COUNTS = _level_count(np.arange(256.0))
+
+
 def _bits(keys: np.ndarray, level) -> tuple[np.ndarray, np.ndarray]:
     code = mixed(keys + np.uint64(0x632BE59BD9B4E019) * np.asarray(level).astype(np.uint64))
     return code & np.uint64(BLOCK_BYTES * 8 - 1), code >> np.uint64(32) | np.uint64(1)
@@ -214,10 +217,16 @@ def train(texts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS
     return BigramModel(int(total), int(vocabulary), head, head_counts, words, built, parts, blocks)
 
 
-def _states(codes: np.ndarray, part: FilterPart) -> np.ndarray:
-    """What the part says of every token: level of the pair, level of the history's count << 8, and share << 16; 0 for other histories."""
-    history, pair = _pairs(codes)
-    known, which = np.unique(history, return_inverse=True)
+def _states(codes: np.ndarray, words: np.ndarray, which: np.ndarray, part: FilterPart) -> np.ndarray:
+    """What the part says of every token: level of the pair, level of the history's count << 8, and share << 16; 0 for other histories.
+
+    ``words`` are the rising distinct codes, ``which`` has each token's place among them; all texts end, so each word is a history.
+    """
+    histories = words >> np.uint64(_WORD_BITS)
+    fresh = np.concatenate(([True], histories[1:] != histories[:-1]))
+    known, place = histories[fresh], np.cumsum(fresh) - 1
+    which = place[np.concatenate(([np.searchsorted(words, END)], which[:-1]))]
+    pair = known[which] << np.uint64(_WORD_BITS) | codes >> np.uint64(64 - _WORD_BITS)
     mine = _xxhash_parts(known, part.parts) == part.part if part.parts > 1 else np.ones(len(known), bool)
     state = np.zeros(len(known), np.int32)
     at = np.flatnonzero(mine)
@@ -232,14 +241,14 @@ def _states(codes: np.ndarray, part: FilterPart) -> np.ndarray:
     return state
 
 
-def _gain(state: np.ndarray, prior: np.ndarray) -> np.ndarray:
+def _gain(state: np.ndarray, prior: np.ndarray, log_prior: np.ndarray) -> np.ndarray:
     """log10 P(w | h) - log10 P(w) of tokens; 0 where the history is not known."""
     gain = np.zeros(len(state))
     at = np.flatnonzero(state)
-    level, count, share = (state[at] & 0xFF).astype(np.float64), state[at] >> 8 & 0xFF, (state[at] >> 16) / SHARES
-    seen = np.where(level > 0, np.minimum(1.0, (_level_count(level) - DISCOUNT) / _level_count(count.astype(np.float64))), 0.0)
+    level, count, share = state[at] & 0xFF, state[at] >> 8 & 0xFF, (state[at] >> 16) / SHARES
+    seen = np.where(level > 0, np.minimum(1.0, (_COUNTS[level] - DISCOUNT) / _COUNTS[count]), 0.0)
     mixture = np.minimum(1.0, seen + np.maximum(1 - share, 1 / 64) * prior[at])
-    gain[at] = np.log10(mixture) - np.log10(prior[at])
+    gain[at] = np.log10(mixture) - log_prior[at]
     return gain
 
 
@@ -275,13 +284,17 @@ def _scorer(model_part: FilterPart, head, head_counts, denominator: float, first
             for low, high in row_chunks(offsets):
                 codes, edges = _tokens(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
                 owner = np.repeat(np.arange(high - low), np.diff(edges))
-                at = np.minimum(np.searchsorted(head, codes.view(np.int64)), max(len(head) - 1, 0))
-                known = head[at] == codes.view(np.int64) if len(head) else np.zeros(len(codes), bool)
-                state = _states(codes, model_part)
-                own, prior = owner[known], (head_counts[at[known]] + 0.5) / denominator
-                score = np.bincount(own, _gain(state[known], prior), high - low)
+                # what depends on the word alone is worked out once for the chunk's distinct words
+                words, which = np.unique(codes, return_inverse=True)
+                at = np.minimum(np.searchsorted(head, words.view(np.int64)), max(len(head) - 1, 0))
+                in_head = head[at] == words.view(np.int64) if len(head) else np.zeros(len(words), bool)
+                priors = np.where(in_head, head_counts[at] + 0.5, 0.5) / denominator if len(head) else np.full(len(words), 0.5 / denominator)
+                logs, known = np.log10(priors), in_head[which]
+                state = _states(codes, words, which, model_part)
+                own, of = owner[known], which[known]
+                score = np.bincount(own, _gain(state[known], priors[of], logs[of]), high - low)
                 if first:
-                    alone = np.bincount(own, np.log10(prior), high - low)
+                    alone = np.bincount(own, logs[of], high - low)
                     score = score + alone
                     out["n_tokens"].append(np.diff(edges))
                     out["head_known"].append(np.bincount(own, minlength=high - low).astype(np.int64))

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +117,27 @@ def test_query(spark, sf_dir):
     assert result(got) == brute(rows)
     held = got.where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]
+
+
+def test_a_word_is_looked_up_once_per_chunk(monkeypatch):
+    """The head is searched for distinct words, not for every token."""
+    data = np.frombuffer(b"to be or not to be " * 500, np.uint8)
+    codes, _ = ngram_lm._tokens(data, np.array([0, len(data)]))
+    asked, search = [], np.searchsorted
+
+    def counted(table, keys, *more, **named):
+        if table is head:
+            asked.append(np.size(keys))
+        return search(table, keys, *more, **named)
+
+    head = np.sort(np.unique(codes).view(np.int64))
+    monkeypatch.setattr(ngram_lm.np, "searchsorted", counted)
+    monkeypatch.setattr(ngram_lm, "TaskContext", type("Context", (), {"get": lambda: type("Task", (), {"partitionId": lambda self: 0})()}))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([False]), pa.array([data.tobytes().decode()], pa.large_string())], names=["doc_id", "held_out", "text"])
+    part = ngram_lm.FilterPart(0, 1, np.zeros(ngram_lm.BLOCK_BYTES, np.uint8))
+    counts = np.full(len(head), 7)
+    scored, = ngram_lm._scorer(part, head, counts, 100.0, True, True)(iter([batch]))
+    assert sum(asked) == len(head) == 5
+    assert scored.column("n_tokens").to_pylist() == [3001]
+    assert scored.column("score").to_pylist() == pytest.approx([3001 * np.log10(7.5 / 100)])
