@@ -1,4 +1,4 @@
-"""What a long job may leave on disk."""
+"""What a long job may leave on disk and send to the driver."""
 
 import glob
 import time
@@ -37,7 +37,7 @@ def test_shuffle_files_go_with_their_query(spark, tmp_path):
 
 
 def test_settings_come_back(spark):
-    names = (CLEANUP, CODEC)
+    names = (CLEANUP, CODEC, "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     before = [spark.conf.get(n, None) for n in names]
     with pytest.raises(KeyError), bounded(spark):
         inside = [spark.conf.get(n) for n in names]
@@ -94,3 +94,18 @@ def test_a_compacted_table_is_read_without_its_sources(place):  # noqa: F811
     merging.compact(store, "rooms")
     assert merging.epochs(store, "rooms") and merging._current(store, "rooms")[2] == []
     assert rows_of(merging.validated(store, "rooms")) == before and len(before) == 200
+
+
+def test_a_side_is_small_by_its_rows_and_not_by_its_files(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    # millions of rows in some megabytes of files, of which the join reads one column
+    spark.range(0, 3_000_000, 1, 1).select("id", *[F.lit(None).cast("string").alias(f"c{i}") for i in range(4)]).write.parquet(path)
+    keys, other = spark.read.parquet(path).select("id"), spark.read.parquet(path).select(F.col("id").alias("other"))
+
+    def planned():
+        joined = keys.join(other, F.col("id") == F.col("other"), "left_anti")
+        return joined._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in planned()
+    with bounded(spark):
+        assert "BroadcastHashJoin" not in planned()
