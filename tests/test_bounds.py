@@ -2,6 +2,7 @@
 
 import glob
 import time
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,23 @@ def test_a_side_is_small_by_its_rows_and_not_by_its_files(spark, tmp_path):
     assert "BroadcastHashJoin" in planned()
     with bounded(spark):
         assert "BroadcastHashJoin" not in planned()
+
+
+def test_buckets_and_months_in_turns_give_the_same_tables(place, monkeypatch):  # noqa: F811
+    store, landing, take = full_lake(place)
+    store.buckets = 16
+    task = lambda n: f"t{n},r{n},cleaning,s1,2024-{1 + n % 3:02d}-03 10:00:00,2024-01-03 10:00:00,2024-01-03 11:00:00,N,completed"
+    put(landing, "housekeeping", "b.csv", ",".join(RAW_COLUMNS["housekeeping"]), *(task(n) for n in range(30)))
+    put(landing, "rooms", "b.csv", HEADER, *(room(f"r{n}", "busy") for n in range(20)))
+    take("housekeeping"), take("rooms")
+    frames, commit = [], merging.Versions.commit
+    monkeypatch.setattr(merging.Versions, "commit", lambda self, df, *a, **k: (frames.append(df), commit(self, df, *a, **k))[1])
+    monkeypatch.setattr(merging, "TURN", 3000)
+    jobs.hourly_increment(store, NOW + timedelta(hours=1), arrival=())
+    fact = jobs.FACTS["fact_housekeeping"]
+    whole = fact.build(merging.validated(store, "housekeeping"), None, jobs.curated(store, "dim_room"))
+    assert rows_of(jobs.curated(store, "fact_housekeeping").select(*whole.columns)) == rows_of(whole) and whole.count() == 30
+    before = rows_of(merging.validated(store, "rooms"))
+    merging.compact(store, "rooms")
+    assert rows_of(merging.validated(store, "rooms")) == before and sum(r[6] == "Busy" for r in before) == 20
+    assert [len(f) > 1 for f in frames if isinstance(f, list)] == [True, True]
